@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from glossa.operators import aggregates as agg
 from glossa.operators import joins
-from glossa.sources.bindings import bound
+from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
+from glossa.sources.bindings import Corpus, bound
+from glossa.sources.documents import drop_placeholders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +48,78 @@ def d4_shared_roots(spark, root):
     return agg.shared_roots(c.lemma, c.language_variant)
 
 
+_BUILDS: dict[int, tuple[Corpus, ContentBuild | None, LexiconBuild | None]] = {}
+
+
+def content(spark, root) -> ContentBuild:
+    c = bound(spark, root)
+    corpus, cb, lb = _BUILDS.get(id(c), (c, None, None))
+    if cb is None or corpus is not c:
+        cb = build_content(c.docs, c.vocabulary_docs)
+        _BUILDS[id(c)] = (c, cb, lb if corpus is c else None)
+    return cb
+
+
+def lexicon(spark, root) -> LexiconBuild:
+    c = bound(spark, root)
+    corpus, cb, lb = _BUILDS.get(id(c), (c, None, None))
+    if lb is None or corpus is not c:
+        lb = build_lexicon(c.vocabulary_docs)
+        _BUILDS[id(c)] = (c, cb if corpus is c else None, lb)
+    return lb
+
+
+def a2_drop_placeholders(spark, root):
+    d = bound(spark, root).docs
+    return drop_placeholders(d).select("doc_pos", "doc_id")
+
+
+def f1_unpivot_langs(spark, root):
+    return content(spark, root).langs.select("doc_pos", "doc_id", "variant_id", "content_raw")
+
+
+def e5_dedup_by_hash(spark, root):
+    return content(spark, root).survivors.select("content_hash", "doc_id", "variant_id", "content_raw")
+
+
+def e4_assign_ids(spark, root):
+    return content(spark, root).units.select("unit_id", "doc_id", "variant_id", "content_hash")
+
+
+def e6_dedup_by_fold(spark, root):
+    return lexicon(spark, root).lemmas.select("lemma_id", "doc_id", "variant_id", "text_root")
+
+
+def f3_synonym_forms(spark, root):
+    return lexicon(spark, root).forms.select("lemma_id", "surface_form")
+
+
+def f4_media_rows(spark, root):
+    return content(spark, root).media
+
+
+def f9_tone_links(spark, root):
+    return content(spark, root).tone_links
+
+
+def f9_theme_links(spark, root):
+    return content(spark, root).theme_links
+
+
+def e3_enumerate_registers(spark, root):
+    return content(spark, root).registers
+
+
+def d13_skip_counts(spark, root):
+    cb = content(spark, root)
+    from glossa.functions.scalars import content_hash
+    return agg.skip_counts(cb.langs.withColumn("content_hash", content_hash("content_raw", "variant_id")))
+
+
+def c13_pivot_pairs(spark, root):
+    return joins.pivot_pairs(content(spark, root).units, 1, 3, 2)
+
+
 QUERIES: dict[str, Query] = {
     "d1_count_by_level": d1_count_by_level,
     "b1_audit_language_level": b1_audit_language_level,
@@ -53,4 +127,16 @@ QUERIES: dict[str, Query] = {
     "c5_units_without_vector": c5_units_without_vector,
     "c3_morpho_density": c3_morpho_density,
     "d4_shared_roots": d4_shared_roots,
+    "a2_drop_placeholders": a2_drop_placeholders,
+    "f1_unpivot_langs": f1_unpivot_langs,
+    "e5_dedup_by_hash": e5_dedup_by_hash,
+    "e4_assign_ids": e4_assign_ids,
+    "e6_dedup_by_fold": e6_dedup_by_fold,
+    "f3_synonym_forms": f3_synonym_forms,
+    "f4_media_rows": f4_media_rows,
+    "f9_tone_links": f9_tone_links,
+    "f9_theme_links": f9_theme_links,
+    "e3_enumerate_registers": e3_enumerate_registers,
+    "d13_skip_counts": d13_skip_counts,
+    "c13_pivot_pairs": c13_pivot_pairs,
 }

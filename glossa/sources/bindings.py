@@ -182,6 +182,14 @@ class Corpus:
              .when(key % 2 == 0, F.concat("p_brand", F.lit(".jpg"))).alias("img_hint"),
             F.concat(F.lit(" "), F.upper("p_name"), F.lit("?x "), "p_name", F.lit("  ?y "), "p_type").alias("synonyms"))
 
+    @property
+    def vocabulary_docs(self) -> DataFrame:
+        """The same documents read as the vocabulary collection: one synonym text for every language."""
+        d = self.docs
+        return d.select("doc_pos", "doc_id", "text_it", "text_fi", "text_en",
+                        *[F.col("synonyms").alias(f"syn_{lang}") for lang in ("it", "fi", "en")],
+                        "register", "theme_id")
+
     @property
     def syntax_documents(self) -> DataFrame:
         """Conversations bound as syntax-tree documents (JSON text).
