@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from glossa.operators import aggregates as agg
-from glossa.operators import joins
+from glossa.operators import context, joins, nested
+from glossa.functions.scalars import eligible, normalize_iso
+from pyspark.sql import functions as F
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
 from glossa.sources.bindings import Corpus, bound
 from glossa.sources.documents import drop_placeholders
@@ -120,6 +122,63 @@ def c13_pivot_pairs(spark, root):
     return joins.pivot_pairs(content(spark, root).units, 1, 3, 2)
 
 
+def h1_full_context(spark, root):
+    return context.full_context(bound(spark, root).tables())
+
+
+def h3_student_context(spark, root):
+    return context.scoped_context(bound(spark, root).tables(), "authenticated", "student")
+
+
+def b7_eligible_export(spark, root):
+    c = bound(spark, root)
+    return (c.content_unit.where(eligible())
+             .join(c.language_variant.select("variant_id", "iso_code"), "variant_id")
+             .select("unit_id", "content_raw", "iso_code", "variant_confidence"))
+
+
+def c11_with_parent(spark, root):
+    return joins.with_parent(bound(spark, root).variant_tree)
+
+
+def c12_variant_roots(spark, root):
+    return joins.variant_roots(bound(spark, root).variant_tree).drop("in_cycle")
+
+
+def d11_feedback_by_cycle(spark, root):
+    return agg.feedback_by_cycle(bound(spark, root).correction_feedback_log)
+
+
+def d12_vector_progress(spark, root):
+    return agg.vector_progress(bound(spark, root).vector_index)
+
+
+def c14_feedback_orphans(spark, root):
+    c = bound(spark, root)
+    indexed = c.vector_index.where(F.col("vector_status") == "indexed")
+    return joins.orphans(c.correction_feedback_log, "unit_id", indexed, "unit_id").select(
+        "log_id", "unit_id", "model_id")
+
+
+def c6_not_in_null_right(spark, root):
+    c = bound(spark, root)
+    return joins.not_in(c.lemma.select("lemma_id"), c.morpho_form, "lemma_id", "form_id")
+
+
+def c6_not_in_null_left(spark, root):
+    c = bound(spark, root)
+    return joins.not_in(c.morpho_form.select("form_id", "lemma_id"), c.lemma, "form_id", "lemma_id")
+
+
+def f5_explode_dependencies(spark, root):
+    return nested.explode_dependencies(bound(spark, root).syntax_documents)
+
+
+def g8_normalize_iso(spark, root):
+    d = bound(spark, root).raw("documents")
+    return d.groupBy(normalize_iso("lang").alias("iso_code")).agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 QUERIES: dict[str, Query] = {
     "d1_count_by_level": d1_count_by_level,
     "b1_audit_language_level": b1_audit_language_level,
@@ -139,4 +198,16 @@ QUERIES: dict[str, Query] = {
     "e3_enumerate_registers": e3_enumerate_registers,
     "d13_skip_counts": d13_skip_counts,
     "c13_pivot_pairs": c13_pivot_pairs,
+    "h1_full_context": h1_full_context,
+    "h3_student_context": h3_student_context,
+    "b7_eligible_export": b7_eligible_export,
+    "c11_with_parent": c11_with_parent,
+    "c12_variant_roots": c12_variant_roots,
+    "d11_feedback_by_cycle": d11_feedback_by_cycle,
+    "d12_vector_progress": d12_vector_progress,
+    "c14_feedback_orphans": c14_feedback_orphans,
+    "c6_not_in_null_right": c6_not_in_null_right,
+    "c6_not_in_null_left": c6_not_in_null_left,
+    "f5_explode_dependencies": f5_explode_dependencies,
+    "g8_normalize_iso": g8_normalize_iso,
 }

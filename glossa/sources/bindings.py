@@ -161,6 +161,13 @@ class Corpus:
                                       (F.col("n_regionkey") + 1000).alias("parent_variant_id"))
         return r.unionByName(n)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The bound corpus tables by name (media assets come from ingestion, not from a driver table)."""
+        names = ("content_unit", "language_variant", "tone_marker", "rel_content_tone", "cultural_context_tag",
+                 "rel_content_context", "vector_index", "lemma", "morpho_form", "correction_feedback_log",
+                 "ai_model_registry")
+        return {n: getattr(self, n) for n in names}
+
     # --- ingestion inputs -------------------------------------------------------
 
     @property
