@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from glossa.operators import aggregates as agg
-from glossa.operators import context, joins, nested
+from glossa.operators import context, contracts, joins, maintain, nested, retrieval
+from glossa.streaming import flows
+from glossa.sources.bindings import docs_from, feedback_log_from
 from glossa.functions.scalars import eligible, normalize_iso
 from pyspark.sql import functions as F
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
@@ -179,6 +181,126 @@ def g8_normalize_iso(spark, root):
     return d.groupBy(normalize_iso("lang").alias("iso_code")).agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+def _with_units(spark, root) -> dict:
+    """Bound tables with the ingested units as content_unit (for the hash contract)."""
+    t = bound(spark, root).tables()
+    t["content_unit"] = content(spark, root).units
+    return t
+
+
+def j2_foreign_keys(spark, root):
+    return contracts.check_foreign_keys(bound(spark, root).tables())
+
+
+def j10_hash_unique(spark, root):
+    return contracts.check_hash_unique(_with_units(spark, root))
+
+
+def j11_bridge_keys(spark, root):
+    return contracts.check_bridge_keys(bound(spark, root).tables())
+
+
+def j13_profile_tables(spark, root):
+    return contracts.profile_tables(bound(spark, root).tables())
+
+
+def j14_check_confidence(spark, root):
+    return contracts.check_confidence(bound(spark, root).tables())
+
+
+def j16_vector_owner(spark, root):
+    return contracts.check_vector_owner(bound(spark, root).tables())
+
+
+def j17_vector_pair(spark, root):
+    return contracts.check_vector_pair(bound(spark, root).tables())
+
+
+def j18_iso_normal(spark, root):
+    return contracts.check_iso_normal(bound(spark, root).tables())
+
+
+def j19_fallback_variant(spark, root):
+    return contracts.check_fallback_variant(bound(spark, root).tables())
+
+
+def j20_model_restrict(spark, root):
+    return contracts.check_model_restrict(bound(spark, root).tables())
+
+
+def j21_contract_gate(spark, root):
+    return contracts.gate(contracts.run_contracts(bound(spark, root).tables()))
+
+
+def i1_delete_cascade(spark, root):
+    t = bound(spark, root).tables()
+    doomed = t["content_unit"].where(F.col("cefr_level") == "C1").select("unit_id")
+    after = maintain.delete_cascade(t, "content_unit", doomed)
+    names = ("content_unit", "rel_content_tone", "rel_content_context", "vector_index", "correction_feedback_log")
+    out = None
+    for n in names:
+        c = after[n].agg(F.count(F.lit(1)).alias("remaining_rows")).select(F.lit(n).alias("table_name"),
+                                                                         "remaining_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def i2_restrict_violations(spark, root):
+    t = bound(spark, root).tables()
+    keys = t["language_variant"].where(F.col("variant_name") == "EN").select("variant_id")
+    return maintain.restrict_violations(t, "language_variant", keys)
+
+
+def i4_rekey(spark, root):
+    t = bound(spark, root).tables()
+    mapping = t["language_variant"].select(F.col("variant_id").alias("old_key"),
+                                           (F.col("variant_id") + 100).alias("new_key"))
+    return maintain.rekey(t, "language_variant", mapping)["lemma"].select("lemma_id", "text_root", "variant_id")
+
+
+def i9_assign_variant(spark, root):
+    c = bound(spark, root)
+    docs = c.raw("documents").select("doc_id", F.col("lang").alias("iso_code"))
+    assigned = maintain.assign_variant(docs, c.language_variant)
+    return assigned.groupBy("variant_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+def k1_ingest_stream(spark, root):
+    folder = flows.stream_folder(spark, "k1")
+    stream = docs_from(flows.read_stream(spark, root, "part"))
+    flows.run_available(stream, folder, batch_fn=flows.ingest_stream(stream, folder))
+    return spark.read.parquet(f"{folder}/content_unit").select("unit_id", "doc_id", "variant_id", "content_hash")
+
+
+def k2_feedback_stream(spark, root):
+    folder = flows.stream_folder(spark, "k2")
+    log = feedback_log_from(flows.read_stream(spark, root, "events"))
+    flows.run_available(flows.feedback_stream(log), folder)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def k3_pending_vectors_stream(spark, root):
+    c = bound(spark, root)
+    folder = flows.stream_folder(spark, "k3")
+    units = c.content_unit_from(flows.read_stream(spark, root, "documents"))
+    flows.run_available(flows.pending_vectors_stream(units, c.vector_index), folder)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def l2_similar_top5(spark, root):
+    v = bound(spark, root).vector_index
+    queries = retrieval.centroid_queries(v, "model_id")
+    hits = retrieval.similar(queries, v, 5, model_id=1)
+    return hits.select("query_id", "rank", "vector_id", "unit_id")
+
+
+def l3_context_for_hits(spark, root):
+    c = bound(spark, root)
+    hits = l2_similar_top5(spark, root)
+    return retrieval.context_for(hits.select("query_id", "rank", "unit_id"), context.full_context(c.tables())).select(
+        "query_id", "rank", "unit_id", "variant_name", "tone_name", "theme")
+
+
 QUERIES: dict[str, Query] = {
     "d1_count_by_level": d1_count_by_level,
     "b1_audit_language_level": b1_audit_language_level,
@@ -210,4 +332,24 @@ QUERIES: dict[str, Query] = {
     "c6_not_in_null_left": c6_not_in_null_left,
     "f5_explode_dependencies": f5_explode_dependencies,
     "g8_normalize_iso": g8_normalize_iso,
+    "j2_foreign_keys": j2_foreign_keys,
+    "j10_hash_unique": j10_hash_unique,
+    "j11_bridge_keys": j11_bridge_keys,
+    "j13_profile_tables": j13_profile_tables,
+    "j14_check_confidence": j14_check_confidence,
+    "j16_vector_owner": j16_vector_owner,
+    "j17_vector_pair": j17_vector_pair,
+    "j18_iso_normal": j18_iso_normal,
+    "j19_fallback_variant": j19_fallback_variant,
+    "j20_model_restrict": j20_model_restrict,
+    "j21_contract_gate": j21_contract_gate,
+    "i1_delete_cascade": i1_delete_cascade,
+    "i2_restrict_violations": i2_restrict_violations,
+    "i4_rekey": i4_rekey,
+    "i9_assign_variant": i9_assign_variant,
+    "k1_ingest_stream": k1_ingest_stream,
+    "k2_feedback_stream": k2_feedback_stream,
+    "k3_pending_vectors_stream": k3_pending_vectors_stream,
+    "l2_similar_top5": l2_similar_top5,
+    "l3_context_for_hits": l3_context_for_hits,
 }

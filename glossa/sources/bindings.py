@@ -80,7 +80,11 @@ class Corpus:
 
     @property
     def content_unit(self) -> DataFrame:
-        d = self.raw("documents").alias("d")
+        return self.content_unit_from(self.raw("documents"))
+
+    def content_unit_from(self, documents: DataFrame) -> DataFrame:
+        """The content_unit binding over any documents frame (batch or stream)."""
+        d = documents.alias("d")
         lv = self.language_variant.select("variant_id", "iso_code").alias("v")
         lab = self.raw("labels").alias("l")
         n = F.col("d.n_chars")
@@ -144,13 +148,7 @@ class Corpus:
 
     @property
     def correction_feedback_log(self) -> DataFrame:
-        ev = self.raw("events")
-        v = F.col("value")
-        sev = F.when(v < 5, "low").when(v < 20, "medium").when(v < 60, "high").otherwise("critical")
-        return ev.select(F.col("event_id").alias("log_id"), F.col("event_type").alias("error_type"),
-                         sev.alias("error_severity"), (F.col("user_id") % 3 + 1).alias("model_id"),
-                         F.dayofmonth("ts").cast("int").alias("training_cycle"), F.col("ts").alias("created_at"),
-                         F.col("user_id").alias("unit_id"))
+        return feedback_log_from(self.raw("events"))
 
     @property
     def variant_tree(self) -> DataFrame:
@@ -173,21 +171,7 @@ class Corpus:
     @property
     def docs(self) -> DataFrame:
         """Export documents (FIXTURES 3.1): one row per document, flattened."""
-        p = self.raw("part")
-        key = F.col("p_partkey")
-        name_size = F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"))
-        return p.select(
-            key.alias("doc_pos"),
-            F.when(key == 0, F.lit("init_doc")).otherwise(F.concat(F.lit("doc_"), key.cast("string"))).alias("doc_id"),
-            F.when(key % 11 == 0, F.lit(None)).when(key % 17 == 0, F.lit("")).otherwise(name_size).alias("text_it"),
-            F.when(key % 13 == 0, F.lit(None)).otherwise(F.concat("p_brand", F.lit(" "), "p_type")).alias("text_fi"),
-            name_size.alias("text_en"),
-            F.when(key % 19 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("register"),
-            F.col("p_brand").alias("theme_id"),
-            F.when(key % 3 == 0, F.concat("p_name", F.lit(".mp3"))).alias("audio_hint"),
-            F.when(key % 6 == 0, F.concat("p_name", F.lit(".mp3")))
-             .when(key % 2 == 0, F.concat("p_brand", F.lit(".jpg"))).alias("img_hint"),
-            F.concat(F.lit(" "), F.upper("p_name"), F.lit("?x "), "p_name", F.lit("  ?y "), "p_type").alias("synonyms"))
+        return docs_from(self.raw("part"))
 
     @property
     def vocabulary_docs(self) -> DataFrame:
@@ -214,6 +198,34 @@ class Corpus:
                               F.to_json(F.struct(F.col("deps").alias("dependencies"))).alias("syntax_ud_json"))
 
 
+def feedback_log_from(events: DataFrame) -> DataFrame:
+    """The correction_feedback_log binding over any events frame (batch or stream)."""
+    v = F.col("value")
+    sev = F.when(v < 5, "low").when(v < 20, "medium").when(v < 60, "high").otherwise("critical")
+    return events.select(F.col("event_id").alias("log_id"), F.col("event_type").alias("error_type"),
+                         sev.alias("error_severity"), (F.col("user_id") % 3 + 1).alias("model_id"),
+                         F.dayofmonth("ts").cast("int").alias("training_cycle"), F.col("ts").alias("created_at"),
+                         F.col("user_id").alias("unit_id"))
+
+
+def docs_from(part: DataFrame) -> DataFrame:
+    """The export-document binding over any part frame (batch or stream)."""
+    key = F.col("p_partkey")
+    name_size = F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"))
+    return part.select(
+        key.alias("doc_pos"),
+        F.when(key == 0, F.lit("init_doc")).otherwise(F.concat(F.lit("doc_"), key.cast("string"))).alias("doc_id"),
+        F.when(key % 11 == 0, F.lit(None)).when(key % 17 == 0, F.lit("")).otherwise(name_size).alias("text_it"),
+        F.when(key % 13 == 0, F.lit(None)).otherwise(F.concat("p_brand", F.lit(" "), "p_type")).alias("text_fi"),
+        name_size.alias("text_en"),
+        F.when(key % 19 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("register"),
+        F.col("p_brand").alias("theme_id"),
+        F.when(key % 3 == 0, F.concat("p_name", F.lit(".mp3"))).alias("audio_hint"),
+        F.when(key % 6 == 0, F.concat("p_name", F.lit(".mp3")))
+         .when(key % 2 == 0, F.concat("p_brand", F.lit(".jpg"))).alias("img_hint"),
+        F.concat(F.lit(" "), F.upper("p_name"), F.lit("?x "), "p_name", F.lit("  ?y "), "p_type").alias("synonyms"))
+
+
 _BOUND: dict[tuple[str, str], Corpus] = {}
 
 
