@@ -157,8 +157,9 @@ def reclassify(units: DataFrame, results: DataFrame, variants: DataFrame) -> Dat
     und = fallback_id(variants)
     r = results.select("unit_id", F.col("variant_id").alias("_new_vid"),
                        F.col("variant_confidence").alias("_new_conf"))
-    joined = units.join(r, "unit_id", "left")
-    change = (F.col("variant_id") == F.lit(und)) & F.col("_new_vid").isNotNull()
+    joined = units.join(r, "unit_id", "left").withColumn(
+        "_change", (F.col("variant_id") == F.lit(und)) & F.col("_new_vid").isNotNull())
+    change = F.coalesce(F.col("_change"), F.lit(False))
     return (joined.withColumn("variant_id", F.when(change, F.col("_new_vid")).otherwise(F.col("variant_id")))
                   .withColumn("variant_confidence",
                               F.when(change, F.col("_new_conf")).otherwise(F.col("variant_confidence")))
