@@ -2,13 +2,20 @@
 
 Every check returns rows ``(check, subject, observed, status)`` with status
 PASS / FAIL / WARNING.  Checks start from the list of what is expected, so
-a missing table or column gives a FAIL row rather than no row.  Data checks
-are single aggregates per table (one scan each); the gate unions them.
+a missing table or column gives a FAIL row rather than no row.
+
+A check is made of three kinds of parts: fixed rows decided from the schema
+on the driver, *measures* (one aggregate expression over one table), and
+frames for checks that need joins.  ``run_contracts`` merges the measures
+of all checks per table into a single aggregate, so the whole suite scans
+each table once for its single-table checks (plus one pass per join check)
+instead of once per check.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,280 +29,338 @@ RESULT_SCHEMA = "check string, subject string, observed string, status string"
 Tables = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class Measure:
+    """One aggregate over one table, turned into one result row."""
+    check: str
+    subject: str
+    table: str
+    value: Column                                   # aggregate expression
+    ok: Callable[[Column], Column]
+    fail: str = "FAIL"
+    observed: Callable[[Column], Column] | None = None
+
+
+@dataclass
+class Parts:
+    rows: list[tuple] = field(default_factory=list)
+    measures: list[Measure] = field(default_factory=list)
+    frames: list[DataFrame] = field(default_factory=list)
+
+    def __add__(self, other: "Parts") -> "Parts":
+        return Parts(self.rows + other.rows, self.measures + other.measures, self.frames + other.frames)
+
+
 def _spark(tables: Tables) -> SparkSession:
     for df in tables.values():
         return df.sparkSession
     return SparkSession.getActiveSession()
 
 
-def _rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
-
-
 def _verdict(check: str, subject: str, observed: Column, ok: Column, fail: str = "FAIL") -> list[Column]:
     return [F.lit(check).alias("check"), F.lit(subject).alias("subject"), observed.cast("string").alias("observed"),
             F.when(ok, F.lit("PASS")).otherwise(F.lit(fail)).alias("status")]
 
 
-def _union(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
-    out = None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    return out if out is not None else spark.createDataFrame([], RESULT_SCHEMA)
+def _measure_frame(df: DataFrame, measures: list[Measure]) -> DataFrame:
+    """All measures of one table in one aggregate, then one row per measure."""
+    one = df.agg(*[m.value.alias(f"_m{i}") for i, m in enumerate(measures)])
+    rows = []
+    for i, m in enumerate(measures):
+        v = F.col(f"_m{i}")
+        obs = m.observed(v) if m.observed else v.cast("string")
+        rows.append(F.struct(F.lit(m.check).alias("check"), F.lit(m.subject).alias("subject"),
+                             obs.alias("observed"),
+                             F.when(m.ok(v), F.lit("PASS")).otherwise(F.lit(m.fail)).alias("status")))
+    return one.select(F.inline(F.array(*rows)))
+
+
+def assemble(tables: Tables, parts: Parts) -> DataFrame:
+    spark = _spark(tables)
+    frames = [spark.createDataFrame(parts.rows, RESULT_SCHEMA)] if parts.rows else []
+    by_table: dict[str, list[Measure]] = {}
+    for m in parts.measures:
+        by_table.setdefault(m.table, []).append(m)
+    frames += [_measure_frame(tables[t], ms) for t, ms in by_table.items()]
+    frames += parts.frames
+    if not frames:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _missing(check: str, subject: str, what: str = "table missing") -> Parts:
+    return Parts(rows=[(check, subject, what, "FAIL")])
 
 
-def _missing(spark, check, subject, what="table missing") -> DataFrame:
-    return _rows(spark, [(check, subject, what, "FAIL")])
+def _count_if(cond: Column) -> Column:
+    return F.count_if(cond)
 
 
-def check_tables_present(tables: Tables) -> DataFrame:
+# --- J1-J20 as parts ------------------------------------------------------------
+
+def tables_present_parts(tables: Tables) -> Parts:
     """All twelve tables are loaded."""
-    spark = _spark(tables)
-    return _rows(spark, [("J1", t, "present" if t in tables else "missing", "PASS" if t in tables else "FAIL")
-                         for t in TABLE_NAMES])
+    return Parts(rows=[("J1", t, "present" if t in tables else "missing", "PASS" if t in tables else "FAIL")
+                       for t in TABLE_NAMES])
 
 
-def check_foreign_keys(tables: Tables) -> DataFrame:
-    """J2 (+C14): one row per foreign key: orphan count (NULL keys are valid) and delete action."""
-    spark = _spark(tables)
-    frames = []
-    for fk in FOREIGN_KEYS:
+def _fk_parts(tables: Tables, check: str, fks) -> Parts:
+    parts = Parts()
+    for fk in fks:
         subject = f"{fk.name} ON DELETE {fk.on_delete}"
         if fk.child not in tables or fk.parent not in tables:
-            frames.append(_missing(spark, "J2", subject))
+            parts += _missing(check, subject)
             continue
         n = orphans(tables[fk.child], fk.column, tables[fk.parent], fk.parent_key).agg(F.count(F.lit(1)).alias("n"))
-        frames.append(n.select(*_verdict("J2", subject, F.col("n"), F.col("n") == 0)))
-    return _union(frames, spark)
+        parts.frames.append(n.select(*_verdict(check, subject, F.col("n"), F.col("n") == 0)))
+    return parts
 
 
-def _columns_check(tables: Tables, check: str, table: str, columns: tuple[str, ...]) -> DataFrame:
-    """Schema part of J5-J9: the columns exist, then allowed values of the documented enums."""
-    spark = _spark(tables)
+def foreign_keys_parts(tables: Tables) -> Parts:
+    """J2 (+C14): one row per foreign key: orphan count (NULL keys are valid) and its delete action."""
+    return _fk_parts(tables, "J2", FOREIGN_KEYS)
+
+
+def _columns_parts(tables: Tables, check: str, table: str, columns: tuple[str, ...]) -> Parts:
+    """The columns exist (schema), then the documented allowed values (data, as warnings)."""
     if table not in tables:
-        return _missing(spark, check, table)
+        return _missing(check, table)
     df = tables[table]
-    rows = [(check, f"{table}.{c}", "present" if c in df.columns else "missing",
-             "PASS" if c in df.columns else "FAIL") for c in columns]
-    frames = [_rows(spark, rows)]
-    enums = [(c, vals) for (t, c), vals in ALLOWED_VALUES.items() if t == table and c in df.columns]
-    if enums:
-        aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)).alias(c) for c, vals in enums]
-        counts = df.agg(*aggs)
-        frames += [counts.select(*_verdict(check, f"{table}.{c} allowed values", F.col(c), F.col(c) == 0, "WARNING"))
-                   for c, _ in enums]
-    return _union(frames, spark)
-
-
-def check_roots(tables: Tables) -> DataFrame:
+    parts = Parts(rows=[(check, f"{table}.{c}", "present" if c in df.columns else "missing",
+                         "PASS" if c in df.columns else "FAIL") for c in columns])
+    for (t, c), vals in ALLOWED_VALUES.items():
+        if t == table and c in df.columns:
+            parts.measures.append(Measure(check, f"{table}.{c} allowed values", table,
+                                          _count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)),
+                                          lambda v: v == 0, "WARNING"))
+    return parts
+
+
+def roots_parts(tables: Tables) -> Parts:
     """The parent column exists and roots (NULL parent) exist."""
-    spark = _spark(tables)
     lv = tables.get("language_variant")
     if lv is None or "parent_variant_id" not in lv.columns:
-        return _missing(spark, "J3", "language_variant.parent_variant_id", "missing")
-    n = lv.agg(F.count_if(F.col("parent_variant_id").isNull()).alias("n"))
-    return n.select(*_verdict("J3", "language_variant roots", F.col("n"), F.col("n") > 0))
+        return _missing("J3", "language_variant.parent_variant_id", "missing")
+    return Parts(measures=[Measure("J3", "language_variant roots", "language_variant",
+                                   _count_if(F.col("parent_variant_id").isNull()), lambda v: v > 0)])
 
 
-def check_pivot(tables: Tables) -> DataFrame:
+def pivot_parts(tables: Tables) -> Parts:
     """The pivot flag exists and exactly one variant is the pivot."""
-    spark = _spark(tables)
     lv = tables.get("language_variant")
     if lv is None or "is_pivot" not in lv.columns:
-        return _missing(spark, "J4", "language_variant.is_pivot", "missing")
-    n = lv.agg(F.count_if(F.col("is_pivot")).alias("n"))
-    return n.select(*_verdict("J4", "language_variant pivot rows", F.col("n"), F.col("n") == 1))
+        return _missing("J4", "language_variant.is_pivot", "missing")
+    return Parts(measures=[Measure("J4", "language_variant pivot rows", "language_variant",
+                                   _count_if(F.col("is_pivot")), lambda v: v == 1)])
 
 
-def check_unit_columns(tables: Tables) -> DataFrame:
-    """J5."""
-    return _columns_check(tables, "J5", "content_unit", ("cefr_level", "is_idiom", "difficulty"))
+def unit_columns_parts(tables: Tables) -> Parts:
+    return _columns_parts(tables, "J5", "content_unit", ("cefr_level", "is_idiom", "difficulty"))
 
 
-def check_model_columns(tables: Tables) -> DataFrame:
-    """J6."""
-    return _columns_check(tables, "J6", "ai_model_registry", ("model_name", "model_version", "training_status"))
+def model_columns_parts(tables: Tables) -> Parts:
+    return _columns_parts(tables, "J6", "ai_model_registry", ("model_name", "model_version", "training_status"))
 
 
-def check_feedback_columns(tables: Tables) -> DataFrame:
-    """J7."""
-    return _columns_check(tables, "J7", "correction_feedback_log",
+def feedback_columns_parts(tables: Tables) -> Parts:
+    return _columns_parts(tables, "J7", "correction_feedback_log",
                           ("training_cycle", "feedback_source", "error_severity"))
 
 
-def check_media_columns(tables: Tables) -> DataFrame:
-    """J8."""
-    return _columns_check(tables, "J8", "media_asset", ("asset_type", "file_format", "file_name", "storage_location"))
+def media_columns_parts(tables: Tables) -> Parts:
+    return _columns_parts(tables, "J8", "media_asset", ("asset_type", "file_format", "file_name", "storage_location"))
 
 
-def check_vector_columns(tables: Tables) -> DataFrame:
-    """J9."""
-    return _columns_check(tables, "J9", "vector_index", ("vector_status", "model_id", "unit_id"))
-
-
-def check_hash_unique(tables: Tables) -> DataFrame:
-    """No repeated content hash, and every stored hash equals SHA-256(text || variant_id)."""
-    spark = _spark(tables)
-    cu = tables.get("content_unit")
-    if cu is None or "content_hash" not in cu.columns:
-        return _missing(spark, "J10", "content_unit.content_hash", "missing")
-    dups = (cu.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-              .agg(F.count(F.lit(1)).alias("n")))
-    bad = cu.agg(F.count_if(~F.col("content_hash").eqNullSafe(content_hash("content_raw", "variant_id"))).alias("n"))
-    return (dups.select(*_verdict("J10", "content_unit duplicate hashes", F.col("n"), F.col("n") == 0))
-                .unionByName(bad.select(*_verdict("J10", "content_unit hash mismatches", F.col("n"), F.col("n") == 0))))
+def vector_columns_parts(tables: Tables) -> Parts:
+    return _columns_parts(tables, "J9", "vector_index", ("vector_status", "model_id", "unit_id"))
 
 
 def _pair_dups(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+    """Number of key values that occur more than once (partial aggregation per key, then one count)."""
     return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
               .agg(F.count(F.lit(1)).alias("n")))
 
 
-def check_bridge_keys(tables: Tables) -> DataFrame:
-    """(unit, tag) pairs of both bridges are unique; the label lists the key columns in order."""
-    spark = _spark(tables)
-    frames = []
+def hash_unique_parts(tables: Tables) -> Parts:
+    """No repeated content hash, and every stored hash equals SHA-256(text || variant_id)."""
+    cu = tables.get("content_unit")
+    if cu is None or "content_hash" not in cu.columns:
+        return _missing("J10", "content_unit.content_hash", "missing")
+    dups = _pair_dups(cu, ("content_hash",))
+    return Parts(
+        frames=[dups.select(*_verdict("J10", "content_unit duplicate hashes", F.col("n"), F.col("n") == 0))],
+        measures=[Measure("J10", "content_unit hash mismatches", "content_unit",
+                          _count_if(~F.col("content_hash").eqNullSafe(content_hash("content_raw", "variant_id"))),
+                          lambda v: v == 0)])
+
+
+def bridge_keys_parts(tables: Tables) -> Parts:
+    """(unit, tag) pairs of both bridges are unique; the subject lists the key columns in order."""
+    parts = Parts()
     for table, key in (("rel_content_context", ("unit_id", "context_id")), ("rel_content_tone", ("unit_id", "tone_id"))):
         subject = f"{table} ({', '.join(key)})"
         if table not in tables:
-            frames.append(_missing(spark, "J11", subject))
+            parts += _missing("J11", subject)
             continue
-        frames.append(_pair_dups(tables[table], key).select(*_verdict("J11", subject, F.col("n"), F.col("n") == 0)))
-    return _union(frames, spark)
+        parts.frames.append(_pair_dups(tables[table], key).select(
+            *_verdict("J11", subject, F.col("n"), F.col("n") == 0)))
+    return parts
 
 
-def check_feedback_chain(tables: Tables) -> DataFrame:
-    """Feedback -> model must be RESTRICT, feedback -> unit CASCADE; plus their orphan counts."""
-    spark = _spark(tables)
+def feedback_chain_parts(tables: Tables) -> Parts:
+    """Feedback -> model must be RESTRICT, feedback -> unit CASCADE (registry), plus their orphan counts."""
     expected = {"model_id": "RESTRICT", "unit_id": "CASCADE"}
+    fks = [fk for fk in FOREIGN_KEYS if fk.child == "correction_feedback_log"]
     rows = []
-    for fk in FOREIGN_KEYS:
-        if fk.child == "correction_feedback_log":
-            want = expected[fk.column]
-            status = "PASS" if fk.on_delete == want else ("WARNING" if fk.on_delete == "SET NULL" else "FAIL")
-            rows.append(("J12", f"{fk.name} action", fk.on_delete, status))
-    frames = [_rows(spark, rows)]
-    frames.append(check_foreign_keys({k: v for k, v in tables.items()}).where(
-        F.col("subject").startswith("correction_feedback_log")).withColumn("check", F.lit("J12")))
-    return _union(frames, spark)
-
-
-def profile_tables(tables: Tables) -> DataFrame:
-    """Per table: rows, columns, JSON columns, NOT NULL columns, and NULLs found in NOT NULL columns.
-
-    One aggregate per table.
-    """
-    spark = _spark(tables)
-    frames = []
+    for fk in fks:
+        status = "PASS" if fk.on_delete == expected[fk.column] else (
+            "WARNING" if fk.on_delete == "SET NULL" else "FAIL")
+        rows.append(("J12", f"{fk.name} action", fk.on_delete, status))
+    return Parts(rows=rows) + _fk_parts(tables, "J12", fks)
+
+
+def profile_parts(tables: Tables) -> Parts:
+    """Per table: rows, columns, JSON columns, NOT NULL columns, and NULLs found in NOT NULL columns."""
+    parts = Parts()
     for t in TABLE_NAMES:
         if t not in tables:
-            frames.append(_missing(spark, "J13", t))
+            parts += _missing("J13", t)
             continue
         df = tables[t]
-        declared = TABLES[t]
-        not_null = [f.name for f in declared.fields if not f.nullable and f.name in df.columns]
+        not_null = [f.name for f in TABLES[t].fields if not f.nullable and f.name in df.columns]
         json_cols = [c for c in JSON_COLUMNS.get(t, ()) if c in df.columns]
         viol = [F.count_if(F.col(c).isNull()) for c in not_null]
-        total_viol = sum(viol[1:], viol[0]) if viol else F.lit(0)
-        agg = df.agg(F.count(F.lit(1)).alias("rows"), total_viol.alias("viol"))
-        observed = F.format_string("rows=%d columns=%d json=%d not_null=%d null_in_not_null=%d", F.col("rows"),
-                                   F.lit(len(df.columns)), F.lit(len(json_cols)), F.lit(len(not_null)), F.col("viol"))
-        frames.append(agg.select(*_verdict("J13", t, observed, F.col("viol") == 0)))
-    return _union(frames, spark)
-
-
-def check_confidence(tables: Tables) -> DataFrame:
+        total_viol = sum(viol[1:], viol[0]) if viol else F.lit(0).cast("long")
+        value = F.struct(F.count(F.lit(1)).alias("rows"), total_viol.alias("viol"))
+        ncols, njson, nnn = len(df.columns), len(json_cols), len(not_null)
+        parts.measures.append(Measure(
+            "J13", t, t, value, lambda v: v["viol"] == 0,
+            observed=lambda v, a=ncols, b=njson, c=nnn: F.format_string(
+                "rows=%d columns=%d json=%d not_null=%d null_in_not_null=%d", v["rows"], F.lit(a), F.lit(b), F.lit(c),
+                v["viol"])))
+    return parts
+
+
+def confidence_parts(tables: Tables) -> Parts:
     """The confidence column exists and holds NULL or values in [0, 1]."""
-    spark = _spark(tables)
     cu = tables.get("content_unit")
     if cu is None or "variant_confidence" not in cu.columns:
-        return _missing(spark, "J14", "content_unit.variant_confidence", "missing")
-    n = cu.agg(F.count_if(~valid_confidence("variant_confidence")).alias("n"))
-    return n.select(*_verdict("J14", "content_unit.variant_confidence out of range", F.col("n"), F.col("n") == 0))
+        return _missing("J14", "content_unit.variant_confidence", "missing")
+    return Parts(measures=[Measure("J14", "content_unit.variant_confidence out of range", "content_unit",
+                                   _count_if(~valid_confidence("variant_confidence")), lambda v: v == 0)])
 
 
-def check_view_scope(tables: Tables) -> DataFrame:
+def view_scope_parts(tables: Tables) -> Parts:
     """The view is caller-scoped: a student sees no tone/theme, anon sees the full view."""
-    spark = _spark(tables)
     need = ("content_unit", "language_variant", "rel_content_tone", "tone_marker", "rel_content_context",
             "cultural_context_tag")
     if any(t not in tables for t in need):
-        return _missing(spark, "J15", "v_content_full_context")
+        return _missing("J15", "v_content_full_context")
     student = full_context(scoped(tables, "authenticated", "student")).agg(
         F.count_if(F.col("tone_name").isNotNull() | F.col("theme").isNotNull()).alias("n"))
     full_n = full_context(tables).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("full"))
     anon_n = full_context(scoped(tables, "anon")).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("anon"))
     both = full_n.unionByName(anon_n).agg(F.max(F.when(F.col("k") == "full", F.col("n"))).alias("full"),
                                           F.max(F.when(F.col("k") == "anon", F.col("n"))).alias("anon"))
-    return (student.select(*_verdict("J15", "student rows with tone or theme", F.col("n"), F.col("n") == 0))
-                   .unionByName(both.select(*_verdict(
-                       "J15", "anon rows = full rows", F.concat_ws("/", "anon", "full"),
-                       F.col("anon") == F.col("full")))))
+    return Parts(frames=[
+        student.select(*_verdict("J15", "student rows with tone or theme", F.col("n"), F.col("n") == 0)),
+        both.select(*_verdict("J15", "anon rows = full rows", F.concat_ws("/", "anon", "full"),
+                              F.col("anon") == F.col("full")))])
 
 
-def check_vector_owner(tables: Tables) -> DataFrame:
+def vector_owner_parts(tables: Tables) -> Parts:
     """Every vector has a model."""
-    spark = _spark(tables)
     v = tables.get("vector_index")
     if v is None or "model_id" not in v.columns:
-        return _missing(spark, "J16", "vector_index.model_id", "missing")
-    n = v.agg(F.count_if(F.col("model_id").isNull()).alias("n"))
-    return n.select(*_verdict("J16", "vector_index.model_id NULL rows", F.col("n"), F.col("n") == 0))
+        return _missing("J16", "vector_index.model_id", "missing")
+    return Parts(measures=[Measure("J16", "vector_index.model_id NULL rows", "vector_index",
+                                   _count_if(F.col("model_id").isNull()), lambda v: v == 0)])
 
 
-def check_vector_pair(tables: Tables) -> DataFrame:
+def vector_pair_parts(tables: Tables) -> Parts:
     """One vector per (unit, model)."""
-    spark = _spark(tables)
     v = tables.get("vector_index")
     if v is None:
-        return _missing(spark, "J17", "vector_index")
-    return _pair_dups(v, ("unit_id", "model_id")).select(
-        *_verdict("J17", "vector_index (unit_id, model_id) repeats", F.col("n"), F.col("n") == 0))
+        return _missing("J17", "vector_index")
+    return Parts(frames=[_pair_dups(v, ("unit_id", "model_id")).select(
+        *_verdict("J17", "vector_index (unit_id, model_id) repeats", F.col("n"), F.col("n") == 0))])
 
 
-def check_iso_normal(tables: Tables) -> DataFrame:
+def iso_normal_parts(tables: Tables) -> Parts:
     """Every stored code equals its own normalisation."""
-    spark = _spark(tables)
-    lv = tables.get("language_variant")
-    if lv is None:
-        return _missing(spark, "J18", "language_variant")
-    n = lv.agg(F.count_if(~F.col("iso_code").eqNullSafe(normalize_iso("iso_code"))).alias("n"))
-    return n.select(*_verdict("J18", "language_variant.iso_code not normalised", F.col("n"), F.col("n") == 0))
+    if "language_variant" not in tables:
+        return _missing("J18", "language_variant")
+    return Parts(measures=[Measure("J18", "language_variant.iso_code not normalised", "language_variant",
+                                   _count_if(~F.col("iso_code").eqNullSafe(normalize_iso("iso_code"))),
+                                   lambda v: v == 0)])
 
 
-def check_fallback_variant(tables: Tables) -> DataFrame:
+def fallback_variant_parts(tables: Tables) -> Parts:
     """Exactly one 'und' variant."""
-    spark = _spark(tables)
-    lv = tables.get("language_variant")
-    if lv is None:
-        return _missing(spark, "J19", "language_variant")
-    n = lv.agg(F.count_if(F.col("iso_code") == FALLBACK_ISO).alias("n"))
-    return n.select(*_verdict("J19", "language_variant und rows", F.col("n"), F.col("n") == 1))
+    if "language_variant" not in tables:
+        return _missing("J19", "language_variant")
+    return Parts(measures=[Measure("J19", "language_variant und rows", "language_variant",
+                                   _count_if(F.col("iso_code") == FALLBACK_ISO), lambda v: v == 1)])
 
 
-def check_model_restrict(tables: Tables) -> DataFrame:
+def model_restrict_parts(tables: Tables) -> Parts:
     """Deleting a model that has vectors is refused (RESTRICT); observed = models blocked."""
-    spark = _spark(tables)
     if "vector_index" not in tables or "ai_model_registry" not in tables:
-        return _missing(spark, "J20", "vector_index -> ai_model_registry")
+        return _missing("J20", "vector_index -> ai_model_registry")
     action = {fk.column: fk.on_delete for fk in FOREIGN_KEYS if fk.child == "vector_index"}["model_id"]
     models = tables["ai_model_registry"].select("model_id")
     blocked = models.join(tables["vector_index"].select("model_id").distinct(), "model_id", "left_semi")
     n = blocked.agg(F.count(F.lit(1)).alias("n"))
     label = {"RESTRICT": "blocked", "CASCADE": "cascades", "SET NULL": "sets null"}.get(action, action)
-    return n.select(*_verdict("J20", f"model delete {label}", F.col("n"), F.lit(action == "RESTRICT")))
-
-
-CHECKS = (check_tables_present, check_foreign_keys, check_roots, check_pivot, check_unit_columns,
-          check_model_columns, check_feedback_columns, check_media_columns, check_vector_columns,
-          check_hash_unique, check_bridge_keys, check_feedback_chain, profile_tables, check_confidence,
-          check_view_scope, check_vector_owner, check_vector_pair, check_iso_normal, check_fallback_variant,
-          check_model_restrict)
+    return Parts(frames=[n.select(*_verdict("J20", f"model delete {label}", F.col("n"), F.lit(action == "RESTRICT")))])
+
+
+PARTS = (tables_present_parts, foreign_keys_parts, roots_parts, pivot_parts, unit_columns_parts,
+         model_columns_parts, feedback_columns_parts, media_columns_parts, vector_columns_parts,
+         hash_unique_parts, bridge_keys_parts, feedback_chain_parts, profile_parts, confidence_parts,
+         view_scope_parts, vector_owner_parts, vector_pair_parts, iso_normal_parts, fallback_variant_parts,
+         model_restrict_parts)
+
+
+def _standalone(parts_fn) -> Callable[[Tables], DataFrame]:
+    def check(tables: Tables) -> DataFrame:
+        return assemble(tables, parts_fn(tables))
+    check.__name__ = parts_fn.__name__.replace("_parts", "")
+    check.__doc__ = parts_fn.__doc__
+    return check
+
+
+check_tables_present = _standalone(tables_present_parts)
+check_foreign_keys = _standalone(foreign_keys_parts)
+check_roots = _standalone(roots_parts)
+check_pivot = _standalone(pivot_parts)
+check_unit_columns = _standalone(unit_columns_parts)
+check_model_columns = _standalone(model_columns_parts)
+check_feedback_columns = _standalone(feedback_columns_parts)
+check_media_columns = _standalone(media_columns_parts)
+check_vector_columns = _standalone(vector_columns_parts)
+check_hash_unique = _standalone(hash_unique_parts)
+check_bridge_keys = _standalone(bridge_keys_parts)
+check_feedback_chain = _standalone(feedback_chain_parts)
+profile_tables = _standalone(profile_parts)
+check_confidence = _standalone(confidence_parts)
+check_view_scope = _standalone(view_scope_parts)
+check_vector_owner = _standalone(vector_owner_parts)
+check_vector_pair = _standalone(vector_pair_parts)
+check_iso_normal = _standalone(iso_normal_parts)
+check_fallback_variant = _standalone(fallback_variant_parts)
+check_model_restrict = _standalone(model_restrict_parts)
 
 
 def run_contracts(tables: Tables) -> DataFrame:
-    """All checks J1-J20 as one frame."""
-    return _union([c(tables) for c in CHECKS], _spark(tables))
+    """J1-J20 as one frame; single-table measures share one aggregate per table."""
+    parts = Parts()
+    for fn in PARTS:
+        parts += fn(tables)
+    return assemble(tables, parts)
 
 
 def gate(results: DataFrame) -> DataFrame:
