@@ -61,9 +61,11 @@ def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1
         values = values.where(F.col(col).isNotNull() & (F.col(col) != F.lit("")))
     vocab, n = checked_dimension(values.distinct())
     if n <= max_single:
-        numbered = materialize(vocab.select(
+        # the distinct values are already written and counted: numbering them again per use is one
+        # small single-partition window over at most max_single rows, cheaper than another write
+        numbered = vocab.select(
             (F.row_number().over(Window.orderBy(F.col(col).asc_nulls_first())) + (start - 1)).cast("int").alias(id_col),
-            col))
+            col)
     else:
         numbered = assign_ids(vocab, [F.col(col).asc_nulls_first()], id_col, start)
         numbered = numbered.select(F.col(id_col).cast("int").alias(id_col), col)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from glossa.functions.scalars import normalize_iso
 from glossa.operators.dedup import first_wins
+from glossa.operators.dimensions import checked_dimension, maybe_broadcast
 from glossa.schemas import FALLBACK_ISO, FOREIGN_KEYS, PRIMARY_KEYS
 
 Tables = Mapping[str, DataFrame]
@@ -94,9 +95,14 @@ def delete_cascade(t: Tables, table: str, keys: DataFrame, check_restrict: bool
 
 
 def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
-    """I4: ON UPDATE CASCADE: ``mapping(old_key, new_key)`` rewrites the key and every child key."""
+    """I4: ON UPDATE CASCADE: ``mapping(old_key, new_key)`` rewrites the key and every child key.
+
+    The mapping is written once and counted; it is broadcast when small (the
+    usual dimension re-key), otherwise every rewrite is a shuffle join.
+    """
     pk = PRIMARY_KEYS[table][0]
-    m = mapping.select(F.col("old_key").alias("_old"), F.col("new_key").alias("_new"))
+    m, n = checked_dimension(mapping.select(F.col("old_key").alias("_old"), F.col("new_key").alias("_new")))
+    m = maybe_broadcast(m, n)
     out = dict(t)
 
     def apply(df: DataFrame, col: str) -> DataFrame:

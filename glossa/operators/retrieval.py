@@ -69,7 +69,7 @@ def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None
 
     candidates = scope.select("vector_id", "unit_id", "embedding").mapInPandas(score, HIT_SCHEMA)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vector_id"))
-    return (candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    return (candidates.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k))
 
 
 def centroid_queries(vectors: DataFrame, group_col: str) -> DataFrame:

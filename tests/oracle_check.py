@@ -40,6 +40,21 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_types(df):
+    out = {}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t.startswith("decimal"):
+            t = t.upper().replace("DECIMAL", "DECIMAL")
+        out[f.name] = SPARK_TO_DUCK.get(t, t.upper())
+    return out
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -60,9 +75,15 @@ def compare(spark, sf_dir, names=None, verbose=True):
         t1 = time.time()
         entry = {"rows": len(rows), "sec": round(t1 - t0, 2)}
         if name in sqls:
+            rel = con.sql(sqls[name])
+            otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
             cur = con.execute(sqls[name])
             ocols = [d[0] for d in cur.description]
             orows = cur.fetchall()
+            st = spark_types(df)
+            type_diff = {c: (st.get(c), otypes.get(c)) for c in set(st) | set(otypes) if st.get(c) != otypes.get(c)}
+            if type_diff:
+                entry["type_diff"] = type_diff
             entry.update(oracle_rows=len(orows), cols_match=sorted(cols) == sorted(ocols),
                          hash_match=digest(cols, rows) == digest(ocols, orows))
             if sorted(cols) != sorted(ocols):
