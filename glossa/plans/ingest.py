@@ -8,13 +8,15 @@ assets from the surviving rows only.
 
 Shuffles: one hash-keyed aggregation for the dedup, one range shuffle for
 the ids (written once to the checkpoint folder), and broadcast joins with
-the size-checked vocabularies.  Everything else is per-row.
+the size-checked vocabularies.  Everything else is per-row.  Each product
+is built on first use, so a caller that needs only the unpivoted rows does
+not pay for ids or vocabularies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,23 +43,16 @@ def _with_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df
 
 
+def _phrase_docs(phrases: DataFrame) -> DataFrame:
+    return drop_placeholders(_with_fields(phrases, PHRASE_FIELDS).select("doc_pos", "doc_id", *PHRASE_FIELDS),
+                             list(PHRASE_FIELDS))
+
+
 def _vocab_docs(vocabulary: DataFrame) -> DataFrame:
     return drop_placeholders(_with_fields(vocabulary, VOCAB_FIELDS).select("doc_pos", "doc_id", *VOCAB_FIELDS),
                              list(VOCAB_FIELDS))
 
 
-@dataclass
-class ContentBuild:
-    langs: DataFrame        # F1: one row per (document, language), before any skip
-    survivors: DataFrame    # E5: first row per content hash, no ids yet
-    units: DataFrame        # content_unit rows with ids (materialised)
-    registers: DataFrame    # E3 vocabulary register -> tone_id
-    themes: DataFrame       # E3 vocabulary theme -> context_id
-    tone_links: DataFrame
-    theme_links: DataFrame
-    media: DataFrame
-
-
 def register_vocabularies(frames: Sequence[DataFrame]) -> tuple[tuple[DataFrame, int], tuple[DataFrame, int]]:
     """D9 + E3 over all collections: (register -> tone_id), (theme -> context_id)."""
     regs = themes = None
@@ -68,62 +63,116 @@ def register_vocabularies(frames: Sequence[DataFrame]) -> tuple[tuple[DataFrame,
     return (enumerate_values(regs, "register", "tone_id"), enumerate_values(themes, "theme_id", "context_id"))
 
 
+class ContentBuild:
+    """Products of one phrase load, each built on first use (ids and vocabularies are written once)."""
+
+    def __init__(self, docs: DataFrame, vocab_docs: DataFrame | None = None,
+                 existing_units: DataFrame | None = None, import_date: str | None = None):
+        self.docs, self.vocab_docs = docs, vocab_docs
+        self.existing_units, self.import_date = existing_units, import_date
+
+    @cached_property
+    def langs(self) -> DataFrame:
+        """one row per (document, language), before any skip."""
+        return unpivot_langs(self.docs)
+
+    @cached_property
+    def survivors(self) -> DataFrame:
+        """B9 + G1 + E5: first row per content hash, no ids yet (when incremental: new hashes only, A4)."""
+        survivors = dedup_by_hash(self.langs.where(present("content_raw")), order=ORDER)
+        if self.existing_units is not None:
+            survivors = survivors.join(self.existing_units.select("content_hash"), "content_hash", "left_anti")
+        return survivors
+
+    @cached_property
+    def units(self) -> DataFrame:
+        """E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
+        start = 1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id")
+        ided = assign_ids(self.survivors, list(ORDER), "unit_id", start)
+        meta = json_object(source=F.lit("firebase"), import_date=load_stamp(self.import_date).cast("string"),
+                           original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
+        return ided.select(
+            "unit_id", "content_raw", F.lit("phrase").alias("content_type"), "content_hash",
+            F.col("level").alias("cefr_level"), strict_bool("idiom").alias("is_idiom"), "difficulty",
+            F.lit("firebase").alias("source_origin"), F.col("variant_id").cast("int").alias("variant_id"),
+            meta.alias("source_metadata_json"),
+            "doc_id", "doc_pos", "lang", "register", "theme_id", "audio_hint", "img_hint")
+
+    @cached_property
+    def _vocabularies(self):
+        frames = [self.docs] + ([self.vocab_docs] if self.vocab_docs is not None else [])
+        return register_vocabularies(frames)
+
+    @property
+    def registers(self) -> DataFrame:
+        """E3 vocabulary register -> tone_id."""
+        return self._vocabularies[0][0]
+
+    @property
+    def themes(self) -> DataFrame:
+        """E3 vocabulary theme -> context_id."""
+        return self._vocabularies[1][0]
+
+    @property
+    def tone_links(self) -> DataFrame:
+        (regs, n), _ = self._vocabularies
+        return build_links(self.units, "register", maybe_broadcast(regs, n), "register", "tone_id",
+                           "intensity_score")
+
+    @property
+    def theme_links(self) -> DataFrame:
+        _, (themes, n) = self._vocabularies
+        return build_links(self.units, "theme_id", maybe_broadcast(themes, n), "theme_id", "context_id",
+                           "relevance_score")
+
+    @property
+    def media(self) -> DataFrame:
+        return media_rows(self.units)
+
+
 def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, existing_units: DataFrame | None = None,
                   import_date: str | None = None) -> ContentBuild:
     """Phrase documents (flat columns, see ``flatten_phrases``) -> units, links and media.
 
     With ``existing_units`` the load is incremental (A4 + E8): hashes already
-    stored are skipped and ids continue after the stored maximum.
+    stored are skipped and ids continue after the stored maximum.  The
+    register/theme vocabularies span both collections.
     """
-    docs = drop_placeholders(_with_fields(phrases, PHRASE_FIELDS).select("doc_pos", "doc_id", *PHRASE_FIELDS),
-                             list(PHRASE_FIELDS))
-    langs = unpivot_langs(docs)
-    kept = langs.where(present("content_raw"))
-    survivors = dedup_by_hash(kept, order=ORDER)
-    start = 1
-    if existing_units is not None:
-        survivors = survivors.join(existing_units.select("content_hash"), "content_hash", "left_anti")
-        start = next_start_value(existing_units, "unit_id")
-    ided = assign_ids(survivors, list(ORDER), "unit_id", start)
-    meta = json_object(source=F.lit("firebase"), import_date=load_stamp(import_date).cast("string"),
-                       original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
-    units = ided.select(
-        "unit_id", "content_raw", F.lit("phrase").alias("content_type"), "content_hash",
-        F.col("level").alias("cefr_level"), strict_bool("idiom").alias("is_idiom"), "difficulty",
-        F.lit("firebase").alias("source_origin"), F.col("variant_id").cast("int").alias("variant_id"),
-        meta.alias("source_metadata_json"),
-        "doc_id", "doc_pos", "lang", "register", "theme_id", "audio_hint", "img_hint")
-    frames = [docs] + ([_vocab_docs(vocabulary)] if vocabulary is not None else [])
-    (registers, n_reg), (themes, n_theme) = register_vocabularies(frames)
-    tone_links = build_links(units, "register", maybe_broadcast(registers, n_reg), "register", "tone_id",
-                             "intensity_score")
-    theme_links = build_links(units, "theme_id", maybe_broadcast(themes, n_theme), "theme_id", "context_id",
-                              "relevance_score")
-    return ContentBuild(langs=langs, survivors=survivors, units=units, registers=registers, themes=themes,
-                        tone_links=tone_links, theme_links=theme_links, media=media_rows(units))
-
-
-@dataclass
+    vocab_docs = _vocab_docs(vocabulary) if vocabulary is not None else None
+    return ContentBuild(_phrase_docs(phrases), vocab_docs, existing_units, import_date)
+
+
 class LexiconBuild:
-    langs: DataFrame
-    lemmas: DataFrame
-    forms: DataFrame
+    """Products of one vocabulary load, built on first use."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs.withColumn("_interference", json_object(standard_translation_EN=F.col("text_en"),
+                                                                 standard_translation_IT=F.col("text_it"),
+                                                                 note_culturale=F.col("note_culturale")))
+
+    @cached_property
+    def langs(self) -> DataFrame:
+        return unpivot_langs(self.docs, extra_prefixes=("syn_",))
+
+    @cached_property
+    def lemmas(self) -> DataFrame:
+        """E6 fold dedup, E4 ids, G13 part of speech, G20 interference object for Italian rows."""
+        firsts = dedup_by_fold(self.langs.where(present("content_raw")), order=ORDER)
+        ided = assign_ids(firsts, list(ORDER), "lemma_id")
+        return ided.select(
+            "lemma_id", F.col("content_raw").alias("text_root"),
+            map_or_keep("pos", POS_MAP).alias("grammatical_category"),
+            F.lit(None).cast("int").alias("frequency_rank"),
+            F.when(F.col("lang") == "it", F.col("_interference")).alias("interference_json"),
+            F.col("variant_id").cast("int").alias("variant_id"),
+            "doc_id", "doc_pos", "syn")
+
+    @property
+    def forms(self) -> DataFrame:
+        """synonym surface forms of the surviving lemmas."""
+        return synonym_forms(self.lemmas)
 
 
 def build_lexicon(vocabulary: DataFrame) -> LexiconBuild:
-    """Vocabulary documents -> lemmas (E6 fold dedup, E4 ids, G13, G20) and synonym forms."""
-    docs = _vocab_docs(vocabulary).withColumn("_interference", json_object(standard_translation_EN=F.col("text_en"),
-                                                        standard_translation_IT=F.col("text_it"),
-                                                        note_culturale=F.col("note_culturale")))
-    langs = unpivot_langs(docs, extra_prefixes=("syn_",))
-    kept = langs.where(present("content_raw"))
-    firsts = dedup_by_fold(kept, order=ORDER)
-    ided = assign_ids(firsts, list(ORDER), "lemma_id")
-    lemmas = ided.select(
-        "lemma_id", F.col("content_raw").alias("text_root"),
-        map_or_keep("pos", POS_MAP).alias("grammatical_category"),
-        F.lit(None).cast("int").alias("frequency_rank"),
-        F.when(F.col("lang") == "it", F.col("_interference")).alias("interference_json"),
-        F.col("variant_id").cast("int").alias("variant_id"),
-        "doc_id", "doc_pos", "syn")
-    return LexiconBuild(langs=langs, lemmas=lemmas, forms=synonym_forms(lemmas))
+    """Vocabulary documents -> lemmas and synonym forms."""
+    return LexiconBuild(_vocab_docs(vocabulary))
