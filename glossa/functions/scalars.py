@@ -122,6 +122,11 @@ def load_stamp(date: str | None = None) -> Column:
 
 # --- predicates -------------------------------------------------------------
 
+def has_member(array_col, value) -> Column:
+    """``value = ANY(array)`` (NULL when the array is NULL)."""
+    return F.array_contains(_c(array_col), value)
+
+
 def present(c) -> Column:
     """Neither NULL nor the empty string (whitespace-only text is kept)."""
     return _c(c).isNotNull() & (_c(c) != F.lit(""))

@@ -71,6 +71,18 @@ def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ") -> Da
                    .orderBy("text_root"))
 
 
+def ordered_string_agg(value, order, sep: str = ", "):
+    """``STRING_AGG(value, sep ORDER BY order)`` as an aggregate Column (NULL values skipped).
+
+    Meant for small groups (key columns of a table, tags of one unit): the
+    group's values are collected before they are joined.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    o = F.col(order) if isinstance(order, str) else order
+    items = F.array_sort(F.collect_list(F.when(v.isNotNull(), F.struct(o.alias("o"), v.alias("v")))))
+    return F.array_join(F.transform(items, lambda e: e["v"]), sep)
+
+
 def vocabulary(frames: Sequence[DataFrame], col: str) -> DataFrame:
     """Distinct non-empty values of ``col`` over several frames, sorted (binary order)."""
     values = None

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from glossa.functions.scalars import normalize_iso
 from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import checked_dimension, maybe_broadcast
-from glossa.schemas import FALLBACK_ISO, FOREIGN_KEYS, PRIMARY_KEYS
+from glossa.schemas import DEFAULTS, FALLBACK_ISO, FOREIGN_KEYS, PRIMARY_KEYS, TABLES
 
 Tables = Mapping[str, DataFrame]
 
@@ -117,6 +117,21 @@ def rekey(t: Tables, table: str, mapping: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def with_defaults(df: DataFrame, table: str) -> DataFrame:
+    """Write-time column defaults: an absent column takes its declared default (or NULL).
+
+    A column that is present keeps its values, NULLs included (an explicit
+    NULL is not replaced by the default).  Output follows the declared order.
+    """
+    cols = []
+    for f in TABLES[table].fields:
+        if f.name in df.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(DEFAULTS.get((table, f.name))).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def backfill(df: DataFrame, col: str, value) -> DataFrame:
     """NULLs of ``col`` take ``value``."""
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(value).cast(df.schema[col].dataType)))

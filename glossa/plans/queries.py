@@ -151,6 +151,11 @@ def d11_feedback_by_cycle(spark, root):
     return agg.feedback_by_cycle(bound(spark, root).correction_feedback_log)
 
 
+def d11_feedback_by_source(spark, root):
+    log = maintain.with_defaults(bound(spark, root).correction_feedback_log, "correction_feedback_log")
+    return agg.feedback_by_cycle(log, with_source=True)
+
+
 def d12_vector_progress(spark, root):
     return agg.vector_progress(bound(spark, root).vector_index)
 
@@ -326,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "c11_with_parent": c11_with_parent,
     "c12_variant_roots": c12_variant_roots,
     "d11_feedback_by_cycle": d11_feedback_by_cycle,
+    "d11_feedback_by_source": d11_feedback_by_source,
     "d12_vector_progress": d12_vector_progress,
     "c14_feedback_orphans": c14_feedback_orphans,
     "c6_not_in_null_right": c6_not_in_null_right,

@@ -93,3 +93,17 @@ def test_pivot_pairs_keep_missing_legs(spark):
                                   "unit_id long, doc_id string, variant_id int, content_raw string")
     got = sorted(tuple(r) for r in joins.pivot_pairs(units, 1, 3, 2).collect())
     assert got == [("a", 1, "ciao", 2, "hi", None, None), ("b", 3, "sì", None, None, None, None)]
+
+
+def test_ordered_string_agg(spark):
+    df = spark.createDataFrame([("t", "b", 2), ("t", "a", 1), ("t", None, 3), ("u", "z", 1)],
+                               "k string, col string, pos int")
+    got = {r.k: r.s for r in df.groupBy("k").agg(agg.ordered_string_agg("col", "pos", ", ").alias("s")).collect()}
+    assert got == {"t": "a, b", "u": "z"}
+
+
+def test_with_defaults(spark):
+    from glossa.operators.maintain import with_defaults
+    log = spark.createDataFrame([(1, None)], "log_id long, training_cycle int")
+    r = with_defaults(log, "correction_feedback_log").first()
+    assert r.feedback_source == "database_out" and r.training_cycle is None and r.model_id is None

@@ -57,3 +57,8 @@ def test_json_object_keeps_nulls(spark):
 def test_not_admin_three_valued(spark):
     out = one(spark, S.not_admin("v"), [("admin",), ("student",), (None,)])
     assert out == [False, True, None]
+
+
+def test_has_member(spark):
+    out = one(spark, S.has_member("v", "b"), [(["a", "b"],), (["a"],), (None,)], "v array<string>")
+    assert out == [True, False, None]
