@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.operators.dimensions import MAX_BROADCAST_ROWS, checked_dimension, materialize, maybe_broadcast
-from glossa.session import shuffle_partitions
 
 
 def _cols(cols) -> list[Column]:
@@ -29,8 +28,10 @@ def assign_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id", start: i
     ``order_cols`` must be a total order (unique), or ids of ties are arbitrary.
     """
     order = _cols(order_cols)
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *order)
+    # without an explicit count the range shuffle starts at spark.sql.shuffle.partitions and AQE may merge
+    # neighbouring ranges; merged ranges stay contiguous, so the position tags remain a total order
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
