@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import POS_MAP, json_object, load_stamp, map_or_keep, present, strict_bool
+from glossa.functions.scalars import POS_MAP, fold, json_object, load_stamp, map_or_keep, present, strict_bool
 from glossa.operators.dedup import dedup_by_fold, dedup_by_hash
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import assign_ids, enumerate_values, next_start_value
@@ -67,9 +67,12 @@ class ContentBuild:
     """Products of one phrase load, each built on first use (ids and vocabularies are written once)."""
 
     def __init__(self, docs: DataFrame, vocab_docs: DataFrame | None = None,
-                 existing_units: DataFrame | None = None, import_date: str | None = None):
+                 existing_units: DataFrame | None = None, import_date: str | None = None,
+                 vocabularies: tuple[tuple[DataFrame, int], tuple[DataFrame, int]] | None = None):
         self.docs, self.vocab_docs = docs, vocab_docs
         self.existing_units, self.import_date = existing_units, import_date
+        if vocabularies is not None:  # fixed (register -> tone_id), (theme -> context_id) from a stored load
+            self._vocabularies = vocabularies
 
     @cached_property
     def langs(self) -> DataFrame:
@@ -131,7 +134,7 @@ class ContentBuild:
 
 
 def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, existing_units: DataFrame | None = None,
-                  import_date: str | None = None) -> ContentBuild:
+                  import_date: str | None = None, vocabularies=None) -> ContentBuild:
     """Phrase documents (flat columns, see ``flatten_phrases``) -> units, links and media.
 
     With ``existing_units`` the load is incremental (A4 + E8): hashes already
@@ -139,13 +142,14 @@ def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, exist
     register/theme vocabularies span both collections.
     """
     vocab_docs = _vocab_docs(vocabulary) if vocabulary is not None else None
-    return ContentBuild(_phrase_docs(phrases), vocab_docs, existing_units, import_date)
+    return ContentBuild(_phrase_docs(phrases), vocab_docs, existing_units, import_date, vocabularies)
 
 
 class LexiconBuild:
     """Products of one vocabulary load, built on first use."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, existing_lemmas: DataFrame | None = None):
+        self.existing_lemmas = existing_lemmas
         self.docs = docs.withColumn("_interference", json_object(standard_translation_EN=F.col("text_en"),
                                                                  standard_translation_IT=F.col("text_it"),
                                                                  note_culturale=F.col("note_culturale")))
@@ -158,7 +162,13 @@ class LexiconBuild:
     def lemmas(self) -> DataFrame:
         """E6 fold dedup, E4 ids, G13 part of speech, G20 interference object for Italian rows."""
         firsts = dedup_by_fold(self.langs.where(present("content_raw")), order=ORDER)
-        ided = assign_ids(firsts, list(ORDER), "lemma_id")
+        start = 1
+        if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
+            stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), F.col("variant_id").alias("_vid"))
+            firsts = firsts.join(stored, (fold("content_raw") == F.col("_fold"))
+                                 & (F.col("variant_id") == F.col("_vid")), "left_anti")
+            start = next_start_value(self.existing_lemmas, "lemma_id")
+        ided = assign_ids(firsts, list(ORDER), "lemma_id", start)
         return ided.select(
             "lemma_id", F.col("content_raw").alias("text_root"),
             map_or_keep("pos", POS_MAP).alias("grammatical_category"),
@@ -173,6 +183,6 @@ class LexiconBuild:
         return synonym_forms(self.lemmas)
 
 
-def build_lexicon(vocabulary: DataFrame) -> LexiconBuild:
-    """Vocabulary documents -> lemmas and synonym forms."""
-    return LexiconBuild(_vocab_docs(vocabulary))
+def build_lexicon(vocabulary: DataFrame, existing_lemmas: DataFrame | None = None) -> LexiconBuild:
+    """Vocabulary documents -> lemmas and synonym forms (incremental against ``existing_lemmas``)."""
+    return LexiconBuild(_vocab_docs(vocabulary), existing_lemmas)
