@@ -183,13 +183,14 @@ class Corpus:
 
     @property
     def syntax_documents(self) -> DataFrame:
-        """Conversations bound as syntax-tree documents (JSON text).
+        """Conversations bound as syntax-tree documents (JSON text): one dependency per turn, with the
+        whole turn text as its word, the role as relation and the previous turn as head.
 
         Turns are packed ``DEPS_PER_DOCUMENT`` at a time, so no document (and
         no aggregation group) grows with the length of one conversation.
         """
         c = self.raw("conversations")
-        dep = F.struct(F.col("turn").cast("int").alias("id"), F.substring("text", 1, 20).alias("word"),
+        dep = F.struct(F.col("turn").cast("int").alias("id"), F.col("text").alias("word"),
                        F.col("role").alias("rel"), (F.col("turn") - 1).cast("int").alias("head"))
         chunk = F.floor(F.col("turn") / DEPS_PER_DOCUMENT)
         grouped = c.groupBy(F.col("conv_id").alias("unit_id"), chunk.alias("chunk")).agg(
