@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import MAX_BROADCAST_ROWS, checked_dimension, materialize, maybe_broadcast
 
 
@@ -48,6 +49,27 @@ def assign_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id", start: i
                   .drop("_pid", "_pos", "_offset"))
 
 
+def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], id_col: str,
+                        start: int | Column = 1, exclude: DataFrame | None = None) -> DataFrame:
+    """E5/E6 + E4: first row per key, numbered densely in ``order_cols`` order.
+
+    Two aggregations over the same input: a narrow one (key and order
+    columns only) feeds the id pass, so only narrow rows are range-shuffled
+    and written to the checkpoint folder; the full one carries the wide
+    columns (texts) through a single shuffle.  Its output is already
+    partitioned by the key, so joining the ids back shuffles only the narrow
+    side.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
+    """
+    keys, order = list(key_cols), list(order_cols)
+    narrow = first_wins(df.select(*keys, *[c for c in order if c not in keys]), keys, order)
+    full = first_wins(df, keys, order)
+    if exclude is not None:
+        narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
+        full = full.join(exclude.select(*keys), keys, "left_anti")
+    ids = assign_ids(narrow, order, id_col, start).select(*keys, id_col)
+    return full.join(ids, keys)
+
+
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,
                      max_single: int = MAX_BROADCAST_ROWS, drop_blank: bool = True) -> tuple[DataFrame, int]:
     """Distinct values of ``col`` numbered ``start..`` in binary order.

@@ -21,10 +21,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import POS_MAP, fold, json_object, load_stamp, map_or_keep, present, strict_bool
-from glossa.operators.dedup import dedup_by_fold, dedup_by_hash
+from glossa.functions.scalars import (POS_MAP, content_hash, fold, json_object, load_stamp, map_or_keep, present,
+                                     strict_bool)
+from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import maybe_broadcast
-from glossa.operators.keys import assign_ids, enumerate_values, next_start_value
+from glossa.operators.keys import enumerate_values, first_wins_with_ids, next_start_value
 from glossa.operators.reshape import build_links, media_rows, synonym_forms, unpivot_langs
 from glossa.sources.documents import drop_placeholders
 
@@ -79,19 +80,30 @@ class ContentBuild:
         """one row per (document, language), before any skip."""
         return unpivot_langs(self.docs)
 
+    @cached_property
+    def _candidates(self) -> DataFrame:
+        """B9 + G1: rows with text, hashed."""
+        return self.langs.where(present("content_raw")).withColumn("content_hash",
+                                                                   content_hash("content_raw", "variant_id"))
+
+    @property
+    def _stored_hashes(self) -> DataFrame | None:
+        return None if self.existing_units is None else self.existing_units.select("content_hash")
+
     @cached_property
     def survivors(self) -> DataFrame:
-        """B9 + G1 + E5: first row per content hash, no ids yet (when incremental: new hashes only, A4)."""
-        survivors = dedup_by_hash(self.langs.where(present("content_raw")), order=ORDER)
+        """E5: first row per content hash, no ids yet (when incremental: new hashes only, A4)."""
+        survivors = first_wins(self._candidates, ["content_hash"], ORDER)
         if self.existing_units is not None:
-            survivors = survivors.join(self.existing_units.select("content_hash"), "content_hash", "left_anti")
+            survivors = survivors.join(self._stored_hashes, "content_hash", "left_anti")
         return survivors
 
     @cached_property
     def units(self) -> DataFrame:
-        """E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
+        """E5 + E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
         start = 1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id")
-        ided = assign_ids(self.survivors, list(ORDER), "unit_id", start)
+        ided = first_wins_with_ids(self._candidates, ["content_hash"], ORDER, "unit_id", start,
+                                   exclude=self._stored_hashes)
         meta = json_object(source=F.lit("firebase"), import_date=load_stamp(self.import_date).cast("string"),
                            original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
         return ided.select(
@@ -161,14 +173,12 @@ class LexiconBuild:
     @cached_property
     def lemmas(self) -> DataFrame:
         """E6 fold dedup, E4 ids, G13 part of speech, G20 interference object for Italian rows."""
-        firsts = dedup_by_fold(self.langs.where(present("content_raw")), order=ORDER)
-        start = 1
+        kept = self.langs.where(present("content_raw")).withColumn("_fold", fold("content_raw"))
+        start, stored = 1, None
         if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
-            stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), F.col("variant_id").alias("_vid"))
-            firsts = firsts.join(stored, (fold("content_raw") == F.col("_fold"))
-                                 & (F.col("variant_id") == F.col("_vid")), "left_anti")
+            stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), "variant_id")
             start = next_start_value(self.existing_lemmas, "lemma_id")
-        ided = assign_ids(firsts, list(ORDER), "lemma_id", start)
+        ided = first_wins_with_ids(kept, ["_fold", "variant_id"], ORDER, "lemma_id", start, exclude=stored)
         return ided.select(
             "lemma_id", F.col("content_raw").alias("text_root"),
             map_or_keep("pos", POS_MAP).alias("grammatical_category"),
