@@ -59,6 +59,7 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     columns (texts) through a single shuffle.  Its output is already
     partitioned by the key, so joining the ids back shuffles only the narrow
     side.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
+    Returns (rows with ids, the narrow key -> id frame read from the checkpoint folder).
     """
     keys, order = list(key_cols), list(order_cols)
     narrow = first_wins(df.select(*keys, *[c for c in order if c not in keys]), keys, order)
@@ -67,7 +68,7 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
         narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
         full = full.join(exclude.select(*keys), keys, "left_anti")
     ids = assign_ids(narrow, order, id_col, start).select(*keys, id_col)
-    return full.join(ids, keys)
+    return full.join(ids, keys), ids
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,

@@ -69,9 +69,11 @@ class ContentBuild:
 
     def __init__(self, docs: DataFrame, vocab_docs: DataFrame | None = None,
                  existing_units: DataFrame | None = None, import_date: str | None = None,
-                 vocabularies: tuple[tuple[DataFrame, int], tuple[DataFrame, int]] | None = None):
+                 vocabularies: tuple[tuple[DataFrame, int], tuple[DataFrame, int]] | None = None,
+                 start: int | None = None):
         self.docs, self.vocab_docs = docs, vocab_docs
         self.existing_units, self.import_date = existing_units, import_date
+        self.start = start  # first id to give; default: 1, or after the maximum of existing_units
         if vocabularies is not None:  # fixed (register -> tone_id), (theme -> context_id) from a stored load
             self._vocabularies = vocabularies
 
@@ -101,9 +103,9 @@ class ContentBuild:
     @cached_property
     def units(self) -> DataFrame:
         """E5 + E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
-        start = 1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id")
-        ided = first_wins_with_ids(self._candidates, ["content_hash"], ORDER, "unit_id", start,
-                                   exclude=self._stored_hashes)
+        start = self.start or (1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id"))
+        ided, self.unit_ids = first_wins_with_ids(self._candidates, ["content_hash"], ORDER, "unit_id", start,
+                                                  exclude=self._stored_hashes)
         meta = json_object(source=F.lit("firebase"), import_date=load_stamp(self.import_date).cast("string"),
                            original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
         return ided.select(
@@ -146,7 +148,7 @@ class ContentBuild:
 
 
 def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, existing_units: DataFrame | None = None,
-                  import_date: str | None = None, vocabularies=None) -> ContentBuild:
+                  import_date: str | None = None, vocabularies=None, start: int | None = None) -> ContentBuild:
     """Phrase documents (flat columns, see ``flatten_phrases``) -> units, links and media.
 
     With ``existing_units`` the load is incremental (A4 + E8): hashes already
@@ -154,7 +156,7 @@ def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, exist
     register/theme vocabularies span both collections.
     """
     vocab_docs = _vocab_docs(vocabulary) if vocabulary is not None else None
-    return ContentBuild(_phrase_docs(phrases), vocab_docs, existing_units, import_date, vocabularies)
+    return ContentBuild(_phrase_docs(phrases), vocab_docs, existing_units, import_date, vocabularies, start)
 
 
 class LexiconBuild:
@@ -178,7 +180,8 @@ class LexiconBuild:
         if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
             stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), "variant_id")
             start = next_start_value(self.existing_lemmas, "lemma_id")
-        ided = first_wins_with_ids(kept, ["_fold", "variant_id"], ORDER, "lemma_id", start, exclude=stored)
+        ided, self.lemma_ids = first_wins_with_ids(kept, ["_fold", "variant_id"], ORDER, "lemma_id", start,
+                                                   exclude=stored)
         return ided.select(
             "lemma_id", F.col("content_raw").alias("text_root"),
             map_or_keep("pos", POS_MAP).alias("grammatical_category"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,20 +56,69 @@ def run_available(df: DataFrame, folder: str, mode: str = "append", batch_fn=Non
     return q
 
 
-def ingest_stream(docs: DataFrame, target: str) -> callable:
-    """K1: the ``foreachBatch`` function that appends each batch's new units to ``target/content_unit``."""
+def hash_bucket(col: str = "content_hash", n_buckets: int = 16) -> Column:
+    """Bucket of a hex hash: its leading 64 bits modulo ``n_buckets`` (letter-prefixed, so the
+    partition values always read back as text)."""
+    lead = F.conv(F.substring(col, 1, 15), 16, 10).cast("long")
+    return F.concat(F.lit("b"), F.pmod(lead, F.lit(n_buckets)).cast("string"))
+
+
+def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    try:
+        r = spark.read.schema(schema) if schema else spark.read
+        df = r.parquet(path)
+        df.schema  # noqa: B018 - resolve now so a missing folder raises here
+        return df
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
+
+
+def ingest_stream(docs: DataFrame, target: str, n_buckets: int = 16) -> callable:
+    """K1: the ``foreachBatch`` function that appends each batch's new units to ``target/content_unit``.
+
+    Work per micro-batch is proportional to the batch, not to the stored table:
+
+    * stored units are partitioned by ``n_buckets`` hash buckets; the
+      insert-if-absent anti-join reads only the buckets the batch's hashes fall
+      into (partition pruning; the bucket list has at most ``n_buckets`` values);
+    * the id high-water mark lives in ``target/_progress`` (one row per committed
+      epoch), so no pass over all stored ids is needed.
+
+    Replays are idempotent: a committed epoch is skipped; an epoch whose units were
+    written before a crash finds its hashes stored (nothing is appended twice) and
+    records their maximum id, so later epochs never reuse an id.
+    """
+    units_path, progress_path = f"{target}/content_unit", f"{target}/_progress"
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        path = f"{target}/content_unit"
-        try:
-            existing = spark.read.parquet(path)
-        except Exception as exc:  # first batch: nothing stored yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            existing = None
-        built = build_content(batch, existing_units=existing)
-        built.units.select(*UNIT_COLUMNS).write.mode("append").parquet(path)
+        progress = _read_or_none(spark, progress_path, "epoch long, max_unit_id long")
+        prev_max = 0
+        if progress is not None:
+            if progress.where(F.col("epoch") == epoch_id).limit(1).count() > 0:
+                return  # this epoch was committed by an earlier attempt
+            prev_max = progress.agg(F.max("max_unit_id").alias("m")).first()["m"] or 0
+        built = build_content(batch, start=prev_max + 1)
+        buckets = [r[0] for r in built._candidates.select(hash_bucket(n_buckets=n_buckets).alias("b"))
+                   .distinct().collect()]
+        stored = _read_or_none(spark, units_path)
+        seen = None
+        if stored is not None and buckets:
+            seen = stored.where(F.col("hash_bucket").isin(buckets)).select("content_hash", "unit_id")
+            built = build_content(batch, existing_units=seen, start=prev_max + 1)
+        new_units = built.units.select(*UNIT_COLUMNS).withColumn("hash_bucket", hash_bucket(n_buckets=n_buckets))
+        # one task per bucket: each batch adds at most one file per bucket
+        new_units.repartition("hash_bucket").write.mode("append").partitionBy("hash_bucket").parquet(units_path)
+        n_new = built.unit_ids.count()  # ids are dense from prev_max + 1 (narrow frame, already written)
+        new_max = prev_max + n_new
+        if seen is not None:  # ids written by a crashed attempt of this same epoch
+            hashes = built._candidates.select("content_hash").distinct()
+            again = seen.join(hashes, "content_hash", "left_semi").agg(F.max("unit_id").alias("m")).first()["m"]
+            new_max = max(new_max, again or 0)
+        spark.createDataFrame([(epoch_id, max(prev_max, new_max))], "epoch long, max_unit_id long") \
+            .write.mode("append").parquet(progress_path)
 
     return load
 

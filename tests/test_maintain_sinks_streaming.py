@@ -122,3 +122,18 @@ def test_stream_ingest_replay_appends_nothing(spark, tmp_dir):
     units = spark.read.parquet(f"{target}/content_unit")
     assert sorted((r.unit_id, r.content_raw, r.variant_id) for r in units.collect()) == \
         [(1, "x", 1), (2, "y", 2), (3, "z", 3)]
+
+
+def test_stream_ingest_epochs_continue_ids_and_skip_committed(spark, tmp_dir):
+    schema = "doc_pos long, doc_id string, text_it string, text_fi string, text_en string"
+    a = spark.createDataFrame([(1, "a", "x", "y", None)], schema)
+    ab = spark.createDataFrame([(1, "a", "x", "y", None), (2, "b", "z", None, None)], schema)
+    target = f"{tmp_dir}/t"
+    load = flows.ingest_stream(a, target)
+    load(a, 0)
+    load(ab, 1)
+    load(ab, 1)  # replay of a committed epoch: nothing happens
+    units = sorted((r.unit_id, r.content_raw) for r in spark.read.parquet(f"{target}/content_unit").collect())
+    assert units == [(1, "x"), (2, "y"), (3, "z")]
+    progress = sorted(tuple(r) for r in spark.read.parquet(f"{target}/_progress").collect())
+    assert progress == [(0, 2), (1, 3)]
