@@ -50,25 +50,30 @@ def assign_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id", start: i
 
 
 def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], id_col: str,
-                        start: int | Column = 1, exclude: DataFrame | None = None) -> DataFrame:
+                        start: int | Column = 1, exclude: DataFrame | None = None,
+                        carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """E5/E6 + E4: first row per key, numbered densely in ``order_cols`` order.
 
-    Two aggregations over the same input: a narrow one (key and order
-    columns only) feeds the id pass, so only narrow rows are range-shuffled
-    and written to the checkpoint folder; the full one carries the wide
-    columns (texts) through a single shuffle.  Its output is already
+    Two aggregations over the same input: a narrow one (key, order and the
+    small ``carry`` columns) feeds the id pass, so only narrow rows are
+    range-shuffled and written to the checkpoint folder; the full one carries
+    the wide columns (texts) through a single shuffle.  Its output is already
     partitioned by the key, so joining the ids back shuffles only the narrow
     side.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
-    Returns (rows with ids, the narrow key -> id frame read from the checkpoint folder).
+
+    Returns (full rows with ids, the written narrow frame: key, order, carry,
+    id).  Consumers that need only the narrow columns (links, media) read the
+    second one and never touch the texts again.
     """
     keys, order = list(key_cols), list(order_cols)
-    narrow = first_wins(df.select(*keys, *[c for c in order if c not in keys]), keys, order)
+    narrow_cols = keys + [c for c in order + list(carry) if c not in keys]
+    narrow = first_wins(df.select(*narrow_cols), keys, order)
     full = first_wins(df, keys, order)
     if exclude is not None:
         narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
         full = full.join(exclude.select(*keys), keys, "left_anti")
-    ids = assign_ids(narrow, order, id_col, start).select(*keys, id_col)
-    return full.join(ids, keys), ids
+    ids = assign_ids(narrow, order, id_col, start)
+    return full.join(ids.select(*keys, id_col), keys), ids
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,

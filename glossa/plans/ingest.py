@@ -25,11 +25,13 @@ from glossa.functions.scalars import (POS_MAP, content_hash, fold, json_object,
                                      strict_bool)
 from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import maybe_broadcast
-from glossa.operators.keys import enumerate_values, first_wins_with_ids, next_start_value
+from glossa.operators.keys import assign_ids, enumerate_values, first_wins_with_ids, next_start_value
 from glossa.operators.reshape import build_links, media_rows, synonym_forms, unpivot_langs
 from glossa.sources.documents import drop_placeholders
 
 ORDER = ("doc_pos", "variant_id")
+# small unit attributes carried through the narrow id pass (links and media are built from them)
+UNIT_KEY_CARRY = ("doc_id", "register", "theme_id", "audio_hint", "img_hint")
 PHRASE_FIELDS = ("text_it", "text_fi", "text_en", "level", "idiom", "register", "theme_id", "difficulty",
                  "img_hint", "audio_hint", "note_culturale")
 VOCAB_FIELDS = ("text_it", "text_fi", "text_en", "syn_it", "syn_fi", "syn_en", "pos", "register", "theme_id",
@@ -101,14 +103,22 @@ class ContentBuild:
         return survivors
 
     @cached_property
+    def _ided(self) -> tuple[DataFrame, DataFrame]:
+        start = self.start or (1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id"))
+        return first_wins_with_ids(self._candidates, ["content_hash"], ORDER, "unit_id", start,
+                                   exclude=self._stored_hashes, carry=UNIT_KEY_CARRY)
+
+    @property
+    def unit_keys(self) -> DataFrame:
+        """The written narrow frame: content_hash, unit_id and the link/media attributes (no text)."""
+        return self._ided[1]
+
+    @property
     def units(self) -> DataFrame:
         """E5 + E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
-        start = self.start or (1 if self.existing_units is None else next_start_value(self.existing_units, "unit_id"))
-        ided, self.unit_ids = first_wins_with_ids(self._candidates, ["content_hash"], ORDER, "unit_id", start,
-                                                  exclude=self._stored_hashes)
         meta = json_object(source=F.lit("firebase"), import_date=load_stamp(self.import_date).cast("string"),
                            original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
-        return ided.select(
+        return self._ided[0].select(
             "unit_id", "content_raw", F.lit("phrase").alias("content_type"), "content_hash",
             F.col("level").alias("cefr_level"), strict_bool("idiom").alias("is_idiom"), "difficulty",
             F.lit("firebase").alias("source_origin"), F.col("variant_id").cast("int").alias("variant_id"),
@@ -133,18 +143,18 @@ class ContentBuild:
     @property
     def tone_links(self) -> DataFrame:
         (regs, n), _ = self._vocabularies
-        return build_links(self.units, "register", maybe_broadcast(regs, n), "register", "tone_id",
+        return build_links(self.unit_keys, "register", maybe_broadcast(regs, n), "register", "tone_id",
                            "intensity_score")
 
     @property
     def theme_links(self) -> DataFrame:
         _, (themes, n) = self._vocabularies
-        return build_links(self.units, "theme_id", maybe_broadcast(themes, n), "theme_id", "context_id",
+        return build_links(self.unit_keys, "theme_id", maybe_broadcast(themes, n), "theme_id", "context_id",
                            "relevance_score")
 
     @property
     def media(self) -> DataFrame:
-        return media_rows(self.units)
+        return media_rows(self.unit_keys)
 
 
 def build_content(phrases: DataFrame, vocabulary: DataFrame | None = None, existing_units: DataFrame | None = None,
@@ -175,13 +185,15 @@ class LexiconBuild:
     @cached_property
     def lemmas(self) -> DataFrame:
         """E6 fold dedup, E4 ids, G13 part of speech, G20 interference object for Italian rows."""
-        kept = self.langs.where(present("content_raw")).withColumn("_fold", fold("content_raw"))
-        start, stored = 1, None
+        kept = self.langs.where(present("content_raw"))
+        firsts = first_wins(kept, [fold("content_raw").alias("_fold"), "variant_id"], ORDER)
+        start = 1
         if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
             stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), "variant_id")
+            firsts = firsts.join(stored, ["_fold", "variant_id"], "left_anti")
             start = next_start_value(self.existing_lemmas, "lemma_id")
-        ided, self.lemma_ids = first_wins_with_ids(kept, ["_fold", "variant_id"], ORDER, "lemma_id", start,
-                                                   exclude=stored)
+        # lemma rows are short (a word and its synonyms): the whole winning row goes through the id pass once
+        ided = assign_ids(firsts, list(ORDER), "lemma_id", start)
         return ided.select(
             "lemma_id", F.col("content_raw").alias("text_root"),
             map_or_keep("pos", POS_MAP).alias("grammatical_category"),

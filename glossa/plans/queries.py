@@ -87,7 +87,7 @@ def e5_dedup_by_hash(spark, root):
 
 
 def e4_assign_ids(spark, root):
-    return content(spark, root).units.select("unit_id", "doc_id", "variant_id", "content_hash")
+    return content(spark, root).unit_keys.select("unit_id", "doc_id", "variant_id", "content_hash")
 
 
 def e6_dedup_by_fold(spark, root):

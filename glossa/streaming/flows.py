@@ -111,7 +111,7 @@ def ingest_stream(docs: DataFrame, target: str, n_buckets: int = 16) -> callable
         new_units = built.units.select(*UNIT_COLUMNS).withColumn("hash_bucket", hash_bucket(n_buckets=n_buckets))
         # one task per bucket: each batch adds at most one file per bucket
         new_units.repartition("hash_bucket").write.mode("append").partitionBy("hash_bucket").parquet(units_path)
-        n_new = built.unit_ids.count()  # ids are dense from prev_max + 1 (narrow frame, already written)
+        n_new = built.unit_keys.count()  # ids are dense from prev_max + 1 (narrow frame, already written)
         new_max = prev_max + n_new
         if seen is not None:  # ids written by a crashed attempt of this same epoch
             hashes = built._candidates.select("content_hash").distinct()
