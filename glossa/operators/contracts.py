@@ -186,7 +186,11 @@ def pivot_parts(tables: Tables) -> Parts:
 
 
 def unit_columns_parts(tables: Tables) -> Parts:
-    return _columns_parts(tables, "J5", "content_unit", ("cefr_level", "is_idiom", "difficulty"))
+    """J5 (+ the lemma part of speech, whose documented values the loader does not enforce)."""
+    parts = _columns_parts(tables, "J5", "content_unit", ("cefr_level", "is_idiom", "difficulty"))
+    if "lemma" in tables and "grammatical_category" in tables["lemma"].columns:
+        parts += _columns_parts(tables, "J5", "lemma", ("grammatical_category",))
+    return parts
 
 
 def model_columns_parts(tables: Tables) -> Parts:

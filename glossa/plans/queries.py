@@ -263,6 +263,18 @@ def i4_rekey(spark, root):
     return maintain.rekey(t, "language_variant", mapping)["lemma"].select("lemma_id", "text_root", "variant_id")
 
 
+def i3_delete_set_null(spark, root):
+    c = bound(spark, root)
+    gone = c.ai_model_registry.where(F.col("model_name") == "Gemma").select("model_id")
+    return maintain.delete_set_null(c.vector_index.select("vector_id", "unit_id", "model_id", "vector_status"),
+                                    "model_id", gone, "model_id")
+
+
+def i7_prepare_variants(spark, root):
+    lv = bound(spark, root).language_variant
+    return maintain.prepare_variants(lv).select("variant_id", "iso_code", "variant_name")
+
+
 def i9_assign_variant(spark, root):
     c = bound(spark, root)
     docs = c.raw("documents").select("doc_id", F.col("lang").alias("iso_code"))
@@ -352,6 +364,8 @@ QUERIES: dict[str, Query] = {
     "i1_delete_cascade": i1_delete_cascade,
     "i2_restrict_violations": i2_restrict_violations,
     "i4_rekey": i4_rekey,
+    "i3_delete_set_null": i3_delete_set_null,
+    "i7_prepare_variants": i7_prepare_variants,
     "i9_assign_variant": i9_assign_variant,
     "k1_ingest_stream": k1_ingest_stream,
     "k2_feedback_stream": k2_feedback_stream,
