@@ -46,3 +46,26 @@ def test_ingestion_is_order_independent(spark):
     b = build_content(docs_from(part.orderBy("p_name").repartition(2))).units
     key = ["unit_id", "content_hash", "doc_id", "variant_id"]
     assert sorted(map(tuple, a.select(key).collect())) == sorted(map(tuple, b.select(key).collect()))
+
+
+def test_hot_key_first_wins_and_split_outer_join(spark):
+    from pyspark.sql import functions as F
+
+    from glossa.operators.context import outer_join_split
+    from glossa.operators.dedup import first_wins
+
+    n = 3000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        (n - F.col("id")).alias("pos"), F.col("id").alias("payload"))
+    win = {r.k: r.payload for r in first_wins(rows.repartition(6), ["k"], ["pos"]).collect()}
+    assert len(win) == 1 + (n - n // 3) and win["hot"] == 2997  # smallest pos among the hot rows
+
+    left = spark.range(10).select(F.col("id").alias("u"), (F.col("id") * 10).alias("v"))
+    right = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5 + 2)
+                                  .cast("long").alias("u"), F.col("id").alias("w"))
+    split = outer_join_split(left, right, "u")
+    plain = left.join(right, "u", "left")
+    key = ["u", "v", "w"]
+    assert sorted(map(tuple, split.select(key).collect()), key=str) == \
+        sorted(map(tuple, plain.select(key).collect()), key=str)
