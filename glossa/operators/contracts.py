@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from glossa.functions.scalars import content_hash, normalize_iso, valid_confidence
 from glossa.operators.context import policy_predicate
-from glossa.operators.joins import orphans
 from glossa.schemas import ALLOWED_VALUES, FALLBACK_ISO, FOREIGN_KEYS, JSON_COLUMNS, TABLE_NAMES, TABLES
 
 RESULT_SCHEMA = "check string, subject string, observed string, status string"

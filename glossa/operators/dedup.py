@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions.scalars import content_hash, fold
@@ -48,8 +48,7 @@ def dedup_by_fold(df: DataFrame, text: str = "content_raw", variant: str = "vari
 def dedup_media(df: DataFrame) -> DataFrame:
     """One asset per (unit_id, file_name); audio precedes image."""
     kind_rank = F.when(F.col("asset_type") == "audio", F.lit(0)).otherwise(F.lit(1))
-    extra = [c for c in ("seq",) if c in df.columns]
-    return first_wins(df, ["unit_id", "file_name"], [kind_rank, *extra])
+    return first_wins(df, ["unit_id", "file_name"], [kind_rank])
 
 
 def dedup_links(df: DataFrame, cols: Sequence[str] = ("unit_id", "tag_id")) -> DataFrame:

@@ -104,3 +104,13 @@ def test_interference_json_only_for_italian(spark):
         .alias("p")).first().p
     assert (parsed.standard_translation_EN, parsed.standard_translation_IT, parsed.note_culturale) == \
         ("Let's go", "Andiamo", "nota")
+
+
+def test_general_media_and_link_dedup(spark):
+    from glossa.operators.dedup import dedup_links, dedup_media
+    media = spark.createDataFrame([(1, "image", "a.x"), (1, "audio", "a.x"), (1, "image", "b.jpg"), (2, "image", "a.x")],
+                                  "unit_id long, asset_type string, file_name string")
+    got = sorted(tuple(r) for r in dedup_media(media).select("unit_id", "asset_type", "file_name").collect())
+    assert got == [(1, "audio", "a.x"), (1, "image", "b.jpg"), (2, "image", "a.x")]
+    links = spark.createDataFrame([(1, 5), (1, 5), (2, 5)], "unit_id long, tag_id int")
+    assert dedup_links(links).count() == 2
