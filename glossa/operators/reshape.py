@@ -16,6 +16,11 @@ from glossa.functions.scalars import asset_format, first_piece, present, score,
 LANGS = (("it", 1), ("fi", 2), ("en", 3))
 
 
+def drop_missing(df: DataFrame, col: str) -> DataFrame:
+    """Drop rows whose ``col`` is NULL or empty; whitespace-only text is kept (no trim first)."""
+    return df.where(present(col))
+
+
 def unpivot_langs(df: DataFrame, text_prefix: str = "text_", langs: Sequence[tuple[str, int]] = LANGS,
                   extra_prefixes: Sequence[str] = (), out_text: str = "content_raw") -> DataFrame:
     """one row per (document, language); document attributes are copied.

@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossa.operators.dedup import first_wins
 from glossa.schemas import EXPORT_MIN_CONFIDENCE
@@ -114,4 +115,6 @@ def export_training(units: DataFrame, variants: DataFrame, path: str,
     rows = (units.where(eligible("variant_id", "variant_confidence", min_conf))
                  .join(variants.select("variant_id", "iso_code"), "variant_id"))
     rows.write.mode("overwrite").partitionBy("iso_code").parquet(path)
-    return units.sparkSession.read.parquet(path)
+    # read back with the known schema: an export with no eligible row has no file to infer one from
+    ordered = [f for f in rows.schema.fields if f.name != "iso_code"] + [rows.schema["iso_code"]]
+    return units.sparkSession.read.schema(T.StructType(ordered)).parquet(path)
