@@ -54,26 +54,27 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
                         carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """E5/E6 + E4: first row per key, numbered densely in ``order_cols`` order.
 
-    Two aggregations over the same input: a narrow one (key, order and the
-    small ``carry`` columns) feeds the id pass, so only narrow rows are
-    range-shuffled and written to the checkpoint folder; the full one carries
-    the wide columns (texts) through a single shuffle.  Its output is already
-    partitioned by the key, so joining the ids back shuffles only the narrow
-    side.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
-
-    Returns (full rows with ids, the written narrow frame: key, order, carry,
-    id).  Consumers that need only the narrow columns (links, media) read the
-    second one and never touch the texts again.
+    The winners are found on narrow rows only (key, order and the small
+    ``carry`` columns): first-wins with map-side partial aggregation, then the
+    id pass, whose result is written once to the checkpoint folder.  The wide
+    rows (texts) then meet the winners in one inner join on key + order, which
+    picks exactly the winning rows: the texts are shuffled once and never
+    aggregated or sorted, and the join key is free of hot values (rows sharing
+    a hash differ in their order columns).  (key + order) must identify a row
+    of ``df``.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
+
+    Returns (winning rows with ids, the written narrow frame: key, order,
+    carry, id).  Consumers that need only the narrow columns (links, media)
+    read the second one and never touch the texts again.
     """
     keys, order = list(key_cols), list(order_cols)
     narrow_cols = keys + [c for c in order + list(carry) if c not in keys]
     narrow = first_wins(df.select(*narrow_cols), keys, order)
-    full = first_wins(df, keys, order)
     if exclude is not None:
         narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
-        full = full.join(exclude.select(*keys), keys, "left_anti")
     ids = assign_ids(narrow, order, id_col, start)
-    return full.join(ids.select(*keys, id_col), keys), ids
+    join_cols = keys + [c for c in order if c not in keys]
+    return df.join(ids.select(*join_cols, id_col), join_cols), ids
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,
