@@ -137,3 +137,30 @@ def test_stream_ingest_epochs_continue_ids_and_skip_committed(spark, tmp_dir):
     assert units == [(1, "x"), (2, "y"), (3, "z")]
     progress = sorted(tuple(r) for r in spark.read.parquet(f"{target}/_progress").collect())
     assert progress == [(0, 2), (1, 3)]
+
+
+def test_feedback_stream_watermark_drops_late_rows(spark, tmp_dir):
+    import datetime as dt
+
+    from glossa.sources.bindings import feedback_log_from
+    from glossa.sources.tables import DRIVER_SCHEMAS
+
+    src, out = f"{tmp_dir}/events_in", f"{tmp_dir}/k2"
+    schema = DRIVER_SCHEMAS["events"]
+
+    def write(rows, name):
+        spark.createDataFrame(rows, schema).write.parquet(f"{src}/{name}")
+
+    def ev(i, day, hour, user):
+        return (i, dt.datetime(2024, 1, day, hour), user, "click", 1.0, "{}")
+
+    write([ev(1, 1, 10, 0), ev(2, 2, 10, 0), ev(3, 3, 10, 0)], "b1")
+    stream = feedback_log_from(spark.readStream.schema(schema).parquet(f"{src}/*"))
+    flows.run_available(flows.feedback_stream(stream), out)
+    # day 3 is still open (watermark = Jan 3 09:00); day 1 and day 2 are final
+    write([ev(4, 1, 12, 0), ev(5, 3, 12, 0), ev(6, 5, 10, 0)], "b2")
+    stream = feedback_log_from(spark.readStream.schema(schema).parquet(f"{src}/*"))
+    flows.run_available(flows.feedback_stream(stream), out)
+    got = {(r.window_start.day, r.n_feedback) for r in spark.read.parquet(f"{out}/out").collect()}
+    # the late Jan 1 row is dropped; Jan 3 closes with both of its rows; Jan 5 is still open
+    assert got == {(1, 1), (2, 1), (3, 2)}
