@@ -52,13 +52,15 @@ def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None
             emb = np.vstack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
             s = emb @ mat.T                                    # (vectors, queries)
             take = min(k, len(pdf))
-            part = np.argpartition(-s, take - 1, axis=0)[:take] if take < len(pdf) else \
-                np.tile(np.arange(len(pdf))[:, None], (1, len(ids)))
+            # the k-th best score of each query in this batch; every vector at or above it stays a
+            # candidate, so vectors tied at the boundary all reach the (score, vector_id) ranking
+            kth = -np.partition(-s, take - 1, axis=0)[take - 1]
+            vi, qi = np.nonzero(s >= kth[None, :])
             rows = pd.DataFrame({
-                "query_id": np.repeat(ids[None, :], part.shape[0], axis=0).ravel(),
-                "vector_id": pdf["vector_id"].to_numpy()[part].ravel(),
-                "unit_id": pdf["unit_id"].to_numpy()[part].ravel(),
-                "score": np.take_along_axis(s, part, axis=0).ravel(),
+                "query_id": ids[qi],
+                "vector_id": pdf["vector_id"].to_numpy()[vi],
+                "unit_id": pdf["unit_id"].to_numpy()[vi],
+                "score": s[vi, qi],
             })
             best = rows if best is None else pd.concat([best, rows], ignore_index=True)
             # keep only k per query across the batches of this partition (ties by vector id)

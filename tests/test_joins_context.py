@@ -107,3 +107,12 @@ def test_with_defaults(spark):
     log = spark.createDataFrame([(1, None)], "log_id long, training_cycle int")
     r = with_defaults(log, "correction_feedback_log").first()
     assert r.feedback_source == "database_out" and r.training_cycle is None and r.model_id is None
+
+
+def test_similar_top_k_is_exact_with_ties(spark):
+    from glossa.operators.retrieval import similar
+    vecs = spark.createDataFrame([(i, 100 + i, 1, [1.0, 0.0] if i % 2 == 0 else [0.5, 0.0]) for i in range(20)],
+                                 "vector_id long, unit_id long, model_id int, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, embedding array<double>")
+    got = [(r["rank"], r.vector_id) for r in similar(queries, vecs, 3, model_id=1).orderBy("rank").collect()]
+    assert got == [(1, 0), (2, 2), (3, 4)]  # ten vectors tie at the top score: smallest ids win
