@@ -62,3 +62,10 @@ def test_not_admin_three_valued(spark):
 def test_has_member(spark):
     out = one(spark, S.has_member("v", "b"), [(["a", "b"],), (["a"],), (None,)], "v array<string>")
     assert out == [True, False, None]
+
+
+def test_scale_conf_sizes_partitions():
+    from glossa.session import scale_conf
+    c = scale_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(scale_conf(10**6, 64)["spark.sql.shuffle.partitions"]) == 192
