@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from glossa.functions.scalars import content_hash, eligible, normalize_iso
 from glossa.operators import aggregates as agg
 from glossa.operators import context, contracts, joins, maintain, nested, retrieval
-from glossa.streaming import flows
-from glossa.sources.bindings import docs_from, feedback_log_from
-from glossa.functions.scalars import eligible, normalize_iso
-from pyspark.sql import functions as F
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
-from glossa.sources.bindings import Corpus, bound
+from glossa.sources.bindings import Corpus, bound, docs_from, feedback_log_from
 from glossa.sources.documents import drop_placeholders
+from glossa.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,7 +115,6 @@ def e3_enumerate_registers(spark, root):
 
 def d13_skip_counts(spark, root):
     cb = content(spark, root)
-    from glossa.functions.scalars import content_hash
     return agg.skip_counts(cb.langs.withColumn("content_hash", content_hash("content_raw", "variant_id")))
 
 
