@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions.scalars import asset_format, first_piece, present, score, split_ws, trim_ws
+from glossa.schemas import DEFAULTS
 
 # The three source languages and their variant ids, in load order.
 LANGS = (("it", 1), ("fi", 2), ("en", 3))
@@ -71,7 +72,8 @@ def media_rows(units: DataFrame, italian_variant: int = 1) -> DataFrame:
     return (units.where(F.col("variant_id") == italian_variant)
                  .select("unit_id", F.inline(F.array_compact(F.array(audio, image))))
                  .select("unit_id", "asset_type", asset_format("asset_type").alias("file_format"), "file_name",
-                         F.lit("github_lfs").alias("storage_location"), "variant_id"))
+                         F.lit(DEFAULTS[("media_asset", "storage_location")]).alias("storage_location"),
+                         "variant_id"))
 
 
 def build_links(units: DataFrame, natural_col: str, vocab: DataFrame, vocab_key: str, id_col: str,

@@ -27,6 +27,7 @@ from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import assign_ids, enumerate_values, first_wins_with_ids, next_start_value
 from glossa.operators.reshape import build_links, media_rows, synonym_forms, unpivot_langs
+from glossa.schemas import LOADER_SOURCE, PHRASE_CONTENT_TYPE
 from glossa.sources.documents import drop_placeholders
 
 ORDER = ("doc_pos", "variant_id")
@@ -116,12 +117,12 @@ class ContentBuild:
     @property
     def units(self) -> DataFrame:
         """E5 + E4 (+E8): content_unit rows with dense ids, continuing after the stored maximum."""
-        meta = json_object(source=F.lit("firebase"), import_date=load_stamp(self.import_date).cast("string"),
+        meta = json_object(source=F.lit(LOADER_SOURCE), import_date=load_stamp(self.import_date).cast("string"),
                            original_id=F.col("doc_id"), note_culturale=F.col("note_culturale"))
         return self._ided[0].select(
-            "unit_id", "content_raw", F.lit("phrase").alias("content_type"), "content_hash",
+            "unit_id", "content_raw", F.lit(PHRASE_CONTENT_TYPE).alias("content_type"), "content_hash",
             F.col("level").alias("cefr_level"), strict_bool("idiom").alias("is_idiom"), "difficulty",
-            F.lit("firebase").alias("source_origin"), F.col("variant_id").cast("int").alias("variant_id"),
+            F.lit(LOADER_SOURCE).alias("source_origin"), F.col("variant_id").cast("int").alias("variant_id"),
             meta.alias("source_metadata_json"),
             "doc_id", "doc_pos", "lang", "register", "theme_id", "audio_hint", "img_hint")
 

@@ -178,6 +178,10 @@ LINGUISTIC_TABLES = ("content_unit", "language_variant", "lemma", "morpho_form",
                      "cultural_context_tag", "rel_content_tone", "rel_content_context")
 STUDENT_TABLES = ("content_unit", "language_variant", "lemma", "morpho_form")
 
+# The origin stamped on units the export loader creates, and the content type of phrases.
+LOADER_SOURCE = "firebase"
+PHRASE_CONTENT_TYPE = "phrase"
+
 # The fallback variant code and the training-export threshold.
 FALLBACK_ISO = "und"
 EXPORT_MIN_CONFIDENCE = 0.7
