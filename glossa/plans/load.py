@@ -20,20 +20,10 @@ from glossa.operators.dimensions import checked_dimension
 from glossa.operators.keys import assign_ids, next_start_value
 from glossa.operators.maintain import with_defaults
 from glossa.plans.ingest import build_content, build_lexicon
-from glossa.schemas import PHRASE_DOC, TABLE_NAMES, TABLES, VOCAB_DOC
+from glossa.schemas import MODEL_ROWS, PHRASE_DOC, TABLE_NAMES, TABLES, VARIANT_ROWS, VOCAB_DOC
 from glossa.sources.documents import flatten_phrases, flatten_vocabulary, read_docs
 from glossa.sources.sinks import current_version, publish, read_current
 
-# The language variants and models the corpus is seeded with (the fallback
-# variant 'und' is added after them, with the next id).
-VARIANT_ROWS = [(1, "it-IT", "Standard Italian", False, None),
-                (2, "fi-FI", "Standard Finnish", False, None),
-                (3, "en-EN", "Standard English", True, None)]
-MODEL_ROWS = [(1, "Poro", "poro-34b-v1.0", "pending"),
-              (2, "Aya", "aya-23-35b-v1.0", "pending"),
-              (3, "Gemma", "gemma-7b-v1.0", "pending")]
-
-
 def _empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table])
 

@@ -178,6 +178,15 @@ LINGUISTIC_TABLES = ("content_unit", "language_variant", "lemma", "morpho_form",
                      "cultural_context_tag", "rel_content_tone", "rel_content_context")
 STUDENT_TABLES = ("content_unit", "language_variant", "lemma", "morpho_form")
 
+# The language variants and models the corpus is seeded with (the fallback variant
+# 'und' is added after them, with the next id).
+VARIANT_ROWS = [(1, "it-IT", "Standard Italian", False, None),
+                (2, "fi-FI", "Standard Finnish", False, None),
+                (3, "en-EN", "Standard English", True, None)]
+MODEL_ROWS = [(1, "Poro", "poro-34b-v1.0", "pending"),
+              (2, "Aya", "aya-23-35b-v1.0", "pending"),
+              (3, "Gemma", "gemma-7b-v1.0", "pending")]
+
 # The origin stamped on units the export loader creates, and the content type of phrases.
 LOADER_SOURCE = "firebase"
 PHRASE_CONTENT_TYPE = "phrase"

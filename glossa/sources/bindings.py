@@ -17,13 +17,9 @@ from pyspark.sql import functions as F
 
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import enumerate_values
+from glossa.schemas import MODEL_ROWS
 from glossa.sources.tables import read_driver_table
 
-# The model registry rows of the reference's lookup seed.
-MODEL_ROWS = [(1, "Poro", "poro-34b-v1.0", "pending"),
-              (2, "Aya", "aya-23-35b-v1.0", "pending"),
-              (3, "Gemma", "gemma-7b-v1.0", "pending")]
-
 # Binding constants (FIXTURES): tones of the label table, the fallback variant id,
 # and the size of one bound syntax document.
 TONE_ROWS = [(1, "plain"), (2, "polished"), (3, "toxic")]
