@@ -290,7 +290,8 @@ def k1_ingest_stream(spark, root):
 def k2_feedback_stream(spark, root):
     folder = flows.stream_folder(spark, "k2")
     log = feedback_log_from(flows.read_stream(spark, root, "events"))
-    flows.run_available(flows.feedback_stream(log), folder)
+    parts = flows.state_partitions_for(spark, f"{root.rstrip('/')}/events.parquet")
+    flows.run_available(flows.feedback_stream(log), folder, state_partitions=parts)
     return spark.read.parquet(f"{folder}/out")
 
 

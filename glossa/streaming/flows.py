@@ -42,20 +42,44 @@ def read_stream(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.readStream.schema(DRIVER_SCHEMAS[table]).parquet(f"{root.rstrip('/')}/{table}.parq[u]et")
 
 
-def run_available(df: DataFrame, folder: str, mode: str = "append", batch_fn=None) -> StreamingQuery:
-    """Process everything available now into ``folder/out`` (or through ``batch_fn``) and stop."""
-    w = df.writeStream.option("checkpointLocation", f"{folder}/_checkpoint").outputMode(mode)
-    if batch_fn is not None:
-        w = w.foreachBatch(batch_fn)
-    else:
-        w = w.format("parquet").option("path", f"{folder}/out")
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
+def run_available(df: DataFrame, folder: str, mode: str = "append", batch_fn=None,
+                  state_partitions: int | None = None) -> StreamingQuery:
+    """Process everything available now into ``folder/out`` (or through ``batch_fn``) and stop.
+
+    ``state_partitions`` sets the shuffle partitions of a stateful query for its
+    first run: the count is frozen into the checkpoint, so it is chosen from
+    the expected state size rather than left at the session default.
+    """
+    spark = df.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        w = df.writeStream.option("checkpointLocation", f"{folder}/_checkpoint").outputMode(mode)
+        if batch_fn is not None:
+            w = w.foreachBatch(batch_fn)
+        else:
+            w = w.format("parquet").option("path", f"{folder}/out")
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
 
 
+def state_partitions_for(spark: SparkSession, path: str, bytes_per_partition: int = 128 << 20) -> int:
+    """State partitions for a stream over ``path``: one per ``bytes_per_partition`` of input, at least 1,
+    at most the session's shuffle partitions (a driver-side listing of file sizes, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-size // bytes_per_partition)))
+
+
 def hash_bucket(col: str = "content_hash", n_buckets: int = 16) -> Column:
     """Bucket of a hex hash: its leading 64 bits modulo ``n_buckets`` (letter-prefixed, so the
     partition values always read back as text)."""
