@@ -1,8 +1,8 @@
 """Retrieval scope (L1-L3): per-model vector scope, exact batch top-k, context of the hits.
 
 The search is exact (brute force): every in-scope vector is scored against
-the query batch.  The query batch is a dimension: its size is checked
-before it is broadcast.  Each partition scores its vectors with one matrix
+the query batch.  Queries are shipped to the tasks in chunks of a fixed
+maximum size (a proven bound), never as one unbounded broadcast.  Each partition scores its vectors with one matrix
 product (NumPy on Arrow batches) and keeps only its own k best per query,
 so at most k rows per query and partition are shuffled for the final
 ranking; no (query, vector) pair is ever a row.
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.operators.dimensions import MAX_BROADCAST_ROWS, checked_dimension
+from glossa.operators.keys import assign_ids
 
 HIT_SCHEMA = "query_id long, vector_id long, unit_id long, score double"
 
@@ -27,27 +27,17 @@ def model_scope(vectors: DataFrame, model_id: int) -> DataFrame:
     return vectors.where(F.col("model_id") == model_id)
 
 
-def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None = None,
-            max_queries: int = 10_000) -> DataFrame:
-    """L2: top-``k`` vectors per query by dot product; ties broken by vector id.
-
-    ``queries(query_id, embedding)``; ``vectors(vector_id, unit_id, model_id, embedding)``.
-    """
-    scope = model_scope(vectors, model_id) if model_id is not None else vectors
-    q, n = checked_dimension(queries.select(F.col("query_id").cast("long"), "embedding"))
-    if n > max_queries or n > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{n} queries: split the query set into batches of at most {max_queries}")
-    # a checked, bounded query batch: shipped to every task once, via a broadcast variable
-    qpdf = q.toPandas()
+def _score_chunk(scope: DataFrame, qpdf: pd.DataFrame, k: int) -> DataFrame:
+    """Per-partition candidates of one bounded query chunk (at most k per query, plus boundary ties)."""
     qids = qpdf["query_id"].to_numpy(dtype=np.int64)
-    qmat = np.vstack([np.asarray(e, dtype=np.float64) for e in qpdf["embedding"]]) if n else np.zeros((0, 0))
+    qmat = np.vstack([np.asarray(e, dtype=np.float64) for e in qpdf["embedding"]])
     bq = scope.sparkSession.sparkContext.broadcast((qids, qmat))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, mat = bq.value
         best: pd.DataFrame | None = None
         for pdf in batches:
-            if pdf.empty or len(ids) == 0:
+            if pdf.empty:
                 continue
             emb = np.vstack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
             s = emb @ mat.T                                    # (vectors, queries)
@@ -69,7 +59,30 @@ def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None
         if best is not None:
             yield best
 
-    candidates = scope.select("vector_id", "unit_id", "embedding").mapInPandas(score, HIT_SCHEMA)
+    return scope.select("vector_id", "unit_id", "embedding").mapInPandas(score, HIT_SCHEMA)
+
+
+def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None = None,
+            chunk_queries: int = 10_000) -> DataFrame:
+    """L2: top-``k`` vectors per query by dot product; ties broken by vector id.
+
+    ``queries(query_id, embedding)``; ``vectors(vector_id, unit_id, model_id, embedding)``.
+    The query set is written once and numbered densely; it is then scored in
+    chunks of at most ``chunk_queries`` queries, each shipped to the tasks as one
+    broadcast (a proven bound), so any number of queries is handled exactly:
+    every chunk is one scoring pass over the in-scope vectors.
+    """
+    scope = model_scope(vectors, model_id) if model_id is not None else vectors
+    numbered = assign_ids(queries.select(F.col("query_id").cast("long"), "embedding"), ["query_id"], "_qn")
+    n = numbered.count()
+    candidates = None
+    for lo in range(0, n, chunk_queries):
+        chunk = (numbered.where((F.col("_qn") > lo) & (F.col("_qn") <= lo + chunk_queries))
+                         .select("query_id", "embedding").toPandas())
+        part = _score_chunk(scope, chunk, k)
+        candidates = part if candidates is None else candidates.unionByName(part)
+    if candidates is None:
+        return scope.sparkSession.createDataFrame([], HIT_SCHEMA + ", rank long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vector_id"))
     return (candidates.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k))
 
