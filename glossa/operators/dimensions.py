@@ -14,8 +14,21 @@ from pyspark.sql import functions as F
 
 from glossa.session import ensure_checkpoint_dir
 
-# Rows above which a dimension is no longer broadcast.
+# Limits above which a dimension is no longer broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+class Size(int):
+    """A row count that also carries the dimension's serialized size in bytes."""
+
+    def __new__(cls, rows: int, nbytes: int = 0):
+        obj = int.__new__(cls, rows)
+        obj.bytes = int(nbytes)
+        return obj
+
+    def plus(self, rows: int, nbytes: int) -> "Size":
+        return Size(int(self) + rows, self.bytes + nbytes)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -24,11 +37,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_dimension(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a derived dimension and return it with its row count."""
+def checked_dimension(df: DataFrame) -> tuple[DataFrame, Size]:
+    """Materialise a derived dimension; return it with its rows and (JSON-serialized) bytes, from one aggregate."""
     m = materialize(df)
-    return m, m.count()
+    row = m.agg(F.count(F.lit(1)).alias("n"),
+                F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*m.columns)))), F.lit(0)).alias("b")).first()
+    return m, Size(row["n"], row["b"])
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if n_rows <= max_rows else df
+def maybe_broadcast(df: DataFrame, size: int, max_rows: int = MAX_BROADCAST_ROWS,
+                    max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only within both limits (a plain int is a row count of a literal-sized frame)."""
+    fits = int(size) <= max_rows and getattr(size, "bytes", 0) <= max_bytes
+    return F.broadcast(df) if fits else df

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.operators.dimensions import materialize, maybe_broadcast
+from glossa.operators.dimensions import Size, materialize, maybe_broadcast
 
 
 def audit_language_level(units: DataFrame, variants: DataFrame, variant_name: str, level: str) -> DataFrame:
@@ -77,8 +77,9 @@ def variant_roots(tree: DataFrame, id_col: str = "variant_id", parent_col: str =
     """
     nodes = tree.select(F.col(id_col).alias("node"), F.col(parent_col).alias("parent"))
     n_nodes = nodes.count()
+    size = Size(n_nodes, 32 * n_nodes)  # the broadcast frames hold up to three fixed-width columns per node
     ids = nodes.select(F.col("node").alias("_known"))
-    start = (nodes.join(maybe_broadcast(ids, n_nodes), F.col("parent") == F.col("_known"), "left")
+    start = (nodes.join(maybe_broadcast(ids, size), F.col("parent") == F.col("_known"), "left")
                   .select("node",
                           F.when(F.col("_known").isNull(), F.col("node")).otherwise(F.col("parent")).alias("anc"),
                           F.when(F.col("_known").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("dist")))
@@ -86,7 +87,7 @@ def variant_roots(tree: DataFrame, id_col: str = "variant_id", parent_col: str =
     rounds = max(1, math.ceil(math.log2(max(n_nodes, 2)))) + 1
     for _ in range(rounds):
         hop = state.select(F.col("node").alias("_a"), F.col("anc").alias("_anc2"), F.col("dist").alias("_d2"))
-        nxt = (state.join(maybe_broadcast(hop, n_nodes), F.col("anc") == F.col("_a"))
+        nxt = (state.join(maybe_broadcast(hop, size), F.col("anc") == F.col("_a"))
                     .select("node", F.col("_anc2").alias("anc"),
                             F.when(F.col("_anc2") == F.col("anc"), F.col("dist"))
                              .otherwise(F.col("dist") + F.col("_d2")).alias("dist"),
@@ -98,7 +99,7 @@ def variant_roots(tree: DataFrame, id_col: str = "variant_id", parent_col: str =
         state = nxt.drop("_moved")
     # a root points at itself at distance 0; a cycle node may point at itself too, but never at distance 0
     roots = state.where((F.col("node") == F.col("anc")) & (F.col("dist") == 0)).select(F.col("node").alias("_r"))
-    resolved = state.join(maybe_broadcast(roots, n_nodes), F.col("anc") == F.col("_r"), "left")
+    resolved = state.join(maybe_broadcast(roots, size), F.col("anc") == F.col("_r"), "left")
     done = F.col("_r").isNotNull()
     return resolved.select(F.col("node").alias(id_col),
                            F.when(done, F.col("anc")).alias("root_id"),

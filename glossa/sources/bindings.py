@@ -46,7 +46,7 @@ class Corpus:
             "variant_id", "iso_code", F.upper("iso_code").alias("variant_name"),
             (F.col("iso_code") == "en").alias("is_pivot"),
             F.lit(None).cast("int").alias("parent_variant_id"))
-        return lv, n + 1
+        return lv, n.plus(1, 64)
 
     @property
     def language_variant(self) -> DataFrame:
