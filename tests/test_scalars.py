@@ -69,3 +69,16 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 10**12, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert int(scale_conf(10**6, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_broadcast_only_within_row_and_byte_limits(spark):
+    from glossa.operators.dimensions import Size, checked_dimension, maybe_broadcast
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    dim, size = checked_dimension(spark.createDataFrame([(1, "a" * 100), (2, "b")], "k int, v string"))
+    assert int(size) == 2 and size.bytes > 100
+    assert hinted(maybe_broadcast(dim, size))
+    assert not hinted(maybe_broadcast(dim, size, max_bytes=50))
+    assert not hinted(maybe_broadcast(dim, Size(5, 10), max_rows=4))
