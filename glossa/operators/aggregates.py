@@ -103,17 +103,20 @@ def vector_progress(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("model_id", "vector_status").agg(F.count(F.lit(1)).alias("n_vectors"))
 
 
-def skip_counts(langs: DataFrame, text: str = "content_raw", hash_col: str = "content_hash") -> DataFrame:
+def skip_counts(langs: DataFrame, text: str = "content_raw", hash_col: str = "content_hash",
+                n_langs: int = 3) -> DataFrame:
     """One row of load accounting over the unpivoted input.
 
     ``missing`` are NULL/empty texts, ``duplicates`` repeated hashes among the
     rest, ``kept`` the surviving rows; ``reference_skipped`` is the loader's
     own figure (documents x 3 - kept), which counts missing texts as
-    duplicates.
+    duplicates.  The unpivot emits exactly one row per (document, language),
+    so documents = candidates / ``n_langs`` without a distinct over ids; the
+    only shuffle is the distinct over the hashes.
     """
     ok = present(text)
     return langs.agg(
-        F.count_distinct("doc_id").alias("documents"),
+        (F.count(F.lit(1)) / F.lit(n_langs)).cast("long").alias("documents"),
         F.count(F.lit(1)).alias("candidates"),
         F.count_if(~ok).alias("missing"),
         (F.count_if(ok) - F.count_distinct(F.when(ok, F.col(hash_col)))).alias("duplicates"),
