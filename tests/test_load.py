@@ -72,3 +72,15 @@ def test_load_then_incremental_load(spark, tmp_dir):
     assert (5, 4) in links and len(links) == 5
     lemmas2 = sorted((r.lemma_id, r.text_root) for r in read_current(spark, root, "lemma").collect())
     assert lemmas2 == [(1, "Casa"), (2, "House"), (3, "Talo")]
+
+
+def test_jsonl_reader_matches_export_reader(spark, tmp_dir):
+    lines = [dict(doc_pos=i, doc_id=k, **v) for i, (k, v) in enumerate(EXPORT["phrases"].items())]
+    path = f"{tmp_dir}/phrases.jsonl"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join(json.dumps(x, ensure_ascii=False) for x in lines))
+    from_lines = flatten_phrases(read_docs(spark, path, "phrases", PHRASE_DOC, "jsonl"))
+    from_export = flatten_phrases(read_docs(spark, _write(tmp_dir, "e", EXPORT), "phrases", PHRASE_DOC, "export"))
+    def rows(df):
+        return sorted(map(str, df.collect()))
+    assert rows(from_lines) == rows(from_export)
