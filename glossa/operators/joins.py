@@ -16,12 +16,23 @@ from pyspark.sql import functions as F
 from glossa.operators.dimensions import Size, materialize, maybe_broadcast
 
 
+MAX_PRUNING_KEYS = 1000
+
+
 def audit_language_level(units: DataFrame, variants: DataFrame, variant_name: str, level: str) -> DataFrame:
-    """B1 + C1: texts of one variant (by name) at one level; units without a variant drop out."""
+    """B1 + C1: texts of one variant (by name) at one level; units without a variant drop out.
+
+    The ids of the named variant (a few rows of the variant dimension) also go
+    into an IN filter on the units, which Catalyst pushes below the joins that
+    build the units, so only that variant's rows reach any shuffle; the join
+    with the dimension still decides the result.
+    """
     lv = variants.where(F.col("variant_name") == variant_name).select("variant_id", "variant_name")
-    return (units.where(F.col("cefr_level") == level)
-                 .join(lv, "variant_id")
-                 .select("content_raw", "variant_name", "cefr_level"))
+    ids = [r[0] for r in lv.select("variant_id").distinct().limit(MAX_PRUNING_KEYS + 1).collect()]
+    picked = units.where(F.col("cefr_level") == level)
+    if len(ids) <= MAX_PRUNING_KEYS:
+        picked = picked.where(F.col("variant_id").isin(ids))
+    return picked.join(lv, "variant_id").select("content_raw", "variant_name", "cefr_level")
 
 
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
