@@ -88,6 +88,9 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
     spark = next(iter(frames.values())).sparkSession
     version = version or f"v{time.strftime('%Y%m%dT%H%M%S')}"
     base = f"{root.rstrip('/')}/{version}"
+    fs, marker_path = _fs(spark, f"{base}/{MARKER}")
+    if fs.exists(marker_path):  # published versions are immutable: readers may be using them
+        raise FileExistsError(f"{version} is already published under {root}")
     for name, df in frames.items():
         w = df.write.mode("overwrite")
         cols = (partition_by or {}).get(name)
@@ -101,8 +104,7 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
         failures = results.where(F.col("status").startswith("FAIL")).limit(20).collect()
         if failures:
             raise RuntimeError(f"contracts failed, {version} not published: {[tuple(r) for r in failures]}")
-    fs, marker = _fs(spark, f"{base}/{MARKER}")
-    fs.create(marker, False).close()
+    fs.create(marker_path, False).close()
     return version, results
 
 

@@ -105,6 +105,9 @@ def test_publish_gate_and_export(spark, tmp_dir):
         sinks.publish({"language_variant": bad_lv}, root, ok_gate, version="v2")
     assert sinks.current_version(spark, root) == "v1"  # failed version stays invisible
     assert sinks.read_current(spark, root, "content_unit").count() == 4
+    with pytest.raises(FileExistsError):  # a published version is never rewritten
+        sinks.publish({"language_variant": lv}, root, ok_gate, version="v1")
+    assert sinks.read_current(spark, root, "content_unit").count() == 4
     out = sinks.export_training(units, lv, f"{tmp_dir}/export")
     assert sorted(r.unit_id for r in out.collect()) == [1]
 
