@@ -3,10 +3,11 @@
 A first load numbers everything from 1 (vocabularies in sorted order, units
 and lemmas in document order).  A later load reads the published version and
 is incremental: stored content hashes and lemma keys are skipped, stored
-vocabulary ids are kept and new values are numbered after the maximum, new
-rows get ids after the stored maximum, and tables the export does not feed
-(vectors, feedback) are carried over.  The new version becomes visible only
-if every contract passes.
+vocabulary ids are kept and new values are numbered after the maximum, and
+new rows get ids after the stored maximum.  Fact tables are append-only: a
+version stores only its load's new rows and readers union the published
+versions, so nothing stored is copied again.  The new version becomes
+visible only if every contract passes on what readers would see.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from glossa.schemas import MODEL_ROWS, PHRASE_DOC, TABLE_NAMES, TABLES, VARIANT_
 from glossa.sources.documents import flatten_phrases, flatten_vocabulary, read_docs
 from glossa.sources.sinks import current_version, publish, read_current
 
+# Tables rewritten whole by every load (small); all other tables are append-only across versions.
+DIMENSIONS = ("language_variant", "ai_model_registry", "tone_marker", "cultural_context_tag")
+
+
 def _empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table])
 
@@ -88,11 +93,10 @@ def load_export(spark: SparkSession, path: str, root: str, fmt: str = "export",
     }
     tables = {}
     for t in TABLE_NAMES:
-        if t in ("language_variant", "ai_model_registry", "tone_marker", "cultural_context_tag"):
-            tables[t] = new[t]                                  # dimensions: the full, stable list
-        elif t in new:
-            tables[t] = old[t].unionByName(new[t]) if t in old else new[t]
+        if t in DIMENSIONS:
+            tables[t] = new[t]                    # dimensions: the full, stable list, replaced per version
         else:
-            tables[t] = old.get(t, _empty(spark, t))            # not fed by the export: carried over
-    version, results = publish(tables, root, run_contracts, version)
+            tables[t] = new.get(t, _empty(spark, t))  # append-only: only this load's new rows are written
+    version, results = publish(tables, root, run_contracts, version,
+                               appended=[t for t in TABLE_NAMES if t not in DIMENSIONS])
     return version, results

@@ -10,6 +10,7 @@ attempt leaves an unmarked folder that no reader picks.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Mapping, Sequence
 
@@ -58,32 +59,64 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Newest version folder under ``root`` that carries the publish marker (driver-side listing)."""
+def _published_versions(spark: SparkSession, root: str) -> list[str]:
+    """Version folders under ``root`` that carry the publish marker, oldest first (driver-side listing)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
-        return None
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
-    for v in reversed(versions):
-        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{v}/{MARKER}")
-        if fs.exists(marker):
-            return v
-    return None
+        return []
+    jvm = spark.sparkContext._jvm
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return [v for v in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{v}/{MARKER}"))]
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Newest published version under ``root``."""
+    versions = _published_versions(spark, root)
+    return versions[-1] if versions else None
+
+
+def _appended_tables(spark: SparkSession, root: str, version: str) -> list[str]:
+    """The manifest in the version's marker (read with the filesystem API: Spark's readers skip '_' files)."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{version}/{MARKER}")
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return json.loads(line).get("appended", []) if line else []
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
+    """A table as of the newest published version.
+
+    Append-only tables are the union of every published version's folder (each
+    holds only that load's new rows); other tables are read from the newest
+    version alone.
+    """
+    versions = _published_versions(spark, root)
+    if not versions:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{version}/{table}")
+    base = root.rstrip("/")
+    if table in _appended_tables(spark, root, versions[-1]):
+        fs, _ = _fs(spark, base)
+        jvm = spark.sparkContext._jvm
+        paths = [f"{base}/{v}/{table}" for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{v}/{table}"))]
+        return spark.read.parquet(*paths)
+    return spark.read.parquet(f"{base}/{versions[-1]}/{table}")
 
 
 def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version: str | None = None,
-            partition_by: Mapping[str, Sequence[str]] | None = None) -> tuple[str, DataFrame | None]:
+            partition_by: Mapping[str, Sequence[str]] | None = None,
+            appended: Sequence[str] = ()) -> tuple[str, DataFrame | None]:
     """Write all tables to a new version folder, gate on the contracts, then mark it published.
 
-    ``contracts(tables) -> results`` runs on the *written* tables; any FAIL
-    leaves the version unmarked (invisible to readers) and raises.
+    Tables named in ``appended`` are append-only: ``frames`` holds only their
+    new rows, which are written to this version's folder; readers see the
+    union over all published versions, so a re-load never copies what is
+    already stored.  ``contracts(tables) -> results`` runs on what readers
+    would see; any FAIL leaves the version unmarked (invisible) and raises.
+    Published versions are never rewritten.
     """
     spark = next(iter(frames.values())).sparkSession
     version = version or f"v{time.strftime('%Y%m%dT%H%M%S')}"
@@ -99,12 +132,22 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
         w.parquet(f"{base}/{name}")
     results = None
     if contracts is not None:
-        written = {name: spark.read.parquet(f"{base}/{name}") for name in frames}
+        earlier = _published_versions(spark, root)
+        written = {}
+        for name in frames:
+            paths = [f"{base}/{name}"]
+            if name in appended:
+                jvm = spark.sparkContext._jvm
+                paths = [f"{root.rstrip('/')}/{v}/{name}" for v in earlier
+                         if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{v}/{name}"))] + paths
+            written[name] = spark.read.parquet(*paths)
         results = contracts(written)
         failures = results.where(F.col("status").startswith("FAIL")).limit(20).collect()
         if failures:
             raise RuntimeError(f"contracts failed, {version} not published: {[tuple(r) for r in failures]}")
-    fs.create(marker_path, False).close()
+    out = fs.create(marker_path, False)
+    out.write(bytearray(json.dumps({"appended": sorted(appended)}).encode("utf-8")))
+    out.close()
     return version, results
 
 
