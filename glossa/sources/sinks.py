@@ -116,7 +116,9 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
     union over all published versions, so a re-load never copies what is
     already stored.  ``contracts(tables) -> results`` runs on what readers
     would see; any FAIL leaves the version unmarked (invisible) and raises.
-    Published versions are never rewritten.
+    Published versions are never rewritten.  Versions are ordered by name: the
+    default names (``vYYYYMMDDTHHMMSS``) sort in publication order, and custom
+    names must too.
     """
     spark = next(iter(frames.values())).sparkSession
     version = version or f"v{time.strftime('%Y%m%dT%H%M%S')}"
