@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import mixing, quality, token_files
+from glossa.llm import mixing, quality, token_files, toxicity
 from glossa.llm.common import read_table
 
 #: The vocabulary of the token files: a parameter, never copied into the repository.
@@ -29,10 +29,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, labels).drop("row")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the clause grammar, learned from the labels that are not held out."""
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score(docs, labels)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as token files and read back: start, n_tokens and CRC-32 of the ids."""
     return token_files.token_digests(read_table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_quality, op5_token_files)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_quality, op4_toxicity, op5_token_files)}
 ORACLE_SQL: dict[str, str] = {}
