@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import mixing, quality, token_files, toxicity
+from glossa.llm import lz_fingerprint, mixing, quality, site_lines, token_files, toxicity
+from glossa.llm.oracle import ORACLE_SQL  # noqa: F401
 from glossa.llm.common import read_table
 
 #: The vocabulary of the token files: a parameter, never copied into the repository.
@@ -40,5 +41,15 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(read_table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_quality, op4_toxicity, op5_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's phrase fingerprint, next to its edited text's and its successor's."""
+    return lz_fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without the lines that are boilerplate of its host."""
+    return site_lines.dedup_lines(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_quality, op4_toxicity, op5_token_files,
+                                  op6_lz_fingerprint, op7_site_lines)}
