@@ -68,7 +68,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, nbytes: int = SLICE_BYT
 
 
 def text_array(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
+    """The texts without nulls, their bytes beginning at offset 0 (Arrow's case folding needs that)."""
+    texts = pc.fill_null(batch.column(name).cast(pa.large_string()), "")
+    if not len(texts):
+        return texts
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = data.slice(int(ends[0]), int(ends[-1] - ends[0])) if data is not None else pa.py_buffer(b"")
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), data)
 
 
 class Words:

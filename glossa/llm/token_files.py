@@ -13,7 +13,10 @@ document longer than FRAME_IDS ids has frames of its own and runs over as many a
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -37,48 +40,99 @@ FOOTER = struct.Struct("<IBI")
 
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("at", "<u4"), ("n_ids", "<u8")])
 FRAME_IDS = 1 << 16
-CACHED_WORDS = 400_000
-
-_cache: dict[str, tuple[object, dict[bytes, np.ndarray]]] = {}
-
-
-def _word_ids(vocab: list[bytes], tokenizer_path: str) -> list[np.ndarray]:
-    """Ids of each word, from a bounded per-process cache of words already encoded."""
-    from tokenizers import Tokenizer
-
-    if tokenizer_path not in _cache:
-        _cache[tokenizer_path] = (Tokenizer.from_file(tokenizer_path), {})
-    tokenizer, known = _cache[tokenizer_path]
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    new = [w for w in vocab if w not in known]
-    for i in range(0, len(new), 50_000):
-        part = new[i:i + 50_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-            known[w] = np.array(e.ids, np.uint32)
-    return [known[w] for w in vocab]
+CACHED_WORDS = 1_000_000
+SLICE = 6 << 20
+
+#: A word's end marks; behind an ASCII letter or digit they are always a piece of their own.  Fixed value.
+_MARKED = re.compile(rb"(.*[a-z0-9])([!\"#$%&()*+,\-./:;=?@\[\]\\^_`{}~]+)", re.DOTALL)
+
+
+class WordIds:
+    """Ids of the words met so far by this process, back to back in one array; forgotten beyond CACHED_WORDS."""
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.of: dict[bytes, int] = {}
+        self.flat, self.ends, self.count = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64), 0
+
+    def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Words with the ids of all of them back to back and where each one's end."""
+        n, at = len(words), self.ends[self.count]
+        while self.count + n + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while at + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[at:at + len(ids)] = ids
+        self.ends[self.count + 1:self.count + n + 1] = at + ends
+        self.of.update(zip(words, range(self.count, self.count + n)))
+        self.count += n
+
+    def learn(self, words: list[bytes]) -> None:
+        """Plain words are encoded many in one text, each being one piece of it; a marked word is its two pieces."""
+        new = [w for w in words if w not in self.of]
+        if self.count + 2 * len(new) > CACHED_WORDS:
+            self.forget()
+            new = words
+        pairs = {w: m.groups() for w in new if (m := _MARKED.fullmatch(w))}
+        pieces = [w for w in dict.fromkeys([*(w for w in new if w not in pairs), *(x for two in pairs.values() for x in two)]) if w not in self.of]
+        plain, other = [], []
+        for w in pieces:
+            (plain if _one_piece(w.decode()) else other).append(w)
+        for i in range(0, len(plain), 2_000):
+            part = plain[i:i + 2_000]
+            e = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
+            ends = np.searchsorted(np.array(e.word_ids), np.arange(len(part)), "right")
+            self._add(part, np.array(e.ids, np.uint32), ends)
+        for w in other:
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self._add([w], ids, np.array([len(ids)]))
+        marked = [w for w in pairs if w not in self.of]
+        at = np.array([self.of[x] for w in marked for x in pairs[w]], np.int64)
+        take, sizes = _ranges(self.ends[at], self.ends[at + 1])
+        self._add(marked, self.flat[take], np.cumsum(sizes)[1::2])
+
+
+def _one_piece(word: str) -> bool:
+    """Letters only, in the form that the vocabulary compares."""
+    return word.isascii() and word.isalpha() or word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every index of the ranges in turn, and the ranges' sizes."""
+    sizes = ends - starts
+    upto = np.cumsum(sizes)
+    return np.repeat(starts - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0), sizes
+
+
+_known: dict[str, WordIds] = {}
 
 
 def encode_texts(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds) of the texts, ``end_id`` after each.
 
-    The vocabulary drops white space and never merges across it, so a text's ids are those of its words in turn; each
-    different word is encoded once.
+    The vocabulary folds case, drops white space and never merges across it, so a text's ids are those of its words in
+    turn; each different word is encoded once.
     """
-    words = Words(texts)
-    of = _word_ids(words.vocab, tokenizer_path)
-    sizes = np.array([len(x) for x in of], np.int64)
-    flat = np.concatenate(of) if of else np.zeros(0, np.uint32)
-    starts = np.cumsum(sizes) - sizes
-    n = len(texts)
-    # one more "word" at the end of each text: the end id
-    flat, sizes, starts = np.append(flat, np.uint32(end_id)), np.append(sizes, 1), np.append(starts, len(flat))
-    codes = np.insert(words.codes, words.bounds[1:], len(of))
-    bounds = words.bounds + np.arange(n + 1)
-    each = sizes[codes]
-    ends = np.cumsum(each)
-    ids = flat[np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    return ids, np.concatenate([[0], ends])[bounds]
+    known = _known.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
+    _known[tokenizer_path] = known
+    words = Words(texts, lower=True)
+    vocab = words.vocab
+    known.learn(vocab)
+    at = np.fromiter(map(known.of.__getitem__, vocab), np.int64, len(vocab))
+    # one more "word" at the end of each text, one place for the end id
+    starts, ends = np.append(known.ends[at], 0), np.append(known.ends[at + 1], 1)
+    codes = np.insert(words.codes, words.bounds[1:], len(vocab))
+    take, sizes = _ranges(starts[codes], ends[codes])
+    ids = known.flat[take]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])[words.bounds + np.arange(len(texts) + 1)]
+    ids[bounds[1:] - 1] = end_id
+    return ids, bounds
 
 
 # --- one file ----------------------------------------------------------------------------------------------------
@@ -181,7 +235,7 @@ def _writer(root: str, tokenizer_path: str, end_id: int, level: int) -> Callable
         n = 0
         with system.open_output_stream(own) as out:
             file = FileWriter(out, level)
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", SLICE):
                 ids, bounds = encode_texts(text_array(batch, "text"), tokenizer_path, end_id)
                 for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                     file.add(doc_id, ids[bounds[i]:bounds[i + 1]])
