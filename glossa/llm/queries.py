@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import decontaminate, html_extract, lz_fingerprint, mixing, quality, site_lines, token_files, toxicity
+from glossa.llm import decontaminate, html_extract, lz_fingerprint, minhash_dedup, mixing, quality, site_lines, token_files, toxicity
 from glossa.llm.oracle import ORACLE_SQL  # noqa: F401
 from glossa.llm.common import read_table
 
@@ -19,6 +19,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at 75 % of common five-word shingles."""
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 3, 1, 2 to 150 % of their words: what the fair queue takes of each."""
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
@@ -61,5 +66,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_quality, op4_toxicity, op5_token_files,
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_mix_sources, op3_quality, op4_toxicity, op5_token_files,
                                   op6_lz_fingerprint, op7_site_lines, op8_html_extract, op10_decontaminate)}
