@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import decontaminate, html_extract, lz_fingerprint, minhash_dedup, mixing, quality, site_lines, token_files, toxicity
+from glossa.llm import decontaminate, html_extract, lz_fingerprint, minhash_dedup, mixing, quality, site_lines, substring_dedup, token_files, toxicity
 from glossa.llm.oracle import ORACLE_SQL  # noqa: F401
 from glossa.llm.common import read_table
 
@@ -61,10 +61,16 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that 13-word windows repeat from documents with smaller ids."""
+    return substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold passages of the benchmark, found by spaced seeds and verified around the hits."""
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_mix_sources, op3_quality, op4_toxicity, op5_token_files,
-                                  op6_lz_fingerprint, op7_site_lines, op8_html_extract, op10_decontaminate)}
+                                  op6_lz_fingerprint, op7_site_lines, op8_html_extract,
+                                  op9_substring_dedup, op10_decontaminate)}
