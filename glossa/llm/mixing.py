@@ -7,12 +7,13 @@ their targets at virtual time one, where the budget is used up.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import WORD, partitions, prefix_sums, stage
+from glossa.llm.common import WORD, prefix_sums, stage
 
 SEED = 17
 
@@ -87,3 +88,33 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
     # copy i of n gets an even part of what they take together
     copies = full.select("doc_id", "source", "size", "source_size", "target", share.alias("t"), "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
     return copies.select("doc_id", "size", "source_size", "target", (F.floor(F.col("t") * F.col("i") / F.col("n")) - F.floor(F.col("t") * (F.col("i") - 1) / F.col("n"))).cast("long").alias("taken"), "source")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text up to the end of its word number ``_words``."""
+    for batch in batches:
+        texts = []
+        for text, n in zip(batch.column("text").to_pylist(), batch.column("_words").to_pylist()):
+            raw = text.encode()
+            rest = raw.split(None, n)[n:]
+            texts.append((raw[:len(raw) - len(rest[0])] if rest else raw).rstrip(b" \t\n\x0b\x0c\r").decode())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, cap: int = 2, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix serves them, with their columns: a row for each whole serving of a document, and a row with
+    the first words of one that the mix cuts (its n_chars, if there is such a column, follows).
+
+    Documents that the mix doesn't reach are left out; rows alike in doc_id, source and words get the same servings.
+    """
+    key = ["doc_id", "source", "size"]
+    share = mix(docs, weights, budget, cap, seed).groupBy(*key).agg(F.min("taken").alias("_taken")).where("_taken > 0")
+    share = share.select(*[F.col(k).alias(f"_{k}") for k in key], "_taken")
+    sized = docs.withColumn("_own", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    met = sized.join(share, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_size")))
+    whole = met.withColumn("_times", F.floor(F.col("_taken") / F.col("_own"))).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)
+    part = met.withColumn("_words", F.col("_taken") % F.col("_own")).where("_words > 0").select(*docs.columns, "_words")
+    cut = part.mapInArrow(_cut, part.schema).drop("_words")
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return whole.union(cut.select(*docs.columns))
