@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
         from glossa.plans.load import load_export
         version, results = load_export(spark, args.export, args.root, args.format, args.import_date)
         print(f"published {version}")
-        results.orderBy("check", "subject").show(200, truncate=False)
+        for row in results.orderBy("check", "subject").toLocalIterator():
+            print(*row, sep=" | ")
         return 0
     if current_version(spark, args.root) is None:
         print(f"nothing published under {args.root}", file=sys.stderr)
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "contracts":
         from glossa.operators.contracts import gate, run_contracts
         results = run_contracts(tables)
-        results.orderBy("check", "subject").show(200, truncate=False)
+        for row in results.orderBy("check", "subject").toLocalIterator():
+            print(*row, sep=" | ")
         verdict = gate(results).first()
         print(f"checks={verdict.checks} failures={verdict.failures} warnings={verdict.warnings}")
         return 0 if verdict.publish else 2

@@ -108,13 +108,6 @@ def asset_format(kind) -> Column:
     return F.when(_c(kind) == "audio", F.lit("mp3")).otherwise(F.lit("jpg"))
 
 
-def translations(lemma_struct, note, lang) -> Column:
-    """Interference object built only for Italian rows."""
-    ls = _c(lemma_struct)
-    doc = json_object(standard_translation_EN=ls["en"], standard_translation_IT=ls["it"], note_culturale=_c(note))
-    return F.when(_c(lang) == "it", doc)
-
-
 def load_stamp(date: str | None = None) -> Column:
     """Load date; pass a fixed date for repeatable runs."""
     return F.lit(date).cast("date") if date else F.current_date()

@@ -65,9 +65,10 @@ def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ") -> Da
     grouped = named.groupBy("text_root").agg(F.count(F.lit(1)).alias("n_variants"),
                                              F.collect_list(entry).alias("names"))
     names = F.array_sort(F.col("names"))
-    expanded = F.flatten(F.transform(names, lambda e: F.array_repeat(e["variant_name"], e["n"].cast("int"))))
+    repeated = F.transform(names, lambda e: F.concat(F.repeat(F.concat(e["variant_name"], F.lit(sep)), (e["n"] - 1).cast("int")),
+                                                     e["variant_name"]))
     return (grouped.where((F.col("n_variants") > 1) & (F.size("names") > 0))
-                   .select("text_root", F.array_join(expanded, sep).alias("shared_by"))
+                   .select("text_root", F.array_join(repeated, sep).alias("shared_by"))
                    .orderBy("text_root"))
 
 
@@ -83,15 +84,6 @@ def ordered_string_agg(value, order, sep: str = ", "):
     return F.array_join(F.transform(items, lambda e: e["v"]), sep)
 
 
-def vocabulary(frames: Sequence[DataFrame], col: str) -> DataFrame:
-    """Distinct non-empty values of ``col`` over several frames, sorted (binary order)."""
-    values = None
-    for f in frames:
-        v = f.select(F.col(col)).where(present(col))
-        values = v if values is None else values.unionByName(v)
-    return values.distinct().orderBy(col)
-
-
 def feedback_by_cycle(log: DataFrame, with_source: bool = False) -> DataFrame:
     """Feedback rows per model, training cycle and severity (and source)."""
     keys = ["model_id", "training_cycle", "error_severity"] + (["feedback_source"] if with_source else [])

@@ -20,36 +20,17 @@ VIEW_COLUMNS = ("unit_id", "content_raw", "content_type", "cefr_level", "is_idio
                 "variant_confidence", "iso_code", "variant_name", "is_pivot", "tone_name", "theme")
 
 
-def outer_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` as an inner join plus the unmatched left rows.
-
-    When one key holds a large share of ``right`` (a unit with a third of all
-    links), the left outer join cannot split that key: AQE splits skewed
-    partitions only on the preserved side of an outer join.  An inner join can
-    be split on either side, and the unmatched rows come from an anti-join
-    against ``right``'s *distinct* keys, where the hot key is one row after
-    map-side aggregation.  Same rows, no unsplittable partition.
-    """
-    matched = left.join(right, key, "inner")
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
-    for c in right.columns:
-        if c != key:
-            unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    return matched.unionByName(unmatched.select(*matched.columns))
-
-
 def full_context(t: Mapping[str, DataFrame]) -> DataFrame:
     """H1 (C4): units with variant, tones and themes.
 
     Units without a variant drop (inner join); a unit with m tones and n
     themes gives m*n rows; unlinked units keep NULLs.  Each bridge meets its
     (broadcast) dimension first.  The tone x theme combinations are formed on
-    the narrow bridges (inner join, plus the one-sided remainders from
-    anti-joins on distinct keys), and the wide unit rows (with their text) meet
-    them once, through ``outer_join_split``: every join is an inner or anti
-    join, so AQE can split a unit that holds a large share of the links, and
-    the text side is shuffled on ``unit_id`` by one exchange used by both
-    branches.
+    narrow rows: both kinds by an inner join, one kind and none by anti-joins
+    on distinct ids.  The wide units (with their text) then meet them in one
+    inner join.  Every join is an inner or anti join, so AQE can split a unit
+    that holds a large share of the links, and the text is read and shuffled
+    once.
     """
     cu = t["content_unit"].select("unit_id", "content_raw", "content_type", "cefr_level", "is_idiom",
                                   "difficulty", "variant_confidence", "variant_id")
@@ -61,15 +42,15 @@ def full_context(t: Mapping[str, DataFrame]) -> DataFrame:
               .join(t["cultural_context_tag"].select("context_id", F.col("context_name").alias("theme")),
                     "context_id", "left")
               .select("unit_id", "theme"))
-    units = cu.join(lv, "variant_id")
-    # (unit, tone, theme) combinations on the narrow bridges: both kinds, tones only, themes only
-    tone_keys = tones.select("unit_id").distinct()
-    theme_keys = themes.select("unit_id").distinct()
+    none = F.lit(None).cast("string")
+    tone_keys, theme_keys = tones.select("unit_id").distinct(), themes.select("unit_id").distinct()
+    ids = t["content_unit"].select("unit_id").distinct()
+    unlinked = ids.join(tone_keys.union(theme_keys).distinct(), "unit_id", "left_anti")
     combos = (tones.join(themes, "unit_id")
-              .unionByName(tones.join(theme_keys, "unit_id", "left_anti").withColumn("theme", F.lit(None).cast("string")))
-              .unionByName(themes.join(tone_keys, "unit_id", "left_anti")
-                           .withColumn("tone_name", F.lit(None).cast("string"))))
-    return outer_join_split(units, combos, "unit_id").select(*VIEW_COLUMNS)
+              .unionByName(tones.join(theme_keys, "unit_id", "left_anti").withColumn("theme", none))
+              .unionByName(themes.join(tone_keys, "unit_id", "left_anti").withColumn("tone_name", none))
+              .unionByName(unlinked.withColumn("tone_name", none).withColumn("theme", none)))
+    return cu.join(lv, "variant_id").join(combos, "unit_id").select(*VIEW_COLUMNS)
 
 
 # Policy registry: (policy, table, database role, predicate on the JWT role claim).

@@ -1,54 +1,42 @@
 """Ordered first-wins deduplication (E5, E6, E7) and link dedup.
 
-``dropDuplicates`` keeps an arbitrary row.  Here the winner is the minimum of
-a struct whose leading fields are the order columns; ``min`` aggregates
-map-side first, so a key holding a third of all rows is reduced inside every
-map task before the shuffle instead of being sorted whole in one task.
+``dropDuplicates`` keeps an arbitrary row.  Here the winner's order value is
+the ``min`` of a primitive column per key (a hash aggregation that combines
+map-side, so a key holding a third of all rows is reduced inside every map
+task), and one join on key and order picks the winning rows.  No text enters
+an aggregate, and nothing is sorted before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import content_hash, fold
 
-
-def first_wins(df: DataFrame, key_cols: Sequence, order: Sequence) -> DataFrame:
-    """Keep per key the row that is first in ``order`` (ascending; must be a total order per key).
+def first_wins(df: DataFrame, key_cols: Sequence[str | Column], order: str | Column) -> DataFrame:
+    """Keep per key the row with the least ``order`` (a fixed-width column; keys and order identify a row).
 
     ``key_cols`` may be names or named Column expressions; the output has the
     key columns followed by all input columns that are not keys.
     """
-    keys = [F.col(k) if isinstance(k, str) else k for k in key_cols]
-    key_names = [k if isinstance(k, str) else None for k in key_cols]
-    order_exprs = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
-    payload = [c for c in df.columns if c not in key_names]
-    packed = F.struct(*order_exprs, *[F.col(c) for c in payload])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    out_keys = [c for c in agg.columns if c != "_first"]
-    return agg.select(*out_keys, *[F.col("_first").getField(c).alias(c) for c in payload])
-
-
-def dedup_by_hash(df: DataFrame, text: str = "content_raw", variant: str = "variant_id",
-                  order: Sequence = ("doc_pos", "variant_id"), hash_col: str = "content_hash") -> DataFrame:
-    """E5: first document wins per SHA-256(text || variant_id)."""
-    hashed = df.withColumn(hash_col, content_hash(text, variant))
-    return first_wins(hashed, [hash_col], order)
-
-
-def dedup_by_fold(df: DataFrame, text: str = "content_raw", variant: str = "variant_id",
-                  order: Sequence = ("doc_pos", "variant_id")) -> DataFrame:
-    """First wins per (lower(trim(text)), variant); the stored text is the first original."""
-    return first_wins(df, [fold(text).alias("_fold"), variant], order).drop("_fold")
+    keyed = df.select(*[k for k in key_cols if not isinstance(k, str)], "*")
+    added = [c for c in keyed.columns if c not in df.columns]
+    names = [k if isinstance(k, str) else None for k in key_cols]
+    spare = iter(added)
+    names = [n or next(spare) for n in names]
+    ordered = keyed.withColumn("_order", F.col(order) if isinstance(order, str) else order)
+    least = ordered.groupBy(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)]).agg(F.min("_order").alias("_least"))
+    same = [F.col(n).eqNullSafe(F.col(f"_k{i}")) for i, n in enumerate(names)]
+    won = ordered.join(least, [*same, F.col("_order").eqNullSafe(F.col("_least"))])
+    return won.select(*names, *[c for c in df.columns if c not in names])
 
 
 def dedup_media(df: DataFrame) -> DataFrame:
     """One asset per (unit_id, file_name); audio precedes image."""
     kind_rank = F.when(F.col("asset_type") == "audio", F.lit(0)).otherwise(F.lit(1))
-    return first_wins(df, ["unit_id", "file_name"], [kind_rank])
+    return first_wins(df, ["unit_id", "file_name"], kind_rank)
 
 
 def dedup_links(df: DataFrame, cols: Sequence[str] = ("unit_id", "tag_id")) -> DataFrame:

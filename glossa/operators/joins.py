@@ -16,23 +16,14 @@ from pyspark.sql import functions as F
 from glossa.operators.dimensions import Size, materialize, maybe_broadcast
 
 
-MAX_PRUNING_KEYS = 1000
-
-
 def audit_language_level(units: DataFrame, variants: DataFrame, variant_name: str, level: str) -> DataFrame:
     """B1 + C1: texts of one variant (by name) at one level; units without a variant drop out.
 
-    The ids of the named variant (a few rows of the variant dimension) also go
-    into an IN filter on the units, which Catalyst pushes below the joins that
-    build the units, so only that variant's rows reach any shuffle; the join
-    with the dimension still decides the result.
+    The level filter sinks to the scan; the filtered dimension keeps its size-checked broadcast hint.
     """
     lv = variants.where(F.col("variant_name") == variant_name).select("variant_id", "variant_name")
-    ids = [r[0] for r in lv.select("variant_id").distinct().limit(MAX_PRUNING_KEYS + 1).collect()]
-    picked = units.where(F.col("cefr_level") == level)
-    if len(ids) <= MAX_PRUNING_KEYS:
-        picked = picked.where(F.col("variant_id").isin(ids))
-    return picked.join(lv, "variant_id").select("content_raw", "variant_name", "cefr_level")
+    return (units.where(F.col("cefr_level") == level).join(lv, "variant_id")
+            .select("content_raw", "variant_name", "cefr_level"))
 
 
 def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | None = None) -> DataFrame:
@@ -122,11 +113,16 @@ def pivot_pairs(units: DataFrame, src_variant: int, pivot_variant: int, dst_vari
                 doc_col: str = "doc_id") -> DataFrame:
     """Source text -> pivot (English) -> target text of the same source document.
 
-    All three legs join on the document id (one shuffle key for every leg);
-    a document without a pivot or target text keeps NULLs (left joins).
+    One grouping by document brings its three legs together: the units are
+    read and shuffled once.  A document without a source text has no row; one
+    without a pivot or target text keeps NULLs.  A document has at most one
+    unit for each variant and text, so a group holds a document's own units.
     """
-    def leg(v, tag):
-        return units.where(F.col("variant_id") == v).select(
-            F.col(doc_col), F.col("unit_id").alias(f"{tag}_unit_id"), F.col("content_raw").alias(f"{tag}_text"))
-    return (leg(src_variant, "src").join(leg(pivot_variant, "pivot"), doc_col, "left")
-                                   .join(leg(dst_variant, "dst"), doc_col, "left"))
+    def leg(v):
+        return F.collect_list(F.when(F.col("variant_id") == v, F.struct("unit_id", "content_raw")))
+
+    legs = (units.where(F.col("variant_id").isin(src_variant, pivot_variant, dst_variant)).groupBy(doc_col)
+            .agg(leg(src_variant).alias("src"), leg(pivot_variant).alias("pivot"), leg(dst_variant).alias("dst")))
+    out = legs.withColumn("src", F.explode("src")).withColumn("pivot", F.explode_outer("pivot")).withColumn("dst", F.explode_outer("dst"))
+    return out.select(doc_col, *[F.col(f"{tag}.{c}").alias(f"{tag}_{n}") for tag in ("src", "pivot", "dst")
+                                 for c, n in (("unit_id", "unit_id"), ("content_raw", "text"))])

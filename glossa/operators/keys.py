@@ -1,5 +1,4 @@
-"""Key assignment: dense ids, vocabulary enumeration, key continuation and
-natural-key lookups (E3, E4, E8, C10)."""
+"""Key assignment: dense ids, vocabulary enumeration and key continuation."""
 
 from __future__ import annotations
 
@@ -9,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.operators.dedup import first_wins
-from glossa.operators.dimensions import MAX_BROADCAST_ROWS, checked_dimension, materialize, maybe_broadcast
+from glossa.operators.dimensions import checked_dimension, materialize
 
 
 def _cols(cols) -> list[Column]:
@@ -69,61 +68,29 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     """
     keys, order = list(key_cols), list(order_cols)
     narrow_cols = keys + [c for c in order + list(carry) if c not in keys]
-    narrow = first_wins(df.select(*narrow_cols), keys, order)
+    narrow = first_wins(df.select(*narrow_cols), keys, order[0])
     if exclude is not None:
         narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
     ids = assign_ids(narrow, order, id_col, start)
     join_cols = keys + [c for c in order if c not in keys]
-    return df.join(ids.select(*join_cols, id_col), join_cols), ids
+    numbered = ids.select(*[F.col(c).alias(f"_w_{c}") for c in join_cols], id_col)
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in join_cols]
+    return df.join(numbered, same).drop(*[f"_w_{c}" for c in join_cols]), ids
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,
-                     max_single: int = MAX_BROADCAST_ROWS, drop_blank: bool = True) -> tuple[DataFrame, int]:
-    """Distinct values of ``col`` numbered ``start..`` in binary order.
+                     drop_blank: bool = True) -> tuple[DataFrame, int]:
+    """Distinct values of ``col`` numbered ``start..`` in binary order, through ``assign_ids`` whatever their number.
 
-    NULL and '' are dropped unless ``drop_blank`` is False.  The distinct
-    values are materialised and counted first; a vocabulary within
-    ``max_single`` rows is numbered by one window over those rows, a larger
-    one through the distributed ``assign_ids``.  Returns (frame, size).
+    NULL and '' are dropped unless ``drop_blank`` is False.  Returns (frame, size).
     """
     values = df.select(F.col(col))
     if drop_blank:
         values = values.where(F.col(col).isNotNull() & (F.col(col) != F.lit("")))
-    vocab, n = checked_dimension(values.distinct())
-    if n <= max_single:
-        # the distinct values are already written and counted: numbering them again per use is one
-        # small single-partition window over at most max_single rows, cheaper than another write
-        numbered = vocab.select(
-            (F.row_number().over(Window.orderBy(F.col(col).asc_nulls_first())) + (start - 1)).cast("int").alias(id_col),
-            col)
-    else:
-        numbered = assign_ids(vocab, [F.col(col).asc_nulls_first()], id_col, start)
-        numbered = numbered.select(F.col(id_col).cast("int").alias(id_col), col)
-    return numbered, n
-
-
-def next_start(target: DataFrame, id_col: str) -> Column:
-    """The next id after the current maximum (1 for an empty table), as a scalar subquery-free column.
-
-    Returns the value computed by one aggregate; callers pass it as ``start``.
-    """
-    return F.lit(next_start_value(target, id_col))
+    numbered = assign_ids(values.distinct(), [F.col(col).asc_nulls_first()], id_col, start)
+    return checked_dimension(numbered.select(F.col(id_col).cast("int").alias(id_col), col))
 
 
 def next_start_value(target: DataFrame, id_col: str) -> int:
     row = target.agg(F.max(id_col).alias("m")).first()
     return int(row["m"] or 0) + 1
-
-
-def resolve_key(df: DataFrame, dim: DataFrame, natural: str, key: str, dim_rows: int | None = None,
-                how: str = "inner", left_natural: str | None = None) -> DataFrame:
-    """Natural key -> surrogate key through a dimension.
-
-    Unknown or NULL natural values find no match (no link with ``how='inner'``).
-    The dimension is broadcast when its checked size allows.
-    """
-    d = dim.select(F.col(natural).alias("_nat"), F.col(key))
-    if dim_rows is not None:
-        d = maybe_broadcast(d, dim_rows)
-    left = left_natural or natural
-    return df.join(d, F.col(left) == F.col("_nat"), how).drop("_nat")

@@ -147,12 +147,12 @@ def add_column(df: DataFrame, name: str, dtype: T.DataType | str, default=None)
 def prepare_variants(variants: DataFrame, order_col: str = "variant_id") -> DataFrame:
     """Normalise codes before writing, then keep the first row per normalised code."""
     normed = variants.withColumn("iso_code", normalize_iso("iso_code"))
-    return first_wins(normed, ["iso_code"], [order_col]).select(*variants.columns)
+    return first_wins(normed, ["iso_code"], order_col).select(*variants.columns)
 
 
 def enforce_vector_key(vectors: DataFrame, order_col: str = "vector_id") -> DataFrame:
     """I8: one vector per (unit, model), the first by ``order_col``."""
-    return first_wins(vectors, ["unit_id", "model_id"], [order_col]).select(*vectors.columns)
+    return first_wins(vectors, ["unit_id", "model_id"], order_col).select(*vectors.columns)
 
 
 def fallback_id(variants: DataFrame) -> int | None:

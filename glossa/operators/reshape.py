@@ -17,11 +17,6 @@ from glossa.schemas import DEFAULTS
 LANGS = (("it", 1), ("fi", 2), ("en", 3))
 
 
-def drop_missing(df: DataFrame, col: str) -> DataFrame:
-    """Drop rows whose ``col`` is NULL or empty; whitespace-only text is kept (no trim first)."""
-    return df.where(present(col))
-
-
 def unpivot_langs(df: DataFrame, text_prefix: str = "text_", langs: Sequence[tuple[str, int]] = LANGS,
                   extra_prefixes: Sequence[str] = (), out_text: str = "content_raw") -> DataFrame:
     """one row per (document, language); document attributes are copied.
@@ -87,8 +82,3 @@ def build_links(units: DataFrame, natural_col: str, vocab: DataFrame, vocab_key:
     v = vocab.select(F.col(vocab_key).alias("_v"), F.col(id_col))
     return (units.join(v, F.col(natural_col) == F.col("_v"))
                  .select("unit_id", id_col, score(F.lit(1.0)).alias(score_col)))
-
-
-def literal_rows(values: Sequence, name: str = "value"):
-    """F8: a literal array as rows (a Column generator)."""
-    return F.explode(F.array(*[F.lit(v) for v in values])).alias(name)

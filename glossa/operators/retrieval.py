@@ -1,11 +1,13 @@
 """Retrieval scope (L1-L3): per-model vector scope, exact batch top-k, context of the hits.
 
 The search is exact (brute force): every in-scope vector is scored against
-the query batch.  Queries are shipped to the tasks in chunks of a fixed
-maximum size (a proven bound), never as one unbounded broadcast.  Each partition scores its vectors with one matrix
-product (NumPy on Arrow batches) and keeps only its own k best per query,
-so at most k rows per query and partition are shuffled for the final
-ranking; no (query, vector) pair is ever a row.
+the queries, a block of them at a time.  A block's size follows from the
+dimension, so that neither its broadcast nor the scores of an Arrow batch
+exceed a fixed number of bytes; blocks are scored one after the other, and
+the driver holds one at a time.  Each partition scores its vectors with one
+matrix product and keeps only its own k best per query, so at most k rows per
+query and partition are shuffled for the final ranking; no (query, vector)
+pair is ever a row.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.operators.dimensions import materialize
 from glossa.operators.keys import assign_ids
 
 HIT_SCHEMA = "query_id long, vector_id long, unit_id long, score double"
@@ -27,18 +30,24 @@ def model_scope(vectors: DataFrame, model_id: int) -> DataFrame:
     return vectors.where(F.col("model_id") == model_id)
 
 
-def _score_chunk(scope: DataFrame, qpdf: pd.DataFrame, k: int) -> DataFrame:
-    """Per-partition candidates of one bounded query chunk (at most k per query, plus boundary ties)."""
-    qids = qpdf["query_id"].to_numpy(dtype=np.int64)
-    qmat = np.vstack([np.asarray(e, dtype=np.float64) for e in qpdf["embedding"]])
-    bq = scope.sparkSession.sparkContext.broadcast((qids, qmat))
+#: Bytes of a block's matrix, and of the scores of one step of a task.
+BLOCK_BYTES = 8 << 20
+STEP_BYTES = 32 << 20
+
+
+def block_size(dimension: int) -> int:
+    """Queries in a block: at most BLOCK_BYTES of doubles, and 512."""
+    return max(1, min(512, BLOCK_BYTES // (8 * max(dimension, 1))))
+
+
+def _score_block(scope: DataFrame, bq, k: int) -> DataFrame:
+    """Per-partition candidates of one broadcast block of queries (at most k per query, plus boundary ties)."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, mat = bq.value
         best: pd.DataFrame | None = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
+        step = max(1, STEP_BYTES // (8 * len(ids)))
+        for pdf in (batch.iloc[a:a + step] for batch in batches for a in range(0, len(batch), step)):
             emb = np.vstack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
             s = emb @ mat.T                                    # (vectors, queries)
             take = min(k, len(pdf))
@@ -63,26 +72,29 @@ def _score_chunk(scope: DataFrame, qpdf: pd.DataFrame, k: int) -> DataFrame:
 
 
 def similar(queries: DataFrame, vectors: DataFrame, k: int, model_id: int | None = None,
-            chunk_queries: int = 10_000) -> DataFrame:
+            block_queries: int | None = None) -> DataFrame:
     """L2: top-``k`` vectors per query by dot product; ties broken by vector id.
 
     ``queries(query_id, embedding)``; ``vectors(vector_id, unit_id, model_id, embedding)``.
-    The query set is written once and numbered densely; it is then scored in
-    chunks of at most ``chunk_queries`` queries, each shipped to the tasks as one
-    broadcast (a proven bound), so any number of queries is handled exactly:
-    every chunk is one scoring pass over the in-scope vectors.
+    The queries are numbered densely and scored in blocks (``block_size`` of
+    their dimension unless ``block_queries`` says otherwise): each is one
+    scoring pass over the in-scope vectors, whose candidates are written
+    before the next block is sent, so any number of queries is handled exactly.
     """
     scope = model_scope(vectors, model_id) if model_id is not None else vectors
+    spark = scope.sparkSession
     numbered = assign_ids(queries.select(F.col("query_id").cast("long"), "embedding"), ["query_id"], "_qn")
-    n = numbered.count()
+    n, dimension = numbered.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    size = block_queries or block_size(dimension or 1)
     candidates = None
-    for lo in range(0, n, chunk_queries):
-        chunk = (numbered.where((F.col("_qn") > lo) & (F.col("_qn") <= lo + chunk_queries))
-                         .select("query_id", "embedding").toPandas())
-        part = _score_chunk(scope, chunk, k)
+    for lo in range(0, n, size):
+        rows = numbered.where((F.col("_qn") > lo) & (F.col("_qn") <= lo + size)).select("query_id", "embedding").collect()
+        bq = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)))
+        part = materialize(_score_block(scope, bq, k))
+        bq.unpersist()
         candidates = part if candidates is None else candidates.unionByName(part)
     if candidates is None:
-        return scope.sparkSession.createDataFrame([], HIT_SCHEMA + ", rank long")
+        return spark.createDataFrame([], HIT_SCHEMA + ", rank long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vector_id"))
     return (candidates.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k))
 

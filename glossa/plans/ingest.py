@@ -97,11 +97,8 @@ class ContentBuild:
 
     @cached_property
     def survivors(self) -> DataFrame:
-        """E5: first row per content hash, no ids yet (when incremental: new hashes only, A4)."""
-        survivors = first_wins(self._candidates, ["content_hash"], ORDER)
-        if self.existing_units is not None:
-            survivors = survivors.join(self._stored_hashes, "content_hash", "left_anti")
-        return survivors
+        """E5: first row per content hash (when incremental: new hashes only, A4), found on narrow rows."""
+        return self._ided[0]
 
     @cached_property
     def _ided(self) -> tuple[DataFrame, DataFrame]:
@@ -187,7 +184,8 @@ class LexiconBuild:
     def lemmas(self) -> DataFrame:
         """E6 fold dedup, E4 ids, G13 part of speech, G20 interference object for Italian rows."""
         kept = self.langs.where(present("content_raw"))
-        firsts = first_wins(kept, [fold("content_raw").alias("_fold"), "variant_id"], ORDER)
+        # the key holds the variant, so the document's position orders the rows of a key
+        firsts = first_wins(kept, [fold("content_raw").alias("_fold"), "variant_id"], "doc_pos")
         start = 1
         if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
             stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), "variant_id")

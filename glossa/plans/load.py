@@ -22,7 +22,8 @@ from glossa.operators.keys import assign_ids, next_start_value
 from glossa.operators.maintain import with_defaults
 from glossa.plans.ingest import build_content, build_lexicon
 from glossa.schemas import MODEL_ROWS, PHRASE_DOC, TABLE_NAMES, TABLES, VARIANT_ROWS, VOCAB_DOC
-from glossa.sources.documents import flatten_phrases, flatten_vocabulary, read_docs
+from glossa.sources.documents import (drop_placeholders, flatten_phrases, flatten_vocabulary, read_docs,
+                                      require_positions)
 from glossa.sources.sinks import current_version, publish, read_current
 
 # Tables rewritten whole by every load (small); all other tables are append-only across versions.
@@ -56,6 +57,10 @@ def load_export(spark: SparkSession, path: str, root: str, fmt: str = "export",
     prev = current_version(spark, root)
     old = {t: read_current(spark, root, t) for t in TABLE_NAMES} if prev else {}
 
+    for docs in (phrases, vocab):
+        require_positions(docs)
+    # A2 comes first: a placeholder's register or theme is no vocabulary value
+    phrases, vocab = (drop_placeholders(d, [c for c in d.columns if c not in ("doc_pos", "doc_id")]) for d in (phrases, vocab))
     docs_regs = phrases.select("register", "theme_id").unionByName(vocab.select("register", "theme_id"))
     regs = _vocabulary_ids(docs_regs, "register", old.get("tone_marker"), "tone_name", "tone_id", "tone_id")
     themes = _vocabulary_ids(docs_regs, "theme_id", old.get("cultural_context_tag"), "context_name", "context_id",

@@ -15,7 +15,8 @@ from glossa.functions.scalars import content_hash, eligible, normalize_iso
 from glossa.operators import aggregates as agg
 from glossa.operators import context, contracts, joins, maintain, nested, retrieval
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
-from glossa.sources.bindings import Corpus, bound, docs_from, feedback_log_from
+from glossa.session import shuffle_partitions
+from glossa.sources.bindings import bound, docs_from, feedback_log_from
 from glossa.sources.documents import drop_placeholders
 from glossa.streaming import flows
 
@@ -51,25 +52,13 @@ def d4_shared_roots(spark, root):
     return agg.shared_roots(c.lemma, c.language_variant)
 
 
-_BUILDS: dict[int, tuple[Corpus, ContentBuild | None, LexiconBuild | None]] = {}
-
-
 def content(spark, root) -> ContentBuild:
     c = bound(spark, root)
-    corpus, cb, lb = _BUILDS.get(id(c), (c, None, None))
-    if cb is None or corpus is not c:
-        cb = build_content(c.docs, c.vocabulary_docs)
-        _BUILDS[id(c)] = (c, cb, lb if corpus is c else None)
-    return cb
+    return build_content(c.docs, c.vocabulary_docs)
 
 
 def lexicon(spark, root) -> LexiconBuild:
-    c = bound(spark, root)
-    corpus, cb, lb = _BUILDS.get(id(c), (c, None, None))
-    if lb is None or corpus is not c:
-        lb = build_lexicon(c.vocabulary_docs)
-        _BUILDS[id(c)] = (c, cb if corpus is c else None, lb)
-    return lb
+    return build_lexicon(bound(spark, root).vocabulary_docs)
 
 
 def a2_drop_placeholders(spark, root):
@@ -281,26 +270,35 @@ def i9_assign_variant(spark, root):
 
 
 def k1_ingest_stream(spark, root):
+    """The parts arrive in three files, one micro-batch each."""
     folder = flows.stream_folder(spark, "k1")
-    stream = docs_from(flows.read_stream(spark, root, "part"))
-    flows.run_available(stream, folder, batch_fn=flows.ingest_stream(stream, folder))
+    arrivals = flows.in_arrivals(bound(spark, root).raw("part"), f"{folder}/in", "part", "p_partkey")
+    stream = docs_from(flows.read_stream(spark, arrivals, "part", files_per_batch=1))
+    flows.run_available(stream, folder, batch_fn=flows.ingest_stream(stream, folder, shuffle_partitions(spark)))
     return spark.read.parquet(f"{folder}/content_unit").select("unit_id", "doc_id", "variant_id", "content_hash")
 
 
 def k2_feedback_stream(spark, root):
+    """The events arrive in three files, a micro-batch each.
+
+    Append mode: a day comes out once the watermark has passed its end, so the last open day is not in the result.
+    """
     folder = flows.stream_folder(spark, "k2")
-    log = feedback_log_from(flows.read_stream(spark, root, "events"))
+    arrivals = flows.in_arrivals(bound(spark, root).raw("events"), f"{folder}/in", "events", "ts")
+    log = feedback_log_from(flows.read_stream(spark, arrivals, "events", files_per_batch=1))
     parts = flows.state_partitions_for(spark, f"{root.rstrip('/')}/events.parquet")
     flows.run_available(flows.feedback_stream(log), folder, state_partitions=parts)
     return spark.read.parquet(f"{folder}/out")
 
 
 def k3_pending_vectors_stream(spark, root):
+    """The documents arrive in three files, a micro-batch each."""
     c = bound(spark, root)
     folder = flows.stream_folder(spark, "k3")
-    units = c.content_unit_from(flows.read_stream(spark, root, "documents"))
-    flows.run_available(flows.pending_vectors_stream(units, c.vector_index), folder)
-    return spark.read.parquet(f"{folder}/out")
+    arrivals = flows.in_arrivals(c.raw("documents"), f"{folder}/in", "documents", "doc_id")
+    units = c.content_unit_from(flows.read_stream(spark, arrivals, "documents", files_per_batch=1))
+    flows.run_available(units, folder, batch_fn=flows.pending_vectors(lambda: c.vector_index, f"{folder}/out"))
+    return spark.read.parquet(f"{folder}/out").drop("epoch")
 
 
 def l2_similar_top5(spark, root):

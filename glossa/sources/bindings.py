@@ -4,8 +4,8 @@ Each property is one lazily built DataFrame.  Small derived dimensions
 (language variants, context tags, the register/theme vocabularies) are
 materialised once to the checkpoint folder and size-checked before they are
 hinted for broadcast; literal dimensions are broadcast as they are.
-``bound(spark, root)`` memoises one binding per application and folder so
-the dimensions are not rebuilt for every query.
+A binding lives for one query, so dimensions and facts always come from the
+same state of the folder.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ class Corpus:
 
     @cached_property
     def _language_variant(self) -> tuple[DataFrame, int]:
-        codes, n = enumerate_values(self.raw("documents").select(F.col("lang").alias("iso_code")),
+        codes, n = enumerate_values(self.raw("documents").where("lang is not null").select(F.col("lang").alias("iso_code")),
                                     "iso_code", "variant_id", drop_blank=False)
         und = self.spark.createDataFrame([(FALLBACK_VARIANT_ID, "und")], "variant_id int, iso_code string")
         lv = codes.unionByName(und).select(
@@ -90,15 +90,16 @@ class Corpus:
         conf = (F.when(F.col("l.doc_id").isNull(), F.lit(None))
                  .when((q == 1) & (t == 0), 0.9).when(q == 1, 0.7).when(t == 0, 0.4).otherwise(0.0))
         doc_id = F.col("d.doc_id")
-        return (d.join(lv, F.col("v.iso_code") == F.col("d.lang"))
+        # a language the dimension does not hold, or none at all, falls back to 'und' (I9): no unit is lost
+        return (d.join(lv, F.col("v.iso_code") == F.col("d.lang"), "left")
                  .join(lab, F.col("l.doc_id") == doc_id, "left")
                  .select(doc_id.alias("unit_id"), F.col("d.text").alias("content_raw"),
                          F.lit("phrase").alias("content_type"), level.alias("cefr_level"),
                          (doc_id % 7 == 0).alias("is_idiom"), F.lit(None).cast("string").alias("difficulty"),
                          conf.cast("double").alias("variant_confidence"),
                          F.col("d.source").alias("source_origin"),
-                         F.when(doc_id % 40 == 39, F.lit(None)).otherwise(F.col("v.variant_id"))
-                          .cast("int").alias("variant_id")))
+                         F.when(doc_id % 40 == 39, F.lit(None))
+                          .otherwise(F.coalesce(F.col("v.variant_id"), F.lit(FALLBACK_VARIANT_ID))).cast("int").alias("variant_id")))
 
     @property
     def rel_content_tone(self) -> DataFrame:
@@ -223,14 +224,5 @@ def docs_from(part: DataFrame) -> DataFrame:
         F.concat(F.lit(" "), F.upper("p_name"), F.lit("?x "), "p_name", F.lit("  ?y "), "p_type").alias("synonyms"))
 
 
-_BOUND: dict[tuple[str, str], Corpus] = {}
-
-
 def bound(spark: SparkSession, root: str) -> Corpus:
-    key = (spark.sparkContext.applicationId, root.rstrip("/"))
-    corpus = _BOUND.get(key)
-    if corpus is None or corpus.spark is not spark:
-        corpus = _BOUND[key] = Corpus(spark, root)
-    return corpus
-
-
+    return Corpus(spark, root)

@@ -19,8 +19,8 @@ def read_docs(spark: SparkSession, path: str, collection: str, schema: T.StructT
               fmt: str = "jsonl") -> DataFrame:
     """A1: one row per document: ``doc_pos``, ``doc_id`` and the declared document fields.
 
-    ``fmt='jsonl'``: records carry ``doc_id`` (and ``doc_pos`` when the order
-    matters) next to the document fields.  ``fmt='export'``: the whole
+    ``fmt='jsonl'``: records carry ``doc_id`` and ``doc_pos`` next to the
+    document fields (``require_positions`` checks the latter).  ``fmt='export'``: the whole
     export object; ``doc_pos`` is the position of the key in the collection.
     A missing collection gives an empty frame.
     """
@@ -38,6 +38,12 @@ def read_docs(spark: SparkSession, path: str, collection: str, schema: T.StructT
                           *[F.col("_e.value").getField(f.name).alias(f.name) for f in schema.fields]))
 
 
+def require_positions(docs: DataFrame) -> None:
+    """Refuse documents without a position: which text wins, and every id, follows the documents' order."""
+    if not docs.where(F.col("doc_pos").isNull()).isEmpty():
+        raise ValueError("documents without doc_pos: JSON Lines records must carry their position")
+
+
 def drop_placeholders(df: DataFrame, payload_cols: list[str] | None = None) -> DataFrame:
     """A2: drop the ``init_doc`` placeholder and empty documents (every field NULL)."""
     cols = payload_cols or [c for c in df.columns if c not in ("doc_id", "doc_pos")]

@@ -25,12 +25,12 @@ from glossa.functions.scalars import eligible
 MARKER = "_PUBLISHED"
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence | None = None) -> DataFrame:
+def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """A4: the batch rows to append: first per key inside the batch, and only keys the target lacks.
 
     (``INSERT ... ON CONFLICT (key) DO NOTHING``: the stored row is untouched.)
     """
-    b = first_wins(batch, list(keys), list(order)) if order else batch.dropDuplicates(list(keys))
+    b = first_wins(batch, list(keys), order) if order else batch.dropDuplicates(list(keys))
     b = b.select(*batch.columns)
     return b.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
@@ -124,6 +124,9 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
     version = version or f"v{time.strftime('%Y%m%dT%H%M%S')}"
     base = f"{root.rstrip('/')}/{version}"
     fs, marker_path = _fs(spark, f"{base}/{MARKER}")
+    newest = max(_published_versions(spark, root), default="")
+    if version < newest:  # readers take the version that sorts last
+        raise ValueError(f"{version} sorts before the published {newest}")
     if fs.exists(marker_path):  # published versions are immutable: readers may be using them
         raise FileExistsError(f"{version} is already published under {root}")
     for name, df in frames.items():
@@ -144,9 +147,12 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
                          if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{v}/{name}"))] + paths
             written[name] = spark.read.parquet(*paths)
         results = contracts(written)
-        failures = results.where(F.col("status").startswith("FAIL")).limit(20).collect()
+        # every result is kept beside the version; the error names the folder and the number of failures
+        results.write.mode("overwrite").parquet(f"{base}/_contracts")
+        results = spark.read.schema(results.schema).parquet(f"{base}/_contracts")
+        failures = results.where(F.col("status").startswith("FAIL")).groupBy("check").count().orderBy("check").collect()
         if failures:
-            raise RuntimeError(f"contracts failed, {version} not published: {[tuple(r) for r in failures]}")
+            raise RuntimeError(f"contracts failed, {version} not published: {[tuple(r) for r in failures]}; all results in {base}/_contracts")
     out = fs.create(marker_path, False)
     out.write(bytearray(json.dumps({"appended": sorted(appended)}).encode("utf-8")))
     out.close()

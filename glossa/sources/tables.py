@@ -40,20 +40,3 @@ DRIVER_SCHEMAS: dict[str, T.StructType] = {
 
 def read_driver_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def load_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
-    """A10: the corpus tables stored as Parquet folders ``root/<table>``, read with their declared schema.
-
-    Missing tables are simply absent from the result (contracts report them).
-    """
-    out = {}
-    for name in names or TABLES:
-        path = f"{root.rstrip('/')}/{name}"
-        try:
-            out[name] = spark.read.schema(TABLES[name]).parquet(path)
-        except Exception as exc:  # AnalysisException: path does not exist
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                continue
-            raise
-    return out

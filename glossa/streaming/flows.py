@@ -7,8 +7,8 @@
 * K2 ``feedback_stream``: feedback rows rolled up per day, model and
   severity with an event-time watermark; append mode emits a day once the
   watermark has passed its end, and the state holds one row per open group.
-* K3 ``pending_vectors_stream``: units still without a vector, as a
-  stream-static anti-join against the vector index.
+* K3 ``pending_vectors``: units still without a vector, an anti-join of every
+  micro-batch against the vector index as it then is.
 
 Sinks are Parquet folders with their checkpoint next to them, both under a
 shared folder (the session's checkpoint folder by default).
@@ -17,6 +17,7 @@ shared folder (the session's checkpoint folder by default).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,31 @@ def stream_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/glossa-streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_stream(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The driver table as a file stream (the glob lets a single-file table act as a source)."""
+def read_stream(spark: SparkSession, root: str, table: str, files_per_batch: int | None = None) -> DataFrame:
+    """The driver table as a file stream (the glob lets a single-file table act as a source).
+
+    ``files_per_batch`` bounds a micro-batch, so a backlog never becomes one batch.
+    """
     from glossa.sources.tables import DRIVER_SCHEMAS
-    return spark.readStream.schema(DRIVER_SCHEMAS[table]).parquet(f"{root.rstrip('/')}/{table}.parq[u]et")
+    reader = spark.readStream.schema(DRIVER_SCHEMAS[table])
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{root.rstrip('/')}/{table}.parq[u]et")
+
+
+def in_arrivals(df: DataFrame, folder: str, table: str, order: str, arrivals: int = 3) -> str:
+    """``df`` written to ``folder`` as ``arrivals`` files that arrive one after the other, in ranges of ``order``."""
+    bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+    span = (bounds["hi"] - bounds["lo"]) / arrivals if bounds["lo"] is not None else 0
+    for k in range(arrivals):
+        here = F.lit(True)
+        if bounds["lo"] is not None:
+            kind = df.schema[order].dataType
+            lo, hi = (F.lit(bounds["lo"] + i * span).cast(kind) for i in (k, k + 1))
+            here = (F.col(order) >= lo if k else F.lit(True)) & (F.col(order) < hi if k + 1 < arrivals else F.lit(True))
+        part = df.where(here)
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/{table}.parquet")
+    return folder
 
 
 def run_available(df: DataFrame, folder: str, mode: str = "append", batch_fn=None,
@@ -70,17 +92,16 @@ def run_available(df: DataFrame, folder: str, mode: str = "append", batch_fn=Non
 
 
 def state_partitions_for(spark: SparkSession, path: str, bytes_per_partition: int = 128 << 20) -> int:
-    """State partitions for a stream over ``path``: one per ``bytes_per_partition`` of input, at least 1,
-    at most the session's shuffle partitions (a driver-side listing of file sizes, no data read)."""
+    """State partitions for a stream over ``path``: one per ``bytes_per_partition`` of input, at least 1
+    (a driver-side listing of file sizes, no data read)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     size = fs.getContentSummary(p).getLength() if fs.exists(p) else 0
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, -(-size // bytes_per_partition)))
+    return max(1, -(-size // bytes_per_partition))
 
 
-def hash_bucket(col: str = "content_hash", n_buckets: int = 16) -> Column:
+def hash_bucket(col: str = "content_hash", *, n_buckets: int) -> Column:
     """Bucket of a hex hash: its leading 64 bits modulo ``n_buckets`` (letter-prefixed, so the
     partition values always read back as text)."""
     lead = F.conv(F.substring(col, 1, 15), 16, 10).cast("long")
@@ -99,50 +120,40 @@ def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
-def ingest_stream(docs: DataFrame, target: str, n_buckets: int = 16) -> callable:
+def ingest_stream(docs: DataFrame, target: str, n_buckets: int) -> callable:
     """K1: the ``foreachBatch`` function that appends each batch's new units to ``target/content_unit``.
 
-    Work per micro-batch is proportional to the batch, not to the stored table:
+    A unit is stored if its hash is not stored yet, whatever epoch or stream
+    run it arrives in: a replayed batch appends nothing, and a stream started
+    anew on an existing target (its epochs begin at 0 again) loses nothing.
 
-    * stored units are partitioned by ``n_buckets`` hash buckets; the
-      insert-if-absent anti-join reads only the buckets the batch's hashes fall
-      into (partition pruning; the bucket list has at most ``n_buckets`` values);
-    * the id high-water mark lives in ``target/_progress`` (one row per committed
-      epoch), so no pass over all stored ids is needed.
-
-    Replays are idempotent: a committed epoch is skipped; an epoch whose units were
-    written before a crash finds its hashes stored (nothing is appended twice) and
-    records their maximum id, so later epochs never reuse an id.
+    Stored units are partitioned by ``n_buckets`` hash buckets, and the
+    anti-join reads only the buckets the batch's hashes fall into.  The id
+    high-water mark lives in ``target/_progress``: a batch reserves its ids
+    there before it writes its units, so a crash in between can leave a gap
+    in the ids but never uses one twice.
     """
     units_path, progress_path = f"{target}/content_unit", f"{target}/_progress"
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         progress = _read_or_none(spark, progress_path, "epoch long, max_unit_id long")
-        prev_max = 0
-        if progress is not None:
-            if progress.where(F.col("epoch") == epoch_id).limit(1).count() > 0:
-                return  # this epoch was committed by an earlier attempt
-            prev_max = progress.agg(F.max("max_unit_id").alias("m")).first()["m"] or 0
-        built = build_content(batch, start=prev_max + 1)
-        buckets = [r[0] for r in built._candidates.select(hash_bucket(n_buckets=n_buckets).alias("b"))
-                   .distinct().collect()]
+        reserved = 0 if progress is None else progress.agg(F.max("max_unit_id").alias("m")).first()["m"] or 0
         stored = _read_or_none(spark, units_path)
         seen = None
-        if stored is not None and buckets:
+        if stored is not None:
+            buckets = [r[0] for r in build_content(batch)._candidates.select(hash_bucket(n_buckets=n_buckets).alias("b"))
+                       .distinct().collect()]  # at most n_buckets values
             seen = stored.where(F.col("hash_bucket").isin(buckets)).select("content_hash", "unit_id")
-            built = build_content(batch, existing_units=seen, start=prev_max + 1)
-        new_units = built.units.select(*UNIT_COLUMNS).withColumn("hash_bucket", hash_bucket(n_buckets=n_buckets))
-        # one task per bucket: each batch adds at most one file per bucket
-        new_units.repartition("hash_bucket").write.mode("append").partitionBy("hash_bucket").parquet(units_path)
-        n_new = built.unit_keys.count()  # ids are dense from prev_max + 1 (narrow frame, already written)
-        new_max = prev_max + n_new
-        if seen is not None:  # ids written by a crashed attempt of this same epoch
-            hashes = built._candidates.select("content_hash").distinct()
-            again = seen.join(hashes, "content_hash", "left_semi").agg(F.max("unit_id").alias("m")).first()["m"]
-            new_max = max(new_max, again or 0)
-        spark.createDataFrame([(epoch_id, max(prev_max, new_max))], "epoch long, max_unit_id long") \
+        built = build_content(batch, existing_units=seen, start=reserved + 1)
+        n_new = built.unit_keys.count()  # narrow frame, already written; ids are dense from reserved + 1
+        if not n_new:
+            return
+        spark.createDataFrame([(epoch_id, reserved + n_new)], "epoch long, max_unit_id long") \
             .write.mode("append").parquet(progress_path)
+        new_units = built.units.select(*UNIT_COLUMNS).withColumn("hash_bucket", hash_bucket(n_buckets=n_buckets))
+        # rebalance gathers a bucket's rows into few files, and splits a bucket too large for one task
+        new_units.hint("rebalance", "hash_bucket").write.mode("append").partitionBy("hash_bucket").parquet(units_path)
 
     return load
 
@@ -163,6 +174,15 @@ def feedback_stream(log: DataFrame, delay: str = "1 hour", window: str = "1 day"
                        "model_id", "error_severity", "n_feedback"))
 
 
-def pending_vectors_stream(units: DataFrame, vectors: DataFrame) -> DataFrame:
-    """K3: streamed units that have no vector (NOT IN semantics against the static index)."""
-    return not_in(units.select("unit_id", "content_raw"), vectors, "unit_id")
+def pending_vectors(vectors: Callable[[], DataFrame], out: str) -> callable:
+    """K3: the ``foreachBatch`` function that writes the batch's units without a vector to ``out``.
+
+    ``vectors()`` is read anew for every batch, so both the index and the NULL
+    rule of NOT IN are those of the batch's own time.  A batch owns one folder
+    and rewrites it when it is replayed.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        not_in(batch.select("unit_id", "content_raw"), vectors(), "unit_id") \
+            .write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
+
+    return write

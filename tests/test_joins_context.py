@@ -118,11 +118,11 @@ def test_similar_top_k_is_exact_with_ties(spark):
     assert got == [(1, 0), (2, 2), (3, 4)]  # ten vectors tie at the top score: smallest ids win
 
 
-def test_similar_handles_any_number_of_queries_in_chunks(spark):
+def test_similar_handles_any_number_of_queries_in_blocks(spark):
     from glossa.operators.retrieval import similar
     vecs = spark.createDataFrame([(i, i, 1, [float(i % 7), 1.0]) for i in range(30)],
                                  "vector_id long, unit_id long, model_id int, embedding array<float>")
     queries = spark.createDataFrame([(q, [1.0, float(q)]) for q in range(5)], "query_id long, embedding array<double>")
     one = {(r.query_id, r["rank"], r.vector_id) for r in similar(queries, vecs, 2).collect()}
-    chunked = {(r.query_id, r["rank"], r.vector_id) for r in similar(queries, vecs, 2, chunk_queries=2).collect()}
+    chunked = {(r.query_id, r["rank"], r.vector_id) for r in similar(queries, vecs, 2, block_queries=2).collect()}
     assert one == chunked and len(one) == 10

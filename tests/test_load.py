@@ -84,3 +84,33 @@ def test_jsonl_reader_matches_export_reader(spark, tmp_dir):
     def rows(df):
         return sorted(map(str, df.collect()))
     assert rows(from_lines) == rows(from_export)
+
+
+def test_placeholder_vocabulary_values_get_no_id(spark, tmp_dir):
+    export = json.loads(json.dumps(EXPORT))
+    export["phrases"]["init_doc"] |= {"register": "aaa_placeholder", "themeId": "aaa_theme"}
+    root = f"{tmp_dir}/corpus"
+    load_export(spark, _write(tmp_dir, "p", export), root, import_date="2026-01-01", version="v1")
+    tones = {r.tone_name: r.tone_id for r in read_current(spark, root, "tone_marker").collect()}
+    assert tones == {"formale": 1, "informale": 2, "neutro": 3}
+    assert read_current(spark, root, "cultural_context_tag").where("context_name = 'aaa_theme'").isEmpty()
+
+
+def test_json_lines_without_positions_are_refused(spark, tmp_dir):
+    import pytest
+
+    path = f"{tmp_dir}/lines.jsonl"
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(json.dumps({"doc_id": "p1", "text": {"it": "uno"}, "register": "formale"}) + "\n")
+    with pytest.raises(ValueError, match="doc_pos"):
+        load_export(spark, path, f"{tmp_dir}/corpus", fmt="jsonl")
+
+
+def test_versions_must_sort_in_publication_order(spark, tmp_dir):
+    import pytest
+
+    root = f"{tmp_dir}/corpus"
+    path = _write(tmp_dir, "e", EXPORT)
+    load_export(spark, path, root, import_date="2026-01-01", version="v2")
+    with pytest.raises(ValueError, match="sorts before"):
+        load_export(spark, path, root, import_date="2026-01-01", version="v10")

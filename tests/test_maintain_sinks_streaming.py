@@ -85,7 +85,7 @@ def test_prepare_variants_and_vector_key(spark):
 def test_insert_if_absent_and_load_report(spark):
     target = spark.createDataFrame([("h1", 1)], "content_hash string, pos int")
     batch = spark.createDataFrame([("h1", 5), ("h2", 7), ("h2", 6)], "content_hash string, pos int")
-    new = sinks.insert_if_absent(target, batch, ["content_hash"], ["pos"])
+    new = sinks.insert_if_absent(target, batch, ["content_hash"], "pos")
     assert [tuple(r) for r in new.collect()] == [("h2", 6)]
     rep = {(r.target, r.kind): r.rows for r in sinks.load_report({"units": new}, {"units": batch}).collect()}
     assert rep == {("units", "written"): 1, ("units", "skipped"): 3}
@@ -121,27 +121,38 @@ def test_stream_ingest_replay_appends_nothing(spark, tmp_dir):
     target = f"{tmp_dir}/target"
     for attempt in range(2):  # the second run uses a fresh checkpoint: a full replay
         stream = spark.readStream.schema(schema).parquet(src)
-        flows.run_available(stream, f"{tmp_dir}/run{attempt}", batch_fn=flows.ingest_stream(stream, target))
+        flows.run_available(stream, f"{tmp_dir}/run{attempt}", batch_fn=flows.ingest_stream(stream, target, 4))
     units = spark.read.parquet(f"{target}/content_unit")
     assert sorted((r.unit_id, r.content_raw, r.variant_id) for r in units.collect()) == \
         [(1, "x", 1), (2, "y", 2), (3, "z", 3)]
 
 
-def test_stream_ingest_epochs_continue_ids_and_skip_committed(spark, tmp_dir):
+def test_stream_ingest_continues_ids_and_replays_append_nothing(spark, tmp_dir):
     schema = "doc_pos long, doc_id string, text_it string, text_fi string, text_en string"
     a = spark.createDataFrame([(1, "a", "x", "y", None)], schema)
     ab = spark.createDataFrame([(1, "a", "x", "y", None), (2, "b", "z", None, None)], schema)
     target = f"{tmp_dir}/t"
-    load = flows.ingest_stream(a, target)
+    load = flows.ingest_stream(a, target, 4)
     load(a, 0)
     load(ab, 1)
-    load(ab, 1)  # replay of a committed epoch: nothing happens
+    load(ab, 1)  # a replay: every hash is stored
     units = sorted((r.unit_id, r.content_raw) for r in spark.read.parquet(f"{target}/content_unit").collect())
     assert units == [(1, "x"), (2, "y"), (3, "z")]
     progress = sorted(tuple(r) for r in spark.read.parquet(f"{target}/_progress").collect())
     assert progress == [(0, 2), (1, 3)]
 
 
+def test_stream_ingest_restarted_epochs_lose_nothing(spark, tmp_dir):
+    """A new checkpoint begins at epoch 0 again; its documents are new all the same."""
+    schema = "doc_pos long, doc_id string, text_it string, text_fi string, text_en string"
+    target = f"{tmp_dir}/t"
+    for pos, text in ((1, "a"), (2, "c")):
+        docs = spark.createDataFrame([(pos, f"d{pos}", text, None, None)], schema)
+        flows.ingest_stream(docs, target, 4)(docs, 0)
+    units = sorted((r.unit_id, r.content_raw) for r in spark.read.parquet(f"{target}/content_unit").collect())
+    assert units == [(1, "a"), (2, "c")]
+
+
 def test_feedback_stream_watermark_drops_late_rows(spark, tmp_dir):
     import datetime as dt
 
