@@ -39,7 +39,12 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more."""
+    """Delete staged tables that nothing reads any more, and let Spark's cleaner drop finished jobs' shuffle files.
+
+    The cleaner waits for the driver's garbage collection, which a driver with little to do may put off for long.
+    """
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
     for df in frames:
         path = getattr(df, "_staged_path", None)
         if path:

@@ -24,8 +24,8 @@ from glossa.llm.common import Words, mix64, release, slices, stage, text_array,
 
 WINDOW = 13
 #: Text that one bucket of edges stands for: bounds the memory of a task that sorts a bucket.
-BUCKET_BYTES = 16 << 20
-SLICE = 8 << 20
+BUCKET_BYTES = 6 << 20
+SLICE = 6 << 20
 CHECK_SEED = 77
 
 ROWS = "kind int, bucket long, slice long, doc_id long, text_key long, idx long, packed binary"
@@ -38,7 +38,7 @@ def pack(**columns: np.ndarray) -> bytes:
     n = len(next(iter(columns.values())))
     parts = [np.array([n], np.int64).tobytes()]
     for x in columns.values():
-        parts.append(np.ascontiguousarray(np.asarray(x).view(np.uint8).reshape(n, -1).T).tobytes())
+        parts.append(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(n, x.dtype.itemsize).T).tobytes())
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -72,7 +72,8 @@ def _edges(buckets: int) -> Callable:
         for batch in slices(batches, "text", SLICE):
             batch = batch.take(pa.array(np.argsort(batch.column("doc_id").to_numpy(), kind="stable")))
             ids = batch.column("doc_id").to_numpy()
-            yield _rows(DOCUMENT, len(ids), slice=np.full(len(ids), number), doc_id=ids, text_key=batch.column("text_key"), idx=np.arange(len(ids)))
+            any_bucket = hash(number) % buckets  # what only passes through the shuffle is spread by its slice
+            yield _rows(DOCUMENT, len(ids), bucket=np.full(len(ids), any_bucket), slice=np.full(len(ids), number), doc_id=ids, text_key=batch.column("text_key"), idx=np.arange(len(ids)))
             words = Words(text_array(batch, "text"))
             count = np.maximum(np.diff(words.bounds) - WINDOW + 1, 0)
             doc = np.repeat(np.arange(len(ids)), count)
@@ -85,7 +86,7 @@ def _edges(buckets: int) -> Callable:
             known = ids[doc] > ids[doc[source]]  # repeated inside the slice: answered here
             if known.any():
                 s = source[known]
-                yield _rows(REPEATS, 1, slice=[number], packed=[pack(idx=doc[known].astype("<u4"), at=at[known].astype("<u4"), source_slice=np.full(len(s), number, "<i8"),
+                yield _rows(REPEATS, 1, bucket=[any_bucket], slice=[number], packed=[pack(idx=doc[known].astype("<u4"), at=at[known].astype("<u4"), source_slice=np.full(len(s), number, "<i8"),
                                                                     source_idx=doc[s].astype("<u4"), source_at=at[s].astype("<u4"))])
             h, doc, at = h[~known], doc[~known], at[~known]
             bucket = (h // width).astype(np.int64)
@@ -111,48 +112,70 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
     """(key, [(slice, packed)]) of each run of equal keys."""
     last, held = None, []
     for batch in batches:
-        for k, s, p in zip(*(batch.column(c).to_pylist() for c in (key, "slice", "packed"))):
+        keys, numbers, packed = (batch.column(c) for c in (key, "slice", "packed"))
+        for i in range(batch.num_rows):
+            k = keys[i].as_py()
             if held and k != last:
                 yield last, held
                 held = []
             last = k
-            held.append((s, p))
+            held.append((numbers[i].as_py(), packed[i].as_py()))
     if held:
         yield last, held
 
 
+def _edge_rows(batches: Iterator[pa.RecordBatch], others: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of each batch; its other rows are put into ``others``."""
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        if (kinds != EDGES).any():
+            others.append(batch.filter(pa.array(kinds != EDGES)))
+        if (kinds == EDGES).any():
+            yield batch.filter(pa.array(kinds == EDGES))
+
+
 def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each slice the addresses of its repeated edges in a bucket, with their sources'."""
-    for _, parts in _groups(batches, "bucket"):
-        if len(parts) < 2:
-            continue
-        columns: dict[str, list[np.ndarray]] = {c: [] for c in ("h", "doc_id", "slice", "idx", "at")}
-        for number, packed in parts:
-            size = int(np.frombuffer(packed[:4], "<u4")[0])
-            head, e = unpack(packed[4:4 + size], idx="<u4", doc_id="<i8"), unpack(packed[4 + size:], **EDGE)
-            columns["h"].append(np.cumsum(e["step"], dtype=np.uint64)), columns["at"].append(e["at"])
-            columns["doc_id"].append(head["doc_id"][e["doc"]]), columns["idx"].append(head["idx"][e["doc"]])
-            columns["slice"].append(np.full(len(e["at"]), number, np.int64))
-        h, doc_id, number, idx, at = (np.concatenate(columns[c]) for c in ("h", "doc_id", "slice", "idx", "at"))
-        order = np.argsort(h, kind="stable")
-        h, doc_id, number, idx, at = h[order], doc_id[order], number[order], idx[order], at[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        sizes = np.diff(np.append(first, len(h)))
-        least = np.minimum.reduceat(doc_id, first)
-        # the first row of each edge that is in the least document
-        of = np.repeat(np.arange(len(first)), sizes)
-        rows = np.flatnonzero(doc_id == least[of])
-        source = rows[np.unique(of[rows], return_index=True)[1]]
-        again = np.flatnonzero(doc_id > least[of])
-        again = again[np.argsort(number[again], kind="stable")]
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], np.diff(number[again]) != 0])) if len(again) else np.zeros(0, int), len(again))
-        out = []
-        for a, b in zip(cuts, cuts[1:]):
-            k = again[a:b]
-            s = source[of[k]]
-            out.append((int(number[k[0]]), pack(idx=idx[k], at=at[k], source_slice=number[s].astype("<i8"), source_idx=idx[s], source_at=at[s])))
-        if out:
-            yield _rows(REPEATS, len(out), slice=[k for k, _ in out], packed=[p for _, p in out]).select(["slice", "packed"])
+    """For each slice the addresses of its repeated edges in a bucket, with their sources'; other rows pass."""
+    others: list[pa.RecordBatch] = []
+    for _, parts in _groups(_edge_rows(batches, others), "bucket"):
+        yield from others
+        others.clear()
+        if len(parts) > 1:
+            yield from _answers(parts)
+    yield from others
+
+
+def _answers(parts: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    columns: dict[str, list[np.ndarray]] = {c: [] for c in ("h", "doc_id", "slice", "idx", "at")}
+    for number, packed in parts:
+        size = int(np.frombuffer(packed[:4], "<u4")[0])
+        head, e = unpack(packed[4:4 + size], idx="<u4", doc_id="<i8"), unpack(packed[4 + size:], **EDGE)
+        columns["h"].append(np.cumsum(e["step"], dtype=np.uint64)), columns["at"].append(e["at"])
+        columns["doc_id"].append(head["doc_id"][e["doc"]]), columns["idx"].append(head["idx"][e["doc"]])
+        columns["slice"].append(np.full(len(e["at"]), number, np.int64))
+    h, doc_id, number, idx, at = (np.concatenate(columns.pop(c)) for c in ("h", "doc_id", "slice", "idx", "at"))
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    sizes = np.diff(np.append(first, len(h)))
+    # single edges are no repeats: go on with the others alone
+    more = np.repeat(sizes > 1, sizes)
+    order, sizes = order[more], sizes[sizes > 1]
+    if not len(order):
+        return
+    doc_id, number, idx, at = doc_id[order], number[order], idx[order], at[order]
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    least = np.minimum.reduceat(doc_id, np.cumsum(sizes) - sizes)
+    # the first row of each edge that is in the least document
+    rows = np.flatnonzero(doc_id == least[of])
+    source = rows[np.unique(of[rows], return_index=True)[1]]
+    again = np.flatnonzero(doc_id > least[of])
+    again = again[np.argsort(number[again], kind="stable")]
+    cuts = np.append(np.flatnonzero(np.concatenate([[True], np.diff(number[again]) != 0])) if len(again) else np.zeros(0, int), len(again))
+    for a, b in zip(cuts, cuts[1:]):
+        k = again[a:b]
+        s = source[of[k]]
+        yield _rows(REPEATS, 1, slice=[int(number[k[0]])], packed=[pack(idx=idx[k], at=at[k], source_slice=number[s].astype("<i8"), source_idx=idx[s], source_at=at[s])])
 
 
 RUN = "slice long, idx long, start long, n long, source_slice long, source_idx long, source_start long"
@@ -208,13 +231,18 @@ def _ordered(words: np.ndarray) -> np.ndarray:
 
 
 def repeated_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(runs, addresses): the compacted runs of repeated windows, and the doc_id and text_key behind (slice, idx)."""
+    """(runs, addresses), staged: the compacted runs of repeated windows, and the doc_id and text_key behind (slice, idx).
+
+    The edges cross the network once and are never written; what is kept is the answers.
+    """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    found = stage(docs.where("doc_id is not null").select("doc_id", "text_key", "text").mapInArrow(_edges(max(1, -(-size // BUCKET_BYTES))), ROWS), "edges")
-    edges = found.where(F.col("kind") == EDGES).select("bucket", "slice", "packed").repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    answers = edges.mapInArrow(_sources, "slice long, packed binary").union(found.where(F.col("kind") == REPEATS).select("slice", "packed"))
-    runs = answers.repartition(F.col("slice")).sortWithinPartitions("slice").mapInArrow(_compact, RUN)
-    return runs, found
+    edges = docs.where("doc_id is not null").select("doc_id", "text_key", "text").mapInArrow(_edges(max(1, -(-size // BUCKET_BYTES))), ROWS)
+    found = stage(edges.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_sources, ROWS), "answers")
+    answers = found.where(F.col("kind") == REPEATS).select("slice", "packed")
+    runs = stage(answers.repartition(F.col("slice")).sortWithinPartitions("slice").mapInArrow(_compact, RUN), "runs")
+    place = stage(found.where(F.col("kind") == DOCUMENT).select("slice", "idx", "doc_id", "text_key"), "addresses")
+    release(found)
+    return runs, place
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
@@ -226,13 +254,11 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     an empty result.  Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_key", F.xxhash64("text"))
-    runs, found = repeated_runs(rows)
-    runs = stage(runs, "runs")
-    place = stage(found.where(F.col("kind") == DOCUMENT).select("slice", "idx", "doc_id", "text_key"), "addresses")
-    release(found)
+    runs, place = repeated_runs(rows)
     source = place.select(F.col("slice").alias("source_slice"), F.col("idx").alias("source_idx"), F.col("doc_id").alias("source_doc"), F.col("text_key").alias("source_key"))
     placed = stage(runs.join(place, ["slice", "idx"]).join(source, ["source_slice", "source_idx"])
                    .select("doc_id", "text_key", "start", "n", "source_doc", "source_key", "source_start").distinct(), "spans")
+    release(runs, place)
     span = F.struct("start", "n")
     # a document's spans are bounded by its words; so are the different spans asked of a source, however many ask
     own = placed.select("doc_id", "text_key", span.alias("s")).groupBy("doc_id", "text_key").agg(F.collect_set("s").alias("spans"))
