@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from glossa.llm.common import Words, mix64, slices, text_array
 
-# 1 compares a position, 0 ignores it.  One ignored word in 3, 4, 5 and 6.
-MASKS = ("110110110110", "111011101110", "111101111011", "111110111110")
-SPAN = 12
+# 1 compares a position, 0 ignores it.  Six words are compared, substitutions between them are not seen.
+MASKS = ("11011011", "1110111", "11110011", "110101101")
 #: An overlap runs over so many words at least (or the whole item), of which this share is equal.
 MIN_WORDS = 13
 MIN_SAME = 0.75
@@ -65,13 +64,14 @@ class Seeds:
         self.words, self.bounds = compared(pa.array([t or "" for _, t in items], pa.large_string()))
         self.ids = np.array([i for i, _ in items], np.int64)
         sizes = np.diff(self.bounds)
-        # an item shorter than the span is its own, full mask
-        self.masks = [*MASKS, *("1" * n for n in sorted(set(sizes[(sizes >= MIN_ITEM) & (sizes < SPAN)].tolist())))]
+        # an item too short for some mask is a full mask of its own
+        short = max(map(len, MASKS))
+        self.masks = [*MASKS, *("1" * n for n in sorted(set(sizes[(sizes >= MIN_ITEM) & (sizes < short)].tolist())))]
         keys, items_, places = [], [], []
         for mask in self.masks:
             for k in range(len(items)):
                 w = self.words[self.bounds[k]:self.bounds[k + 1]]
-                if len(w) >= SPAN if len(mask) == SPAN else len(w) == len(mask):
+                if len(w) == len(mask) or len(w) > len(mask) and mask in MASKS:
                     h = spaced(w, mask)
                     keys.append(h), items_.append(np.full(len(h), k)), places.append(np.arange(len(h)))
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
