@@ -91,10 +91,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text up to the end of its word number ``_words``."""
+    """Each text up to the end of its word number ``words``."""
     for batch in batches:
         texts = []
-        for text, n in zip(batch.column("text").to_pylist(), batch.column("_words").to_pylist()):
+        for text, n in zip(batch.column("text").to_pylist(), batch.column("words").to_pylist()):
             raw = text.encode()
             rest = raw.split(None, n)[n:]
             texts.append((raw[:len(raw) - len(rest[0])] if rest else raw).rstrip(b" \t\n\x0b\x0c\r").decode())
@@ -108,13 +108,15 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budge
     Documents that the mix doesn't reach are left out; rows alike in doc_id, source and words get the same servings.
     """
     key = ["doc_id", "source", "size"]
-    share = mix(docs, weights, budget, cap, seed).groupBy(*key).agg(F.min("taken").alias("_taken")).where("_taken > 0")
-    share = share.select(*[F.col(k).alias(f"_{k}") for k in key], "_taken")
-    sized = docs.withColumn("_own", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    met = sized.join(share, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_size")))
-    whole = met.withColumn("_times", F.floor(F.col("_taken") / F.col("_own"))).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)
-    part = met.withColumn("_words", F.col("_taken") % F.col("_own")).where("_words > 0").select(*docs.columns, "_words")
-    cut = part.mapInArrow(_cut, part.schema).drop("_words")
+    share = mix(docs, weights, budget, cap, seed).groupBy(*key).agg(F.min("taken").alias("taken")).where("taken > 0")
+    share = share.select(*[F.col(k).alias(f"{k}_of") for k in key], "taken")
+    # the rows travel as one column, so no column of theirs can be mistaken for one of these
+    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.struct("*").alias("row"))
+    met = sized.join(share, F.col("doc_id").eqNullSafe(F.col("doc_id_of")) & F.col("source").eqNullSafe(F.col("source_of")) & (F.col("size") == F.col("size_of")))
+    times = F.floor(F.col("taken") / F.col("size")).cast("long")
+    whole = met.where(times > 0).select("row", F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("copy")).select("row.*")
+    part = met.select("row", F.col("row.text").alias("text"), (F.col("taken") % F.col("size")).alias("words")).where("words > 0")
+    cut = part.mapInArrow(_cut, part.schema).select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.union(cut.select(*docs.columns))
+    return whole.unionByName(cut)
