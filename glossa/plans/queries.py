@@ -220,6 +220,20 @@ def j20_model_restrict(spark, root):
     return contracts.check_model_restrict(bound(spark, root).tables())
 
 
+def j_contracts(spark, root):
+    """J1-J20 on the bound tables, a row for each check and subject."""
+    return contracts.run_contracts(bound(spark, root).tables())
+
+
+def j_contracts_faulty(spark, root):
+    """J1-J20 on the bound tables with faults: the rows that must fail do."""
+    return contracts.run_contracts(bound(spark, root).faulty_tables())
+
+
+def j21_gate_faulty(spark, root):
+    return contracts.gate(contracts.run_contracts(bound(spark, root).faulty_tables()))
+
+
 def j21_contract_gate(spark, root):
     return contracts.gate(contracts.run_contracts(bound(spark, root).tables()))
 
@@ -358,6 +372,9 @@ QUERIES: dict[str, Query] = {
     "j19_fallback_variant": j19_fallback_variant,
     "j20_model_restrict": j20_model_restrict,
     "j21_contract_gate": j21_contract_gate,
+    "j21_gate_faulty": j21_gate_faulty,
+    "j_contracts": j_contracts,
+    "j_contracts_faulty": j_contracts_faulty,
     "i1_delete_cascade": i1_delete_cascade,
     "i2_restrict_violations": i2_restrict_violations,
     "i4_rekey": i4_rekey,

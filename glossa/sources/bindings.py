@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossa.functions.scalars import content_hash
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import enumerate_values
 from glossa.schemas import MODEL_ROWS
@@ -163,6 +164,30 @@ class Corpus:
                  "ai_model_registry")
         return {n: getattr(self, n) for n in names}
 
+    def faulty_tables(self) -> dict[str, DataFrame]:
+        """The bound tables with faults that the contracts look for, all made from the driver's own rows: missing and
+        repeated keys, wrong hashes, values out of range, a second fallback variant, a model without its registry row."""
+        t = self.tables()
+        unit, vector, log = F.col("unit_id"), F.col("vector_id"), F.col("log_id")
+        marked = F.when(unit % 30 == 0, F.concat("content_raw", F.lit("!"))).otherwise(F.col("content_raw"))
+        t["content_unit"] = (t["content_unit"]
+                             .withColumn("variant_id", F.when(unit % 50 == 0, F.lit(77)).otherwise(F.col("variant_id")))
+                             .withColumn("cefr_level", F.when(unit % 25 == 0, F.lit("Z9")).otherwise(F.col("cefr_level")))
+                             .withColumn("variant_confidence", F.char_length("content_raw") / F.lit(2000.0))
+                             .withColumn("content_hash", content_hash(marked, F.col("variant_id"))))
+        t["language_variant"] = t["language_variant"].unionByName(self.spark.createDataFrame(
+            [(98, "und", "UND", True, None)], "variant_id int, iso_code string, variant_name string, is_pivot boolean, parent_variant_id int"))
+        t["tone_marker"] = t["tone_marker"].where("tone_id < 3")
+        t["ai_model_registry"] = t["ai_model_registry"].where("model_id < 3")
+        t["rel_content_tone"] = t["rel_content_tone"].unionByName(t["rel_content_tone"].where(unit % 10 == 0))
+        t["vector_index"] = t["vector_index"].select(
+            "vector_id", (vector % 300).alias("unit_id"), F.when(vector % 9 != 0, F.col("model_id")).alias("model_id"),
+            F.when(vector % 8 == 0, F.lit("lost")).otherwise(F.col("vector_status")).alias("vector_status"), "embedding")
+        t["correction_feedback_log"] = (t["correction_feedback_log"]
+                                        .withColumn("unit_id", F.when(log % 5 == 0, unit + 100_000_000).otherwise(unit))
+                                        .withColumn("error_severity", F.when(log % 7 == 0, F.lit("minor")).otherwise(F.col("error_severity"))))
+        return t
+
     # --- ingestion inputs -------------------------------------------------------
 
     @property

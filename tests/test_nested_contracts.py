@@ -45,12 +45,12 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.mark.skipif(not os.path.isdir(SF01), reason="driver test data not present")
 def test_gate_on_bound_corpus_matches_hand_count(spark):
-    """82 checks; failing: media_asset absent (J1, J2 x2, J8, J13), columns the binding does not carry
+    """74 checks; failing: media_asset absent (J1, J2 x2, J8, J13), columns the binding does not carry
     (J7 feedback_source, J10 content_hash) and the raw code 'en' (J18)."""
     from pyspark.sql import functions as F
 
     from glossa.sources.bindings import Corpus
     res = contracts.run_contracts(Corpus(spark, SF01).tables())
-    assert tuple(contracts.gate(res).first()) == (82, 8, 0, False)
+    assert tuple(contracts.gate(res).first()) == (74, 8, 0, False)
     failing = sorted((r.check, r.subject) for r in res.where(F.col("status") == "FAIL").collect())
     assert [c for c, _ in failing] == ["J1", "J10", "J13", "J18", "J2", "J2", "J7", "J8"]
