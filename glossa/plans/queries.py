@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import content_hash, eligible, normalize_iso
+from glossa.functions.scalars import content_hash, eligible, has_member, has_path, json_text, normalize_iso
 from glossa.operators import aggregates as agg
 from glossa.operators import context, contracts, joins, maintain, nested, retrieval
+from glossa.operators.dedup import dedup_links
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
 from glossa.session import shuffle_partitions
 from glossa.sources.bindings import bound, docs_from, feedback_log_from
@@ -283,6 +284,81 @@ def i9_assign_variant(spark, root):
     return assigned.groupBy("variant_id").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+def i4_rekey_tables(spark, root):
+    """Every table that the re-keying rewrites: rows by table and variant."""
+    t = bound(spark, root).tables()
+    mapping = t["language_variant"].select(F.col("variant_id").alias("old_key"), (F.col("variant_id") + 100).alias("new_key"))
+    after = maintain.rekey(t, "language_variant", mapping)
+    out = None
+    for name in ("content_unit", "language_variant", "lemma"):
+        rows = after[name].groupBy("variant_id").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "variant_id", "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def i5_backfill(spark, root):
+    return maintain.backfill(bound(spark, root).lemma, "variant_id", 1).select("lemma_id", "variant_id")
+
+
+def i6_add_column(spark, root):
+    """An absent column is added with its default; a present one stays as it is."""
+    lemma = maintain.add_column(bound(spark, root).lemma, "frequency_rank", "int", 7)
+    return maintain.add_column(lemma, "variant_id", "int", 5).select("lemma_id", "variant_id", "frequency_rank")
+
+
+def i8_vector_key(spark, root):
+    return maintain.enforce_vector_key(bound(spark, root).faulty_tables()["vector_index"]).select("vector_id", "unit_id", "model_id")
+
+
+def i10_reclassify(spark, root):
+    """Units under the fallback variant (every tenth here) take the result set's variant and confidence."""
+    c = bound(spark, root)
+    units = c.content_unit.select("unit_id", F.when(F.col("unit_id") % 10 == 0, F.lit(99)).otherwise(F.col("variant_id")).alias("variant_id"), "variant_confidence")
+    results = c.raw("labels").select(F.col("doc_id").alias("unit_id"), (F.col("quality") + 1).alias("variant_id"), F.lit(0.5).alias("variant_confidence"))
+    return maintain.reclassify(units, results, c.language_variant)
+
+
+def i11_vector_owner(spark, root):
+    """Run twice: the second migration changes nothing."""
+    vectors = bound(spark, root).faulty_tables()["vector_index"].select("vector_id", "model_id")
+    return maintain.migrate_vector_owner(maintain.migrate_vector_owner(vectors))
+
+
+def f6_transfer_errors(spark, root):
+    return nested.explode_transfer_errors(bound(spark, root).annotated_lemma)
+
+
+def f7_feats(spark, root):
+    return nested.explode_feats(bound(spark, root).annotated_form)
+
+
+def g11_json_members(spark, root):
+    """G10 and G11 on the annotated lemmas: whether there is a severity, and its text."""
+    return bound(spark, root).annotated_lemma.select("lemma_id", has_path("interference_json", "severity").alias("has_severity"),
+                                                     json_text("interference_json", "severity").alias("severity"))
+
+
+def d7_unit_tones(spark, root):
+    c = bound(spark, root)
+    return (c.rel_content_tone.join(c.tone_marker, "tone_id").groupBy("unit_id")
+            .agg(agg.ordered_string_agg("tone_name", "tone_id").alias("tones")))
+
+
+def d10_dedup_links(spark, root):
+    return dedup_links(bound(spark, root).faulty_tables()["rel_content_tone"], ("unit_id", "tone_id"))
+
+
+def b6_units_at_levels(spark, root):
+    return bound(spark, root).content_unit.where(F.col("cefr_level").isin("A1", "B2")).select("unit_id", "cefr_level")
+
+
+def b11_toxic_members(spark, root):
+    """Labels whose list of tones holds the toxic one; the list is NULL for every seventh."""
+    lab = bound(spark, root).raw("labels")
+    tones = F.when(F.col("doc_id") % 7 != 0, F.array((F.col("quality") + 1).cast("int"), (F.col("toxic") * 3).cast("int")))
+    return lab.select("doc_id", has_member(tones, 3).alias("is_toxic"))
+
+
 def k1_ingest_stream(spark, root):
     """The parts arrive in three files, one micro-batch each."""
     folder = flows.stream_folder(spark, "k1")
@@ -381,6 +457,19 @@ QUERIES: dict[str, Query] = {
     "i3_delete_set_null": i3_delete_set_null,
     "i7_prepare_variants": i7_prepare_variants,
     "i9_assign_variant": i9_assign_variant,
+    "i4_rekey_tables": i4_rekey_tables,
+    "i5_backfill": i5_backfill,
+    "i6_add_column": i6_add_column,
+    "i8_vector_key": i8_vector_key,
+    "i10_reclassify": i10_reclassify,
+    "i11_vector_owner": i11_vector_owner,
+    "f6_transfer_errors": f6_transfer_errors,
+    "f7_feats": f7_feats,
+    "g11_json_members": g11_json_members,
+    "d7_unit_tones": d7_unit_tones,
+    "d10_dedup_links": d10_dedup_links,
+    "b6_units_at_levels": b6_units_at_levels,
+    "b11_toxic_members": b11_toxic_members,
     "k1_ingest_stream": k1_ingest_stream,
     "k2_feedback_stream": k2_feedback_stream,
     "k3_pending_vectors_stream": k3_pending_vectors_stream,

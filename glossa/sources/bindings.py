@@ -136,6 +136,22 @@ class Corpus:
                         F.concat("p_name", F.lit(" "), F.col("p_size").cast("string")).alias("text_root"),
                         F.when(key % 50 == 0, F.lit(None)).otherwise(key % 4 + 1).cast("int").alias("variant_id"))
 
+    @property
+    def annotated_lemma(self) -> DataFrame:
+        """Lemmas with an interference document: brand and type as transfer errors, a severity for two sizes in three."""
+        size = F.col("p_size")
+        doc = F.struct(F.array("p_brand", "p_type").alias("L1_transfer_errors"),
+                       F.when(size % 3 == 1, F.lit("low")).when(size % 3 == 2, F.lit("high")).alias("severity"))
+        return self.raw("part").select(F.col("p_partkey").alias("lemma_id"), F.to_json(doc).alias("interference_json"))
+
+    @property
+    def annotated_form(self) -> DataFrame:
+        """Forms with a grammar document: one feature for the brand, one for the type."""
+        feats = F.create_map(F.lit("Brand"), F.col("p_brand"), F.lit("Type"), F.col("p_type"))
+        doc = F.struct(F.lit("NOUN").alias("upos"), feats.alias("feats"))
+        key = F.col("p_partkey")
+        return self.raw("part").select((key + 1000).alias("form_id"), key.alias("lemma_id"), F.to_json(doc).alias("grammar_json"))
+
     @property
     def morpho_form(self) -> DataFrame:
         li = self.raw("lineitem")
