@@ -15,9 +15,11 @@ from glossa.functions.scalars import content_hash, eligible, has_member, has_pat
 from glossa.operators import aggregates as agg
 from glossa.operators import context, contracts, joins, maintain, nested, retrieval
 from glossa.operators.dedup import dedup_links
+from glossa.operators.dimensions import materialize
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
 from glossa.session import shuffle_partitions
 from glossa.sources.bindings import bound, docs_from, feedback_log_from
+from glossa.sources import sinks
 from glossa.sources.documents import drop_placeholders
 from glossa.streaming import flows
 
@@ -284,6 +286,34 @@ def i9_assign_variant(spark, root):
     return assigned.groupBy("variant_id").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+def a4_second_load(spark, root):
+    """Two loads of the documents, even positions first: what is stored is not repeated, and ids go on."""
+    docs = bound(spark, root).docs
+    first = build_content(docs.where(F.col("doc_pos") % 2 == 0)).units.select("unit_id", "doc_id", "variant_id", "content_raw", "content_hash")
+    first = materialize(first)
+    second = build_content(docs.where(F.col("doc_pos") % 2 == 1), existing_units=first).units
+    return first.drop("content_hash").unionByName(second.select("unit_id", "doc_id", "variant_id", "content_raw"))
+
+
+def a9_training_export(spark, root):
+    """The export as it is read back from its files."""
+    c = bound(spark, root)
+    path = flows.stream_folder(spark, "export")
+    out = sinks.export_training(c.content_unit, c.language_variant, path)
+    return out.select("unit_id", "iso_code", "variant_confidence")
+
+
+def g9_stored_units(spark, root):
+    """Units as they are stored: type, origin, idiom flag and the metadata document."""
+    units = build_content(bound(spark, root).docs, import_date="2026-01-01").units
+    return units.select("unit_id", "content_type", "source_origin", "is_idiom", "source_metadata_json")
+
+
+def g20_interference(spark, root):
+    """Lemmas as they are stored: the interference document stands at the Italian ones."""
+    return lexicon(spark, root).lemmas.select("lemma_id", "variant_id", "interference_json")
+
+
 def i4_rekey_tables(spark, root):
     """Every table that the re-keying rewrites: rows by table and variant."""
     t = bound(spark, root).tables()
@@ -457,6 +487,10 @@ QUERIES: dict[str, Query] = {
     "i3_delete_set_null": i3_delete_set_null,
     "i7_prepare_variants": i7_prepare_variants,
     "i9_assign_variant": i9_assign_variant,
+    "a4_second_load": a4_second_load,
+    "a9_training_export": a9_training_export,
+    "g9_stored_units": g9_stored_units,
+    "g20_interference": g20_interference,
     "i4_rekey_tables": i4_rekey_tables,
     "i5_backfill": i5_backfill,
     "i6_add_column": i6_add_column,
