@@ -15,8 +15,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = near.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("n", "m").alias("m"))
     moved = near.where(F.col("b") > F.col("a")) if large else near.union(
         near.select("a", F.col("a").alias("b")))
-    return (moved.join(least, F.col("a") == F.col("n"))
-            .select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).where("a != b").distinct())
+    out = (moved.join(least, F.col("a") == F.col("n"))
+           .select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).where("a != b"))
+    return out if large else out.distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge points at its component's least node: no target has an edge of its own, no node has two."""
+    targets = edges.select(F.col("b").alias("a")).distinct()
+    return edges.join(targets, "a", "left_semi").isEmpty() and edges.groupBy("a").count().where("count > 1").isEmpty()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -26,13 +33,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     number of rounds grows with the logarithm of the longest chain.  Nulls and self-loops are dropped; repeated edges
     count once; no edges give an empty table.
     """
-    now = stage(edges.select("a", "b").where("a is not null and b is not null and a != b").distinct(), "edges")
-    last = None
+    down = edges.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = stage(down.distinct(), "edges")
     for _ in range(max_rounds):
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if last == mark or not mark["n"]:
+        if _settled(now):
             break
-        last = mark
         grown = stage(_star(_star(now, True), False), "edges")
         release(now)
         now = grown

@@ -7,6 +7,36 @@ from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 
+#: Every shingle of every text, likeness of all pairs of different sets that share one, and the closure of the links.
+_OP1 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+                                              WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS sh FROM w),
+shown AS (SELECT sh, min(doc_id) AS rep, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+each AS (SELECT rep, n, unnest(sh) AS x FROM shown),
+near AS (
+  SELECT a.rep AS a, b.rep AS b FROM each a JOIN each b ON a.x = b.x AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+link AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach(a, b) AS (SELECT rep, rep FROM shown UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+least AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(least.component_id, s.doc_id) AS component_id,
+  s.doc_id = coalesce(least.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN shown ON shown.sh = s.sh LEFT JOIN least ON least.rep = shown.rep"""
+
+#: Every window of every text with the least document that holds it, and the words under the repeated ones.
+_OP9 = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="text")} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+source AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN source USING (k), range(13) t(j) WHERE least < doc_id),
+word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
 
 _BREAKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|li|main"
            "|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul")
@@ -32,4 +62,4 @@ SELECT any_value(p.page_id) AS page_id, any_value(p.host) AS host, count(m.line)
   coalesce(string_agg(m.line, chr(10) ORDER BY m.pos) FILTER (NOT gone), '') AS text
 FROM page p LEFT JOIN marked m ON m.rid = p.rid GROUP BY p.rid"""
 
-ORACLE_SQL: dict[str, str] = {"op7_site_lines": _OP7}
+ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": _OP1, "op7_site_lines": _OP7, "op9_substring_dedup": _OP9}
