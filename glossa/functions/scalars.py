@@ -26,8 +26,6 @@ ISO_CANONICAL = {
     "und": "und",
 }
 
-# Part-of-speech map (unknown tags pass through unchanged).
-POS_MAP = {"noun": "noun", "verb": "verb", "adjective": "adjective", "adverb": "adverb", "phrase": "phrase"}
 
 
 def _c(c) -> Column:

@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import (POS_MAP, content_hash, fold, json_object, load_stamp, map_or_keep, present,
+from glossa.functions.scalars import (content_hash, fold, json_object, load_stamp, present,
                                      strict_bool)
 from glossa.operators.dedup import first_wins
 from glossa.operators.dimensions import maybe_broadcast
@@ -195,7 +195,7 @@ class LexiconBuild:
         ided = assign_ids(firsts, list(ORDER), "lemma_id", start)
         return ided.select(
             "lemma_id", F.col("content_raw").alias("text_root"),
-            map_or_keep("pos", POS_MAP).alias("grammatical_category"),
+            F.col("pos").alias("grammatical_category"),  # G13: known values stand for themselves, unknown ones pass
             F.lit(None).cast("int").alias("frequency_rank"),
             F.when(F.col("lang") == "it", F.col("_interference")).alias("interference_json"),
             F.col("variant_id").cast("int").alias("variant_id"),

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossa.operators.dimensions import maybe_broadcast
+
 PLACEHOLDER_ID = "init_doc"
 
 
@@ -52,8 +54,8 @@ def drop_placeholders(df: DataFrame, payload_cols: list[str] | None = None) -> D
 
 
 def load_dimension(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
-    """A3: a literal dimension (a handful of rows), broadcast wherever it is joined."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A3: a literal dimension; broadcast where it is joined if its rows are within the limit."""
+    return maybe_broadcast(spark.createDataFrame(rows, schema), len(rows))
 
 
 def flatten_phrases(docs: DataFrame) -> DataFrame:

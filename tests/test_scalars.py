@@ -45,7 +45,7 @@ def test_eligible_and_confidence_range(spark):
 
 
 def test_map_or_keep_and_asset_format(spark):
-    assert one(spark, S.map_or_keep("v", S.POS_MAP), [("noun",), ("adj",), (None,)]) == ["noun", "adj", None]
+    assert one(spark, S.map_or_keep("v", {"n": "noun"}), [("n",), ("adj",), (None,)]) == ["noun", "adj", None]
     assert one(spark, S.asset_format("v"), [("audio",), ("image",)]) == ["mp3", "jpg"]
 
 
