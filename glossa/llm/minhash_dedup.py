@@ -1,19 +1,19 @@
 """Near-dedup: MinHash bands find candidates, odd sketches sift them, full shingle sets confirm them.
 
-Each text's SAMPLES minimum hashes make BANDS band keys (candidates share one) and are folded into an odd sketch: a
-bitmap in which every sample toggles one bit.  The bits in which two sketches differ are those toggled by the samples
+The first ROWS * BANDS of each text's SAMPLES minimum hashes make BANDS band keys (candidates share one), and all of
+them are folded into an odd sketch: a bitmap in which every sample toggles one bit.  The bits in which two sketches differ are those toggled by the samples
 in which the texts differ, so their number estimates high similarities sharply; only pairs that it can't rule out have
 their full sets compared.  At similarity 0.75 a pair shares no band with probability (1 - 0.75^4)^32 = 5e-6, and the
-sketch's margin lies more than five standard deviations beyond it.
+sketch's margin lies almost five standard deviations beyond it.
 
 Groups never become all their pairs.  Equal sets are one node.  In a band each node is first held against one member
-of its bucket, and a node confirms its likeliest partner alone; components follow.  After that only pairs between
+of its bucket, another one in each band, and a node confirms its likeliest partners alone; components follow.  After that only pairs between
 different components are looked for, with block-wise sketch comparisons inside the tasks, and confirmed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,12 @@ SHINGLE = 5
 #: Linked from this percentage of common shingles.
 PERCENT = 75
 ROWS, BANDS = 4, 32
-SAMPLES = ROWS * BANDS
-BITS = 512
-#: Sketches that differ in more bits can't be at PERCENT: about 57 are expected there, 100 at one half.
-MOST_BITS = 100
+SAMPLES = 256
+BITS = 1024
+#: Sketches that differ in more bits can't be at PERCENT: 113 +- 11.5 are expected there, 168 at 0.6.
+MOST_BITS = 168
+#: Partners that a node confirms in the first round.
+FIRST = 2
 #: Members of a bucket that are compared in one piece.
 BLOCK = 1024
 SEED = 41
@@ -45,7 +47,7 @@ def signatures(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     if len(some):
         for j in range(SAMPLES):
             minima[some, j] = np.minimum.reduceat((sets * _A[j]) >> np.uint64(32), bounds[some])
-    grouped = minima.reshape(n, BANDS, ROWS)
+    grouped = minima[:, :ROWS * BANDS].reshape(n, BANDS, ROWS)
     keys = np.zeros((n, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for r in range(ROWS):
         keys = mix64(keys) + grouped[:, :, r]
@@ -58,6 +60,12 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(x).view(np.int64).ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
 
 
+def _short(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The sets with 16 bits of each shingle: common values of two of them are never fewer than their common shingles."""
+    data = (sets >> np.uint64(48)).astype("<u2").tobytes()
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 2).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 1 << 20):
         sets, bounds = shingle_sets(Words(text_array(batch, "text"), lower=True), SHINGLE)
@@ -65,8 +73,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sketches = signatures(sets, bounds)
         total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(sets), dtype=np.uint64)])
         node = mix64((total[bounds[1:]] - total[bounds[:-1]]) + size.astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(node, mask=size == 0), _lists(keys), _lists(sketches)],
-                                         ["doc_id", "text_key", "n_shingles", "node", "bands", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(node, mask=size == 0), _lists(keys), _lists(sketches), _short(sets, bounds)],
+                                         ["doc_id", "text_key", "n_shingles", "node", "bands", "sketch", "short"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,39 +89,55 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components inside each run of equal (key, i, j) that the sketches don't rule out."""
+def _near(best_only: bool) -> Callable:
+    """Pairs (a, b, bits) of different components inside each run of equal (key, i, j) that the sketches don't rule out;
+    best_only: for each node the likeliest of them."""
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         node, group, size, left = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "left"))
         sketch = rows.column("sketch").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1)
         whole = (rows.column("i")[0] == rows.column("j")[0])
+        if not best_only:
+            short = rows.column("short").to_pylist()
+            values, has = np.frombuffer(b"".join(short), "<u2"), np.zeros(1 << 16, bool)
+            starts = np.concatenate([[0], np.cumsum([len(v) // 2 for v in short])])
         x = np.arange(len(node)) if whole else np.flatnonzero(left)
         y = np.arange(len(node)) if whole else np.flatnonzero(~left)
-        a, b = [], []
+        a, b, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in x:
-            z = y[y > k] if whole else y
+            z = (y if best_only else y[y > k]) if whole else y
             z = z[(group[z] != group[k]) & (100 * np.minimum(size[z], size[k]) >= PERCENT * np.maximum(size[z], size[k]))]
-            z = z[np.bitwise_count(sketch[z] ^ sketch[k]).sum(1) <= MOST_BITS] if len(z) else z
-            a.append(np.full(len(z), node[k])), b.append(node[z])
-        a, b = np.concatenate(a) if a else np.zeros(0, np.int64), np.concatenate(b) if b else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    held: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        names = list(zip(*(table.column(c).to_pylist() for c in ("key", "i", "j"))))
-        cuts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a == b:
+            if not len(z):
                 continue
-            if held and names[a] != last:
-                yield pairs(pa.concat_tables(held))
-                held = []
-            held.append(table.slice(a, b - a))
-            last = names[a]
-    if held:
-        yield pairs(pa.concat_tables(held))
+            d = np.bitwise_count(sketch[z] ^ sketch[k]).sum(1).astype(np.int64)
+            near = np.flatnonzero(d <= MOST_BITS)
+            if best_only and len(near):
+                near = near[[np.argmin(d[near])]]
+            elif len(near):  # an upper bound of the common shingles rules out all but the pairs about to be confirmed
+                has[:] = False
+                has[values[starts[k]:starts[k + 1]]] = True
+                most = np.add.reduceat(has[values], starts[:-1], dtype=np.int64)[z[near]]
+                near = near[100 * most >= PERCENT * (size[z[near]] + size[k] - most)]
+            a.append(np.full(len(near), node[k])), b.append(node[z[near]]), bits.append(d[near])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, b, bits)], ["a", "b", "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        last = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            names = list(zip(*(table.column(c).to_pylist() for c in ("key", "i", "j"))))
+            cuts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if held and names[a] != last:
+                    yield pairs(pa.concat_tables(held))
+                    held = []
+                held.append(table.slice(a, b - a))
+                last = names[a]
+        if held:
+            yield pairs(pa.concat_tables(held))
+    return run
 
 
 _DIFFERENT_BITS = "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)"
@@ -137,6 +161,46 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFram
     return both.select("a", "b", "text", "other").mapInArrow(_confirm, "a long, b long")
 
 
+def _likeliest(pairs: DataFrame, n: int) -> DataFrame:
+    """(a, b), a < b: of each node's partners (a bounded number) the n likeliest."""
+    nearest = F.slice(F.array_sort(F.collect_list(F.struct("bits", "b"))), 1, n)
+    picked = pairs.groupBy("a").agg(nearest.alias("s")).select("a", F.explode("s.b").alias("b"))
+    return picked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _between(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with those (ca, cb)."""
+    label = placed.select(F.col("node").alias("_m"), "component")
+    a, b = (label.select(F.col("_m").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").where("ca != cb")
+
+
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` with the components that the links join made one."""
+    whole = components(_between(links, placed).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    met = placed.join(whole.select(F.col("node").alias("_c"), F.col("component").alias("_whole")), F.col("component") == F.col("_c"), "left")
+    return stage(met.withColumn("component", F.coalesce("_whole", "component")).drop("_c", "_whole"), "placed")
+
+
+def _in_buckets(bands: DataFrame, placed: DataFrame, nodes: DataFrame, best_only: bool) -> DataFrame:
+    """(a, b, bits) of the likely pairs of different components that share a bucket.
+
+    Buckets of one component have none, buckets of two nodes were compared already.  A bucket is compared in pieces of
+    BLOCK nodes, two at a time, so none is gathered whole.
+    """
+    label = placed.select(F.col("node").alias("_m"), "component")
+    open_ = (bands.join(label, F.col("node") == F.col("_m")).groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("n > 2 and lo != hi").select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("pieces")))
+    members = (bands.join(open_, F.col("key") == F.col("_key")).drop("_key")
+               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+               .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+               .select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node"))
+    known = placed if best_only else placed.join(nodes.select("node", "short"), "node")
+    ready = members.join(known, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    columns = ready.select("key", "i", "j", "left", "node", "component", "n_shingles", "sketch", *(() if best_only else ("short",)))
+    return columns.mapInArrow(_near(best_only), "a long, b long, bits long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
@@ -147,49 +211,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_key", F.xxhash64("text"))
-    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, bands array<long>, sketch array<long>"), "signatures")
+    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, bands array<long>, sketch array<long>, short binary"), "signatures")
     real = signed.where("node is not null and doc_id is not null")
     # one node for each different set, shown by its least document
     least = real.groupBy("node").agg(F.min("doc_id").alias("least"))
     shown = real.join(least.select(F.col("node").alias("_n"), "least"), (F.col("node") == F.col("_n")) & (F.col("doc_id") == F.col("least")))
     nodes = stage(shown.drop("_n", "least").dropDuplicates(["node"]), "nodes")
+    sets = stage(signed.select("doc_id", "n_shingles", "node"), "sets")
+    release(signed)
+    least = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     bands = nodes.select(F.explode("bands").alias("key"), "node")
-    # every node against the least of its buckets
-    hubs = bands.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("_key"), "b")
+    # every node against one member of each of its buckets; the key decides which, so it differs from band to band
+    turned = F.col("node").bitwiseXOR(F.xxhash64("key"))
+    hubs = bands.groupBy("key").agg(F.min(turned).alias("t"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("_key"), F.col("t").bitwiseXOR(F.xxhash64("key")).alias("b"))
     stars = bands.join(hubs, F.col("key") == F.col("_key")).where("node != b").select(F.col("node").alias("a"), "b").distinct()
     sifted = stage(_sift(stars, nodes), "stars")
-    best = sifted.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("s")).select("a", F.col("s.b").alias("b"))
-    links = stage(_confirmed(best, nodes, texts), "links")
-    grouped = components(links)
-    known = nodes.select("node", "n_shingles", "sketch").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stage(known, "placed")
-    # pairs between components: the stars that were not confirmed, and what buckets of several components still hold
-    label = placed.select(F.col("node").alias("_m"), "component")
-    apart = (sifted.join(label.select(F.col("_m").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("_m").alias("b"), F.col("component").alias("cb")), "b")
-             .where("ca != cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    buckets = bands.join(label, F.col("node") == F.col("_m")).groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 and lo != hi")
-    members = (bands.join(buckets.select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("pieces")), F.col("key") == F.col("_key")).drop("_key")
-               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-               .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-               .select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node"))
-    ready = members.join(placed, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    near = ready.select("key", "i", "j", "left", "node", "component", "n_shingles", "sketch").mapInArrow(_near, "a long, b long")
-    rest = stage(apart.union(near).distinct().join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
-    more = stage(_confirmed(rest, nodes, texts), "links")
-    # the components of the first round are joined by the later links
-    merged = more.join(label.select(F.col("_m").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("_m").alias("b"), F.col("component").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    final = components(merged).select(F.col("node").alias("_c"), F.col("component").alias("whole"))
-    owned = placed.select("node", "component").join(final, F.col("component") == F.col("_c"), "left").select("node", F.coalesce("whole", "component").alias("whole"))
-    of = stage(owned.join(least, "node"), "owned")
+    tested = stage(_likeliest(sifted, FIRST), "best")
+    links = stage(_confirmed(tested, nodes, texts), "links")
+    placed = _merged(nodes.select("node", "n_shingles", "sketch", F.col("node").alias("component")), links)
+    # each node's likeliest partners of another component among all that share a bucket with it
+    closer = stage(_likeliest(_in_buckets(bands, placed, nodes, True).distinct(), FIRST).join(tested, ["a", "b"], "left_anti"), "closer")
+    placed = _merged(placed, stage(_confirmed(closer, nodes, texts), "links"))
+    # every pair that is still likely and between components
+    apart = _between(sifted.select("a", "b"), placed).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = _in_buckets(bands, placed, nodes, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stage(apart.union(near).distinct().join(tested.union(closer), ["a", "b"], "left_anti"), "rest")
+    placed = _merged(placed, stage(_confirmed(rest, nodes, texts), "links"))
+    release(sifted, tested, closer, rest, links)
+    of = placed.select("node", F.col("component").alias("whole")).join(least, "node")
     smallest = of.groupBy("whole").agg(F.min("least").alias("component_id"))
     named = of.join(smallest, "whole").select(F.col("node").alias("_n"), "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(named, (F.col("node") == F.col("_n")) & F.col("doc_id").isNotNull(), "left")
-    release(sifted, links, rest, more)
+    out = sets.join(named, (F.col("node") == F.col("_n")) & F.col("doc_id").isNotNull(), "left")
     own = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: one of each component stays, that with its least doc_id."""
+    """The rows of ``docs`` without near-duplicates, with their columns: of each component the document with the least
+    doc_id stays.  Rows that repeat its doc_id are that document and stay with it; rows without a doc_id stay."""
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).where("_kept is not null").distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left").where(F.col("_kept").isNotNull() | F.col("doc_id").isNull()).drop("_kept")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct("*").alias("_row"))
+    return rows.join(kept, F.col("_id") == F.col("_kept"), "left").where(F.col("_kept").isNotNull() | F.col("_id").isNull()).select("_row.*")
