@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossa.llm.common import stage
+
 #: A line goes if it stands on more than this share of its host's pages, and on MIN_PAGES of them at least.
 MAX_SHARE = 0.3
 MIN_PAGES = 3
@@ -43,19 +45,22 @@ def dedup_lines(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
     URL share the host ''.  A null or empty page has no lines and text ''; a host of fewer than ``min_pages`` pages
     loses nothing; empty tables give an empty result.  Other columns are ignored.
 
-    Counts are pre-aggregated before they are shuffled, and only lines on ``min_pages`` pages meet their host's total.
-    Lines meet the boilerplate by (host, line), so a large host spreads over its lines; a very common line's rows are
-    a join's splittable side.
+    The lines are cut once and staged; from there they are counted and compared by two 64-bit hashes, so their texts
+    cross the network once, with their page.  Counts are pre-aggregated before they are shuffled, and only lines on
+    ``min_pages`` pages meet their host's total.  Lines meet the boilerplate by (host, line), so a large host spreads
+    over its lines; a very common line's rows are an inner join's splittable side.
     """
-    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"), F.monotonically_increasing_id().alias("row"))
-    totals = pages.select(host_of(F.col("url")).alias("_h")).groupBy("_h").agg(F.count("*").alias("total"))
-    counts = (rows.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    cut = pages.select("page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"), F.monotonically_increasing_id().alias("row"))
+    rows = stage(cut.withColumn("keys", F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b")))), "lines")
+    totals = rows.groupBy(F.col("host").alias("_h")).agg(F.count("*").alias("total"))
+    counts = (rows.select("host", F.explode(F.array_distinct("keys")).alias("k")).groupBy("host", "k.a", "k.b").agg(F.count("*").alias("n"))
               .where(F.col("n") >= min_pages))
     boilerplate = (counts.join(totals, F.col("host") == F.col("_h")).where(F.col("n") / F.col("total") > max_share)
-                   .select(F.col("host").alias("_host"), F.col("line").alias("_line")))
-    each = rows.select("row", "page_id", "host", F.posexplode_outer("lines").alias("pos", "line"))
-    met = each.join(boilerplate, (F.col("host") == F.col("_host")) & (F.col("line") == F.col("_line")), "left")
-    kept = F.when(F.col("line").isNotNull() & F.col("_line").isNull(), F.struct("pos", "line"))
-    return (met.groupBy("row").agg(F.first("page_id").alias("page_id"), F.first("host").alias("host"), F.count("line").alias("n_lines"),
-                                   F.count("_line").alias("n_dropped"), F.array_sort(F.collect_list(kept)).alias("kept"))
-            .select("page_id", "host", "n_lines", "n_dropped", F.concat_ws("\n", F.col("kept.line")).alias("text")))
+                   .select(F.col("host").alias("_host"), F.col("a").alias("_a"), F.col("b").alias("_b")))
+    each = rows.select("row", "host", F.posexplode("keys").alias("pos", "k"))
+    met = each.join(boilerplate, (F.col("host") == F.col("_host")) & (F.col("k.a") == F.col("_a")) & (F.col("k.b") == F.col("_b")))
+    gone = met.groupBy(F.col("row").alias("_row")).agg(F.collect_set("pos").alias("gone"))  # a page's own lines
+    dropped = F.coalesce("gone", F.array().cast("array<int>"))
+    out = rows.select("row", "page_id", "host", "lines").join(gone, F.col("row") == F.col("_row"), "left").withColumn("gone", dropped)
+    return out.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"),
+                      F.array_join(F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n").alias("text"))
