@@ -2,7 +2,8 @@
 
 Fixed masks slide over the words of a benchmark item and of a document; a mask compares some positions of its window
 and ignores the others, so a passage with substituted words still meets its item in a window whose substitutions fall
-on ignored positions.  Around each hit the whole diagonal is compared, and an overlap counts if it is long and alike.
+on ignored positions.  Around each hit the whole diagonal is compared, and an overlap counts if any run of it is long
+and alike enough; the longest such run is reported.
 """
 
 from __future__ import annotations
@@ -94,15 +95,17 @@ class Seeds:
         return np.concatenate(items), np.concatenate(begins)
 
     def overlap(self, words: np.ndarray, item: int, begin: int) -> tuple[int, int, int] | None:
-        """(start, words, same) of the best run on a diagonal: +1 for an equal word, -2 for another; None if too little."""
+        """(start, words, same) of the longest run on a diagonal of which MIN_SAME is equal; None if it is too short."""
         own = self.words[self.bounds[item]:self.bounds[item + 1]]
         a, b = max(0, -begin), min(len(own), len(words) - begin)
-        same = own[a:b] == words[begin + a:begin + b]
-        gain = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-        end = int(np.argmax(gain - np.minimum.accumulate(gain)))
-        start = int(np.argmin(gain[:end + 1]))
-        n, equal = end - start, int(same[start:end].sum())
-        return (begin + a + start, n, equal) if n >= min(MIN_WORDS, len(own)) and equal >= MIN_SAME * n else None
+        equal = np.concatenate([[0], np.cumsum(own[a:b] == words[begin + a:begin + b])])
+        # a run from i to j is alike enough if gain[i] <= gain[j]; the first such i is where the running minimum gets there
+        gain = equal - MIN_SAME * np.arange(len(equal))
+        first = np.searchsorted(-np.minimum.accumulate(gain), -gain, "left")
+        end = int(np.argmax(np.arange(len(gain)) - first))
+        start = int(first[end])
+        n = end - start
+        return (begin + a + start, n, int(equal[end] - equal[start])) if n >= min(MIN_WORDS, len(own)) else None
 
 
 def _finder(seeds: Seeds, column: str):

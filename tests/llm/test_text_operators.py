@@ -136,3 +136,27 @@ def test_leaks_are_found_with_substitutions(spark, odd, empty, monkeypatch):
     assert clean.columns == odd.columns
     assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted((4, 5, 6, 7, 8, 9, 9, 10, 2 ** 40, None, None), key=str)
     assert D.decontaminate(odd, mine.limit(0)).count() == odd.count() and D.decontaminate(empty, mine).count() == 0
+
+
+def longest_run(same):
+    """(start, words, same) of the first longest run that meets the rule, trying every run."""
+    runs = [(i, j - i, sum(same[i:j])) for i in range(len(same)) for j in range(i + 1, len(same) + 1) if 4 * sum(same[i:j]) >= 3 * (j - i)]
+    best = max(runs, key=lambda r: (r[1], -r[0]), default=None)
+    return best if best and best[1] >= min(D.MIN_WORDS, len(same)) else None
+
+
+def test_overlaps_equal_brute_force_at_every_substitution(spark):
+    rng = random.Random(8)
+    for n in (*range(5, 17), 30):
+        own = [f"w{n}x{i}" for i in range(n)]
+        seeds = D.Seeds([(1, " ".join(own))])
+        masks = [[1] * n, *([int(i != k) for i in range(n)] for k in range(n)), *([int(rng.random() > 0.2) for _ in range(n)] for _ in range(200))]
+        masks += [list(map(int, "111111111101011"))] if n == 15 else []
+        for same in masks:
+            words = D.compared(D.pa.array([" ".join(["before"] * 3 + [w if s else "other" for w, s in zip(own, same)] + ["behind"] * 3)]))[0]
+            want = longest_run(same)
+            assert seeds.overlap(words, 0, 3) == (want and (want[0] + 3, *want[1:])), (n, same)
+    item = [f"word{i}" for i in range(13)]
+    docs = [(k, " ".join(["before", *item[:k], "other", *item[k + 1:], "behind"])) for k in range(13)]
+    got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {(r.doc_id, r.longest) for r in got.collect()} == {(k, 13) for k in range(13)}
