@@ -59,11 +59,11 @@ def spaced(words: np.ndarray, mask: str) -> np.ndarray:
 
 
 class Seeds:
-    """A block of benchmark items: their words, and where each spaced hash occurs in them."""
+    """A block of benchmark items, known by their row: their words, ids (null too), and where each spaced hash occurs in them."""
 
-    def __init__(self, items: Sequence[tuple[int, str]]):
+    def __init__(self, items: Sequence[tuple[int | None, str]]):
         self.words, self.bounds = compared(pa.array([t or "" for _, t in items], pa.large_string()))
-        self.ids = np.array([i for i, _ in items], np.int64)
+        self.ids = [i for i, _ in items]
         sizes = np.diff(self.bounds)
         # an item too short for some mask is a full mask of its own
         short = max(map(len, MASKS))
@@ -120,25 +120,26 @@ def _finder(seeds: Seeds, column: str):
                 for doc in range(max(0, int(np.searchsorted(bounds, begin, "right")) - 1), min(len(bounds) - 1, int(np.searchsorted(bounds, begin + size, "left")))):
                     a, b = int(bounds[doc]), int(bounds[doc + 1])
                     if a < b and begin < b and begin + size > a and (best := seeds.overlap(words[a:b], item, begin - a)):
-                        found.setdefault(doc, {})[(int(seeds.ids[item]), best[0])] = best
+                        runs = found.setdefault(doc, {})
+                        runs[item, best[0]] = max(best, runs.get((item, best[0]), best))
             old = batch.column(column).to_pylist() if found else None
             rows = batch.column(column)
             if found:
                 for doc, runs in found.items():
-                    old[doc] = (old[doc] or []) + [{"item_id": i, "start": s, "words": n, "same": e} for (i, s), (_, n, e) in sorted(runs.items())]
+                    old[doc] = (old[doc] or []) + [{"item_id": seeds.ids[i], "start": s, "words": n, "same": e} for (i, s), (_, n, e) in sorted(runs.items())]
                 rows = pa.array(old, pa.list_(OVERLAP))
             yield batch.set_column(batch.schema.get_field_index(column), column, rows)
     return find
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark, a bounded set of queries at a time."""
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    """The benchmark's different items, a bounded set of queries at a time."""
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // BLOCK_WORDS)
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield [(r["item_id"], r["text"]) for r in part]
+        yield list(dict.fromkeys((r["item_id"], r["text"]) for r in part))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, column: str = "overlaps") -> DataFrame:
@@ -146,8 +147,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, column: str = "overlaps") ->
 
     Every word of every text is looked at.  The benchmark goes out in blocks of about BLOCK_WORDS words, however large
     it is; the documents pass them one after the other in one scan, without a shuffle.  A null text or one without
-    words has no overlaps, a null item none with any; repeated rows are judged each; empty tables give an empty result
-    or no overlaps.  Other columns pass through; ``column`` must not be one of them.
+    words has no overlaps, an item with a null text none with any; an item with a null item_id is judged like others, its
+    overlaps have a null item_id.  Repeated documents are judged each, items equal in id and text are one; empty tables
+    give an empty result or no overlaps.  Other columns pass through; ``column`` must not be one of them.
     """
     out = docs.withColumn(column, F.array().cast("array<struct<item_id:bigint,start:bigint,words:bigint,same:bigint>>"))
     schema = out.schema

@@ -160,3 +160,14 @@ def test_overlaps_equal_brute_force_at_every_substitution(spark):
     docs = [(k, " ".join(["before", *item[:k], "other", *item[k + 1:], "behind"])) for k in range(13)]
     got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
     assert {(r.doc_id, r.longest) for r in got.collect()} == {(k, 13) for k in range(13)}
+
+
+def test_items_without_an_id_are_judged_like_others(spark, monkeypatch):
+    a, b = (" ".join(f"{c}{i}" for i in range(14)) for c in "ab")
+    bench = spark.createDataFrame([(None, a), (None, b), (None, None), (3, a), (3, a)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " + a), (2, b + " y"), (3, "z " * 30), (None, a), (4, None)], "doc_id long, text string")
+    for size in (D.BLOCK_WORDS, 10):  # in one block, and in several
+        monkeypatch.setattr(D, "BLOCK_WORDS", size)
+        got = {r.doc_id: (r.contaminated, r.n_overlaps, r.longest, r.item_ids) for r in D.contamination(docs, bench).collect()}
+        assert got == {1: (True, 2, 14, [3, None]), 2: (True, 1, 14, [None]), 3: (False, 0, 0, []), None: (True, 2, 14, [3, None]), 4: (False, 0, 0, [])}
+        assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == [3, 4]
