@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import Words, mix64, slices, text_array
+from glossa.llm.common import Words, mix64, release, slices, stage, text_array
 
 # 1 compares a position, 0 ignores it.  Six words are compared, substitutions between them are not seen.
 MASKS = ("11011011", "1110111", "11110011", "110101101")
@@ -132,29 +132,40 @@ def _finder(seeds: Seeds, column: str):
     return find
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
-    """The benchmark's different items, a bounded set of queries at a time."""
+def blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The benchmark in frames of about BLOCK_WORDS words each; nothing is collected yet."""
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // BLOCK_WORDS)
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield list(dict.fromkeys((r["item_id"], r["text"]) for r in part))
+    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
+
+
+def seeds_of(block: DataFrame) -> Seeds:
+    """The seeds of a block's different items."""
+    return Seeds(list(dict.fromkeys((r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect())))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, column: str = "overlaps") -> DataFrame:
     """``docs`` with one more column: (item_id, start, words, same) of each overlap with a benchmark item; [] if none.
 
     Every word of every text is looked at.  The benchmark goes out in blocks of about BLOCK_WORDS words, however large
-    it is; the documents pass them one after the other in one scan, without a shuffle.  A null text or one without
+    it is, without a shuffle of the documents.  Before a further block is collected, the documents that passed the one
+    before are staged with their overlaps, so driver, plan and tasks hold one block at a time, and two copies of the
+    documents at most are on disk; a benchmark of one block is one scan and stages nothing.  A null text or one without
     words has no overlaps, an item with a null text none with any; an item with a null item_id is judged like others, its
     overlaps have a null item_id.  Repeated documents are judged each, items equal in id and text are one; empty tables
     give an empty result or no overlaps.  Other columns pass through; ``column`` must not be one of them.
     """
     out = docs.withColumn(column, F.array().cast("array<struct<item_id:bigint,start:bigint,words:bigint,same:bigint>>"))
     schema = out.schema
-    for items in blocks(benchmark):
-        out = out.mapInArrow(_finder(Seeds(items), column), schema)
+    passed = None  # the staged rows that ``out`` reads
+    for k, block in enumerate(blocks(benchmark)):
+        if k:
+            done = stage(out, "overlaps")
+            if passed is not None:
+                release(passed)
+            out = passed = done
+        out = out.mapInArrow(_finder(seeds_of(block), column), schema)
     return out
 
 

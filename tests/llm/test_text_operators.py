@@ -171,3 +171,15 @@ def test_items_without_an_id_are_judged_like_others(spark, monkeypatch):
         got = {r.doc_id: (r.contaminated, r.n_overlaps, r.longest, r.item_ids) for r in D.contamination(docs, bench).collect()}
         assert got == {1: (True, 2, 14, [3, None]), 2: (True, 1, 14, [None]), 3: (False, 0, 0, []), None: (True, 2, 14, [3, None]), 4: (False, 0, 0, [])}
         assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == [3, 4]
+
+
+def test_one_block_of_the_benchmark_at_a_time(spark, odd, monkeypatch):
+    bench = spark.createDataFrame([(1, PASSAGE), *((k, " ".join(f"w{k}x{i}" for i in range(20))) for k in range(2, 12))], "item_id long, text string")
+    rows = lambda df: sorted((r.doc_id, r.text, r.found) for r in df.select("doc_id", "text", "found").collect() if r.found)
+    whole = D.overlaps(odd, bench, "found")
+    monkeypatch.setattr(D, "BLOCK_WORDS", 50)
+    assert len(D.blocks(bench)) > 2
+    parts = D.overlaps(odd, bench, "found")
+    assert parts.columns == whole.columns and parts.count() == odd.count()
+    assert parts._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # the others are done and staged
+    assert rows(parts) == rows(whole) != []
