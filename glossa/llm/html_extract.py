@@ -148,7 +148,7 @@ def vectors(page: list[Block]) -> np.ndarray:
         words = b.text.split()
         counts = np.bincount([_bucket(w.lower(), WORD_DIM) for w in words], minlength=WORD_DIM)
         row[PATH_DIM:PATH_DIM + WORD_DIM] = counts / np.sqrt(len(words)) / 4
-        row[-SIZE_DIM:] = (np.log1p(len(words)) / 4, b.linked, b.text[-1] in ".!?…\"»", i / len(page), len(b.path) / 10, np.mean([len(w) for w in words[:200]]) / 10)
+        row[-SIZE_DIM:] = (np.log1p(len(words)) / 4, b.linked, b.text[-1] in ".!?…\"»", i / len(page), len(b.path) / 10, sum(map(len, words)) / len(words) / 10)
     return out
 
 

@@ -47,6 +47,12 @@ def test_article_blocks_come_out(spark, pages):
     assert H.extract(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def test_mean_word_length_is_over_all_words():
+    words = ["ab"] * 200 + ["abcdefgh"] * 100
+    row, = H.vectors([H.Block(("body", "p"), " ".join(words), 0.0)])
+    assert abs(row[-1] - (200 * 2 + 100 * 8) / 300 / 10) < 1e-6
+
+
 def test_gradients_of_the_network():
     import numpy as np
 
