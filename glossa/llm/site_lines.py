@@ -43,7 +43,7 @@ def dedup_lines(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
 
     Every row is a page, repeated page_ids too; a line counts once for each page that it stands on.  Pages without a
     URL share the host ''.  A null or empty page has no lines and text ''; a host of fewer than ``min_pages`` pages
-    loses nothing; empty tables give an empty result.  Other columns are ignored.
+    loses nothing, nor does a line on fewer pages go whatever its share; empty tables give an empty result.  Other columns are ignored.
 
     The lines are cut once and staged; from there they are counted and compared by two 64-bit hashes, so their texts
     cross the network once, with their page.  Counts are pre-aggregated before they are shuffled, and only lines on
