@@ -1,8 +1,9 @@
 """Toxicity: a weighted finite-state grammar of insult, threat, target, negation and reported speech.
 
-Words become symbols (their class, and a weight for insults and threats).  Four small transducers read the symbols of
-a clause: who is addressed, what is negated, what is reported, and what is said.  Their composition is one machine; a
-match leaves it with its lexeme's weight and the scopes it stands in.  A document's score is a logistic function of
+Words become symbols (their class, and a weight for insults and threats).  Three small transducers read the symbols of
+a clause: who is addressed, what is negated and what is reported.  Their composition is one machine of scopes.  Insult
+and threat have no transducer: they are word classes, and a match is such a word with its lexeme's weight and the scopes
+opened before it; a target behind it ("idiots like you") opens none.  A document's score is a logistic function of
 its matched clauses, so an isolated word weighs less than the same word aimed at somebody, and less again when it is
 denied or quoted.  Lexeme weights and the function are learned from labelled texts; only the text is looked at.
 """
