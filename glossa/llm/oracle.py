@@ -62,4 +62,38 @@ SELECT any_value(p.page_id) AS page_id, any_value(p.host) AS host, count(m.line)
   coalesce(string_agg(m.line, chr(10) ORDER BY m.pos) FILTER (NOT gone), '') AS text
 FROM page p LEFT JOIN marked m ON m.rid = p.rid GROUP BY p.rid"""
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": _OP1, "op7_site_lines": _OP7, "op9_substring_dedup": _OP9}
+#: Counts of every text, its words under windows found twice in it, and whether a window of 50 words is.
+_OP11 = rf"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS.format(text="text")} AS ws FROM documents),
+win AS (SELECT rid, m, i, array_to_string(ws[i:i + m - 1], ' ') AS k
+        FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (VALUES (3), (5), (50)) v(m))),
+again AS (SELECT rid, m, k FROM win GROUP BY rid, m, k HAVING count(*) > 1),
+under AS (SELECT rid, m, count(DISTINCT i + j) AS n FROM win JOIN again USING (rid, m, k), range(50) t(j) WHERE j < m GROUP BY rid, m),
+line AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM w),
+dup AS (SELECT rid, sum(n - 1) AS n FROM (SELECT rid, line, count(*) AS n FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid, line) GROUP BY rid),
+c AS (SELECT w.rid, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+        coalesce(max(under.n) FILTER (m = 3), 0) AS n_repeat_words, coalesce(max(under.n) FILTER (m = 5), 0) AS covered_words,
+        count(*) FILTER (m = 50) > 0 AS long_repeat
+      FROM w LEFT JOIN dup USING (rid) LEFT JOIN under USING (rid) GROUP BY w.rid, doc_id, ws, text, dup.n),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
+  NOT base_failed AND 100 * covered_words <= 30 * n_words AND NOT long_repeat AS kept FROM j"""
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+#: Every document that holds a term of an item is scored.
+_OP12 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+p AS (SELECT doc_id, t, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY doc_id, t),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d WHERE len(ts) > 0),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * (SELECT big_n FROM s) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p GROUP BY t),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // l)))) AS BIGINT) AS score
+           FROM q JOIN w USING (t) JOIN p USING (t), s GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": _OP1, "op7_site_lines": _OP7, "op9_substring_dedup": _OP9, "op11_quality_rules": _OP11,
+                              "op12_lexical_search": _OP12}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, html_extract, lz_fingerprint, minhash_dedup, mixing, quality, site_lines, substring_dedup, token_files, toxicity
+from glossa.llm import (decontaminate, html_extract, lexical_search, lz_fingerprint, minhash_dedup, mixing, quality, repetition, site_lines,
+                        substring_dedup, token_files, toxicity, whitening)
 from glossa.llm.oracle import ORACLE_SQL  # noqa: F401
 from glossa.llm.common import read_table
 
@@ -71,6 +73,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document by the base rules and by the repeats that its sorted suffixes show."""
+    return repetition.repetition_rules(read_table(spark, sf_dir, "documents")).drop("n_repeats", "longest_repeat")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of all for each benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on up to 32 whitened components."""
+    out = whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_mix_sources, op3_quality, op4_toxicity, op5_token_files,
                                   op6_lz_fingerprint, op7_site_lines, op8_html_extract,
-                                  op9_substring_dedup, op10_decontaminate)}
+                                  op9_substring_dedup, op10_decontaminate, op11_quality_rules, op12_lexical_search,
+                                  op13_whitening)}

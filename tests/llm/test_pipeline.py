@@ -24,7 +24,7 @@ def test_registered_queries(spark):
     import __spark_entry__ as E
 
     names = {int(n[2:].split("_")[0]) for n in E.queries() if n.startswith("op")}
-    assert names == set(range(1, 11)) and "pipeline" in E.queries()
+    assert names == set(range(1, 14)) and "pipeline" in E.queries()
     assert P.run(spark, SF).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     from tests.oracle_check import compare
     for name, r in compare(spark, SF, names=list(queries.ORACLE_SQL), verbose=False).items():
