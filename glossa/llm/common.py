@@ -17,7 +17,7 @@ from glossa.session import ensure_checkpoint_dir
 #: A word, as the contracts state it: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; bounds a task's memory whatever the batch size.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 # --- staged tables -----------------------------------------------------------------------------------------------

@@ -14,7 +14,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,6 +28,9 @@ from glossa.llm.common import slices
 
 #: Pages that may be learned from: a documented bound.
 MAX_TRAINING_PAGES = 400
+#: Longer pages teach nothing, and of one page no more blocks teach.
+MAX_TRAINING_BYTES = 256 << 10
+TRAINING_BLOCKS = 200
 VARIANTS = 4
 EPOCHS = 5
 HIDDEN = 20
@@ -44,16 +48,44 @@ tr ul button""".split())
 CLOSED_BY = {"p": BLOCK_TAGS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
              "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?>|([^<]+|<)", re.DOTALL)
+_MARKUP = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)(%s)>|([^<]++|<(?![a-zA-Z/])|</(?![a-zA-Z]))"
+#: A quote counts behind a "=" only; nothing is tried twice, so a tag takes time in proportion to its length.
+_TOKEN = re.compile(_MARKUP % r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+", re.DOTALL)
+#: For what follows a tag whose quotes run over the page's end: the first ">" ends a tag.
+_LOOSE = re.compile(_MARKUP % r"[^>]*+", re.DOTALL)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+class Path:
+    """The names of the block elements around a block, shared by all blocks of an element: their hashed vector, how
+    many they are, the last two, and whether they name an article or what is none."""
+
+    __slots__ = ("features", "size", "last", "article", "barred")
+
+    def __init__(self, parent: Path | None, names: Sequence[str], fresh: Iterable[str]):
+        """``fresh``: those of ``names`` that no element further out has."""
+        self.features = np.zeros(PATH_DIM, np.float32) if parent is None else parent.features
+        fresh = set(fresh)
+        if fresh:
+            self.features = self.features.copy()
+            for name in fresh:
+                self.features[_bucket(name, PATH_DIM)] += 1
+        self.size = len(names) + (parent.size if parent else 0)
+        self.last = (*(parent.last if parent else ()), *names)[-2:]
+        self.article = bool(parent and parent.article) or any(n in ("article", "main") for n in fresh)
+        self.barred = bool(parent and parent.barred) or any(NOT_ARTICLE.match(n) for n in fresh)
+
+    @classmethod
+    def of(cls, names: Sequence[str]) -> Path:
+        return cls(None, names, names)
+
+
 @dataclass
 class Block:
-    """A leaf block: the names on its path, its text, and the part of the text inside links."""
+    """A leaf block: its path, its text, and the part of the text inside links."""
 
-    path: tuple[str, ...]
+    path: Path
     text: str
     linked: float
 
@@ -70,7 +102,11 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; references decoded, white space joined, blocks without text left out."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], Path]] = []  # of the open elements: tag, names, path with them
+    outside = Path(None, (), ())
+    open_names: Counter = Counter()  # names of the open block elements
+    open_tags: Counter = Counter()
+    open_blocks: list[int] = []  # their places in the stack
     parts: list[str] = []
     linked = links = 0
 
@@ -78,18 +114,32 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            path = tuple(n for tag, names in stack if tag in BLOCK_TAGS for n in names)
-            out.append(Block(path, text, min(1.0, linked / len(text))))
+            out.append(Block(stack[-1][2] if stack else outside, text, min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
-    position, hidden = 0, ""
+    def close(k: int) -> None:
+        """Close the open elements from number ``k`` on."""
+        nonlocal links
+        for tag, names, _ in stack[k:]:
+            links -= tag == "a"
+            open_tags[tag] -= 1
+            if tag in BLOCK_TAGS:
+                open_names.subtract(names)
+        del stack[k:]
+        while open_blocks and open_blocks[-1] >= k:
+            open_blocks.pop()
+
+    position, hidden, token = 0, "", _TOKEN
     while position < len(page):
         if hidden:  # raw content up to its end tag
             end = re.compile(rf"</{hidden}\s*>", re.IGNORECASE).search(page, position)
             position, hidden = (end.end() if end else len(page)), ""
             continue
-        m = _TOKEN.match(page, position)
+        m = token.match(page, position)
+        if m is None and token is _TOKEN:
+            token = _LOOSE
+            continue
         if m is None:  # an unfinished tag at the end
             break
         position = m.end()
@@ -100,14 +150,10 @@ def blocks(page: str) -> list[Block]:
         elif m[2]:
             tag = m[2].lower()
             if m[1]:
-                if any(t == tag for t, _ in stack):
+                if open_tags[tag]:
                     if tag in BLOCK_TAGS:
                         flush()
-                    while stack:
-                        t, _ = stack.pop()
-                        links -= t == "a"
-                        if t == tag:
-                            break
+                    close(next(k for k in reversed(range(len(stack))) if stack[k][0] == tag))
                 elif tag in BLOCK_TAGS:
                     flush()
             elif tag in HIDDEN_TAGS and tag != "head":
@@ -118,13 +164,18 @@ def blocks(page: str) -> list[Block]:
             else:
                 if tag in BLOCK_TAGS:
                     flush()
-                    while (k := next((k for k in reversed(range(len(stack))) if stack[k][0] in BLOCK_TAGS), None)) is not None and tag in CLOSED_BY.get(stack[k][0], ()):
-                        links -= sum(t == "a" for t, _ in stack[k:])
-                        del stack[k:]
+                    while open_blocks and tag in CLOSED_BY.get(stack[open_blocks[-1]][0], ()):
+                        close(open_blocks[-1])
                 elif tag == "br":
                     parts.append(" ")
                 if tag not in VOID_TAGS:
-                    stack.append((tag, _names(tag, m[3] or "")))
+                    names, path = _names(tag, m[3] or ""), stack[-1][2] if stack else outside
+                    if tag in BLOCK_TAGS:
+                        path = Path(path, names, [n for n in names if not open_names[n]])
+                        open_names.update(names)
+                        open_blocks.append(len(stack))
+                    stack.append((tag, names, path))
+                    open_tags[tag] += 1
                     links += tag == "a"
     flush()
     return out
@@ -141,14 +192,13 @@ def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), DIM), np.float32)
     for i, b in enumerate(page):
         row = out[i]
-        for name in set(b.path):
-            row[_bucket(name, PATH_DIM)] += 1
-        for name in b.path[-2:]:
+        row[:PATH_DIM] = b.path.features
+        for name in b.path.last:
             row[_bucket(name, PATH_DIM)] += 0.5
         words = b.text.split()
         counts = np.bincount([_bucket(w.lower(), WORD_DIM) for w in words], minlength=WORD_DIM)
         row[PATH_DIM:PATH_DIM + WORD_DIM] = counts / np.sqrt(len(words)) / 4
-        row[-SIZE_DIM:] = (np.log1p(len(words)) / 4, b.linked, b.text[-1] in ".!?…\"»", i / len(page), len(b.path) / 10, sum(map(len, words)) / len(words) / 10)
+        row[-SIZE_DIM:] = (np.log1p(len(words)) / 4, b.linked, b.text[-1] in ".!?…\"»", i / len(page), b.path.size / 10, sum(map(len, words)) / len(words) / 10)
     return out
 
 
@@ -277,15 +327,14 @@ def _path(selector: str) -> tuple[str, ...]:
 
 def weak_labels(page: list[Block]) -> list[bool] | None:
     """What the page's own markup calls article; None if it names none."""
-    inside = [any(n in ("article", "main") for n in b.path) for b in page]
-    return [a and not any(NOT_ARTICLE.match(n) for n in b.path) for a, b in zip(inside, page)] if any(inside) else None
+    return [b.path.article and not b.path.barred for b in page] if any(b.path.article for b in page) else None
 
 
 def recompose(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
     """The page's article in another container, among other blocks made of the page's own words."""
     labels = weak_labels(page) or [True] * len(page)
     body = [b for b, good in zip(page, labels) if good]
-    words = [w for b in page for w in b.text.split()[:60]] or ["x"]
+    words = [w for b in page for w in b.text.split()] or ["x"]
     outer = ("html", "body", *(_path("div.page") if rng.random() < 0.2 else ()), *(_path("div.wrapper") if rng.random() < 0.2 else ()))
     home = _path(ARTICLES[rng.integers(len(ARTICLES))])
 
@@ -299,7 +348,7 @@ def recompose(page: list[Block], rng: np.random.Generator) -> tuple[list[Block],
         long = kind in ("comments", "notice", "advert", "side", "footer", "header") and rng.random() < 0.6
         n = int(rng.integers(1, 9 if kind in ("menu", "form", "side") else 5))
         linked = 1.0 if kind == "menu" else float(rng.random() < 0.4)
-        return [Block((*outer, *within, *name), said(4, 45) if long else said(1, 5), linked) for _ in range(n)]
+        return [Block(Path.of((*outer, *within, *name)), said(4, 45) if long else said(1, 5), linked) for _ in range(n)]
 
     rows: list[tuple[Block, bool]] = []
     put = lambda kind, share, within=(): rows.extend((b, False) for b in other(kind, within)) if rng.random() < share else None
@@ -309,8 +358,8 @@ def recompose(page: list[Block], rng: np.random.Generator) -> tuple[list[Block],
         put("share", 0.15, home)
         flat = rng.random() < 0.2
         for k, b in enumerate(body):
-            tail = b.path[-1:] if b.path and b.path[-1] in ("h1", "h2", "h3") else _path(INSIDE[rng.integers(len(INSIDE))]) if rng.random() < 0.3 else ("p",)
-            rows.append((Block((*outer, *home, *(() if flat and len(body) == 1 else tail)), b.text, b.linked), True))
+            tail = b.path.last[-1:] if b.path.last and b.path.last[-1] in ("h1", "h2", "h3") else _path(INSIDE[rng.integers(len(INSIDE))]) if rng.random() < 0.3 else ("p",)
+            rows.append((Block(Path.of((*outer, *home, *(() if flat and len(body) == 1 else tail))), b.text, b.linked), True))
             if k + 1 < len(body) and rng.random() < 0.06:
                 put(("advert", "side", "form", "share", "notice")[rng.integers(5)], 1, home)
         put("comments", 0.2, home)
@@ -320,15 +369,23 @@ def recompose(page: list[Block], rng: np.random.Generator) -> tuple[list[Block],
     return [b for b, _ in rows], [y for _, y in rows]
 
 
-def fit(pages: DataFrame, bound: int = MAX_TRAINING_PAGES, seed: int = SEED) -> dict:
-    """Train on about ``bound`` pages, chosen by a hash of page_id, each as it is (where its markup names an article) and recomposed."""
-    n = pages.count()
-    share = min(1.0, bound / n) if n else 1.0
-    sample = pages.where(F.pmod(F.xxhash64(F.lit(seed), "page_id"), F.lit(1 << 30)) < int(share * (1 << 30))).where("html is not null").select("html").orderBy(F.xxhash64("html")).collect()  # bounded
+def fit(pages: DataFrame, bound: int = MAX_TRAINING_PAGES, seed: int = SEED) -> dict | None:
+    """Train on at most ``bound`` different pages of at most MAX_TRAINING_BYTES each, chosen by a hash of their html
+    (rows that repeat a page count once, whatever their ids), each as it is, where its markup names an article, and
+    recomposed.  Of a page with more than TRAINING_BLOCKS blocks as many in a row teach, from a place drawn by chance.
+    None without a page to learn from."""
+    usable = pages.where(F.octet_length("html") <= MAX_TRAINING_BYTES).select("html", F.xxhash64("html").alias("_hash"))
+    n = usable.agg(F.approx_count_distinct("_hash")).first()[0]
+    share = min(1.0, 2 * bound / n) if n else 1.0  # twice as many as needed, so that hardly ever fewer are chosen
+    chosen = usable.where(F.pmod("_hash", F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["_hash"])
+    sample = chosen.orderBy("_hash").limit(bound).collect()  # bounded in rows and bytes
     rng = np.random.default_rng(seed)
     examples = []
     for row in sample:
-        page = blocks(row["html"])[:200]  # training only: examples of at most 200 blocks
+        page = blocks(row["html"])
+        if len(page) > TRAINING_BLOCKS:
+            start = int(rng.integers(len(page) - TRAINING_BLOCKS + 1))
+            page = page[start:start + TRAINING_BLOCKS]
         if not page:
             continue
         if (known := weak_labels(page)) is not None:
@@ -337,10 +394,17 @@ def fit(pages: DataFrame, bound: int = MAX_TRAINING_PAGES, seed: int = SEED) ->
             other, labels = recompose(page, rng)
             if other:
                 examples.append((vectors(other), np.array(labels, float)))
-    return train(examples, seed=seed)
+    return train(examples, seed=seed) if examples else None
+
+
+def judged(w: dict | None, pages: list[list[Block]]) -> list[np.ndarray]:
+    """The blocks' probabilities; without a network 1 for what the markup calls article, for all where it names none."""
+    if w is not None:
+        return probabilities(w, [vectors(p) for p in pages])
+    return [np.array(weak_labels(p) or [True] * len(p), float) for p in pages]
 
 
-def _extractor(w: dict):
+def _extractor(w: dict | None):
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html", 4 << 20):
             pages = [blocks(h or "") for h in batch.column("html").to_pylist()]
@@ -350,7 +414,7 @@ def _extractor(w: dict):
             while at < len(order):  # pages of like length together, a bounded number of blocks at a time
                 size = max(1, min(256, 20_000 // len(pages[order[min(at + 255, len(order) - 1)]])))
                 some = order[at:at + size]
-                for k, p in zip(some, probabilities(w, [vectors(pages[k]) for k in some])):
+                for k, p in zip(some, judged(w, [pages[k] for k in some])):
                     texts[k] = " ".join(b.text for b, q in zip(pages[k], p) if q >= 0.5)
                 at += size
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
@@ -361,7 +425,7 @@ def extract(pages: DataFrame, bound: int = MAX_TRAINING_PAGES) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``: the blocks that the network takes for the article, in order.
 
     A null or empty page, or one without article blocks, has text ''; repeated rows are read each; nulls in page_id and
-    url pass through; an empty table gives an empty result.  Whole pages are read, however long; other columns are
+    url pass through; where no page can be learned from, the markup alone decides; an empty table gives an empty result.  Whole pages are read, however long; other columns are
     ignored.
     """
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_extractor(fit(pages, bound)), "page_id long, url string, text string, n_chars long")

@@ -33,8 +33,9 @@ BITS = 1024
 MOST_BITS = 168
 #: Partners that a node confirms in the first round.
 FIRST = 2
-#: Members of a bucket that are compared in one piece.
+#: Members of a bucket that are compared in one piece, and shingles that they have together.
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21
 SEED = 41
 _A = np.random.default_rng(SEED).integers(1, 2 ** 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -186,11 +187,11 @@ def _in_buckets(bands: DataFrame, placed: DataFrame, nodes: DataFrame, best_only
     """(a, b, bits) of the likely pairs of different components that share a bucket.
 
     Buckets of one component have none, buckets of two nodes were compared already.  A bucket is compared in pieces of
-    BLOCK nodes, two at a time, so none is gathered whole.
+    about BLOCK nodes and BLOCK_SHINGLES shingles, two at a time, so none is gathered whole.
     """
-    label = placed.select(F.col("node").alias("_m"), "component")
-    open_ = (bands.join(label, F.col("node") == F.col("_m")).groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("n > 2 and lo != hi").select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("pieces")))
+    label = placed.select(F.col("node").alias("_m"), "component", "n_shingles")
+    open_ = (bands.join(label, F.col("node") == F.col("_m")).groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n_shingles").alias("all"))
+             .where("n > 2 and lo != hi").select(F.col("key").alias("_key"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("pieces")))
     members = (bands.join(open_, F.col("key") == F.col("_key")).drop("_key")
                .withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
                .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))

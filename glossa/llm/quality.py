@@ -33,6 +33,8 @@ _CLASS_OF = np.full(256, len(CLASSES), np.uint8)  # the last class: bytes of oth
 for _k, _v in enumerate(CLASSES.values()):
     _CLASS_OF[list(_v)] = _k
 N_CLASSES = len(CLASSES) + 1
+#: Bytes whose classes and hashes are looked up at once.
+CHUNK = 1 << 18
 _BYTE_HASH = mix64(np.arange(1, 257, dtype=np.uint64))
 STATS = [*(f"share_{c}" for c in CLASSES), "share_other", "log_words", "word_length", "word_spread", "distinct", "top_word", "distinct_pairs",
          "line_words", "distinct_lines", "caps_words", "symbol_words", "single_words", "long_words", "sentences"]
@@ -55,6 +57,22 @@ def _distinct(owner: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.bincount(o[first], minlength=n), top
 
 
+def _by_chunk(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of each class by text, sum of the byte hashes before each of the sorted ``cuts``), CHUNK bytes at a time."""
+    n = len(offsets) - 1
+    chars, total = np.zeros(n * N_CLASSES, np.int64), np.zeros(len(cuts), np.uint64)
+    carry = np.uint64(0)
+    for a in range(0, len(data), CHUNK):
+        part = data[a:a + CHUNK]
+        owner = np.searchsorted(offsets, np.arange(a, a + len(part)), "right") - 1
+        chars += np.bincount(owner * N_CLASSES + _CLASS_OF[part], minlength=n * N_CLASSES)
+        sums = np.concatenate([[carry], carry + np.cumsum(_BYTE_HASH[part], dtype=np.uint64)])
+        lo, hi = np.searchsorted(cuts, a, "left"), np.searchsorted(cuts, a + len(part), "right")
+        total[lo:hi] = sums[cuts[lo:hi] - a]
+        carry = sums[-1]
+    return chars.reshape(n, N_CLASSES), total
+
+
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of STATS for each whole text; a text without words has zeros."""
     n = len(texts)
@@ -62,9 +80,10 @@ def statistics(texts: pa.Array) -> np.ndarray:
     offsets = np.frombuffer(raw[1], np.int64)[texts.offset:texts.offset + n + 1]
     data = np.frombuffer(raw[2], np.uint8)[offsets[0]:offsets[-1]] if raw[2] else np.zeros(0, np.uint8)
     sizes = np.diff(offsets)
-    owner = np.repeat(np.arange(n), sizes)
-    kinds = _CLASS_OF[data]
-    chars = np.bincount(owner * N_CLASSES + kinds, minlength=n * N_CLASSES).reshape(n, N_CLASSES)
+    # lines: sums of byte hashes between the line ends tell apart all but lines of the same bytes in another order
+    ends = np.flatnonzero(data == 10)
+    cut = np.sort(np.concatenate([ends, offsets[1:] - offsets[0]]))
+    chars, total = _by_chunk(data, offsets - offsets[0], cut)
     words = Words(texts)
     count = np.diff(words.bounds)
     of = np.repeat(np.arange(n), count)
@@ -78,14 +97,8 @@ def statistics(texts: pa.Array) -> np.ndarray:
     pairs = words.codes[:-1] * (len(words.vocab) + 1) + words.codes[1:]
     inside = of[:-1] == of[1:]
     pair_kinds, _ = _distinct(of[:-1][inside], pairs[inside], n)
-    # lines: sums of byte hashes between the line ends tell apart all but lines of the same bytes in another order
-    ends = np.flatnonzero(data == 10)
-    line_owner = np.concatenate([owner[ends], np.arange(n)])
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_HASH[data], dtype=np.uint64)])
-    cut = np.sort(np.concatenate([ends, offsets[1:] - offsets[0]]))
-    start = np.concatenate([[0], cut[:-1]])
-    line_hash = (total[np.minimum(cut, len(data))] - total[np.minimum(start, len(data))]).astype(np.int64)
-    line_owner = np.sort(line_owner)
+    line_hash = np.diff(total, prepend=np.uint64(0)).astype(np.int64)
+    line_owner = np.sort(np.concatenate([np.searchsorted(offsets - offsets[0], ends, "right") - 1, np.arange(n)]))
     lines, _ = _distinct(line_owner, line_hash, n)
     n_lines = np.bincount(line_owner, minlength=n)
     stats = [*(chars[:, k] / one for k in range(N_CLASSES)), np.log1p(count), mean, spread, distinct / np.sqrt(some), top / some, pair_kinds / some,

@@ -55,8 +55,22 @@ class WordIds:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        # tokens that the vocabulary splits off as they are written, before it folds case
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._require_words()
         self.forget()
 
+    def _require_words(self) -> None:
+        """Texts are encoded word by word: refuse a vocabulary that does not fold case, or that sees white space."""
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+        words = ["Apple", "(pie)", "don't", "x1", "É", "日本", "--"]
+        apart = [i for w in words for i in ids(w)]
+        if any(ids(sep.join(words)) != apart for sep in (" ", "  ", "\n", "\t \r\n")) or ids(" \n ") or any(ids(w) != ids(w.lower()) for w in words) \
+                or any(len(m.split()) != 1 or m.split()[0] != m for m in self.marks):
+            raise ValueError("the vocabulary's ids of a text are not those of its lower-case words in turn")
+
     def forget(self) -> None:
         self.of: dict[bytes, int] = {}
         self.flat, self.ends, self.count = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64), 0
@@ -117,13 +131,17 @@ def encode_texts(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.
     """(ids, bounds) of the texts, ``end_id`` after each.
 
     The vocabulary folds case, drops white space and never merges across it, so a text's ids are those of its words in
-    turn; each different word is encoded once.
+    turn; each different word is encoded once.  Words that hold a token which the vocabulary splits off unfolded are
+    encoded in their own case.
     """
     known = _known.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
     _known[tokenizer_path] = known
-    words = Words(texts, lower=True)
-    vocab = words.vocab
-    known.learn(vocab)
+    data = texts.buffers()[2] if len(texts) else None
+    marked = data is not None and any(m.lower() in data.to_pybytes().lower() for m in known.marks)
+    words = Words(texts, lower=not marked)
+    # a word with one of the vocabulary's marks keeps its case: only as it is written it is the mark
+    vocab = [w if any(m.lower() in w.lower() for m in known.marks) else w.lower() for w in words.vocab] if marked else words.vocab
+    known.learn(list(dict.fromkeys(vocab)))
     at = np.fromiter(map(known.of.__getitem__, vocab), np.int64, len(vocab))
     # one more "word" at the end of each text, one place for the end id
     starts, ends = np.append(known.ends[at], 0), np.append(known.ends[at + 1], 1)

@@ -88,3 +88,24 @@ def test_scopes_of_the_grammar():
     assert scope("I will kill you") == [8]
     assert scope("not one two three four idiot") == [0]  # out of the negation's reach
     assert not features("a calm and clean text").any() and not features("").any()
+
+
+def test_statistics_equal_a_count_by_hand(monkeypatch):
+    import re
+
+    monkeypatch.setattr(Q, "CHUNK", 7)  # counts run over chunk borders
+    texts = ["", "One two. ONE $two\n\nOne two. ONE $two\nlast | line", " \n ", "a", "é è\n" * 5 + "É", "x y x y x y"]
+    got = Q.statistics(pa.array(texts, pa.large_string()))
+    for text, row in zip(texts, got):
+        s = dict(zip(Q.STATS, row))
+        raw, words = text.encode(), re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
+        if not words:
+            assert not row.any()
+            continue
+        lines = text.split("\n")
+        want = {"log_words": np.log1p(len(words)), "word_length": np.mean([len(w) for w in words]), "word_spread": np.std([len(w) for w in words]),
+                "distinct": len(set(words)) / len(words) ** 0.5, "top_word": max(map(words.count, words)) / len(words),
+                "distinct_pairs": len(set(zip(words, words[1:]))) / len(words),                 "line_words": np.log1p(len(words) / len(lines)), "single_words": np.mean([len(w) <= 2 for w in words]),
+                "caps_words": np.mean([w.isupper() and len(w) > 1 for w in words])}
+        want |= {f"share_{c}": sum(b in of for b in raw) / len(raw) for c, of in Q.CLASSES.items()}
+        assert all(abs(s[k] - v) < 1e-9 for k, v in want.items()), (text, s, want)

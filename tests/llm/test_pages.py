@@ -49,7 +49,7 @@ def test_article_blocks_come_out(spark, pages):
 
 def test_mean_word_length_is_over_all_words():
     words = ["ab"] * 200 + ["abcdefgh"] * 100
-    row, = H.vectors([H.Block(("body", "p"), " ".join(words), 0.0)])
+    row, = H.vectors([H.Block(H.Path.of(("body", "p")), " ".join(words), 0.0)])
     assert abs(row[-1] - (200 * 2 + 100 * 8) / 300 / 10) < 1e-6
 
 
@@ -73,3 +73,34 @@ def test_boilerplate_lines_of_a_site(spark):
     assert got[50] == [("two.example", 1, 0, "Menu")] and got[51] == got[52] == [("", 0, 0, "")]
     assert sorted(got[53]) == [("", 2, 0, "Menu\na b"), ("", 2, 0, "Menu\nc")]
     assert S.dedup_lines(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_a_page_cut_off_inside_a_tag_takes_no_time():
+    import time
+
+    start = time.time()
+    cut = "<p>kept</p><div " + " ".join(f"a{k}=\"v{k}\" b='c" for k in range(4000))
+    assert [b.text for b in H.blocks(cut)] == ["kept"]
+    assert [b.text for b in H.blocks("<p>one</p><p title=\"never closed>two</p><p>three</p>")] == ["one", "two", "three"]
+    assert len(H.blocks("<a =\"><p =' >t " * 5000)) > 0
+    deep = H.blocks("<div class='a b'>x" * 8000)
+    assert len(deep) == 8000 and deep[-1].path.size == 3 * 8000 and len({id(b.path.features) for b in deep}) <= 2
+    assert time.time() - start < 5
+
+
+def test_the_sample_is_of_different_pages(spark, pages):
+    html = pages.first().html
+    other = page("<article><p>" + "Quite another text of some more words stands here. " * 3 + "</p></article>")
+    for id_ in (7, None):  # every row has the same id, most are the same page
+        rows = spark.createDataFrame([(id_, "u", html)] * 400 + [(id_, "u", other)], PAGE)
+        got = H.extract(rows.unionByName(pages)).where("url = 'u'").distinct().collect()
+        assert sorted(r.text.split()[0] for r in got) == sorted([got[0].text.split()[0], got[1].text.split()[0]]) and len(got) == 2
+        assert all("Home" not in r.text and "us" not in r.text.split() for r in got)
+
+
+def test_without_a_page_to_learn_from_the_markup_decides(spark, pages):
+    assert H.fit(pages.limit(0)) is None and H.fit(pages.limit(3).withColumn("html", H.F.lit(None).cast("string"))) is None
+    got = H.extract(pages.limit(3), bound=0).collect()
+    assert all(r.text and "Home" not in r.text for r in got)
+    plain = spark.createDataFrame([(1, "u", "<p>one<p>two")], PAGE)
+    assert [r.text for r in H.extract(plain, bound=0).collect()] == ["one two"]

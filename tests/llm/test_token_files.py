@@ -1,4 +1,5 @@
 import io
+import random
 import zlib
 
 import numpy as np
@@ -58,3 +59,27 @@ def test_odd_rows(spark, odd, empty, plain):
     order = [d for d, *_ in sorted(got, key=lambda r: r[1])]
     assert order == [d for d, _ in rows]
     assert T.token_digests(empty, tokenizer_path()).count() == 0
+
+
+def test_tokens_of_the_vocabulary_itself_in_any_case():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    parts = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOfText|>", "x<|STARTOFTEXT|>y", "<|startoftext|>.", "Hello", "WORLD", "<|", "|>", "É", "a.b", "<|endoftext|", "日本"]
+    texts = ["".join(rng.choice(parts) + rng.choice((" ", "", "\n")) for _ in range(rng.randint(0, 9))) for _ in range(800)]
+    for some in (texts, ["<|ENDOFTEXT|>"], [t.replace("<|", "") for t in texts]):
+        ids, bounds = T.encode_texts(pa.array(some, pa.large_string()), path, 2)
+        for text, a, b in zip(some, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids + [2], text
+
+
+def test_a_vocabulary_that_reads_white_space_is_refused(tmp_dir):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    other = Tokenizer(models.BPE(vocab={c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))}, merges=[]))
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    other.save(f"{tmp_dir}/bytes.json")
+    with pytest.raises(ValueError, match="white|words"):
+        T.encode_texts(pa.array(["a b"], pa.large_string()), f"{tmp_dir}/bytes.json", 2)
