@@ -72,11 +72,20 @@ class WordIds:
             raise ValueError("the vocabulary's ids of a text are not those of its lower-case words in turn")
 
     def forget(self) -> None:
-        self.of: dict[bytes, int] = {}
+        """Words are known by 128 bits of their hash, in sorted arrays: a tenth of what a dictionary of them takes."""
+        self.low, self.high, self.place = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.ends, self.count = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64), 0
 
-    def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        """Words with the ids of all of them back to back and where each one's end."""
+    def _find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the words, -1 where they are not known; their hashes)."""
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+        if not len(self.low):
+            return np.full(len(words), -1), hashes
+        at = np.minimum(np.searchsorted(self.low, hashes[:, 0]), len(self.low) - 1)
+        return np.where((self.low[at] == hashes[:, 0]) & (self.high[at] == hashes[:, 1]), self.place[at], -1), hashes
+
+    def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, of: dict[bytes, int]) -> None:
+        """Words with the ids of all of them back to back and where each one's end; ``of`` gets their places."""
         n, at = len(words), self.ends[self.count]
         while self.count + n + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
@@ -84,32 +93,47 @@ class WordIds:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[at:at + len(ids)] = ids
         self.ends[self.count + 1:self.count + n + 1] = at + ends
-        self.of.update(zip(words, range(self.count, self.count + n)))
+        of.update(zip(words, range(self.count, self.count + n)))
         self.count += n
 
-    def learn(self, words: list[bytes]) -> None:
-        """Plain words are encoded many in one text, each being one piece of it; a marked word is its two pieces."""
-        new = [w for w in words if w not in self.of]
-        if self.count + 2 * len(new) > CACHED_WORDS:
-            self.forget()
-            new = words
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """The place of each of some different words; new ones are encoded."""
+        at, hashes = self._find(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if self.count + 2 * len(new) > CACHED_WORDS:
+                self.forget()
+                new = np.arange(len(words))
+            of = self._learn([words[k] for k in new.tolist()])
+            at[new] = [of[words[k]] for k in new.tolist()]
+            low, high, place = (np.concatenate(x) for x in ((self.low, hashes[new, 0]), (self.high, hashes[new, 1]), (self.place, at[new])))
+            order = np.argsort(low, kind="stable")
+            self.low, self.high, self.place = low[order], high[order], place[order]
+        return at
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, int]:
+        """Places of new words.  Plain ones are encoded many in one text, each being one piece of it; a marked word is
+        its two pieces."""
         pairs = {w: m.groups() for w in new if (m := _MARKED.fullmatch(w))}
-        pieces = [w for w in dict.fromkeys([*(w for w in new if w not in pairs), *(x for two in pairs.values() for x in two)]) if w not in self.of]
+        pieces = list(dict.fromkeys([*(w for w in new if w not in pairs), *(x for two in pairs.values() for x in two)]))
+        of = {w: p for w, p in zip(pieces, self._find(pieces)[0].tolist()) if p >= 0}
         plain, other = [], []
         for w in pieces:
-            (plain if _one_piece(w.decode()) else other).append(w)
+            if w not in of:
+                (plain if _one_piece(w.decode()) else other).append(w)
         for i in range(0, len(plain), 2_000):
             part = plain[i:i + 2_000]
             e = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
             ends = np.searchsorted(np.array(e.word_ids), np.arange(len(part)), "right")
-            self._add(part, np.array(e.ids, np.uint32), ends)
+            self._add(part, np.array(e.ids, np.uint32), ends, of)
         for w in other:
             ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
-            self._add([w], ids, np.array([len(ids)]))
-        marked = [w for w in pairs if w not in self.of]
-        at = np.array([self.of[x] for w in marked for x in pairs[w]], np.int64)
+            self._add([w], ids, np.array([len(ids)]), of)
+        marked = list(pairs)
+        at = np.array([of[x] for w in marked for x in pairs[w]], np.int64)
         take, sizes = _ranges(self.ends[at], self.ends[at + 1])
-        self._add(marked, self.flat[take], np.cumsum(sizes)[1::2])
+        self._add(marked, self.flat[take], np.cumsum(sizes)[1::2], of)
+        return of
 
 
 def _one_piece(word: str) -> bool:
@@ -141,8 +165,8 @@ def encode_texts(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.
     words = Words(texts, lower=not marked)
     # a word with one of the vocabulary's marks keeps its case: only as it is written it is the mark
     vocab = [w if any(m.lower() in w.lower() for m in known.marks) else w.lower() for w in words.vocab] if marked else words.vocab
-    known.learn(list(dict.fromkeys(vocab)))
-    at = np.fromiter(map(known.of.__getitem__, vocab), np.int64, len(vocab))
+    number = {w: k for k, w in enumerate(dict.fromkeys(vocab))} if marked else {}
+    at = known.places(list(number))[[number[w] for w in vocab]] if marked else known.places(vocab)
     # one more "word" at the end of each text, one place for the end id
     starts, ends = np.append(known.ends[at], 0), np.append(known.ends[at + 1], 1)
     codes = np.insert(words.codes, words.bounds[1:], len(vocab))
