@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.operators.dedup import first_wins
+from glossa.operators.dedup import first_wins, one_each, row_hash
 from glossa.operators.dimensions import checked_dimension, materialize
 
 
@@ -56,11 +56,14 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     The winners are found on narrow rows only (key, order and the small
     ``carry`` columns): first-wins with map-side partial aggregation, then the
     id pass, whose result is written once to the checkpoint folder.  The wide
-    rows (texts) then meet the winners in one inner join on key + order, which
-    picks exactly the winning rows: the texts are shuffled once and never
-    aggregated or sorted, and the join key is free of hot values (rows sharing
-    a hash differ in their order columns).  (key + order) must identify a row
-    of ``df``.  ``exclude`` holds keys to skip (already stored: insert-if-absent).
+    rows (texts) then meet the winners in one inner join on 128 bits of the
+    whole row's hash, which picks exactly the winning rows: the texts are
+    shuffled once and never aggregated, and the join key is free of hot values,
+    as equal rows (a document repeated in the export) are cut down to one on
+    either side of that shuffle.  Rows that tie in key and order but differ
+    otherwise are told apart by that hash too, so a unit, its links and its
+    media come from the same row.  ``exclude`` holds keys to skip (already
+    stored: insert-if-absent).
 
     Returns (winning rows with ids, the written narrow frame: key, order,
     carry, id).  Consumers that need only the narrow columns (links, media)
@@ -68,14 +71,15 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     """
     keys, order = list(key_cols), list(order_cols)
     narrow_cols = keys + [c for c in order + list(carry) if c not in keys]
-    narrow = first_wins(df.select(*narrow_cols), keys, order[0])
+    rows = df.withColumn("_h1", row_hash(df, df.columns, 1)).withColumn("_h2", row_hash(df, df.columns, 2))
+    narrow = first_wins(rows.select(*narrow_cols, "_h1", "_h2"), keys, order[0])
     if exclude is not None:
         narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
     ids = assign_ids(narrow, order, id_col, start)
-    join_cols = keys + [c for c in order if c not in keys]
-    numbered = ids.select(*[F.col(c).alias(f"_w_{c}") for c in join_cols], id_col)
-    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in join_cols]
-    return df.join(numbered, same).drop(*[f"_w_{c}" for c in join_cols]), ids
+    numbered = ids.select(F.col("_h1").alias("_w1"), F.col("_h2").alias("_w2"), id_col)
+    same = (F.col("_h1") == F.col("_w1")) & (F.col("_h2") == F.col("_w2"))
+    wide = one_each(rows, ["_h1", "_h2"], "_h1").join(numbered, same).drop("_h1", "_h2", "_w1", "_w2")
+    return wide, ids.drop("_h1", "_h2")
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,

@@ -29,9 +29,10 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
     """A4: the batch rows to append: first per key inside the batch, and only keys the target lacks.
 
     (``INSERT ... ON CONFLICT (key) DO NOTHING``: the stored row is untouched.)
+    One row per key goes in, also where rows tie in ``order`` or none is given
+    (the row with the least hash of all its columns).
     """
-    b = first_wins(batch, list(keys), order) if order else batch.dropDuplicates(list(keys))
-    b = b.select(*batch.columns)
+    b = first_wins(batch, list(keys), order if order else F.lit(0)).select(*batch.columns)
     return b.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
