@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from glossa.functions.scalars import content_hash, normalize_iso, valid_confidence
 from glossa.operators.context import full_context, scoped_context
-from glossa.schemas import ALLOWED_VALUES, FALLBACK_ISO, FOREIGN_KEYS, JSON_COLUMNS, TABLE_NAMES, TABLES
+from glossa.schemas import (ALLOWED_VALUES, CONSTRAINT_SCHEMA, CONSTRAINTS, FALLBACK_ISO, FOREIGN_KEYS, JSON_COLUMNS, TABLE_NAMES,
+                            TABLES, ForeignKey)
 
 RESULT_SCHEMA = "check string, subject string, observed string, status string"
 Tables = Mapping[str, DataFrame]
@@ -40,14 +41,37 @@ class Measure:
     observed: Callable[[Column], Column] | None = None
 
 
+@dataclass(frozen=True)
+class Unique:
+    """No value of the key columns occurs twice; observed: how many do."""
+    check: str
+    subject: str
+    table: str
+    key: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Reference:
+    """Every non-NULL value of a foreign key is a key of the parent; observed: the rows whose value is not."""
+    check: str
+    fk: ForeignKey
+
+    @property
+    def subject(self) -> str:
+        return f"{self.fk.name} ON DELETE {self.fk.on_delete}"
+
+
 @dataclass
 class Parts:
     rows: list[tuple] = field(default_factory=list)
     measures: list[Measure] = field(default_factory=list)
+    uniques: list[Unique] = field(default_factory=list)
+    references: list[Reference] = field(default_factory=list)
     frames: list[DataFrame] = field(default_factory=list)
 
     def __add__(self, other: "Parts") -> "Parts":
-        return Parts(self.rows + other.rows, self.measures + other.measures, self.frames + other.frames)
+        return Parts(self.rows + other.rows, self.measures + other.measures, self.uniques + other.uniques,
+                     self.references + other.references, self.frames + other.frames)
 
 
 def _spark(tables: Tables) -> SparkSession:
@@ -61,9 +85,13 @@ def _verdict(check: str, subject: str, observed: Column, ok: Column, fail: str =
             F.when(ok, F.lit("PASS")).otherwise(F.lit(fail)).alias("status")]
 
 
-def _measure_frame(df: DataFrame, measures: list[Measure]) -> DataFrame:
-    """All measures of one table in one aggregate, then one row per measure."""
-    one = df.agg(*[m.value.alias(f"_m{i}") for i, m in enumerate(measures)])
+def measured(df: DataFrame, measures: list[Measure]) -> DataFrame:
+    """All measures of one table in one aggregate: one row with a column ``_m<i>`` for each."""
+    return df.agg(*[m.value.alias(f"_m{i}") for i, m in enumerate(measures)])
+
+
+def judged(one: DataFrame, measures: list[Measure]) -> DataFrame:
+    """One result row per measure, from the one row of their values."""
     rows = []
     for i, m in enumerate(measures):
         v = F.col(f"_m{i}")
@@ -80,7 +108,11 @@ def assemble(tables: Tables, parts: Parts) -> DataFrame:
     by_table: dict[str, list[Measure]] = {}
     for m in parts.measures:
         by_table.setdefault(m.table, []).append(m)
-    frames += [_measure_frame(tables[t], ms) for t, ms in by_table.items()]
+    frames += [judged(measured(tables[t], ms), ms) for t, ms in by_table.items()]
+    frames += [_pair_dups(tables[u.table], u.key).select(*_verdict(u.check, u.subject, F.col("n"), F.col("n") == 0))
+               for u in parts.uniques]
+    for check in dict.fromkeys(r.check for r in parts.references):
+        frames += _orphan_frames(tables, check, [r for r in parts.references if r.check == check])
     frames += parts.frames
     if not frames:
         return spark.createDataFrame([], RESULT_SCHEMA)
@@ -107,7 +139,24 @@ def tables_present_parts(tables: Tables) -> Parts:
 
 
 def _fk_parts(tables: Tables, check: str, fks) -> Parts:
-    """Orphan counts for several foreign keys, one anti-join per parent table.
+    """Orphan counts for several foreign keys; a missing table is a FAIL row."""
+    parts = Parts()
+    for fk in fks:
+        if fk.child not in tables or fk.parent not in tables:
+            parts += _missing(check, Reference(check, fk).subject)
+        else:
+            parts.references.append(Reference(check, fk))
+    return parts
+
+
+def reference_counts(df: DataFrame, reference: Reference, key_type) -> DataFrame:
+    """(subject, _ref) of every non-NULL reference of one foreign key."""
+    return (df.where(F.col(reference.fk.column).isNotNull())
+            .select(F.lit(reference.subject).alias("subject"), F.col(reference.fk.column).cast(key_type).alias("_ref")))
+
+
+def _orphan_frames(tables: Tables, check: str, references: list[Reference]) -> list[DataFrame]:
+    """One anti-join per parent table.
 
     The references of all keys that point at the same parent are unioned and
     counted per distinct (key, value) first (partial aggregation collapses a
@@ -115,35 +164,41 @@ def _fk_parts(tables: Tables, check: str, fks) -> Parts:
     distinct keys, so each parent key set is shuffled once for all its
     children instead of once per foreign key.  NULL references are valid.
     """
-    parts = Parts()
-    groups: dict[tuple[str, str], list] = {}
-    for fk in fks:
-        subject = f"{fk.name} ON DELETE {fk.on_delete}"
-        if fk.child not in tables or fk.parent not in tables:
-            parts += _missing(check, subject)
-            continue
-        groups.setdefault((fk.parent, fk.parent_key), []).append(fk)
+    frames = []
+    groups: dict[tuple[str, str], list[Reference]] = {}
+    for r in references:
+        groups.setdefault((r.fk.parent, r.fk.parent_key), []).append(r)
     for (parent, pk), members in groups.items():
         key_type = tables[parent].schema[pk].dataType
         refs = None
-        for fk in members:
-            r = (tables[fk.child].where(F.col(fk.column).isNotNull())
-                 .select(F.lit(f"{fk.name} ON DELETE {fk.on_delete}").alias("subject"),
-                         F.col(fk.column).cast(key_type).alias("_ref")))
-            refs = r if refs is None else refs.unionByName(r)
+        for r in members:
+            one = reference_counts(tables[r.fk.child], r, key_type)
+            refs = one if refs is None else refs.unionByName(one)
         counted = refs.groupBy("subject", "_ref").agg(F.count(F.lit(1)).alias("_n"))
         keys = tables[parent].select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
         missing = counted.join(keys, F.col("_ref") == F.col("_pk"), "left_anti")
-        subjects = [f"{fk.name} ON DELETE {fk.on_delete}" for fk in members]
         # one conditional sum per key: every key gets a row, zero included, without a join
-        one = missing.agg(*[F.coalesce(F.sum(F.when(F.col("subject") == sub, F.col("_n"))), F.lit(0))
-                            .cast("long").alias(f"_k{i}") for i, sub in enumerate(subjects)])
-        rows = [F.struct(F.lit(check).alias("check"), F.lit(sub).alias("subject"),
+        one = missing.agg(*[F.coalesce(F.sum(F.when(F.col("subject") == r.subject, F.col("_n"))), F.lit(0))
+                            .cast("long").alias(f"_k{i}") for i, r in enumerate(members)])
+        rows = [F.struct(F.lit(check).alias("check"), F.lit(r.subject).alias("subject"),
                          F.col(f"_k{i}").cast("string").alias("observed"),
                          F.when(F.col(f"_k{i}") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
-                for i, sub in enumerate(subjects)]
-        parts.frames.append(one.select(F.inline(F.array(*rows))))
-    return parts
+                for i, r in enumerate(members)]
+        frames.append(one.select(F.inline(F.array(*rows))))
+    return frames
+
+
+def constraints_in_force(tables: Tables) -> DataFrame:
+    """child, column, parent, parent_key, on_delete, on_update of the foreign keys: what the corpus says under
+    ``CONSTRAINTS``, or the registry."""
+    if CONSTRAINTS in tables:
+        return tables[CONSTRAINTS].select(*[F.col(c) for c in CONSTRAINT_SCHEMA.names])
+    return registry_frame(_spark(tables))
+
+
+def registry_frame(spark: SparkSession) -> DataFrame:
+    """The foreign-key registry as a relation."""
+    return spark.createDataFrame([(k.child, k.column, k.parent, k.parent_key, k.on_delete, k.on_update) for k in FOREIGN_KEYS], CONSTRAINT_SCHEMA)
 
 
 def foreign_keys_parts(tables: Tables) -> Parts:
@@ -220,9 +275,8 @@ def hash_unique_parts(tables: Tables) -> Parts:
     cu = tables.get("content_unit")
     if cu is None or "content_hash" not in cu.columns:
         return _missing("J10", "content_unit.content_hash", "missing")
-    dups = _pair_dups(cu, ("content_hash",))
     return Parts(
-        frames=[dups.select(*_verdict("J10", "content_unit duplicate hashes", F.col("n"), F.col("n") == 0))],
+        uniques=[Unique("J10", "content_unit duplicate hashes", "content_unit", ("content_hash",))],
         measures=[Measure("J10", "content_unit hash mismatches", "content_unit",
                           _count_if(~F.col("content_hash").eqNullSafe(content_hash("content_raw", "variant_id"))),
                           lambda v: v == 0)])
@@ -236,21 +290,25 @@ def bridge_keys_parts(tables: Tables) -> Parts:
         if table not in tables:
             parts += _missing("J11", subject)
             continue
-        parts.frames.append(_pair_dups(tables[table], key).select(
-            *_verdict("J11", subject, F.col("n"), F.col("n") == 0)))
+        parts.uniques.append(Unique("J11", subject, table, key))
     return parts
 
 
 def feedback_chain_parts(tables: Tables) -> Parts:
-    """Feedback -> model must be RESTRICT, feedback -> unit CASCADE (registry), plus their orphan counts."""
-    expected = {"model_id": "RESTRICT", "unit_id": "CASCADE"}
+    """What the registry asks of the feedback log's foreign keys, joined to the constraints in force: feedback -> model
+    RESTRICT, feedback -> unit CASCADE, both updated by CASCADE; plus their orphan counts."""
     fks = [fk for fk in FOREIGN_KEYS if fk.child == "correction_feedback_log"]
-    rows = []
-    for fk in fks:
-        status = "PASS" if fk.on_delete == expected[fk.column] else (
-            "WARNING" if fk.on_delete == "SET NULL" else "FAIL")
-        rows.append(("J12", f"{fk.name} action", fk.on_delete, status))
-    return Parts(rows=rows) + _fk_parts(tables, "J12", fks)
+    asked = registry_frame(_spark(tables)).where(F.col("child") == "correction_feedback_log").select(
+        "child", "column", "parent", "parent_key", F.col("on_delete").alias("_delete"), F.col("on_update").alias("_update"))
+    found = constraints_in_force(tables)
+    met = asked.join(found, ["child", "column", "parent", "parent_key"], "left")
+    name = F.concat("child", F.lit("."), "column", F.lit("->"), "parent", F.lit("."), "parent_key")
+    deleted = (F.when(F.col("on_delete") == F.col("_delete"), "PASS").when(F.col("on_delete") == "SET NULL", "WARNING").otherwise("FAIL"))
+    updated = F.when(F.col("on_update") == F.col("_update"), "PASS").otherwise("FAIL")
+    rows = [F.struct(F.lit("J12").alias("check"), F.concat(name, F.lit(f" {kind}")).alias("subject"),
+                     F.coalesce(F.col(column), F.lit("missing")).alias("observed"), status.alias("status"))
+            for kind, column, status in (("action", "on_delete", deleted), ("update rule", "on_update", updated))]
+    return Parts(frames=[met.select(F.inline(F.array(*rows)))]) + _fk_parts(tables, "J12", fks)
 
 
 def profile_parts(tables: Tables) -> Parts:
@@ -291,18 +349,29 @@ def view_scope_parts(tables: Tables) -> Parts:
     (as many rows, and the same sum of row hashes)."""
     if any(t not in tables for t in VIEW_TABLES):
         return _missing("J15", "v_content_full_context")
+    one = scope_measures(tables)
+    hidden = F.col("n_all") - F.col("n_anon")
+    rows = [F.struct(*_verdict("J15", "student view rows with tone or theme", F.col("linked"), F.col("linked") == 0)),
+            F.struct(*_verdict("J15", "view rows hidden from anon", hidden, (hidden == 0) & (F.col("h_all") == F.col("h_anon"))))]
+    return Parts(frames=[one.select(F.inline(F.array(*rows)))])
+
+
+def scope_measures(tables: Tables) -> DataFrame:
+    """One row: the student view's rows with a tone or theme, rows and sum of row hashes of the full view and of anon's."""
     linked = scoped_context(tables, "authenticated", "student").agg(
-        _count_if(F.col("tone_name").isNotNull() | F.col("theme").isNotNull()).alias("n"))
+        _count_if(F.col("tone_name").isNotNull() | F.col("theme").isNotNull()).alias("linked"))
 
     def digest(view: DataFrame, name: str) -> DataFrame:
         return view.agg(F.count(F.lit(1)).alias(f"n_{name}"),
                         F.coalesce(F.sum(F.xxhash64(*view.columns).cast("decimal(38,0)")), F.lit(0)).alias(f"h_{name}"))
 
-    both = digest(full_context(tables), "all").crossJoin(digest(scoped_context(tables, "anon"), "anon"))  # one row each
-    hidden = F.col("n_all") - F.col("n_anon")
-    return Parts(frames=[
-        linked.select(*_verdict("J15", "student view rows with tone or theme", F.col("n"), F.col("n") == 0)),
-        both.select(*_verdict("J15", "view rows hidden from anon", hidden, (hidden == 0) & (F.col("h_all") == F.col("h_anon"))))])
+    return linked.crossJoin(digest(full_context(tables), "all")).crossJoin(digest(scoped_context(tables, "anon"), "anon"))  # one row each
+
+
+def scope_rows(linked: int, hidden: int, same: bool) -> list[tuple]:
+    """The J15 rows for measures that are known already."""
+    return [("J15", "student view rows with tone or theme", str(linked), "PASS" if linked == 0 else "FAIL"),
+            ("J15", "view rows hidden from anon", str(hidden), "PASS" if hidden == 0 and same else "FAIL")]
 
 
 def vector_owner_parts(tables: Tables) -> Parts:
@@ -319,8 +388,7 @@ def vector_pair_parts(tables: Tables) -> Parts:
     v = tables.get("vector_index")
     if v is None:
         return _missing("J17", "vector_index")
-    return Parts(frames=[_pair_dups(v, ("unit_id", "model_id")).select(
-        *_verdict("J17", "vector_index (unit_id, model_id) repeats", F.col("n"), F.col("n") == 0))])
+    return Parts(uniques=[Unique("J17", "vector_index (unit_id, model_id) repeats", "vector_index", ("unit_id", "model_id"))])
 
 
 def iso_normal_parts(tables: Tables) -> Parts:
@@ -340,16 +408,25 @@ def fallback_variant_parts(tables: Tables) -> Parts:
                                    _count_if(F.col("iso_code") == FALLBACK_ISO), lambda v: v == 1)])
 
 
+def restrict_verdict(tables: Tables, blocked: DataFrame) -> DataFrame:
+    """The J20 row: ``blocked`` is one row with the number ``n`` of models that have vectors; the action in force decides."""
+    asked = registry_frame(_spark(tables)).where((F.col("child") == "vector_index") & (F.col("column") == "model_id")).select("child", "column")
+    action = F.col("on_delete")
+    label = (F.when(action == "RESTRICT", "blocked").when(action == "CASCADE", "cascades").when(action == "SET NULL", "sets null")
+             .otherwise(F.coalesce(action, F.lit("has no rule"))))
+    rule = asked.join(constraints_in_force(tables), ["child", "column"], "left").select("on_delete")
+    return rule.crossJoin(blocked).select(  # one row each
+        F.lit("J20").alias("check"), F.concat(F.lit("model delete "), label).alias("subject"), F.col("n").cast("string").alias("observed"),
+        F.when(action == "RESTRICT", F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
+
+
 def model_restrict_parts(tables: Tables) -> Parts:
-    """Deleting a model that has vectors is refused (RESTRICT); observed = models blocked."""
+    """Deleting a model that has vectors is refused (RESTRICT in force); observed = models blocked."""
     if "vector_index" not in tables or "ai_model_registry" not in tables:
         return _missing("J20", "vector_index -> ai_model_registry")
-    action = {fk.column: fk.on_delete for fk in FOREIGN_KEYS if fk.child == "vector_index"}["model_id"]
     models = tables["ai_model_registry"].select("model_id")
     blocked = models.join(tables["vector_index"].select("model_id").distinct(), "model_id", "left_semi")
-    n = blocked.agg(F.count(F.lit(1)).alias("n"))
-    label = {"RESTRICT": "blocked", "CASCADE": "cascades", "SET NULL": "sets null"}.get(action, action)
-    return Parts(frames=[n.select(*_verdict("J20", f"model delete {label}", F.col("n"), F.lit(action == "RESTRICT")))])
+    return Parts(frames=[restrict_verdict(tables, blocked.agg(F.count(F.lit(1)).alias("n")))])
 
 
 PARTS = (tables_present_parts, foreign_keys_parts, roots_parts, pivot_parts, unit_columns_parts,

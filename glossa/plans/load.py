@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions.scalars import present
-from glossa.operators.contracts import run_contracts
 from glossa.operators.dimensions import checked_dimension
 from glossa.operators.keys import assign_ids, next_start_value
 from glossa.operators.maintain import with_defaults
@@ -102,6 +101,5 @@ def load_export(spark: SparkSession, path: str, root: str, fmt: str = "export",
             tables[t] = new[t]                    # dimensions: the full, stable list, replaced per version
         else:
             tables[t] = new.get(t, _empty(spark, t))  # append-only: only this load's new rows are written
-    version, results = publish(tables, root, run_contracts, version,
-                               appended=[t for t in TABLE_NAMES if t not in DIMENSIONS])
+    version, results = publish(tables, root, version=version, appended=[t for t in TABLE_NAMES if t not in DIMENSIONS], by_load=True)
     return version, results

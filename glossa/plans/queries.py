@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions.scalars import content_hash, eligible, has_member, has_path, json_text, normalize_iso
 from glossa.operators import aggregates as agg
-from glossa.operators import context, contracts, joins, maintain, nested, retrieval
+from glossa.operators import context, contracts, incremental, joins, maintain, nested, retrieval
 from glossa.operators.dedup import dedup_links
 from glossa.operators.dimensions import materialize
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
@@ -241,6 +241,25 @@ def j21_contract_gate(spark, root):
     return contracts.gate(contracts.run_contracts(bound(spark, root).tables()))
 
 
+def _in_two_loads(tables: dict) -> DataFrame:
+    """Contracts of a second load (the rest of every fact table) on the ledger that the first one left."""
+    facts = {"content_unit": "unit_id", "rel_content_tone": "unit_id", "rel_content_context": "unit_id", "vector_index": "vector_id",
+             "correction_feedback_log": "log_id", "lemma": "lemma_id", "morpho_form": "lemma_id"}
+    first, second = ({t: df if t not in facts else df.where((F.pmod(F.col(facts[t]), F.lit(7)) < 3) == early) for t, df in tables.items()}
+                     for early in (True, False))
+    dimensions = [t for t in tables if t not in facts]
+    _, ledger = incremental.run_contracts(first, None, None, dimensions)
+    return incremental.run_contracts(second, {t: first[t] for t in facts}, ledger, dimensions)[0]
+
+
+def j21_incremental(spark, root):
+    return _in_two_loads(bound(spark, root).tables())
+
+
+def j21_incremental_faulty(spark, root):
+    return _in_two_loads(bound(spark, root).faulty_tables())
+
+
 def i1_delete_cascade(spark, root):
     t = bound(spark, root).tables()
     doomed = t["content_unit"].where(F.col("cefr_level") == "C1").select("unit_id")
@@ -481,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "j21_gate_faulty": j21_gate_faulty,
     "j_contracts": j_contracts,
     "j_contracts_faulty": j_contracts_faulty,
+    "j21_incremental": j21_incremental,
+    "j21_incremental_faulty": j21_incremental_faulty,
     "i1_delete_cascade": i1_delete_cascade,
     "i2_restrict_violations": i2_restrict_violations,
     "i4_rekey": i4_rekey,

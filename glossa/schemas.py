@@ -145,6 +145,10 @@ FOREIGN_KEYS: tuple[ForeignKey, ...] = (
     ForeignKey("rel_content_tone", "tone_id", "tone_marker", "tone_id", "RESTRICT"),
 )
 
+#: The name under which a corpus may carry the constraints that are in force on it, and their columns.
+CONSTRAINTS = "_constraints"
+CONSTRAINT_SCHEMA = T.StructType([_f(c, S) for c in ("child", "column", "parent", "parent_key", "on_delete", "on_update")])
+
 # The allowed values the schema documents for its text "enums".
 ALLOWED_VALUES = {
     ("ai_model_registry", "training_status"): ("pending", "training", "ready", "retired"),

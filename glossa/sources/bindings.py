@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from glossa.functions.scalars import content_hash
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import enumerate_values
-from glossa.schemas import MODEL_ROWS
+from glossa.operators.contracts import registry_frame
+from glossa.schemas import CONSTRAINTS, MODEL_ROWS
 from glossa.sources.tables import read_driver_table
 
 # Binding constants (FIXTURES): tones of the label table, the fallback variant id,
@@ -202,6 +203,12 @@ class Corpus:
         t["correction_feedback_log"] = (t["correction_feedback_log"]
                                         .withColumn("unit_id", F.when(log % 5 == 0, unit + 100_000_000).otherwise(unit))
                                         .withColumn("error_severity", F.when(log % 7 == 0, F.lit("minor")).otherwise(F.col("error_severity"))))
+        # constraints in force that the registry forbids: feedback that loses its model, keys not followed, vectors deleted along
+        rule = lambda child, column: (F.col("child") == child) & (F.col("column") == column)
+        t[CONSTRAINTS] = (registry_frame(self.spark)
+                          .withColumn("on_delete", F.when(rule("correction_feedback_log", "model_id"), F.lit("SET NULL"))
+                                      .when(rule("vector_index", "model_id"), F.lit("CASCADE")).otherwise(F.col("on_delete")))
+                          .withColumn("on_update", F.when(rule("correction_feedback_log", "unit_id"), F.lit("NO ACTION")).otherwise(F.col("on_update"))))
         return t
 
     # --- ingestion inputs -------------------------------------------------------

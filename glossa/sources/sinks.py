@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossa.operators.dedup import first_wins
-from glossa.schemas import EXPORT_MIN_CONFIDENCE
+from glossa.schemas import EXPORT_MIN_CONFIDENCE, TABLES
+from glossa.operators import incremental
 from glossa.functions.scalars import eligible
 
 MARKER = "_PUBLISHED"
@@ -88,8 +89,26 @@ def _appended_tables(spark: SparkSession, root: str, version: str) -> list[str]:
     return json.loads(line).get("appended", []) if line else []
 
 
+def load_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """A10: the twelve tables as of the newest published version, each with its declared schema; a table that no
+    version holds is empty."""
+    out = {}
+    for t in TABLES:
+        try:
+            out[t] = read_current(spark, root, t)
+        except FileNotFoundError:
+            out[t] = spark.createDataFrame([], TABLES[t])
+    return out
+
+
+def _typed(spark: SparkSession, table: str, paths: Sequence[str]) -> DataFrame:
+    """A10: the files with the table's declared schema; nothing is inferred for the twelve tables."""
+    reader = spark.read.schema(TABLES[table]) if table in TABLES else spark.read
+    return reader.parquet(*paths)
+
+
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table as of the newest published version.
+    """A table as of the newest published version, with its declared schema (columns that its files lack are NULL).
 
     Append-only tables are the union of every published version's folder (each
     holds only that load's new rows); other tables are read from the newest
@@ -103,13 +122,16 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
         fs, _ = _fs(spark, base)
         jvm = spark.sparkContext._jvm
         paths = [f"{base}/{v}/{table}" for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{v}/{table}"))]
-        return spark.read.parquet(*paths)
-    return spark.read.parquet(f"{base}/{versions[-1]}/{table}")
+        return _typed(spark, table, paths)
+    fs, path = _fs(spark, f"{base}/{versions[-1]}/{table}")
+    if not fs.exists(path):
+        raise FileNotFoundError(f"{versions[-1]} under {root} has no {table}")
+    return _typed(spark, table, [f"{base}/{versions[-1]}/{table}"])
 
 
 def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version: str | None = None,
             partition_by: Mapping[str, Sequence[str]] | None = None,
-            appended: Sequence[str] = ()) -> tuple[str, DataFrame | None]:
+            appended: Sequence[str] = (), by_load: bool = False) -> tuple[str, DataFrame | None]:
     """Write all tables to a new version folder, gate on the contracts, then mark it published.
 
     Tables named in ``appended`` are append-only: ``frames`` holds only their
@@ -117,6 +139,9 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
     union over all published versions, so a re-load never copies what is
     already stored.  ``contracts(tables) -> results`` runs on what readers
     would see; any FAIL leaves the version unmarked (invisible) and raises.
+    ``by_load`` runs the twenty contracts on this load's rows and the ledger
+    beside the newest version instead (``glossa.operators.incremental``), so a
+    small load reads no stored text; the results are the same.
     Published versions are never rewritten.  Versions are ordered by name: the
     default names (``vYYYYMMDDTHHMMSS``) sort in publication order, and custom
     names must too.
@@ -137,17 +162,28 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
             w = w.partitionBy(*cols)
         w.parquet(f"{base}/{name}")
     results = None
-    if contracts is not None:
+    if contracts is not None or by_load:
         earlier = _published_versions(spark, root)
-        written = {}
-        for name in frames:
-            paths = [f"{base}/{name}"]
-            if name in appended:
-                jvm = spark.sparkContext._jvm
-                paths = [f"{root.rstrip('/')}/{v}/{name}" for v in earlier
-                         if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{v}/{name}"))] + paths
-            written[name] = spark.read.parquet(*paths)
-        results = contracts(written)
+        jvm = spark.sparkContext._jvm
+
+        def paths(name: str, versions: Sequence[str]) -> list[str]:
+            return [p for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(p := f"{root.rstrip('/')}/{v}/{name}"))]
+
+        def read(name: str, found: list[str]) -> DataFrame:
+            return spark.read.schema(frames[name].schema).parquet(*found)
+
+        if by_load:
+            ledger_at = f"{root.rstrip('/')}/{earlier[-1]}/_ledger" if earlier else ""
+            known = bool(earlier) and fs.exists(jvm.org.apache.hadoop.fs.Path(ledger_at))
+            # without a ledger (versions published before there was one) everything counts as this load's
+            own = [version] if known or not earlier else [*earlier, version]
+            now = {name: read(name, paths(name, own if name in appended else [version])) for name in frames}
+            stored = {name: read(name, found) for name in frames if name in appended and known and (found := paths(name, earlier))}
+            results, ledger = incremental.run_contracts(now, stored, incremental.Ledger.read(spark, ledger_at) if known else None,
+                                                        [name for name in frames if name not in appended])
+            ledger.write(f"{base}/_ledger")
+        else:
+            results = contracts({name: read(name, paths(name, [*(earlier if name in appended else ()), version])) for name in frames})
         # every result is kept beside the version; the error names the folder and the number of failures
         results.write.mode("overwrite").parquet(f"{base}/_contracts")
         results = spark.read.schema(results.schema).parquet(f"{base}/_contracts")
