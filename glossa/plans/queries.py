@@ -409,37 +409,87 @@ def b11_toxic_members(spark, root):
 
 
 def k1_ingest_stream(spark, root):
-    """The parts arrive in three files, one micro-batch each."""
+    """The parts arrive in three ranges, a run of the stream after each."""
     folder = flows.stream_folder(spark, "k1")
-    arrivals = flows.in_arrivals(bound(spark, root).raw("part"), f"{folder}/in", "part", "p_partkey")
-    stream = docs_from(flows.read_stream(spark, arrivals, "part", files_per_batch=1))
-    flows.run_available(stream, folder, batch_fn=flows.ingest_stream(stream, folder, shuffle_partitions(spark)))
+    for _ in flows.in_arrivals(bound(spark, root).raw("part"), f"{folder}/in", "part", "p_partkey"):
+        stream = docs_from(flows.read_stream(spark, f"{folder}/in", "part"))
+        flows.run_available(stream, folder, batch_fn=flows.ingest_stream(stream, folder, shuffle_partitions(spark)))
     return spark.read.parquet(f"{folder}/content_unit").select("unit_id", "doc_id", "variant_id", "content_hash")
 
 
+def k1_stream_dedup(spark, root):
+    """Every arrival after the first sends the parts of the one before again: how often each document reached the sink,
+    and the units that it holds."""
+    folder = flows.stream_folder(spark, "k1d")
+    parts = bound(spark, root).raw("part")
+    state = flows.state_partitions_for(spark, f"{root.rstrip('/')}/part.parquet")
+    for _ in flows.in_arrivals(parts, f"{folder}/in", "part", "p_partkey", again=lambda df, k: df.where(F.col("_arrival") == k - 1)):
+        stream = flows.without_repeats(docs_from(flows.read_stream(spark, f"{folder}/in", "part")))
+        load = flows.recorded(flows.ingest_stream(stream, folder, shuffle_partitions(spark)), f"{folder}/offered", ("doc_id",))
+        flows.run_available(stream, folder, batch_fn=load, state_partitions=state)
+    offered = spark.read.schema("doc_id string, epoch int").parquet(f"{folder}/offered").groupBy(F.col("doc_id").alias("_doc")).agg(F.count(F.lit(1)).alias("n_offered"))
+    units = spark.read.parquet(f"{folder}/content_unit").select("unit_id", "doc_id", "variant_id", "content_hash")
+    return units.join(offered, F.col("doc_id") == F.col("_doc")).drop("_doc")
+
+
 def k2_feedback_stream(spark, root):
-    """The events arrive in three files, a micro-batch each.
+    """The events arrive in three ranges of time, a run of the stream after each.
 
     Append mode: a day comes out once the watermark has passed its end, so the last open day is not in the result.
     """
     folder = flows.stream_folder(spark, "k2")
-    arrivals = flows.in_arrivals(bound(spark, root).raw("events"), f"{folder}/in", "events", "ts")
-    log = feedback_log_from(flows.read_stream(spark, arrivals, "events", files_per_batch=1))
     parts = flows.state_partitions_for(spark, f"{root.rstrip('/')}/events.parquet")
-    flows.run_available(flows.feedback_stream(log), folder, state_partitions=parts)
+    for _ in flows.in_arrivals(bound(spark, root).raw("events"), f"{folder}/in", "events", "ts"):
+        log = feedback_log_from(flows.read_stream(spark, f"{folder}/in", "events"))
+        flows.run_available(flows.feedback_stream(log), folder, state_partitions=parts)
     return spark.read.parquet(f"{folder}/out")
 
 
+def k2_feedback_by_cycle(spark, root):
+    """Feedback per day, model, training cycle and severity; every fiftieth event of the first range comes with the last
+    one and is counted as late where its day was closed by then."""
+    folder = flows.stream_folder(spark, "k2c")
+    events = bound(spark, root).raw("events")
+    parts = flows.state_partitions_for(spark, f"{root.rstrip('/')}/events.parquet")
+    number = flows.arrival_number(events, "ts", 3)
+    held = (number == 0) & (F.col("event_id") % 50 == 0)
+    for k in range(3):
+        here = events.where((number == k) & ~held)
+        (here.unionByName(events.where(held)) if k == 2 else here).write.mode("append").parquet(f"{folder}/in/events.parquet")
+        log = feedback_log_from(flows.read_stream(spark, f"{folder}/in", "events"))
+        flows.run_available(flows.feedback_stream(log, by=flows.CYCLE), folder, state_partitions=parts)
+    schema = "window_start timestamp_ntz, model_id long, training_cycle int, error_severity string, n_feedback long"
+    return flows.late_feedback(feedback_log_from(spark.read.parquet(f"{folder}/in/events.parquet")), spark.read.schema(schema).parquet(f"{folder}/out"))
+
+
 def k3_pending_vectors_stream(spark, root):
-    """The documents arrive in three files, a micro-batch each."""
+    """The documents arrive in three ranges, a run of the stream after each."""
     c = bound(spark, root)
     folder = flows.stream_folder(spark, "k3")
-    arrivals = flows.in_arrivals(c.raw("documents"), f"{folder}/in", "documents", "doc_id")
-    units = c.content_unit_from(flows.read_stream(spark, arrivals, "documents", files_per_batch=1))
-    flows.run_available(units, folder, batch_fn=flows.pending_vectors(lambda: c.vector_index, f"{folder}/out"))
+    for _ in flows.in_arrivals(c.raw("documents"), f"{folder}/in", "documents", "doc_id"):
+        units = c.content_unit_from(flows.read_stream(spark, f"{folder}/in", "documents"))
+        flows.run_available(units, folder, batch_fn=flows.pending_vectors(lambda: c.vector_index, f"{folder}/out"))
     return spark.read.parquet(f"{folder}/out").drop("epoch")
 
 
+def k3_unindexed_stream(spark, root):
+    """Documents and vectors arrive as two streams, three ranges each: the units without a vector five minutes after they
+    were made.  A document is made at a minute of its own, its vector comes as many minutes later as its label says."""
+    c = bound(spark, root)
+    folder = flows.stream_folder(spark, "k3u")
+    parts = flows.state_partitions_for(spark, f"{root.rstrip('/')}/documents.parquet")
+    at = lambda minutes: F.timestamp_seconds(F.lit(1_700_000_000) + minutes * 60)
+    arrivals = zip(flows.in_arrivals(c.raw("documents"), f"{folder}/in", "documents", "doc_id"),
+                   flows.in_arrivals(c.raw("embeddings"), f"{folder}/in", "embeddings", "vec_id"))
+    for _ in arrivals:
+        units = flows.read_stream(spark, f"{folder}/in", "documents").select(
+            F.col("doc_id").alias("unit_id"), F.col("text").alias("content_raw"), at(F.col("doc_id")).alias("created_at"))
+        vectors = flows.read_stream(spark, f"{folder}/in", "embeddings").select(
+            F.col("vec_id").alias("unit_id"), at(F.col("vec_id") + F.col("label")).alias("indexed_at"))
+        flows.run_available(flows.unindexed_units(units, vectors, "5 minutes", "30 minutes"), folder, state_partitions=parts)
+    return spark.read.schema("unit_id long, content_raw string").parquet(f"{folder}/out")
+
+
 def l2_similar_top5(spark, root):
     v = bound(spark, root).vector_index
     queries = retrieval.centroid_queries(v, "model_id")
@@ -527,6 +577,9 @@ QUERIES: dict[str, Query] = {
     "b11_toxic_members": b11_toxic_members,
     "k1_ingest_stream": k1_ingest_stream,
     "k2_feedback_stream": k2_feedback_stream,
+    "k1_stream_dedup": k1_stream_dedup,
+    "k2_feedback_by_cycle": k2_feedback_by_cycle,
+    "k3_unindexed_stream": k3_unindexed_stream,
     "k3_pending_vectors_stream": k3_pending_vectors_stream,
     "l2_similar_top5": l2_similar_top5,
     "l3_context_for_hits": l3_context_for_hits,
