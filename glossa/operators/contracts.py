@@ -303,12 +303,13 @@ def feedback_chain_parts(tables: Tables) -> Parts:
     found = constraints_in_force(tables)
     met = asked.join(found, ["child", "column", "parent", "parent_key"], "left")
     name = F.concat("child", F.lit("."), "column", F.lit("->"), "parent", F.lit("."), "parent_key")
-    deleted = (F.when(F.col("on_delete") == F.col("_delete"), "PASS").when(F.col("on_delete") == "SET NULL", "WARNING").otherwise("FAIL"))
-    updated = F.when(F.col("on_update") == F.col("_update"), "PASS").otherwise("FAIL")
-    rows = [F.struct(F.lit("J12").alias("check"), F.concat(name, F.lit(f" {kind}")).alias("subject"),
-                     F.coalesce(F.col(column), F.lit("missing")).alias("observed"), status.alias("status"))
-            for kind, column, status in (("action", "on_delete", deleted), ("update rule", "on_update", updated))]
-    return Parts(frames=[met.select(F.inline(F.array(*rows)))]) + _fk_parts(tables, "J12", fks)
+    followed = F.coalesce(F.col("on_update") == F.col("_update"), F.lit(False))
+    observed = (F.when(F.col("on_delete").isNull(), F.lit("missing")).when(followed, F.col("on_delete"))
+                .otherwise(F.concat_ws(", ON UPDATE ", "on_delete", F.coalesce("on_update", F.lit("NO ACTION")))))
+    status = (F.when(~followed, "FAIL").when(F.col("on_delete") == F.col("_delete"), "PASS")
+              .when(F.col("on_delete") == "SET NULL", "WARNING").otherwise("FAIL"))
+    chain = met.select(F.lit("J12").alias("check"), F.concat(name, F.lit(" action")).alias("subject"), observed.alias("observed"), status.alias("status"))
+    return Parts(frames=[chain]) + _fk_parts(tables, "J12", fks)
 
 
 def profile_parts(tables: Tables) -> Parts:

@@ -86,4 +86,7 @@ def test_checks_of_constraints_can_fail(spark):
     assert set(sound.values()) == {"PASS"}
     got = {(c, s): (o, x) for c, s, o, x in results(contracts.run_contracts({**tables, contracts.CONSTRAINTS: faulty})) if c in ("J12", "J20")}
     assert got["J20", "model delete has no rule"] == ("1", "FAIL")
-    assert [v for (c, s), v in got.items() if s.endswith("update rule")] == [("NO ACTION", "FAIL")] * 2
+    assert sorted(v for (c, s), v in got.items() if s.endswith("action")) == [("CASCADE, ON UPDATE NO ACTION", "FAIL"), ("RESTRICT, ON UPDATE NO ACTION", "FAIL")]
+    without = contracts.registry_frame(spark).where("child != 'correction_feedback_log'")
+    gone = results(contracts.assemble(tables, contracts.feedback_chain_parts({**tables, contracts.CONSTRAINTS: without})))
+    assert [(o, x) for _, s, o, x in gone if s.endswith("action")] == [("missing", "FAIL")] * 2
