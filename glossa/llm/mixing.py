@@ -1,8 +1,8 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a flow whose documents, in a shuffled order, are served one after the other, pass after pass.  A
-document finishes at the virtual time (words of its source up to its end) / (target of the source); all flows reach
-their targets at virtual time one, where the budget is used up.
+document finishes at the virtual time (words of its source up to its end) / (target of the source).  One queue holds all
+flows, range-sorted by finish, and ends where its running sum of words reaches the total budget.
 """
 
 from __future__ import annotations
@@ -27,49 +27,64 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), budge
     """source, source_size, target: ``budget`` times all sizes shared by weight, none above ``cap`` times its size.
 
     Sources by code point, null last, take the weights in turn.  What a capped source can't take is shared again by
-    weight, until none is above: the level at which sum(min(cap, level * weight)) is the budget.  Each round is one
-    aggregate over the table of sources that brings three numbers to the driver.
+    weight, until none is above: the level at which sum(min(cap, level * weight)) is the budget, found by prefix sums
+    over the table of sources; the driver gets four numbers.
     """
     spark = sizes.sparkSession
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.lit(1).cast("long").alias("one"))
     # code points in UTF-8 order; the rank is a prefix count, so the table of sources needs no single task either
     ranked, _ = prefix_sums(per, [F.col("source").asc_nulls_last()], "one", "rank", tag="sources")
     table = stage(ranked.select("source", "source_size", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")).alias("weight"), (F.col("source_size") * F.lit(float(cap))).alias("most")), "sources")
-    total = float(table.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]) * budget
-    level = 0.0
-    while True:
-        full = F.col("most") <= F.col("weight") * F.lit(level)
-        taken, weight = table.agg(F.coalesce(F.sum(F.when(full, F.col("most"))), F.lit(0.0)), F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0))).first()
-        new = (total - taken) / weight if weight else level
-        if not weight or new <= level:
-            break
-        level = new
+    # the level in one pass: by rising most/weight, it is the first row's (total - what all before take at most) / (weights
+    # from here on) that no longer exceeds the row's own most/weight; sizes and weights are whole, so the sums are exact
+    total, weight = table.agg(F.coalesce(F.sum("source_size"), F.lit(0)) * F.lit(float(budget)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    ratio = F.col("most") / F.col("weight")
+    rising = [ratio, F.col("source").asc_nulls_last()]
+    first, _ = prefix_sums(table, rising, "most", "most_before", tag="levels")
+    both, _ = prefix_sums(first, rising, "weight", "weight_before", tag="levels")
+    here = (F.lit(float(total)) - F.col("most_before")) / (F.lit(float(weight)) - F.col("weight_before"))
+    found, highest = both.select(ratio.alias("r"), here.alias("level")).agg(F.min_by("level", F.when(F.col("level") <= F.col("r"), F.col("r"))), F.max("r")).first()
+    level = found if found is not None else (highest or 0.0)  # none: all sources are capped
     return table.select("source", "source_size", F.least("most", F.col("weight") * F.lit(level)).alias("target"))
 
 
 def fair_schedule(sizes: DataFrame, targets: DataFrame, cap: int = 2, seed: int = SEED) -> DataFrame:
-    """The mix: doc_id, source, size, source_size, target, pass, finish, position, taken for each serving that it takes.
-
-    ``finish`` is the virtual time at which the serving ends; the mix is globally range-sorted by it, ``position`` is
-    the number of words before a serving, and the mix is cut where the budget is used up: a document under way at
-    virtual time one gives the words that had been served by then.  The order of a pass depends on doc_id and seed
-    alone, so reruns agree; equal rows are interchangeable.  Documents without words are never served.  A source is
-    never gathered: the sums are prefix sums over range partitions, so one holding most rows spreads like any other.
+    """The mix: doc_id, source, size, source_size, target, pass, finish, position, taken for each part of a serving in it.
+
+    ``finish`` is the virtual time at which a part ends.  All parts of all flows are range-sorted by it into one queue,
+    ``position`` is the number of words before a part, and the queue is truncated at the total budget (the sum of the
+    targets, whole words): a part gives the words that lie before the cut.  So that one long document can't carry its
+    source far past the target or leave it far behind, the serving under way at virtual time one is queued in parts: the
+    words finished by then, the word under way, and the rest; each source ends within a word of its target.  The order of
+    a pass depends on doc_id and seed alone, so reruns agree; equal rows are interchangeable.  Documents without words
+    are never served.  A source is never gathered: the sums are prefix sums over range partitions, so one holding most
+    rows spreads like any other.
     """
     passes = sizes.where("size > 0").select("*", F.explode(F.array(*[F.lit(p) for p in range(cap)])).alias("pass"))
     order = [F.col("source").asc_nulls_last(), F.col("pass"), F.xxhash64(F.lit(seed), "pass", "doc_id", "size"), F.col("doc_id"), F.col("size")]
     served, _ = prefix_sums(passes, order, "size", "before", group="source", tag="passes")
     t = targets.select(F.col("source").alias("_source"), "source_size", "target")
     flows = served.join(t, served["source"].eqNullSafe(t["_source"])).drop("_source")
-    timed = (flows.withColumn("finish", (F.col("before") + F.col("size")) / F.col("target"))
-             .withColumn("taken", F.least(F.col("size"), F.floor("target") - F.col("before")).cast("long")).where("taken > 0"))
-    queue = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("pass"), F.col("doc_id"), F.col("size")]
-    mixed, _ = prefix_sums(timed, queue, "taken", "position", tag="mix")
-    return mixed.drop("before", "one")
+    due = (F.floor("target") - F.col("before")).cast("long")
+
+    def inside(words):
+        return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), words))
+
+    ends = F.array_distinct(F.array(F.lit(0).cast("long"), inside(due), inside(due + 1), F.col("size")))
+    parts = (flows.withColumn("ends", ends).withColumn("i", F.explode(F.sequence(F.lit(1), F.size("ends") - 1)))
+             .withColumn("start", F.col("ends")[F.col("i") - 1]).withColumn("words", F.col("ends")[F.col("i")] - F.col("start"))
+             .withColumn("finish", (F.col("before") + F.col("start") + F.col("words")) / F.col("target")).drop("ends", "i"))
+    queue = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("pass"), F.col("doc_id"), F.col("size"), F.col("start")]
+    queued, _ = prefix_sums(parts, queue, "words", "position", tag="mix")
+    budget = int(targets.agg(F.coalesce(F.floor(F.round(F.sum("target"), 6)), F.lit(0))).first()[0])
+    taken = F.least(F.col("words"), F.lit(budget).cast("long") - F.col("position")).cast("long")
+    return queued.withColumn("taken", taken).where("taken > 0").drop("before", "one", "start", "words")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, cap: int = 2, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of ``docs``: what the fair queue takes of it.
+    """doc_id, size, source_size, target, taken, source, position for every row of ``docs``: what the fair queue takes of it.
+
+    ``position`` is the place in the mix of the first word that it gives (words before it; null if it gives none).
 
     A null text has size 0; a null source is a source of its own, the last; an empty table gives an empty result.  A
     row that repeats a doc_id, or has none, is a document like any other: rows alike in doc_id, source and size share
@@ -77,17 +92,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
     """
     sizes = stage(document_sizes(docs), "sizes")
     targets = stage(source_targets(sizes, weights, budget, cap), "targets")
-    taken = fair_schedule(sizes, targets, cap, seed).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("t"))
+    taken = fair_schedule(sizes, targets, cap, seed).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("t"), F.min("position").alias("position"))
     same = [F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z")]
     rows = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
-    t = taken.select(*same, "t")
+    t = taken.select(*same, "t", "position")
     one = rows.join(t, rows["doc_id"].eqNullSafe(t["_d"]) & rows["source"].eqNullSafe(t["_s"]) & rows["size"].eqNullSafe(t["_z"]), "left")
     s = targets.select(F.col("source").alias("_src"), "source_size", "target")
     full = one.join(s, one["source"].eqNullSafe(s["_src"]))
     share = F.coalesce(F.col("t"), F.lit(0))
     # copy i of n gets an even part of what they take together
-    copies = full.select("doc_id", "source", "size", "source_size", "target", share.alias("t"), "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
-    return copies.select("doc_id", "size", "source_size", "target", (F.floor(F.col("t") * F.col("i") / F.col("n")) - F.floor(F.col("t") * (F.col("i") - 1) / F.col("n"))).cast("long").alias("taken"), "source")
+    copies = full.select("doc_id", "source", "size", "source_size", "target", share.alias("t"), "position", "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
+    part = (F.floor(F.col("t") * F.col("i") / F.col("n")) - F.floor(F.col("t") * (F.col("i") - 1) / F.col("n"))).cast("long")
+    return copies.select("doc_id", "size", "source_size", "target", part.alias("taken"), "source", F.when(part > 0, F.col("position")).alias("position"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,29 @@ def test_the_mix_is_one_queue(spark):
     queue = sorted(M.fair_schedule(sizes, M.source_targets(sizes)).collect(), key=lambda r: r.position)
     assert [r.position for r in queue] == [sum(x.taken for x in queue[:k]) for k in range(len(queue))]
     assert [r.finish for r in queue] == sorted(r.finish for r in queue)
+
+
+def test_the_queue_ends_at_the_total_budget(spark):
+    """Order and cut against the queue by its definition, sources of unequal sizes and one very long document."""
+    rows = [(i, f"s{i % 5}" if i % 4 else None, "w " * (1 + i * 53 % 47)) for i in range(150)] + [(900, "s1", "w " * 3000)]
+    sizes = M.document_sizes(spark.createDataFrame(rows, "doc_id long, source string, text string"))
+    targets = M.source_targets(sizes)
+    queue = sorted(M.fair_schedule(sizes, targets).collect(), key=lambda r: r.position)
+    want = {r.source: r.target for r in targets.collect()}
+    budget = int(round(sum(want.values()), 6))
+    assert sum(r.taken for r in queue) == budget
+    assert [r.finish for r in queue] == sorted(r.finish for r in queue)
+    # by definition: every source gives the words finished at virtual time one, then single words by their finish
+    share = {s: int(t) for s, t in want.items()}
+    for s in sorted(want, key=lambda s: ((int(want[s]) + 1) / want[s], s is None, s or ""))[:budget - sum(share.values())]:
+        share[s] += 1
+    got = collections.Counter()
+    for r in queue:
+        got[r.source] += r.taken
+    assert got == share
+
+
+def test_levels_when_all_sources_are_capped(spark):
+    sizes = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, None, 5)], "doc_id long, source string, size long")
+    assert {r.source: r.target for r in M.source_targets(sizes, budget=3.0).collect()} == {"a": 20.0, "b": 40.0, None: 10.0}
+    assert sum(r.taken for r in M.fair_schedule(sizes, M.source_targets(sizes, budget=3.0)).collect()) == 70
