@@ -96,6 +96,23 @@ def has_path(json_col, key: str) -> Column:
     return F.get_json_object(_c(json_col), f"$.{key}").isNotNull()
 
 
+def parsed(json_col) -> Column:
+    """G10/G11 on many members: the document parsed once into a VARIANT; malformed text is NULL."""
+    return F.try_parse_json(_c(json_col))
+
+
+def variant_text(doc, path: str) -> Column:
+    """G11 on a parsed document: the member's text; NULL when it is missing or null."""
+    return F.try_variant_get(_c(doc), path if path.startswith("$") else f"$.{path}", "string")
+
+
+def member_state(doc, key: str) -> Column:
+    """G10 on a parsed document: 'value', 'null' (the member is there and null) or 'missing'; NULL without a document."""
+    member = F.try_variant_get(_c(doc), f"$.{key}", "variant")
+    return (F.when(_c(doc).isNull(), F.lit(None).cast("string")).when(member.isNull(), F.lit("missing"))
+             .when(F.is_variant_null(member), F.lit("null")).otherwise(F.lit("value")))
+
+
 def score(c) -> Column:
     """NUMERIC(5,2)."""
     return _c(c).cast("decimal(5,2)")

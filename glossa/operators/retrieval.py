@@ -40,31 +40,39 @@ def block_size(dimension: int) -> int:
     return max(1, min(512, BLOCK_BYTES // (8 * max(dimension, 1))))
 
 
+def best_of_step(pdf: pd.DataFrame, ids: np.ndarray, mat: np.ndarray, k: int) -> pd.DataFrame:
+    """The ``k`` best vectors of ``pdf`` for each query, and all that tie with the ``k``-th."""
+    emb = np.vstack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
+    s = emb @ mat.T                                    # (vectors, queries)
+    take = min(k, len(pdf))
+    # the k-th best score of each query in this batch; every vector at or above it stays a
+    # candidate, so vectors tied at the boundary all reach the (score, vector_id) ranking
+    kth = -np.partition(-s, take - 1, axis=0)[take - 1]
+    vi, qi = np.nonzero(s >= kth[None, :])
+    return pd.DataFrame({
+        "query_id": ids[qi],
+        "vector_id": pdf["vector_id"].to_numpy()[vi],
+        "unit_id": pdf["unit_id"].to_numpy()[vi],
+        "score": s[vi, qi],
+    })
+
+
+def merge_best(best: pd.DataFrame | None, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Only ``k`` per query across the batches of a partition (ties by vector id)."""
+    best = rows if best is None else pd.concat([best, rows], ignore_index=True)
+    return (best.sort_values(["query_id", "score", "vector_id"], ascending=[True, False, True])
+                .groupby("query_id", sort=False).head(k))
+
+
 def _score_block(scope: DataFrame, bq, k: int) -> DataFrame:
-    """Per-partition candidates of one broadcast block of queries (at most k per query, plus boundary ties)."""
+    """Per-partition candidates of one broadcast block of queries (at most k per query)."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, mat = bq.value
         best: pd.DataFrame | None = None
         step = max(1, STEP_BYTES // (8 * len(ids)))
         for pdf in (batch.iloc[a:a + step] for batch in batches for a in range(0, len(batch), step)):
-            emb = np.vstack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
-            s = emb @ mat.T                                    # (vectors, queries)
-            take = min(k, len(pdf))
-            # the k-th best score of each query in this batch; every vector at or above it stays a
-            # candidate, so vectors tied at the boundary all reach the (score, vector_id) ranking
-            kth = -np.partition(-s, take - 1, axis=0)[take - 1]
-            vi, qi = np.nonzero(s >= kth[None, :])
-            rows = pd.DataFrame({
-                "query_id": ids[qi],
-                "vector_id": pdf["vector_id"].to_numpy()[vi],
-                "unit_id": pdf["unit_id"].to_numpy()[vi],
-                "score": s[vi, qi],
-            })
-            best = rows if best is None else pd.concat([best, rows], ignore_index=True)
-            # keep only k per query across the batches of this partition (ties by vector id)
-            best = (best.sort_values(["query_id", "score", "vector_id"], ascending=[True, False, True])
-                        .groupby("query_id", sort=False).head(k))
+            best = merge_best(best, best_of_step(pdf, ids, mat, k), k)
         if best is not None:
             yield best
 

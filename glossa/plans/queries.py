@@ -11,15 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import content_hash, eligible, has_member, has_path, json_text, normalize_iso
+from glossa.functions.scalars import content_hash, eligible, has_member, has_path, json_text, member_state, normalize_iso, parsed, variant_text
 from glossa.operators import aggregates as agg
-from glossa.operators import context, contracts, incremental, joins, maintain, nested, retrieval
+from glossa.operators import context, contracts, incremental, joins, maintain, nested, retrieval, vector_store
 from glossa.operators.dedup import dedup_links
 from glossa.operators.dimensions import materialize
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
-from glossa.session import shuffle_partitions
+from glossa.session import scratch_folder, shuffle_partitions
 from glossa.sources.bindings import bound, docs_from, feedback_log_from
-from glossa.sources import sinks
+from glossa.sources import layout, sinks
 from glossa.sources.documents import drop_placeholders
 from glossa.streaming import flows
 
@@ -490,6 +490,73 @@ def k3_unindexed_stream(spark, root):
     return spark.read.schema("unit_id long, content_raw string").parquet(f"{folder}/out")
 
 
+def a6_syntax_scan(spark, root):
+    """The syntax consumer: its two columns of the syntax documents (the unit's id and part as content), and the
+    dependencies that it reads from them."""
+    units = bound(spark, root).syntax_documents.withColumn("content_raw", F.concat_ws("/", "unit_id", "chunk"))
+    return nested.explode_dependencies(nested.scan_syntax(units), id_col="content_raw").select("content_raw", "id", "rel", "head")
+
+
+def a7_load_report(spark, root):
+    """Two loads into two stored tables, the second load of all rows, and a plain append of the feedback: what each write
+    job counted as written and skipped."""
+    c = bound(spark, root)
+    units = c.content_unit.select("unit_id", "content_raw", content_hash("content_raw", F.coalesce("variant_id", F.lit(0))).alias("content_hash"))
+    links = c.faulty_tables()["rel_content_tone"].select("unit_id", "tone_id")
+    targets = {"content_unit": (units, ["content_hash"], "unit_id"), "rel_content_tone": (links, ["unit_id", "tone_id"], None)}
+    folder, counts = scratch_folder(spark, "loads"), []
+    for target, (rows, keys, order) in targets.items():
+        for load, batch in enumerate((rows.where("unit_id % 3 = 0"), rows), 1):
+            counts += [(target, load, kind, n) for kind, n in sinks.append_if_absent(f"{folder}/{target}", batch, keys, order).items()]
+    log = c.correction_feedback_log
+    for load in (1, 2):
+        counts += [("correction_feedback_log", load, kind, n) for kind, n in sinks.append(f"{folder}/correction_feedback_log", log).items()]
+    return spark.createDataFrame(counts, "target string, load int, kind string, rows long")
+
+
+def g10_member_states(spark, root):
+    """Members of the events' properties and of a document around them, parsed once: text and state of each; every
+    eleventh text is cut off and is no document."""
+    props = F.col("props")
+    text = (F.when(F.col("event_id") % 11 == 0, F.concat(F.lit('{"props": '), props))
+             .when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"user": null, "props": '), props, F.lit("}")))
+             .otherwise(F.concat(F.lit('{"user": '), F.col("user_id").cast("string"), F.lit(', "props": '), props, F.lit("}"))))
+    doc = bound(spark, root).raw("events").select("event_id", parsed(text).alias("doc"))
+    return doc.select("event_id", F.col("doc").isNull().alias("malformed"), variant_text("doc", "props.k").alias("k"),
+                      variant_text("doc", "user").alias("user_text"), member_state("doc", "user").alias("user_state"),
+                      member_state("doc", "session").alias("session_state"))
+
+
+def h1_bucketed_context(spark, root):
+    """The context view over tables stored in buckets of unit_id."""
+    folder = scratch_folder(spark, "bucketed")
+    prefix = "b" + folder.rsplit("-", 1)[1]
+    stored = layout.write_bucketed(bound(spark, root).tables(), folder, prefix, shuffle_partitions(spark))
+    view = materialize(context.full_context(stored).select("unit_id", "iso_code", "variant_name", "tone_name", "theme"))
+    layout.drop_bucketed(spark, prefix)
+    return view
+
+
+def _vector_store(spark, root) -> tuple[DataFrame, str]:
+    v = bound(spark, root).vector_index
+    path = scratch_folder(spark, "vectors")
+    vector_store.write_store(v, path)
+    return v, path
+
+
+def l1_stored_scope(spark, root):
+    """The vectors of one model, from a store partitioned by model."""
+    v, path = _vector_store(spark, root)
+    return retrieval.model_scope(vector_store.read_store(spark, path, v.schema), 2).select("vector_id", "unit_id", "vector_status")
+
+
+def l2_clustered_top5(spark, root):
+    """The five best vectors of model 1 for the mean of each model, from a clustered store."""
+    v, path = _vector_store(spark, root)
+    hits, _ = vector_store.similar_in_store(retrieval.centroid_queries(v, "model_id"), path, v.schema, 5, 1)
+    return hits.select("query_id", "rank", "vector_id", "unit_id")
+
+
 def l2_similar_top5(spark, root):
     v = bound(spark, root).vector_index
     queries = retrieval.centroid_queries(v, "model_id")
@@ -581,6 +648,12 @@ QUERIES: dict[str, Query] = {
     "k2_feedback_by_cycle": k2_feedback_by_cycle,
     "k3_unindexed_stream": k3_unindexed_stream,
     "k3_pending_vectors_stream": k3_pending_vectors_stream,
+    "a6_syntax_scan": a6_syntax_scan,
+    "a7_load_report": a7_load_report,
+    "g10_member_states": g10_member_states,
+    "h1_bucketed_context": h1_bucketed_context,
+    "l1_stored_scope": l1_stored_scope,
+    "l2_clustered_top5": l2_clustered_top5,
     "l2_similar_top5": l2_similar_top5,
     "l3_context_for_hits": l3_context_for_hits,
 }

@@ -9,6 +9,7 @@ Spark runs in local mode.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder of ``ensure_checkpoint_dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

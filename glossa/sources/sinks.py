@@ -14,7 +14,7 @@ import json
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ from glossa.operators import incremental
 from glossa.functions.scalars import eligible
 
 MARKER = "_PUBLISHED"
+LOAD_REPORT = "target string, kind string, rows long"
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
@@ -37,9 +38,33 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
     return b.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def append(target_path: str, batch: DataFrame) -> None:
-    """A5: plain append (tables whose only key is generated repeat rows on re-run)."""
-    batch.write.mode("append").parquet(target_path)
+def append(target_path: str, batch: DataFrame) -> dict[str, int]:
+    """A5: plain append (tables whose only key is generated repeat rows on re-run); rows written, counted by the write."""
+    seen = Observation("append")
+    batch.observe(seen, F.count(F.lit(1)).alias("written")).write.mode("append").parquet(target_path)
+    return {"written": seen.get["written"], "skipped": 0}
+
+
+def append_if_absent(target_path: str, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> dict[str, int]:
+    """A4 with A7: append what ``insert_if_absent`` would; {"written", "skipped"} rows, counted by the write job itself.
+
+    Nothing is scanned again for the counts.  Each key's rows are counted where the first one is picked, and the rows that
+    are stored already are marked instead of dropped, so both counts are taken in the job's last stage: Spark adds up
+    the metrics of a last stage's task once, however often tasks of earlier stages are repeated.  NULL keys never
+    conflict with stored rows and are one key inside the batch.  ``target_path`` need not exist.
+    """
+    spark = batch.sparkSession
+    fs, p = _fs(spark, target_path)
+    target = spark.read.schema(batch.schema).parquet(target_path) if fs.exists(p) else spark.createDataFrame([], batch.schema)
+    first = first_wins(batch, list(keys), order if order else F.lit(0)).select(*batch.columns)
+    rows = batch.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_rows"))
+    stored = target.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(keys)]).distinct().withColumn("_stored", F.lit(True))
+    counted = first.join(rows, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    marked = counted.join(stored, [F.col(c) == F.col(f"_s{i}") for i, c in enumerate(keys)], "left")
+    seen, fresh = Observation("append_if_absent"), F.col("_stored").isNull()
+    out = marked.observe(seen, F.count_if(fresh).alias("written"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
+    out.where(fresh).select(*batch.columns).write.mode("append").parquet(target_path)
+    return {"written": seen.get["written"], "skipped": seen.get["rows"] - seen.get["written"]}
 
 
 def load_report(frames: Mapping[str, DataFrame], skipped: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -129,6 +154,11 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     return _typed(spark, table, [f"{base}/{versions[-1]}/{table}"])
 
 
+def read_load_report(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """The rows that each table's write job of a version counted."""
+    return spark.read.schema(LOAD_REPORT).parquet(f"{root.rstrip('/')}/{version}/_load_report")
+
+
 def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version: str | None = None,
             partition_by: Mapping[str, Sequence[str]] | None = None,
             appended: Sequence[str] = (), by_load: bool = False) -> tuple[str, DataFrame | None]:
@@ -144,7 +174,7 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
     small load reads no stored text; the results are the same.
     Published versions are never rewritten.  Versions are ordered by name: the
     default names (``vYYYYMMDDTHHMMSS``) sort in publication order, and custom
-    names must too.
+    names must too.  The rows written per table are counted by the writes (``read_load_report``).
     """
     spark = next(iter(frames.values())).sparkSession
     version = version or f"v{time.strftime('%Y%m%dT%H%M%S')}"
@@ -155,12 +185,16 @@ def publish(frames: Mapping[str, DataFrame], root: str, contracts=None, version:
         raise ValueError(f"{version} sorts before the published {newest}")
     if fs.exists(marker_path):  # published versions are immutable: readers may be using them
         raise FileExistsError(f"{version} is already published under {root}")
+    written = []
     for name, df in frames.items():
-        w = df.write.mode("overwrite")
+        seen = Observation(name)
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         cols = (partition_by or {}).get(name)
         if cols:
             w = w.partitionBy(*cols)
         w.parquet(f"{base}/{name}")
+        written.append((name, "written", seen.get["rows"]))
+    spark.createDataFrame(written, LOAD_REPORT).write.mode("overwrite").parquet(f"{base}/_load_report")
     results = None
     if contracts is not None or by_load:
         earlier = _published_versions(spark, root)

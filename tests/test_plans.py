@@ -58,3 +58,36 @@ def test_density_pre_aggregates_forms_before_the_dimension_join(spark):
     p = plan(q(spark, "c3_morpho_density"))
     # the per-lemma aggregate over lineitem sits below the join with lemma/variants
     assert p.index("partial_count") > p.index("Join")
+
+
+@pytest.fixture()
+def bucketed(spark, tmp_dir):
+    from glossa.sources import layout
+    from glossa.sources.bindings import bound
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    prefix = "plans_" + os.path.basename(tmp_dir).replace("-", "_")
+    yield layout.write_bucketed(bound(spark, SF).tables(), tmp_dir, prefix, 4)
+    layout.drop_bucketed(spark, prefix)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_view_moves_no_bucketed_table(bucketed):
+    from glossa.operators.context import full_context
+    p = plan(full_context(bucketed))
+    assert "Bucketed: true" in p and "SortMergeJoin" in p
+    lines = p.splitlines()
+    moved = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(unit_id" in line]
+    # units, bridges and their keys meet bucket by bucket; what moves is the union of the narrow combinations, whose
+    # buckets a union doesn't keep, and the union of the linked ids
+    assert len(moved) == 2 and all("Union" in lines[i + 1] or "Union" in lines[i + 2] for i in moved)
+    assert all("content_raw" not in line for i in moved for line in lines[i:])
+
+
+def test_bucketed_cascade_moves_the_keys_only(spark, bucketed):
+    from glossa.operators.maintain import delete_cascade
+    doomed = spark.range(0, 100, 7).withColumnRenamed("id", "unit_id")
+    after = delete_cascade(bucketed, "content_unit", doomed, check_restrict=False)
+    for name in ("content_unit", "rel_content_tone", "vector_index"):
+        p = plan(after[name])
+        assert "Bucketed: true" in p
+        assert "hashpartitioning(unit_id" not in p and "hashpartitioning(_key" in p

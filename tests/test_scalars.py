@@ -82,3 +82,10 @@ def test_broadcast_only_within_row_and_byte_limits(spark):
     assert hinted(maybe_broadcast(dim, size))
     assert not hinted(maybe_broadcast(dim, size, max_bytes=50))
     assert not hinted(maybe_broadcast(dim, Size(5, 10), max_rows=4))
+
+
+def test_members_of_a_parsed_document(spark):
+    texts = [('{"a": null, "b": {"c": 1}}',), ('{"a": "x"}',), ("{}",), ('{"a": ',), (None,)]
+    assert one(spark, S.member_state(S.parsed("v"), "a"), texts) == ["null", "value", "missing", None, None]
+    assert one(spark, S.variant_text(S.parsed("v"), "a"), texts) == [None, "x", None, None, None]
+    assert one(spark, S.variant_text(S.parsed("v"), "b.c"), texts) == ["1", None, None, None, None]
