@@ -20,6 +20,10 @@ from glossa.llm.common import Words, mix64, release, slices, stage, text_array
 
 # 1 compares a position, 0 ignores it.  Six words are compared, substitutions between them are not seen.
 MASKS = ("11011011", "1110111", "11110011", "110101101")
+# For items of up to SHORT_ITEM words, whose few windows the masks above may all miss.  Wherever the
+# substitutions that the rule allows fall in such an item, one of these masks sees none of them.
+SHORT_MASKS = ("1111", "11101", "10111", "11011", "111001")
+SHORT_ITEM = 15
 #: An overlap runs over so many words at least (or the whole item), of which this share is equal.
 MIN_WORDS = 13
 MIN_SAME = 0.75
@@ -65,15 +69,13 @@ class Seeds:
         self.words, self.bounds = compared(pa.array([t or "" for _, t in items], pa.large_string()))
         self.ids = [i for i, _ in items]
         sizes = np.diff(self.bounds)
-        # an item too short for some mask is a full mask of its own
-        short = max(map(len, MASKS))
-        self.masks = [*MASKS, *("1" * n for n in sorted(set(sizes[(sizes >= MIN_ITEM) & (sizes < short)].tolist())))]
+        short = bool(((sizes >= MIN_ITEM) & (sizes <= SHORT_ITEM)).any())
+        self.masks = [*MASKS, *(SHORT_MASKS if short else ())]
         keys, items_, places = [], [], []
         for mask in self.masks:
-            for k in range(len(items)):
-                w = self.words[self.bounds[k]:self.bounds[k + 1]]
-                if len(w) == len(mask) or len(w) > len(mask) and mask in MASKS:
-                    h = spaced(w, mask)
+            for k in np.flatnonzero(sizes >= max(MIN_ITEM, len(mask))).tolist():
+                if mask in MASKS or sizes[k] <= SHORT_ITEM:
+                    h = spaced(self.words[self.bounds[k]:self.bounds[k + 1]], mask)
                     keys.append(h), items_.append(np.full(len(h), k)), places.append(np.arange(len(h)))
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
         keys = join(keys, np.uint64)
@@ -133,16 +135,16 @@ def _finder(seeds: Seeds, column: str):
 
 
 def blocks(benchmark: DataFrame) -> list[DataFrame]:
-    """The benchmark in frames of about BLOCK_WORDS words each; nothing is collected yet."""
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
+    """The benchmark's different items in frames of about BLOCK_WORDS words each; nothing is collected yet."""
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").distinct()
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // BLOCK_WORDS)
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
 def seeds_of(block: DataFrame) -> Seeds:
-    """The seeds of a block's different items."""
-    return Seeds(list(dict.fromkeys((r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect())))
+    """The seeds of a block's items."""
+    return Seeds([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, column: str = "overlaps") -> DataFrame:

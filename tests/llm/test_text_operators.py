@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import math
 import random
 import re
 
@@ -162,6 +164,27 @@ def test_overlaps_equal_brute_force_at_every_substitution(spark):
     assert {(r.doc_id, r.longest) for r in got.collect()} == {(k, 13) for k in range(13)}
 
 
+def test_short_items_are_hit_wherever_words_are_substituted():
+    for n in range(D.MIN_ITEM, D.SHORT_ITEM + 1):
+        own = [f"w{n}x{i}" for i in range(n)]
+        seeds = D.Seeds([(1, " ".join(own))])
+        allowed = n - math.ceil(D.MIN_SAME * n)
+        for gone in itertools.combinations(range(n), allowed):
+            words = seeds.words.copy()
+            words[list(gone)] = 7
+            items, begins = seeds.hits(words)
+            assert (items[begins == 0] == 0).any(), (n, gone)
+            assert seeds.overlap(words, 0, 0)
+    few = D.Seeds([(1, "a b c d")])
+    assert not len(few.keys) and not len(few.hits(few.words)[0])
+
+
+def test_repeated_benchmark_rows_are_one_item(spark):
+    bench = spark.createDataFrame([(1, PASSAGE), (2, PASSAGE), (None, PASSAGE)] * 50, "item_id long, text string")
+    (block,) = D.blocks(bench)
+    assert block.count() == 3 and sorted(map(str, D.seeds_of(block).ids)) == ["1", "2", "None"]
+
+
 def test_items_without_an_id_are_judged_like_others(spark, monkeypatch):
     a, b = (" ".join(f"{c}{i}" for i in range(14)) for c in "ab")
     bench = spark.createDataFrame([(None, a), (None, b), (None, None), (3, a), (3, a)], "item_id long, text string")
