@@ -6,7 +6,7 @@ in which the texts differ, so their number estimates high similarities sharply;
 their full sets compared.  At similarity 0.75 a pair shares no band with probability (1 - 0.75^4)^32 = 5e-6, and the
 sketch's margin lies almost five standard deviations beyond it.
 
-Groups never become all their pairs.  Equal sets are one node.  In a band each node is first held against one member
+Groups never become all their pairs.  Equal sets (by 128 bits of their shingles) are one node.  In a band each node is first held against one member
 of its bucket, another one in each band, and a node confirms its likeliest partners alone; components follow.  After that only pairs between
 different components are looked for, with block-wise sketch comparisons inside the tasks, and confirmed.
 """
@@ -37,6 +37,8 @@ FIRST = 2
 BLOCK = 1024
 BLOCK_SHINGLES = 1 << 21
 SEED = 41
+#: A set is known by 128 bits: sums over its shingles' hashes under each of these.
+_SALTS = (np.uint64(0), np.uint64(0xC2B2AE3D27D4EB4F))
 _A = np.random.default_rng(SEED).integers(1, 2 ** 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,15 +69,37 @@ def _short(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 2).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def _told_apart(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``signed`` with a node of its own for every different (node, check), the staged nodes that several sets shared).
+
+    Nodes are 64 bits, so at billions of texts a few unlike sets share one by chance; their other 64 bits differ.  Those
+    nodes are very few whatever the input: all sets but the one with the least check move to a node hashed from both.
+    """
+    checks = signed.where("node is not null").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
+    mixed = stage(checks.where("lo != hi").select(F.col("node").alias("_node"), "lo"), "mixed")
+    if mixed.isEmpty():
+        out = signed.drop("check")
+    else:
+        moved = F.when(F.col("check") != F.col("lo"), F.xxhash64("node", "check")).otherwise(F.col("node"))
+        joined = signed.join(mixed, F.col("node") == F.col("_node"), "left")
+        out = joined.withColumn("node", moved).drop("_node", "lo", "check")
+    out._staged_path = signed._staged_path
+    return out, mixed
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 1 << 20):
         sets, bounds = shingle_sets(Words(text_array(batch, "text"), lower=True), SHINGLE)
         size = np.diff(bounds)
         keys, sketches = signatures(sets, bounds)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(sets), dtype=np.uint64)])
-        node = mix64((total[bounds[1:]] - total[bounds[:-1]]) + size.astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(node, mask=size == 0), _lists(keys), _lists(sketches), _short(sets, bounds)],
-                                         ["doc_id", "text_key", "n_shingles", "node", "bands", "sketch", "short"])
+        node, check = ((mix64(_sums(mix64(sets ^ salt), bounds) + size.astype(np.uint64))).view(np.int64) for salt in _SALTS)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(node, mask=size == 0), pa.array(check), _lists(keys), _lists(sketches), _short(sets, bounds)],
+                                         ["doc_id", "text_key", "n_shingles", "node", "check", "bands", "sketch", "short"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,14 +236,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_key", F.xxhash64("text"))
-    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, bands array<long>, sketch array<long>, short binary"), "signatures")
+    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>, sketch array<long>, short binary"), "signatures")
+    signed, mixed = _told_apart(signed)
     real = signed.where("node is not null and doc_id is not null")
     # one node for each different set, shown by its least document
     least = real.groupBy("node").agg(F.min("doc_id").alias("least"))
     shown = real.join(least.select(F.col("node").alias("_n"), "least"), (F.col("node") == F.col("_n")) & (F.col("doc_id") == F.col("least")))
     nodes = stage(shown.drop("_n", "least").dropDuplicates(["node"]), "nodes")
     sets = stage(signed.select("doc_id", "n_shingles", "node"), "sets")
-    release(signed)
+    release(signed, mixed)
     least = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     bands = nodes.select(F.explode("bands").alias("key"), "node")
     # every node against one member of each of its buckets; the key decides which, so it differs from band to band

@@ -77,3 +77,15 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5, 5), (None, 3), (7, 8)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 0) for i in range(1, n + 1)}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_unlike_sets_never_share_a_node(spark):
+    rows = [(1, 10, 5), (2, 10, 5), (3, 10, 7), (4, 10, 7), (5, 10, 9), (6, 11, 5), (7, None, 0), (8, None, 3)]
+    signed = M.stage(spark.createDataFrame(rows, "doc_id long, node long, check long"), "signed")
+    out, mixed = M._told_apart(signed)
+    node = {r.doc_id: r.node for r in out.collect()}
+    assert out.columns == ["doc_id", "node"] and len(node) == 8 and mixed.count() == 1
+    assert node[1] == node[2] == 10 and node[6] == 11 and node[7] is None and node[8] is None
+    assert node[3] == node[4] and len({node[1], node[3], node[5], node[6]}) == 4
+    same, none = M._told_apart(M.stage(signed.where("check = 5"), "signed"))
+    assert {r.doc_id: r.node for r in same.collect()} == {1: 10, 2: 10, 6: 11} and none.count() == 0
