@@ -1,11 +1,13 @@
 """Toxicity: a weighted finite-state grammar of insult, threat, target, negation and reported speech.
 
-Words become symbols (their class, and a weight for insults and threats).  Three small transducers read the symbols of
-a clause: who is addressed, what is negated and what is reported.  Their composition is one machine of scopes.  Insult
-and threat have no transducer: they are word classes, and a match is such a word with its lexeme's weight and the scopes
-opened before it; a target behind it ("idiots like you") opens none.  A document's score is a logistic function of
-its matched clauses, so an isolated word weighs less than the same word aimed at somebody, and less again when it is
-denied or quoted.  Lexeme weights and the function are learned from labelled texts; only the text is looked at.
+Words become symbols (their class, and a weight for insults and threats).  Small transducers read the symbols of a
+clause and are composed into two machines.  The one that reads forwards holds the insult and the threat transducer
+(which find matches: phrases of such words) and the scopes of target, negation and report that stand open; the one that
+reads backwards says whether a target or a report follows ("idiots like you", "what a moron he is", "idiot, he said").
+A match stands in what both machines say of it: aimed from before, from behind or at nobody, denied or not, reported
+or not.  A document's score is a logistic function of its matched clauses, so an isolated word weighs less than the
+same word aimed at somebody, and less again when it is denied or quoted.  Lexeme weights and the function are learned
+from labelled texts; only the text is looked at.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ MIN_TOXIC_DOCS = 4
 MIN_LOG_ODDS = 2.0
 STEMS = range(3, 9)
 NEGATION_REACH = 3
+#: Symbols that a target may stand behind a match, and words of no class that may stand inside an insult ("stupid old fool").
+AIM_REACH = 4
+INSULT_GAP = 1
 
 # The grammar's closed word lists, in four languages.
 INSULTS = """ass asshole bastard bitch brainless clown coward creep cretin crap cunt deplorable disgrace disgusting dumb dumbass fool
@@ -53,37 +58,77 @@ N_SYMBOLS = 6
 # --- transducers -------------------------------------------------------------------------------------------------
 @dataclass
 class Transducer:
-    """States, and for each (state, symbol) the next state; ``marks`` says what a match in a state stands in."""
+    """For each (state, symbol) the next state and the output, which is below ``outputs``."""
 
     arcs: np.ndarray
     marks: np.ndarray
+    outputs: int
 
     def compose(self, other: "Transducer") -> "Transducer":
-        """Both read the same symbols; the product's mark joins theirs."""
-        m = len(other.arcs)
-        pairs = [(a, b) for a in range(len(self.arcs)) for b in range(m)]
-        arcs = np.array([[self.arcs[a, s] * m + other.arcs[b, s] for s in range(N_SYMBOLS)] for a, b in pairs])
-        return Transducer(arcs, np.array([self.marks[a] * (other.marks.max() + 1) + other.marks[b] for a, b in pairs]))
+        """One machine that does what both do on the same symbols; its output holds both outputs."""
+        n = len(self.arcs) * len(other.arcs)
+        arcs = self.arcs[:, None] * len(other.arcs) + other.arcs[None]
+        marks = self.marks[:, None] * other.outputs + other.marks[None]
+        return Transducer(arcs.reshape(n, N_SYMBOLS), marks.reshape(n, N_SYMBOLS), self.outputs * other.outputs)
 
 
 def scope(opens: int, reach: int | None) -> Transducer:
-    """Inside after the symbol ``opens``, for ``reach`` more symbols, or to the clause's end (None)."""
+    """Puts out 1 for ``reach`` symbols after the symbol ``opens``, or up to the clause's end (None)."""
     n = 1 if reach is None else reach
     arcs = np.zeros((n + 1, N_SYMBOLS), int)
     for state in range(1, n + 1):
         arcs[state] = state if reach is None else state - 1
     arcs[:, opens] = n
-    return Transducer(arcs, np.array([0] + [1] * n))
+    return Transducer(arcs, np.repeat((np.arange(n + 1) > 0).astype(int)[:, None], N_SYMBOLS, 1), 2)
 
 
-def grammar() -> Transducer:
-    """Target, negation and report scopes composed; a mark is 4 * targeted + 2 * negated + reported."""
-    return scope(TARGET, None).compose(scope(NEGATION, NEGATION_REACH)).compose(scope(REPORT, None))
+NO_MATCH, BEGINS, GOES_ON = range(3)
 
 
-MACHINE = grammar()
-N_MARKS = 8
-N_FEATURES = 2 * N_MARKS + 6
+def phrase(of: int, gap: int) -> Transducer:
+    """Matches phrases of the symbol ``of`` with up to ``gap`` words of no class between two: BEGINS at the first, GOES_ON at the others."""
+    arcs = np.zeros((gap + 2, N_SYMBOLS), int)
+    for state in range(1, gap + 2):
+        arcs[state, OTHER] = state - 1
+    arcs[:, of] = gap + 1
+    marks = np.zeros((gap + 2, N_SYMBOLS), int)
+    marks[0, of], marks[1:, of] = BEGINS, GOES_ON
+    return Transducer(arcs, marks, 3)
+
+
+#: Outputs: (insult match, threat match, target open, negation open, report open), and (target follows, report follows).
+FORWARDS = (phrase(INSULT, INSULT_GAP).compose(phrase(THREAT, 0))
+            .compose(scope(TARGET, None)).compose(scope(NEGATION, NEGATION_REACH)).compose(scope(REPORT, None)))
+BACKWARDS = scope(TARGET, AIM_REACH).compose(scope(REPORT, None))
+N_MARKS = 12
+N_FEATURES = 2 * N_MARKS + 7
+
+
+def standing(forward: int, backward: int) -> tuple[int, int]:
+    """(cell, match event) of a symbol from both machines' outputs; the cell is N_MARKS * threat + 4 * aim + 2 * denied +
+    reported, where aim is 0 (at nobody), 1 (target before) or 2 (target behind only)."""
+    events, scopes = divmod(forward, 8)
+    insult, threat = divmod(events, 3)
+    aim = 1 if scopes & 4 else 2 if backward & 2 else 0
+    return (N_MARKS if threat else 0) + 4 * aim + (scopes & 2) + (scopes & 1 | backward & 1), insult or threat
+
+
+STANDING = [[standing(f, b) for b in range(BACKWARDS.outputs)] for f in range(FORWARDS.outputs)]
+
+
+def matches(kinds: list[int]) -> list[tuple[int, int, int]]:
+    """(place, cell, event) of every symbol of a clause that belongs to a match."""
+    behind, state = [], 0
+    for kind in reversed(kinds):
+        behind.append(int(BACKWARDS.marks[state, kind]))
+        state = BACKWARDS.arcs[state, kind]
+    out, state = [], 0
+    for place, kind in enumerate(kinds):
+        cell, event = STANDING[FORWARDS.marks[state, kind]][behind[-1 - place]]
+        if event:
+            out.append((place, cell, event))
+        state = FORWARDS.arcs[state, kind]
+    return out
 
 
 @dataclass
@@ -119,7 +164,9 @@ _ENDS = (b".", b"!", b"?", b";", b":", b"|")
 
 
 def clause_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """One row for each whole text: what its matched clauses weigh by scope, in all, and at most; all 0 without a match."""
+    """One row for each whole text: what its matches weigh by standing; clauses with a match; matches and weight per 100
+    words; weight and matches in all; clauses with a match that is aimed, not denied and not reported; the heaviest clause.
+    All 0 without a match."""
     words = Words(texts)
     n, bounds = len(texts), words.bounds
     known = [lexicon.symbol(plain(w)) for w in words.vocab]
@@ -134,16 +181,17 @@ def clause_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
         clauses = np.unique(np.searchsorted(cuts, hits, "right") - 1)
         owners = np.searchsorted(bounds, cuts[clauses], "right") - 1
         for clause, owner in zip(clauses.tolist(), owners.tolist()):
-            state, total = 0, 0.0
             a, b = cuts[clause], cuts[clause + 1]
-            for kind, weight in zip(kinds[a:b].tolist(), weights[a:b].tolist()):
-                if kind in (INSULT, THREAT):
-                    out[owner, (N_MARKS if kind == THREAT else 0) + MACHINE.marks[state]] += weight
-                    total += weight
-                    out[owner, -3] += 1
-                state = MACHINE.arcs[state, kind]
+            total, meant = 0.0, False
+            for place, cell, event in matches(kinds[a:b].tolist()):
+                weight = weights[a + place]
+                out[owner, cell] += weight
+                total += weight
+                out[owner, -3] += event == BEGINS
+                meant |= cell % N_MARKS in (4, 8)
             out[owner, -1] = max(out[owner, -1], total)
-            out[owner, -2] += 1
+            out[owner, -2] += meant
+            out[owner, -7] += 1
     size = np.maximum(np.diff(bounds), 1)
     whole = out[:, :2 * N_MARKS].sum(1)
     out[:, -4] = whole

@@ -85,11 +85,40 @@ def test_scopes_of_the_grammar():
     assert scope("you are an idiot") == [4] and scope("you are not an idiot") == [6]
     assert scope("he said you idiot") == [5]
     assert scope("not here. you idiot") == [4]  # a clause ends the scopes
-    assert scope("I will kill you") == [8]
+    assert scope("I will kill you") == [20] and scope("you will die") == [16] and scope("to kill time") == [12]
+    assert scope("idiots like you") == [8] and scope("what a moron he is") == [8] and scope("not idiots like you") == [10]
+    assert scope("idiot one two three four you") == [0]  # out of the target's reach
+    assert scope("no idiot like you, he said") == [11] and scope("you idiot wrote me") == [5]
     assert scope("not one two three four idiot") == [0]  # out of the negation's reach
     assert not features("a calm and clean text").any() and not features("").any()
 
 
+def test_matches_equal_a_reading_without_machines():
+    """The composed machines against the rules read word by word, on random clauses."""
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        kinds = rng.choice(T.N_SYMBOLS, rng.integers(0, 14), p=[0.4, 0.12, 0.12, 0.08, 0.18, 0.1]).tolist()
+        want = []
+        for i, k in enumerate(kinds):
+            if k not in (T.INSULT, T.THREAT):
+                continue
+            gap = T.INSULT_GAP if k == T.INSULT else 0
+            j = i - 1
+            while j >= 0 and i - 1 - j < gap and kinds[j] == T.OTHER:
+                j -= 1
+            event = T.GOES_ON if j >= 0 and kinds[j] == k else T.BEGINS
+            aim = 1 if T.TARGET in kinds[:i] else 2 if T.TARGET in kinds[i + 1:i + 1 + T.AIM_REACH] else 0
+            denied = T.NEGATION in kinds[max(0, i - T.NEGATION_REACH):i]
+            reported = T.REPORT in kinds[:i] + kinds[i + 1:]
+            want.append((i, (k == T.THREAT) * T.N_MARKS + 4 * aim + 2 * denied + reported, event))
+        assert T.matches(kinds) == want
+
+
+def test_a_phrase_is_one_match():
+    one, two = (T.clause_features(pa.array([t], pa.large_string()), T.Lexicon())[0] for t in ("you stupid old fool", "you stupid very old fool"))
+    assert one[-3] == np.log1p(1) and two[-3] == np.log1p(2) and one[4] == two[4] == np.log1p(6)
+
+
 def test_statistics_equal_a_count_by_hand(monkeypatch):
     import re
 
