@@ -113,6 +113,14 @@ def member_state(doc, key: str) -> Column:
              .when(F.is_variant_null(member), F.lit("null")).otherwise(F.lit("value")))
 
 
+def in_order(c, collation: str | None = None) -> Column:
+    """What a text sorts by: itself (binary order), or itself under a collation ("UNICODE", "UNICODE_CI_AI", "de", ...).
+
+    Different texts may be equal under a collation: add the plain text behind it where the order must be total.
+    """
+    return F.collate(_c(c), collation) if collation else _c(c)
+
+
 def score(c) -> Column:
     """NUMERIC(5,2)."""
     return _c(c).cast("decimal(5,2)")

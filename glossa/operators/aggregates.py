@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import present
+from glossa.functions.scalars import in_order, present
 
 
 def count_by_level(units: DataFrame, level: str = "cefr_level") -> DataFrame:
@@ -47,7 +47,7 @@ def morpho_density(variants: DataFrame, lemmas: DataFrame, forms: DataFrame) ->
                          .orderBy(F.desc("total_morpho_forms"), "variant_name"))
 
 
-def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ") -> DataFrame:
+def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ", collation: str | None = None) -> DataFrame:
     """D4 (+D5, D6, C7): roots present in more than one variant, with the variant names joined.
 
     One pass instead of IN-subquery + join.  Lemmas are first counted per
@@ -56,12 +56,15 @@ def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ") -> Da
     string is built (the reference's string_agg has no DISTINCT).  The
     distinct-variant test counts every non-NULL variant id, including ids
     missing from the dimension, exactly like the subquery; names come only
-    from ids the dimension knows, like the outer join.  Names are sorted.
+    from ids the dimension knows, like the outer join.  Names and roots are
+    sorted, in binary order or that of ``collation``; roots that are equal
+    under it stay apart.
     """
     per_variant = (lemmas.where(F.col("variant_id").isNotNull())
                          .groupBy("text_root", "variant_id").agg(F.count(F.lit(1)).alias("n")))
     named = per_variant.join(variants.select("variant_id", "variant_name"), "variant_id", "left")
-    entry = F.when(F.col("variant_name").isNotNull(), F.struct("variant_name", "n"))
+    rank = F.struct(in_order("variant_name", collation).alias("rank"), "variant_name", "n")
+    entry = F.when(F.col("variant_name").isNotNull(), rank)
     grouped = named.groupBy("text_root").agg(F.count(F.lit(1)).alias("n_variants"),
                                              F.collect_list(entry).alias("names"))
     names = F.array_sort(F.col("names"))
@@ -69,7 +72,7 @@ def shared_roots(lemmas: DataFrame, variants: DataFrame, sep: str = " | ") -> Da
                                                      e["variant_name"]))
     return (grouped.where((F.col("n_variants") > 1) & (F.size("names") > 0))
                    .select("text_root", F.array_join(repeated, sep).alias("shared_by"))
-                   .orderBy("text_root"))
+                   .orderBy(in_order("text_root", collation), "text_root"))
 
 
 def ordered_string_agg(value, order, sep: str = ", "):

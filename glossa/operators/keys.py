@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.functions.scalars import in_order
 from glossa.operators.dedup import first_wins, one_each, row_hash
 from glossa.operators.dimensions import checked_dimension, materialize
 
@@ -83,15 +84,17 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
 
 
 def enumerate_values(df: DataFrame, col: str, id_col: str = "id", start: int = 1,
-                     drop_blank: bool = True) -> tuple[DataFrame, int]:
-    """Distinct values of ``col`` numbered ``start..`` in binary order, through ``assign_ids`` whatever their number.
+                     drop_blank: bool = True, collation: str | None = None) -> tuple[DataFrame, int]:
+    """Distinct values of ``col`` numbered ``start..`` through ``assign_ids`` whatever their number.
 
+    The order is binary, or that of ``collation`` (values that are equal under it stay apart, in binary order).
     NULL and '' are dropped unless ``drop_blank`` is False.  Returns (frame, size).
     """
     values = df.select(F.col(col))
     if drop_blank:
         values = values.where(F.col(col).isNotNull() & (F.col(col) != F.lit("")))
-    numbered = assign_ids(values.distinct(), [F.col(col).asc_nulls_first()], id_col, start)
+    order = [in_order(col, collation).asc_nulls_first()] + ([F.col(col)] if collation else [])
+    numbered = assign_ids(values.distinct(), order, id_col, start)
     return checked_dimension(numbered.select(F.col(id_col).cast("int").alias(id_col), col))
 
 

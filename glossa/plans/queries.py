@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions.scalars import content_hash, eligible, has_member, has_path, json_text, member_state, normalize_iso, parsed, variant_text
+from glossa.functions.scalars import (content_hash, eligible, has_member, has_path, json_text, map_or_keep, member_state, normalize_iso, parsed,
+                                      variant_text)
 from glossa.operators import aggregates as agg
 from glossa.operators import context, contracts, incremental, joins, maintain, nested, retrieval, vector_store
 from glossa.operators.dedup import dedup_links
 from glossa.operators.dimensions import materialize
+from glossa.operators.keys import enumerate_values
 from glossa.plans.ingest import ContentBuild, LexiconBuild, build_content, build_lexicon
 from glossa.session import scratch_folder, shuffle_partitions
 from glossa.sources.bindings import bound, docs_from, feedback_log_from
@@ -527,6 +529,42 @@ def g10_member_states(spark, root):
                       member_state("doc", "session").alias("session_state"))
 
 
+def _words(spark, root) -> DataFrame:
+    return bound(spark, root).raw("documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("word"))
+
+
+def e3_collated_words(spark, root):
+    """Every different word of the documents, numbered in the order of the Unicode collation."""
+    return enumerate_values(_words(spark, root), "word", "word_id", collation="UNICODE")[0]
+
+
+def e2_collated_roots(spark, root):
+    """D4 on the words of the documents as roots, by language; roots and names in the order of the Unicode collation
+    (the place of each root among all is returned, as an order can't be compared)."""
+    c = bound(spark, root)
+    docs = c.raw("documents").join(c.language_variant, F.col("lang") == F.col("iso_code"))
+    names = c.language_variant.select("variant_id", F.when(F.col("is_pivot"), F.lower("variant_name")).otherwise(F.col("variant_name")).alias("variant_name"))
+    words = docs.select("variant_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))).alias("text_root"))
+    roots = materialize(agg.shared_roots(words.distinct(), names, collation="UNICODE"))
+    place = enumerate_values(roots, "text_root", "place", collation="UNICODE")[0]
+    return roots.join(place, "text_root").select("place", "text_root", "shared_by")
+
+
+def g13_value_map(spark, root):
+    """Event types under other names, where the map has one; all others (NULL too) stay."""
+    names = {"view": "read", "click": "act"}
+    return bound(spark, root).raw("events").select("event_id", map_or_keep("event_type", names).alias("kind"))
+
+
+def g14_nested_fields(spark, root):
+    """A field two levels down in each event's document; NULL where the document is, or either level is null or missing."""
+    props, key = F.col("props"), F.col("event_id")
+    text = (F.when(key % 7 == 0, F.lit(None)).when(key % 7 == 1, F.lit("{}")).when(key % 7 == 2, F.lit('{"props": null}'))
+             .when(key % 7 == 3, F.lit('{"props": {"other": 1}}')).otherwise(F.concat(F.lit('{"props": '), props, F.lit("}"))))
+    doc = bound(spark, root).raw("events").select("event_id", F.from_json(text, "props struct<k: int>").alias("doc"))
+    return doc.select("event_id", F.col("doc.props.k").alias("k"))
+
+
 def h1_bucketed_context(spark, root):
     """The context view over tables stored in buckets of unit_id."""
     folder = scratch_folder(spark, "bucketed")
@@ -651,6 +689,10 @@ QUERIES: dict[str, Query] = {
     "a6_syntax_scan": a6_syntax_scan,
     "a7_load_report": a7_load_report,
     "g10_member_states": g10_member_states,
+    "e3_collated_words": e3_collated_words,
+    "e2_collated_roots": e2_collated_roots,
+    "g13_value_map": g13_value_map,
+    "g14_nested_fields": g14_nested_fields,
     "h1_bucketed_context": h1_bucketed_context,
     "l1_stored_scope": l1_stored_scope,
     "l2_clustered_top5": l2_clustered_top5,

@@ -53,3 +53,29 @@ def test_density_counts_forms_and_rows(corpus):
 
 def test_shared_roots_repeat_a_variant_for_each_lemma(corpus):
     assert rows(aggregates.shared_roots(corpus["lemmas"], corpus["variants"])) == [("bar", "EN | FI | IT | IT")]
+
+
+def test_collations_order_accents_and_case(spark):
+    """Binary order by default; under a collation accents and case come after letters, and equal texts stay apart."""
+    from glossa.functions.scalars import in_order
+    from glossa.operators.keys import enumerate_values
+
+    words = ["zz", "Éa", "ea", "Eb", "éa", "Zz", "eb", "", None, "ea"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+
+    def numbered(**options):
+        return [r.w for r in enumerate_values(df, "w", **options)[0].orderBy("id").collect()]
+
+    assert numbered() == ["Eb", "Zz", "ea", "eb", "zz", "Éa", "éa"]
+    assert numbered(collation="UNICODE") == ["ea", "éa", "Éa", "eb", "Eb", "zz", "Zz"]
+    assert numbered(collation="UNICODE_CI_AI") == ["ea", "Éa", "éa", "Eb", "eb", "Zz", "zz"]  # equal ones in binary order
+    assert numbered(collation="UNICODE", drop_blank=False)[:2] == [None, ""]
+    plain = df.where("w is not null").select("w", in_order("w", "UNICODE_CI").alias("k"))
+    assert plain.groupBy("k").count().where("count > 1").count() == 4 and plain.groupBy("w").count().count() == 8
+
+    lemmas = spark.createDataFrame([(r, v) for r in ("Éa", "ea", "zz") for v in (1, 2, 3)] + [("ea", 2)], "text_root string, variant_id int")
+    names = spark.createDataFrame([(1, "zeta"), (2, "Éa"), (3, "Eb")], "variant_id int, variant_name string")
+    assert [tuple(r) for r in aggregates.shared_roots(lemmas, names).collect()] == [
+        ("ea", "Eb | zeta | Éa | Éa"), ("zz", "Eb | zeta | Éa"), ("Éa", "Eb | zeta | Éa")]
+    assert [tuple(r) for r in aggregates.shared_roots(lemmas, names, collation="UNICODE").collect()] == [
+        ("ea", "Éa | Éa | Eb | zeta"), ("Éa", "Éa | Eb | zeta"), ("zz", "Éa | Eb | zeta")]
