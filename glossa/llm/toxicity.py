@@ -101,7 +101,7 @@ FORWARDS = (phrase(INSULT, INSULT_GAP).compose(phrase(THREAT, 0))
             .compose(scope(TARGET, None)).compose(scope(NEGATION, NEGATION_REACH)).compose(scope(REPORT, None)))
 BACKWARDS = scope(TARGET, AIM_REACH).compose(scope(REPORT, None))
 N_MARKS = 12
-N_FEATURES = 2 * N_MARKS + 7
+N_FEATURES = 2 * N_MARKS + 8
 
 
 def standing(forward: int, backward: int) -> tuple[int, int]:
@@ -164,7 +164,7 @@ _ENDS = (b".", b"!", b"?", b";", b":", b"|")
 
 
 def clause_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """One row for each whole text: what its matches weigh by standing; clauses with a match; matches and weight per 100
+    """One row for each whole text: what its matches weigh by standing; words in matches; clauses with a match; matches and weight per 100
     words; weight and matches in all; clauses with a match that is aimed, not denied and not reported; the heaviest clause.
     All 0 without a match."""
     words = Words(texts)
@@ -183,7 +183,8 @@ def clause_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
         for clause, owner in zip(clauses.tolist(), owners.tolist()):
             a, b = cuts[clause], cuts[clause + 1]
             total, meant = 0.0, False
-            for place, cell, event in matches(kinds[a:b].tolist()):
+            found = matches(kinds[a:b].tolist())
+            for place, cell, event in found:
                 weight = weights[a + place]
                 out[owner, cell] += weight
                 total += weight
@@ -192,6 +193,7 @@ def clause_features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
             out[owner, -1] = max(out[owner, -1], total)
             out[owner, -2] += meant
             out[owner, -7] += 1
+            out[owner, -8] += len(found)
     size = np.maximum(np.diff(bounds), 1)
     whole = out[:, :2 * N_MARKS].sum(1)
     out[:, -4] = whole
