@@ -7,6 +7,11 @@ task), and one join on key and order picks the winning rows.  No text enters
 an aggregate.  Rows that tie (the same key and order: a document repeated in an
 export) are told apart by a hash of the whole row, and of equal rows one is
 kept by a window whose group limit already cuts them down inside the map tasks.
+
+Joins whose sides both grow with the input are merge joins by hint
+(``both_large``): Spark's estimate of a side is that of the files behind it,
+which rows unpivoted, hashed or repeated there exceed many times, so by that
+estimate it broadcasts, through the driver, tables that no driver holds.
 """
 
 from __future__ import annotations
@@ -18,6 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def both_large(df: DataFrame) -> DataFrame:
+    """One side of a join that must not be broadcast, however small its files look."""
+    return df.hint("merge")
+
+
 def row_hash(df: DataFrame, cols: Sequence[str], seed: int = 0) -> Column:
     """A 64-bit hash of some columns (maps, which have no hash, are left out)."""
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols if not isinstance(df.schema[c].dataType, T.MapType)])
@@ -46,7 +56,7 @@ def first_wins(df: DataFrame, key_cols: Sequence[str | Column], order: str | Col
     ordered = keyed.withColumn("_order", F.col(order) if isinstance(order, str) else order)
     least = ordered.groupBy(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)]).agg(F.min("_order").alias("_least"))
     same = [F.col(n).eqNullSafe(F.col(f"_k{i}")) for i, n in enumerate(names)]
-    won = ordered.join(least, [*same, F.col("_order").eqNullSafe(F.col("_least"))])
+    won = ordered.join(both_large(least), [*same, F.col("_order").eqNullSafe(F.col("_least"))])
     rest = [c for c in df.columns if c not in names]
     return one_each(won.select(*names, *rest, row_hash(df, rest).alias("_tie")), names, "_tie").drop("_tie")
 

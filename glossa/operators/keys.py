@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.scalars import in_order
-from glossa.operators.dedup import first_wins, one_each, row_hash
+from glossa.operators.dedup import both_large, first_wins, one_each, row_hash
 from glossa.operators.dimensions import checked_dimension, materialize
 
 
@@ -79,7 +79,7 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     ids = assign_ids(narrow, order, id_col, start)
     numbered = ids.select(F.col("_h1").alias("_w1"), F.col("_h2").alias("_w2"), id_col)
     same = (F.col("_h1") == F.col("_w1")) & (F.col("_h2") == F.col("_w2"))
-    wide = one_each(rows, ["_h1", "_h2"], "_h1").join(numbered, same).drop("_h1", "_h2", "_w1", "_w2")
+    wide = one_each(rows, ["_h1", "_h2"], "_h1").join(both_large(numbered), same).drop("_h1", "_h2", "_w1", "_w2")
     return wide, ids.drop("_h1", "_h2")
 
 

@@ -93,3 +93,23 @@ def test_an_export_whose_documents_repeat_is_loaded_once(spark, tmp_dir):
 
     once, thrice = load("once", 1), load("thrice", 3)
     assert thrice == once and len(once["content_unit"]) == 3 and len(once["lemma"]) == 1
+
+
+def stored_docs(spark, folder):
+    docs = [(i, f"d{i}", f"uno {i % 40}", None, f"one {i % 70}", "formal", "t1", "a.mp3", None) for i in range(100)]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{folder}/docs")
+    return spark.read.parquet(f"{folder}/docs")
+
+
+def broadcast_joins(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+
+def test_sides_that_grow_with_the_input_are_not_broadcast(spark, tmp_dir):
+    """Files that look small hold many rows: by Spark's estimate these joins were broadcast through the driver."""
+    docs = stored_docs(spark, tmp_dir)
+    assert broadcast_joins(first_wins(docs, ["text_en"], "doc_pos")) == 0
+    build = build_content(docs)
+    # the one broadcast is of the partitions' offsets
+    assert broadcast_joins(build.units) == broadcast_joins(build.unit_keys) == 1
+    assert sorted(r.unit_id for r in build.units.collect()) == list(range(1, 111))  # 40 texts and 70, each once
