@@ -75,7 +75,7 @@ def first_wins_with_ids(df: DataFrame, key_cols: Sequence[str], order_cols: Sequ
     rows = df.withColumn("_h1", row_hash(df, df.columns, 1)).withColumn("_h2", row_hash(df, df.columns, 2))
     narrow = first_wins(rows.select(*narrow_cols, "_h1", "_h2"), keys, order[0])
     if exclude is not None:
-        narrow = narrow.join(exclude.select(*keys), keys, "left_anti")
+        narrow = narrow.join(both_large(exclude.select(*keys)), keys, "left_anti")
     ids = assign_ids(narrow, order, id_col, start)
     numbered = ids.select(F.col("_h1").alias("_w1"), F.col("_h2").alias("_w2"), id_col)
     same = (F.col("_h1") == F.col("_w1")) & (F.col("_h2") == F.col("_w2"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions.scalars import (content_hash, fold, json_object, load_stamp, present,
                                      strict_bool)
-from glossa.operators.dedup import first_wins
+from glossa.operators.dedup import both_large, first_wins
 from glossa.operators.dimensions import maybe_broadcast
 from glossa.operators.keys import assign_ids, enumerate_values, first_wins_with_ids, next_start_value
 from glossa.operators.reshape import build_links, media_rows, synonym_forms, unpivot_langs
@@ -189,7 +189,7 @@ class LexiconBuild:
         start = 1
         if self.existing_lemmas is not None:  # natural key (folded text, variant): stored lemmas are skipped
             stored = self.existing_lemmas.select(fold("text_root").alias("_fold"), "variant_id")
-            firsts = firsts.join(stored, ["_fold", "variant_id"], "left_anti")
+            firsts = firsts.join(both_large(stored), ["_fold", "variant_id"], "left_anti")
             start = next_start_value(self.existing_lemmas, "lemma_id")
         # lemma rows are short (a word and its synonyms): the whole winning row goes through the id pass once
         ided = assign_ids(firsts, list(ORDER), "lemma_id", start)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossa.operators.dedup import first_wins
+from glossa.operators.dedup import both_large, first_wins
 from glossa.schemas import EXPORT_MIN_CONFIDENCE, TABLES
 from glossa.operators import incremental
 from glossa.functions.scalars import eligible
@@ -35,7 +35,7 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
     (the row with the least hash of all its columns).
     """
     b = first_wins(batch, list(keys), order if order else F.lit(0)).select(*batch.columns)
-    return b.join(target.select(*keys).distinct(), list(keys), "left_anti")
+    return b.join(both_large(target.select(*keys).distinct()), list(keys), "left_anti")
 
 
 def append(target_path: str, batch: DataFrame) -> dict[str, int]:
@@ -59,8 +59,8 @@ def append_if_absent(target_path: str, batch: DataFrame, keys: Sequence[str], or
     first = first_wins(batch, list(keys), order if order else F.lit(0)).select(*batch.columns)
     rows = batch.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_rows"))
     stored = target.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(keys)]).distinct().withColumn("_stored", F.lit(True))
-    counted = first.join(rows, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
-    marked = counted.join(stored, [F.col(c) == F.col(f"_s{i}") for i, c in enumerate(keys)], "left")
+    counted = first.join(both_large(rows), [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    marked = counted.join(both_large(stored), [F.col(c) == F.col(f"_s{i}") for i, c in enumerate(keys)], "left")
     seen, fresh = Observation("append_if_absent"), F.col("_stored").isNull()
     out = marked.observe(seen, F.count_if(fresh).alias("written"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
     out.where(fresh).select(*batch.columns).write.mode("append").parquet(target_path)

@@ -113,3 +113,18 @@ def test_sides_that_grow_with_the_input_are_not_broadcast(spark, tmp_dir):
     # the one broadcast is of the partitions' offsets
     assert broadcast_joins(build.units) == broadcast_joins(build.unit_keys) == 1
     assert sorted(r.unit_id for r in build.units.collect()) == list(range(1, 111))  # 40 texts and 70, each once
+
+
+def test_what_is_stored_is_not_broadcast_to_a_later_load(spark, tmp_dir):
+    docs = stored_docs(spark, tmp_dir)
+    early, late = docs.where("doc_pos % 2 = 0"), docs.where("doc_pos % 2 = 1")
+    assert broadcast_joins(sinks.insert_if_absent(early, docs, ["text_en"], "doc_pos")) == 0
+    first = build_content(early).units
+    build = build_content(late, existing_units=first)
+    assert broadcast_joins(build.units) == 1
+    ids = sorted(r.unit_id for r in first.unionByName(build.units).collect())
+    assert ids == list(range(1, 111))
+    old = build_lexicon(early)
+    new = build_lexicon(docs, existing_lemmas=old.lemmas)
+    assert broadcast_joins(new.lemmas) == 1
+    assert new.lemmas.count() + old.lemmas.count() == 110
