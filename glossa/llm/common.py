@@ -18,6 +18,7 @@ from glossa.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; bounds a task's memory whatever the batch size.
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 # --- staged tables -----------------------------------------------------------------------------------------------
@@ -28,11 +29,21 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows``: most rows of the Arrow batches that the job hands to Python, where rows are wide; a batch lies in
+    the JVM and in Python at once, outside the heap of either, for every core of an executor.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    usual = spark.conf.get(BATCH_ROWS)
+    if batch_rows and not 0 < int(usual) <= batch_rows:
+        spark.conf.set(BATCH_ROWS, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, usual)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
@@ -72,6 +83,21 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, nbytes: int = SLICE_BYT
                 yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, nbytes: int) -> Iterator[pa.RecordBatch]:
+    """``slices``, with small batches put together to about ``nbytes`` of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in slices(batches, text, nbytes):
+        more = pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+        if held and size + more > nbytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def text_array(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The texts without nulls, their bytes beginning at offset 0 (Arrow's case folding needs that)."""
     texts = pc.fill_null(batch.column(name).cast(pa.large_string()), "")
@@ -122,8 +148,10 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
     for j in range(k):
-        h = h * _STEP + words[j:j + n]
-    return mix64(h + np.uint64(k))
+        h *= _STEP
+        h += words[j:j + n]
+    h += np.uint64(k)
+    return mix64(h)
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

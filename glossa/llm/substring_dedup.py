@@ -20,13 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import Words, mix64, release, slices, stage, text_array, window_hashes
+from glossa.llm.common import Words, gathered, mix64, release, slices, stage, text_array, window_hashes
 
 WINDOW = 13
 #: Text that one bucket of edges stands for: bounds the memory of a task that sorts a bucket.
 BUCKET_BYTES = 6 << 20
 SLICE = 6 << 20
 CHECK_SEED = 77
+#: Rows of packed edges, and of texts, in one Arrow batch.
+PACKED_ROWS, TEXT_ROWS = 64, 512
 
 ROWS = "kind int, bucket long, slice long, doc_id long, text_key long, idx long, packed binary"
 EDGES, REPEATS, DOCUMENT = range(3)
@@ -69,25 +71,31 @@ def _edges(buckets: int) -> Callable:
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        for batch in slices(batches, "text", SLICE):
+        for batch in gathered(batches, "text", SLICE):
             batch = batch.take(pa.array(np.argsort(batch.column("doc_id").to_numpy(), kind="stable")))
             ids = batch.column("doc_id").to_numpy()
             any_bucket = hash(number) % buckets  # what only passes through the shuffle is spread by its slice
             yield _rows(DOCUMENT, len(ids), bucket=np.full(len(ids), any_bucket), slice=np.full(len(ids), number), doc_id=ids, text_key=batch.column("text_key"), idx=np.arange(len(ids)))
             words = Words(text_array(batch, "text"))
-            count = np.maximum(np.diff(words.bounds) - WINDOW + 1, 0)
-            doc = np.repeat(np.arange(len(ids)), count)
-            at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            h = window_hashes(words.hashes(), WINDOW)[words.bounds[doc] + at] if len(doc) else np.zeros(0, np.uint64)
+            hashes, bounds = words.hashes(), words.bounds
+            del words
+            count = np.maximum(np.diff(bounds) - WINDOW + 1, 0)
+            doc = np.repeat(np.arange(len(ids), dtype=np.uint32), count)
+            at = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint32)
+            h = window_hashes(hashes, WINDOW)[bounds[doc] + at] if len(doc) else np.zeros(0, np.uint64)
+            del hashes
             order = np.argsort(h, kind="stable")  # documents ascend, so an edge's first row is its source here
             h, doc, at = h[order], doc[order], at[order]
+            del order
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
             source = np.repeat(first, np.diff(np.append(first, len(h))))
             known = ids[doc] > ids[doc[source]]  # repeated inside the slice: answered here
-            if known.any():
-                s = source[known]
+            s = source[known]
+            del first, source
+            if len(s):
                 yield _rows(REPEATS, 1, bucket=[any_bucket], slice=[number], packed=[pack(idx=doc[known].astype("<u4"), at=at[known].astype("<u4"), source_slice=np.full(len(s), number, "<i8"),
                                                                     source_idx=doc[s].astype("<u4"), source_at=at[s].astype("<u4"))])
+            del s
             h, doc, at = h[~known], doc[~known], at[~known]
             bucket = (h // width).astype(np.int64)
             cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else np.zeros(0, int), len(h))
@@ -98,7 +106,7 @@ def _edges(buckets: int) -> Callable:
                 edges_ = pack(step=step, doc=local.astype("<u4"), at=at[a:b].astype("<u4"))
                 head = pack(idx=here.astype("<u4"), doc_id=ids[here].astype("<i8"))
                 out.append((int(bucket[a]), np.array([len(head)], "<u4").tobytes() + head + edges_))
-                if len(out) >= 64:
+                if len(out) >= 16:
                     yield _rows(EDGES, len(out), bucket=[k for k, _ in out], slice=[number] * len(out), packed=[p for _, p in out])
                     out = []
             if out:
@@ -146,24 +154,27 @@ def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _answers(parts: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-    columns: dict[str, list[np.ndarray]] = {c: [] for c in ("h", "doc_id", "slice", "idx", "at")}
-    for number, packed in parts:
+    columns: dict[str, list[np.ndarray]] = {c: [] for c in ("h", "doc_id", "part", "idx", "at")}
+    slice_of = np.array([number for number, _ in parts], np.int64)
+    for part, (_, packed) in enumerate(parts):
         size = int(np.frombuffer(packed[:4], "<u4")[0])
         head, e = unpack(packed[4:4 + size], idx="<u4", doc_id="<i8"), unpack(packed[4 + size:], **EDGE)
         columns["h"].append(np.cumsum(e["step"], dtype=np.uint64)), columns["at"].append(e["at"])
         columns["doc_id"].append(head["doc_id"][e["doc"]]), columns["idx"].append(head["idx"][e["doc"]])
-        columns["slice"].append(np.full(len(e["at"]), number, np.int64))
-    h, doc_id, number, idx, at = (np.concatenate(columns.pop(c)) for c in ("h", "doc_id", "slice", "idx", "at"))
+        columns["part"].append(np.full(len(e["at"]), part, np.uint32))
+    h, doc_id, part, idx, at = (np.concatenate(columns.pop(c)) for c in ("h", "doc_id", "part", "idx", "at"))
     order = np.argsort(h, kind="stable")
     h = h[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     sizes = np.diff(np.append(first, len(h)))
+    del h, first
     # single edges are no repeats: go on with the others alone
     more = np.repeat(sizes > 1, sizes)
     order, sizes = order[more], sizes[sizes > 1]
     if not len(order):
         return
-    doc_id, number, idx, at = doc_id[order], number[order], idx[order], at[order]
+    doc_id, number, idx, at = doc_id[order], slice_of[part[order]], idx[order], at[order]
+    del order, part, more
     of = np.repeat(np.arange(len(sizes)), sizes)
     least = np.minimum.reduceat(doc_id, np.cumsum(sizes) - sizes)
     # the first row of each edge that is in the least document
@@ -237,9 +248,9 @@ def repeated_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     edges = docs.where("doc_id is not null").select("doc_id", "text_key", "text").mapInArrow(_edges(max(1, -(-size // BUCKET_BYTES))), ROWS)
-    found = stage(edges.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_sources, ROWS), "answers")
+    found = stage(edges.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_sources, ROWS), "answers", PACKED_ROWS)
     answers = found.where(F.col("kind") == REPEATS).select("slice", "packed")
-    runs = stage(answers.repartition(F.col("slice")).sortWithinPartitions("slice").mapInArrow(_compact, RUN), "runs")
+    runs = stage(answers.repartition(F.col("slice")).sortWithinPartitions("slice").mapInArrow(_compact, RUN), "runs", PACKED_ROWS)
     place = stage(found.where(F.col("kind") == DOCUMENT).select("slice", "idx", "doc_id", "text_key"), "addresses")
     release(found)
     return runs, place
@@ -270,7 +281,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
         met = texts.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
         return met.select("doc_id", "text_key", "text", "spans", "asked").mapInArrow(_finish, FINISHED)
 
-    done = stage(finish(rows, wanted), "kept")
+    done = stage(finish(rows, wanted), "kept", TEXT_ROWS)
     checks = done.select("doc_id", "text_key", F.explode("checks").alias("c")).select("doc_id", "text_key", "c.*").distinct()
     theirs = checks.select(F.col("doc_id").alias("source_doc"), F.col("text_key").alias("source_key"), F.col("start").alias("source_start"), "n", F.col("check").alias("source_check"))
     wrong = (placed.join(checks, ["doc_id", "text_key", "start", "n"]).join(theirs, ["source_doc", "source_key", "source_start", "n"])
