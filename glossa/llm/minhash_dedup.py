@@ -36,6 +36,8 @@ FIRST = 2
 #: Members of a bucket that are compared in one piece, and shingles that they have together.
 BLOCK = 1024
 BLOCK_SHINGLES = 1 << 21
+#: Rows in one Arrow batch: texts or pairs of texts, and nodes.
+TEXT_ROWS, NODE_ROWS = 512, 2048
 SEED = 41
 #: A set is known by 128 bits: sums over its shingles' hashes under each of these.
 _SALTS = (np.uint64(0), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -236,7 +238,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_key", F.xxhash64("text"))
-    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>, sketch array<long>, short binary"), "signatures")
+    signed = stage(texts.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>, sketch array<long>, short binary"), "signatures", TEXT_ROWS)
     signed, mixed = _told_apart(signed)
     real = signed.where("node is not null and doc_id is not null")
     # one node for each different set, shown by its least document
@@ -253,16 +255,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = bands.join(hubs, F.col("key") == F.col("_key")).where("node != b").select(F.col("node").alias("a"), "b").distinct()
     sifted = stage(_sift(stars, nodes), "stars")
     tested = stage(_likeliest(sifted, FIRST), "best")
-    links = stage(_confirmed(tested, nodes, texts), "links")
+    links = stage(_confirmed(tested, nodes, texts), "links", TEXT_ROWS)
     placed = _merged(nodes.select("node", "n_shingles", "sketch", F.col("node").alias("component")), links)
     # each node's likeliest partners of another component among all that share a bucket with it
-    closer = stage(_likeliest(_in_buckets(bands, placed, nodes, True).distinct(), FIRST).join(tested, ["a", "b"], "left_anti"), "closer")
-    placed = _merged(placed, stage(_confirmed(closer, nodes, texts), "links"))
+    closer = stage(_likeliest(_in_buckets(bands, placed, nodes, True).distinct(), FIRST).join(tested, ["a", "b"], "left_anti"), "closer", NODE_ROWS)
+    placed = _merged(placed, stage(_confirmed(closer, nodes, texts), "links", TEXT_ROWS))
     # every pair that is still likely and between components
     apart = _between(sifted.select("a", "b"), placed).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     near = _in_buckets(bands, placed, nodes, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(apart.union(near).distinct().join(tested.union(closer), ["a", "b"], "left_anti"), "rest")
-    placed = _merged(placed, stage(_confirmed(rest, nodes, texts), "links"))
+    rest = stage(apart.union(near).distinct().join(tested.union(closer), ["a", "b"], "left_anti"), "rest", NODE_ROWS)
+    placed = _merged(placed, stage(_confirmed(rest, nodes, texts), "links", TEXT_ROWS))
     release(sifted, tested, closer, rest, links)
     of = placed.select("node", F.col("component").alias("whole")).join(least, "node")
     smallest = of.groupBy("whole").agg(F.min("least").alias("component_id"))

@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pytest
 
-from glossa.llm import substring_dedup
+from glossa.llm import minhash_dedup, substring_dedup
 from glossa.llm.common import BATCH_ROWS, gathered, stage
 
 
@@ -37,7 +37,8 @@ def test_small_batches_are_put_together():
     assert list(gathered(iter([]), "text", 20)) == []
 
 
-@pytest.mark.parametrize("module, run, python_jobs", [(substring_dedup, "dedup_substrings", {"answers", "runs", "kept"})])
+@pytest.mark.parametrize("module, run, python_jobs", [(substring_dedup, "dedup_substrings", {"answers", "runs", "kept"}),
+                                                      (minhash_dedup, "near_duplicates", {"signatures", "links", "closer", "rest"})])
 def test_jobs_with_wide_rows_bound_their_batches(spark, monkeypatch, module, run, python_jobs):
     bounds = {}
 
