@@ -113,12 +113,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = (sets[bounds[i]:bounds[i + 1]] for sets, bounds in sides)
             common = len(np.intersect1d(x, y, assume_unique=True))
             linked.append(100 * common >= PERCENT * (len(x) + len(y) - common) and common > 0)
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        yield batch.select(["a", "b", "ca", "cb"]).filter(pa.array(linked, pa.bool_()))
 
 
 def _near(best_only: bool) -> Callable:
-    """Pairs (a, b, bits) of different components inside each run of equal (key, i, j) that the sketches don't rule out;
-    best_only: for each node the likeliest of them."""
+    """Pairs (a, b, bits) of different components (ca, cb) inside each run of equal (key, i, j) that the sketches don't
+    rule out; best_only: for each node the likeliest of them."""
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         node, group, size, left = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "left"))
         sketch = rows.column("sketch").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1)
@@ -129,7 +129,7 @@ def _near(best_only: bool) -> Callable:
             starts = np.concatenate([[0], np.cumsum([len(v) // 2 for v in short])])
         x = np.arange(len(node)) if whole else np.flatnonzero(left)
         y = np.arange(len(node)) if whole else np.flatnonzero(~left)
-        a, b, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        a, b, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # a, b: positions
         for k in x:
             z = (y if best_only else y[y > k]) if whole else y
             z = z[(group[z] != group[k]) & (100 * np.minimum(size[z], size[k]) >= PERCENT * np.maximum(size[z], size[k]))]
@@ -144,8 +144,9 @@ def _near(best_only: bool) -> Callable:
                 has[values[starts[k]:starts[k + 1]]] = True
                 most = np.add.reduceat(has[values], starts[:-1], dtype=np.int64)[z[near]]
                 near = near[100 * most >= PERCENT * (size[z[near]] + size[k] - most)]
-            a.append(np.full(len(near), node[k])), b.append(node[z[near]]), bits.append(d[near])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, b, bits)], ["a", "b", "bits"])
+            a.append(np.full(len(near), k)), b.append(z[near]), bits.append(d[near])
+        a, b, bits = (np.concatenate(c) for c in (a, b, bits))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (node[a], node[b], bits, group[a], group[b])], ["a", "b", "bits", "ca", "cb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -178,54 +179,54 @@ def _sift(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) of the pairs that are linked, by the full sets of one text of each node."""
+    """The pairs (a, b, ca, cb) that are linked, by the full sets of one text of each node."""
     ids = nodes.select("node", "doc_id", "text_key")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(ids, "node")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(ids, "node")
     own = needed.select("node", F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
-    found = texts.join(own, (F.col("doc_id") == F.col("_d")) & (F.col("text_key") == F.col("_k"))).select("node", "text").dropDuplicates(["node"])
-    first = pairs.select("a", "b").join(found.select(F.col("node").alias("a"), "text"), "a")
+    found = texts.join(own, (F.col("doc_id") == F.col("_d")) & (F.col("text_key") == F.col("_k"))).dropDuplicates(["doc_id", "text_key"]).select("node", "text")
+    first = pairs.select("a", "b", "ca", "cb").join(found.select(F.col("node").alias("a"), "text"), "a")
     both = first.join(found.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
-    return both.select("a", "b", "text", "other").mapInArrow(_confirm, "a long, b long")
+    return both.select("a", "b", "ca", "cb", "text", "other").mapInArrow(_confirm, "a long, b long, ca long, cb long")
 
 
-def _likeliest(pairs: DataFrame, n: int) -> DataFrame:
-    """(a, b), a < b: of each node's partners (a bounded number) the n likeliest."""
-    nearest = F.slice(F.array_sort(F.collect_list(F.struct("bits", "b"))), 1, n)
-    picked = pairs.groupBy("a").agg(nearest.alias("s")).select("a", F.explode("s.b").alias("b"))
-    return picked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """The different pairs (a, b), a < b, with their components (the lesser first, as links are the same both ways)."""
+    return pairs.select(*(f(*x).alias(x[k]) for x in (("a", "b"), ("ca", "cb")) for k, f in enumerate((F.least, F.greatest)))).dropDuplicates(["a", "b"])
 
 
-def _between(pairs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components, with those (ca, cb)."""
-    label = placed.select(F.col("node").alias("_m"), "component")
-    a, b = (label.select(F.col("_m").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").where("ca != cb")
+def _likeliest(pairs: DataFrame, n: int) -> DataFrame:
+    """(a, b, ca, cb), a < b: of each node's partners (a bounded number) the n likeliest."""
+    nearest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b", "cb"))), 1, n)
+    picked = pairs.groupBy("a").agg(nearest.alias("s"), F.min("ca").alias("ca")).select("a", "ca", F.explode("s").alias("s"))
+    return _ordered(picked.select("a", "ca", "s.b", "s.cb"))
 
 
 def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
     """``placed`` with the components that the links join made one."""
-    whole = components(_between(links, placed).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    whole = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     met = placed.join(whole.select(F.col("node").alias("_c"), F.col("component").alias("_whole")), F.col("component") == F.col("_c"), "left")
-    return stage(met.withColumn("component", F.coalesce("_whole", "component")).drop("_c", "_whole"), "placed")
+    out = stage(met.withColumn("component", F.coalesce("_whole", "component")).drop("_c", "_whole"), "placed")
+    release(placed, whole, links)
+    return out
 
 
-def _in_buckets(bands: DataFrame, placed: DataFrame, nodes: DataFrame, best_only: bool) -> DataFrame:
-    """(a, b, bits) of the likely pairs of different components that share a bucket.
+def _in_buckets(placed: DataFrame, nodes: DataFrame, best_only: bool) -> DataFrame:
+    """(a, b, bits, ca, cb) of the likely pairs of different components that share a bucket.
 
-    Buckets of one component have none, buckets of two nodes were compared already.  A bucket is compared in pieces of
-    about BLOCK nodes and BLOCK_SHINGLES shingles, two at a time, so none is gathered whole.
+    Buckets of one component have none; best_only: buckets of two nodes are left out, those were compared already.  A
+    bucket is compared in pieces of about BLOCK nodes and BLOCK_SHINGLES shingles, two at a time, so none is gathered
+    whole.
     """
-    label = placed.select(F.col("node").alias("_m"), "component", "n_shingles")
-    open_ = (bands.join(label, F.col("node") == F.col("_m")).groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n_shingles").alias("all"))
-             .where("n > 2 and lo != hi").select(F.col("key").alias("_key"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("pieces")))
+    bands = placed.select(F.explode("bands").alias("key"), "node", "component", "n_shingles")
+    open_ = (bands.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n_shingles").alias("all"))
+             .where(f"n > {2 if best_only else 1} and lo != hi").select(F.col("key").alias("_key"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("pieces")))
     members = (bands.join(open_, F.col("key") == F.col("_key")).drop("_key")
                .withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
                .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-               .select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node"))
-    known = placed if best_only else placed.join(nodes.select("node", "short"), "node")
-    ready = members.join(known, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+               .select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node", "component", "n_shingles"))
+    ready = members.join(nodes.select("node", "sketch", *(() if best_only else ("short",))), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     columns = ready.select("key", "i", "j", "left", "node", "component", "n_shingles", "sketch", *(() if best_only else ("short",)))
-    return columns.mapInArrow(_near(best_only), "a long, b long, bits long")
+    return columns.mapInArrow(_near(best_only), "a long, b long, bits long, ca long, cb long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -242,31 +243,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed, mixed = _told_apart(signed)
     real = signed.where("node is not null and doc_id is not null")
     # one node for each different set, shown by its least document
-    least = real.groupBy("node").agg(F.min("doc_id").alias("least"))
-    shown = real.join(least.select(F.col("node").alias("_n"), "least"), (F.col("node") == F.col("_n")) & (F.col("doc_id") == F.col("least")))
-    nodes = stage(shown.drop("_n", "least").dropDuplicates(["node"]), "nodes")
+    shown = F.struct("doc_id", "text_key", "n_shingles", "bands", "sketch", "short")
+    nodes = stage(real.groupBy("node").agg(F.min_by(shown, "doc_id").alias("s")).select("node", "s.*"), "nodes")
     sets = stage(signed.select("doc_id", "n_shingles", "node"), "sets")
     release(signed, mixed)
-    least = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     bands = nodes.select(F.explode("bands").alias("key"), "node")
     # every node against one member of each of its buckets; the key decides which, so it differs from band to band
     turned = F.col("node").bitwiseXOR(F.xxhash64("key"))
     hubs = bands.groupBy("key").agg(F.min(turned).alias("t"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("_key"), F.col("t").bitwiseXOR(F.xxhash64("key")).alias("b"))
-    stars = bands.join(hubs, F.col("key") == F.col("_key")).where("node != b").select(F.col("node").alias("a"), "b").distinct()
-    sifted = stage(_sift(stars, nodes), "stars")
+    met = bands.join(hubs, F.col("key") == F.col("_key")).where("node != b")
+    stars = met.groupBy(F.col("node").alias("a")).agg(F.collect_set("b").alias("b")).select("a", F.explode("b").alias("b"))  # BANDS at most
+    sifted = _sift(stars, nodes).select("a", "b", "bits", F.col("a").alias("ca"), F.col("b").alias("cb"))
     tested = stage(_likeliest(sifted, FIRST), "best")
     links = stage(_confirmed(tested, nodes, texts), "links", TEXT_ROWS)
-    placed = _merged(nodes.select("node", "n_shingles", "sketch", F.col("node").alias("component")), links)
+    placed = _merged(nodes.select("node", "n_shingles", "bands", F.col("doc_id").alias("least"), F.col("node").alias("component")), links)
     # each node's likeliest partners of another component among all that share a bucket with it
-    closer = stage(_likeliest(_in_buckets(bands, placed, nodes, True).distinct(), FIRST).join(tested, ["a", "b"], "left_anti"), "closer", NODE_ROWS)
+    closer = stage(_likeliest(_in_buckets(placed, nodes, True), FIRST).join(tested, ["a", "b"], "left_anti"), "closer", NODE_ROWS)
     placed = _merged(placed, stage(_confirmed(closer, nodes, texts), "links", TEXT_ROWS))
     # every pair that is still likely and between components
-    apart = _between(sifted.select("a", "b"), placed).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = _in_buckets(bands, placed, nodes, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(apart.union(near).distinct().join(tested.union(closer), ["a", "b"], "left_anti"), "rest", NODE_ROWS)
+    near = _ordered(_in_buckets(placed, nodes, False))
+    rest = stage(near.join(tested.union(closer), ["a", "b"], "left_anti"), "rest", NODE_ROWS)
     placed = _merged(placed, stage(_confirmed(rest, nodes, texts), "links", TEXT_ROWS))
-    release(sifted, tested, closer, rest, links)
-    of = placed.select("node", F.col("component").alias("whole")).join(least, "node")
+    release(nodes, tested, closer, rest)
+    of = placed.select("node", F.col("component").alias("whole"), "least")
     smallest = of.groupBy("whole").agg(F.min("least").alias("component_id"))
     named = of.join(smallest, "whole").select(F.col("node").alias("_n"), "component_id")
     out = sets.join(named, (F.col("node") == F.col("_n")) & F.col("doc_id").isNotNull(), "left")
