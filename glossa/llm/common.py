@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on; bounds a task's memory whatever the batch size.
 SLICE_BYTES = 2 << 20
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+GROUP_ROWS = "parquet.block.row.count.limit"
 
 
 # --- staged tables -----------------------------------------------------------------------------------------------
@@ -29,21 +31,31 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def stage(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Jobs that run inside hand Python Arrow batches of at most ``rows`` rows (a smaller bound of the session holds).
 
-    ``batch_rows``: most rows of the Arrow batches that the job hands to Python, where rows are wide; a batch lies in
-    the JVM and in Python at once, outside the heap of either, for every core of an executor.
+    For wide rows: a batch lies in the JVM and in Python at once, outside the heap of either, for every core of an executor.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
     usual = spark.conf.get(BATCH_ROWS)
-    if batch_rows and not 0 < int(usual) <= batch_rows:
-        spark.conf.set(BATCH_ROWS, str(batch_rows))
+    if rows and not 0 < int(usual) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(BATCH_ROWS, usual)
+
+
+def stage(df: DataFrame, tag: str, batch_rows: int | None = None, group_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows``: as ``batches_of`` says.  ``group_rows``: most rows of a row group, for wide rows: a group is held
+    while it is written, and by readers, which decode as much of it as they have rows in a batch.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    with batches_of(spark, batch_rows):
+        (df.write.option(GROUP_ROWS, group_rows) if group_rows else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.llm.common import Words, release, slices, stage, text_array
+from glossa.llm.common import Words, batches_of, gathered, release, stage, text_array
 
 TOP = 10
 #: Bits of a signature for each entry (a term and a power of two) of the fullest document of its block, and rows of an entry.
@@ -29,6 +29,8 @@ BITS_PER_ENTRY = 12
 ROWS_OF_ENTRY = 4
 #: Bytes of text that one set of blocks is made of.
 INDEXED_BYTES = 2 << 20
+#: Most texts, and most rows of the index (of up to some MB), that are handed to Python, written or read at once.
+TEXT_ROWS, INDEX_ROWS = 512, 8
 #: Bytes of benchmark text that go out to the tasks at once; more come in further passes over the index.
 QUERY_BYTES = 1 << 20
 #: Pairs of a query's term and a document whose bounds are summed at once.
@@ -83,7 +85,7 @@ def _list(values: np.ndarray | pa.Array, kind: pa.DataType) -> pa.Array:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", INDEXED_BYTES):
+    for batch in gathered(batches, "text", INDEXED_BYTES):
         words = Words(folded(text_array(batch, "text")))
         ids, n = batch.column("doc_id"), np.diff(words.bounds)
         key = np.repeat(np.arange(len(n)), n) * (len(words.vocab) + 1) + words.codes
@@ -108,7 +110,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def index(docs: DataFrame) -> DataFrame:
     """The staged blocks of all documents with a term: ids, lengths, terms with their occurrences, and the signature."""
-    return stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_blocks, INDEX), "signatures")
+    return stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_blocks, INDEX), "signatures", TEXT_ROWS, INDEX_ROWS)
 
 
 # --- queries -----------------------------------------------------------------------------------------------------
@@ -188,8 +190,10 @@ def corpus(blocks: DataFrame, q: Queries) -> Corpus:
     sums = blocks.agg(F.sum(F.size("n").cast("long")), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x))).first()
     n, total = sums[0] or 0, sums[1] or 0
     df = np.zeros(size, np.int64)
-    for r in blocks.select("terms", "codes").mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect():
-        df[r["term"]] = r["docs"]
+    holders = blocks.select("terms", "codes").mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
+    with batches_of(blocks.sparkSession, INDEX_ROWS):
+        for r in holders.collect():
+            df[r["term"]] = r["docs"]
     return Corpus(n, total, np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64))
 
 
@@ -309,7 +313,7 @@ def search(docs: DataFrame, benchmark: DataFrame, k: int = TOP) -> DataFrame:
         ranked = rows.where("score > 0").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         ids = spark.createDataFrame(list(enumerate(q.ids)), "_number int, item_id long")
         named = ranked.join(F.broadcast(ids), F.col("number") == F.col("_number"))  # a block's ids: at most QUERY_BYTES of them
-        out = out.unionByName(stage(named.select("item_id", "rank", "doc_id", "score"), "found"))
+        out = out.unionByName(stage(named.select("item_id", "rank", "doc_id", "score"), "found", INDEX_ROWS))
     release(built)
     return out
 
@@ -321,7 +325,8 @@ def rescored(docs: DataFrame, benchmark: DataFrame, k: int = TOP) -> tuple[int,
     for block in query_blocks(benchmark):
         rows, q, c = _found(built, block, k)
         if c.n:
-            scored += rows.agg(F.sum("rescored")).first()[0] or 0
+            with batches_of(docs.sparkSession, INDEX_ROWS):
+                scored += rows.agg(F.sum("rescored")).first()[0] or 0
             pairs += c.n * len(q.ids)
     release(built)
     return scored, pairs

@@ -3,7 +3,10 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.dataset as ds
+
 from glossa.llm import lexical_search as S
+from glossa.llm.common import BATCH_ROWS, batches_of, stage
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {i: chr(i).lower() for i in range(65, 91)}
@@ -78,3 +81,31 @@ def test_most_documents_are_excluded_by_their_bounds(spark):
     items = spark.createDataFrame([(i, " ".join(rng.choices(vocab, k=12))) for i in range(10)], "item_id long, text string")
     scored, pairs = S.rescored(docs, items)
     assert pairs == 30_000 and 100 <= scored < pairs / 10
+
+
+def test_few_rows_of_the_index_are_held_at_once(spark, monkeypatch):
+    sizes = [1 << k for k in range(13)] * 2
+    docs = spark.createDataFrame([(d, " ".join(f"w{(d + j) % 5003}" for j in range(size))) for d, size in enumerate(sizes)], "doc_id long, text string").coalesce(1)
+    built = S.index(docs)
+    groups = [g.num_rows for f in ds.dataset(built._staged_path.removeprefix("file:")).get_fragments() for g in f.row_groups]
+    assert sum(groups) > S.INDEX_ROWS >= max(groups)  # a row for each power of two of entries
+    assert built.agg({"doc_id": "count"}).first()[0] == sum(groups)
+
+    bounds, limits = {}, []  # what the jobs that hand texts or blocks to Python ran with
+
+    def recorded(df, tag, batch_rows=None, group_rows=None):
+        bounds[tag] = (batch_rows, group_rows)
+        return stage(df, tag, batch_rows, group_rows)
+
+    def counted(session, rows):
+        limits.append(rows)
+        return batches_of(session, rows)
+
+    monkeypatch.setattr(S, "stage", recorded)
+    monkeypatch.setattr(S, "batches_of", counted)
+    usual = spark.conf.get(BATCH_ROWS)
+    items = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w4000")], "item_id long, text string")
+    got = S.search(docs, items).collect()
+    assert order(tuple(r) for r in got) == order(brute([(r.doc_id, r.text) for r in docs.collect()], [(1, "w1 w2 w3"), (2, "w4000")]))
+    assert bounds == {"signatures": (S.TEXT_ROWS, S.INDEX_ROWS), "found": (S.INDEX_ROWS, None)} and limits == [S.INDEX_ROWS]
+    assert S.TEXT_ROWS <= 2048 and S.INDEX_ROWS <= 16 and spark.conf.get(BATCH_ROWS) == usual
